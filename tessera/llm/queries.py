@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import bpe_automaton as _bpe
+from . import packing as _packing
 from . import quality_rules as _rules
 from .common import table
 
@@ -15,8 +18,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rules.quality_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bpe.bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = _packing.best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_quality_rules,)}
+    return {f.__name__: f for f in (op6_quality_rules, op8_bpe_automaton, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
