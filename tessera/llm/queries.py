@@ -10,9 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from . import bpe_automaton as _bpe
 from . import packing as _packing
 from . import quality_rules as _rules
+from . import repeats as _repeats
+from . import simhash as _simhash
 from .common import table
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", _simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return _rules.quality_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -22,13 +29,18 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bpe.bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _repeats.remove_repeats(docs, digests=True).withColumnRenamed("kept", "kept_sha256")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = _packing.best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_quality_rules, op8_bpe_automaton, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op2_simhash, op6_quality_rules, op8_bpe_automaton, op9_run_length_index, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
