@@ -7,8 +7,8 @@ an arc ab that leads where b led from p. So all arcs of one label lead to one st
 parent less one arc (``parent``, ``lost``); whether a state has an arc follows from these tables and is kept in a
 bounded table of transitions as it is asked for.
 
-Every prefix of a word has one path, so encoding runs over the word once: from each position that has a state, the arcs
-whose labels match the next symbols set the states of later positions. Words, the pieces that the pre-tokenizer splits
+A word has one path, so encoding takes from each state the longest arc whose label matches the next symbols, and goes back
+to a shorter one where no arc leads on; ends found dead are not tried twice. Words, the pieces that the pre-tokenizer splits
 off, are encoded alike wherever they stand, and a bounded cache holds their ids. Decoding emits the arc labels.
 
 Defined cases: a null text counts as empty and has no tokens; an empty text decodes to an empty text; strings of the added tokens in a text become their
@@ -32,7 +32,7 @@ from .packing import byte_alphabet
 
 #: White space as Unicode has it, which is what the pre-tokenizer's \s means.
 SPACE = "\t-\r \x85\xa0  -     　"
-MOST_WORDS = 200_000
+MOST_WORDS = 500_000
 MOST_ARCS = 400_000
 _LOADED: dict[str, Tokenizer] = {}
 
@@ -100,26 +100,33 @@ class Automaton:
         return found
 
     def encode(self, word: str) -> list[int]:
-        """Token ids of one pre-split word in byte-level characters."""
+        """Token ids of one pre-split word in byte-level characters: the only path over it, longest arcs tried first."""
         symbols = self.symbols(word, True, self.suffix)
-        n = len(symbols)
-        came: list[tuple[int, int] | None] = [None] * (n + 1)
-        states: list[int | None] = [0, *[None] * n]
-        for i in range(n):
-            state = states[i]
-            if state is None:
-                continue
-            node, j = self.trie, i
+        n, target = len(symbols), self.target
+        path: list[tuple[int, int, list[tuple[int, int]]]] = []  # position, label that led here, arcs not yet tried
+        dead: set[tuple[int, int]] = set()
+        i, state, came = 0, 0, -1
+        while i < n:
+            node, j, arcs = self.trie, i, []
             while j < n and (node := node.get(symbols[j])) is not None:
                 j += 1
-                label = node.get(None)
-                if label is not None and states[j] is None and self.has(state, label):
-                    states[j], came[j] = self.target[label], (i, label)
-        out, j = [], n
-        while j:
-            j, label = came[j]
-            out.append(label)
-        return out[::-1]
+                if None in node:
+                    arcs.append((j, node[None]))
+            while True:
+                while arcs:
+                    arc = arcs.pop()
+                    if arc not in dead and self.has(state, arc[1]):
+                        break
+                else:  # no path to the end from here
+                    dead.add((i, came))
+                    i, came, arcs = path.pop()
+                    state = target[came] if path else 0
+                    continue
+                break
+            path.append((i, came, arcs))
+            i, came = arc
+            state = target[came]
+        return [label for _, label, _ in path[1:]] + [came]
 
 
 def _differing(kind: str) -> str:
