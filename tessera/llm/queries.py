@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import bpe_automaton as _bpe
+from . import nearest as _nearest
 from . import packing as _packing
 from . import quality_rules as _rules
 from . import repeats as _repeats
 from . import simhash as _simhash
-from .common import table
+from . import toxicity as _toxicity
+from . import warc as _warc
+from .common import remainder, table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels come only from rows whose remainder is not 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2)
+    scored = _toxicity.score(docs, _toxicity.train(docs, labels))
+    return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= _toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +32,15 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _warc.archive_and_read(table(spark, sf_dir, "pages"), least=0)
+
+
+def op5_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return _nearest.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return _rules.quality_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -40,7 +61,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash, op6_quality_rules, op8_bpe_automaton, op9_run_length_index, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_warc, op5_adaptive_scan, op6_quality_rules, op8_bpe_automaton, op9_run_length_index, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
