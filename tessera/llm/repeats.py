@@ -7,8 +7,8 @@ the given length around it.
 1. Anchors are dealt out by their k-gram, sorted, and streamed. Of anchors with equal contexts the first stands for all;
    the contexts of the others are repeats as a whole. Slices of input fold equal contexts before the shuffle, and a task
    holds one row at a time, so a passage that every document has costs one row for each slice.
-2. First contexts whose k-gram has other contexts too are at the edges of repeats. Their bytes are fetched, dealt out by
-   k-gram, and indexed in buckets of bounded size: the bucket's Burrows-Wheeler transform is run-compressed, suffix positions
+2. First contexts whose k-gram has other contexts too are at the edges of repeats. Their bytes are fetched and dealt out by
+   k-gram; those that can't share a string of ``length`` with another are left out, and the others are indexed in buckets of bounded size: the bucket's Burrows-Wheeler transform is run-compressed, suffix positions
    and common prefixes are sampled at the run heads only, and matching statistics are streamed over the text from these
    samples (between samples, phi moves by one and the common prefix falls by one). Where a match of at least ``length``
    bytes has an occurrence with a smaller document, or an earlier start in the same one, it is marked.
@@ -300,24 +300,53 @@ def _mark(contexts: list[bytes], doc: np.ndarray, tag: np.ndarray, lo: np.ndarra
     return _rows(None, None, doc[o], tag[o], None, lo[o] + inside[first], lo[o] + inside[last] + length, np.zeros(len(first), bool))
 
 
-def _index_buckets(length: int):
+def shared(group: list[tuple], length: int, gram: int) -> list[tuple]:
+    """The contexts of an m that can share a window with another one.
+
+    A window that starts more than half of length - gram before the anchor holds the bytes from there to the anchor's end; any
+    other holds those from the anchor on, but for the same half. A context of which both parts are its own shares none.
+    """
+    if len(group) < 2:
+        return []
+    half = (length - gram) // 2
+    parts: dict[tuple[bool, bytes], int] = {}
+    keys = []
+    for _, _, _, lo, at, data in group:
+        i = at - lo
+        own = []
+        if i >= half:
+            own.append((True, data[i - half : i + gram]))
+        if len(data) - i >= length - half:
+            own.append((False, data[i : i + length - half]))
+        for k in own:
+            parts[k] = parts.get(k, 0) + 1
+        keys.append(own)
+    return [x for x, own in zip(group, keys, strict=True) if any(parts[k] > 1 for k in own)]
+
+
+def _index_buckets(length: int, gram: int):
     def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Contexts come sorted by m; a bucket ends with an m, so all contexts of an m are in one."""
         held: list[tuple] = []
-        size, last = 0, None
+        group: list[tuple] = []
+        size = 0
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in ("m", "doc", "tag", "lo", "bytes")), strict=True):
-                if size >= BUCKET_BYTES and row[0] != last:
-                    yield solve(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[4])
-                last = row[0]
+            for row in zip(*(batch.column(k).to_pylist() for k in ("m", "doc", "tag", "lo", "at", "bytes")), strict=True):
+                if group and row[0] != group[0][0]:
+                    kept = shared(group, length, gram)
+                    held += kept
+                    size += sum(len(x[5]) for x in kept)
+                    group = []
+                    if size >= BUCKET_BYTES:
+                        yield solve(held)
+                        held, size = [], 0
+                group.append(row)
+        held += shared(group, length, gram)
         if held:
             yield solve(held)
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        _, doc, tag, lo, data = zip(*rows, strict=True)
+        _, doc, tag, lo, _, data = zip(*rows, strict=True)
         return _mark(list(data), *(np.array(x, np.int64) for x in (doc, tag, lo)), length)
 
     return index
@@ -342,14 +371,14 @@ def _windows(length: int):
 
 def _fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the contexts that are asked of a document."""
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
     for batch in slices(batches, "text", 4 << 20):
-        out: list[list] = [[], [], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], [], []]
         for doc, tag, text, asked in zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), text_bytes(batch.column("text")), batch.column("asked").to_pylist(), strict=True):
             for x in asked:
-                for column, value in zip(out, (x["m"], doc, tag, x["lo"], text[x["lo"] : x["hi"]], x["hot"]), strict=True):
+                for column, value in zip(out, (x["m"], doc, tag, x["lo"], x["at"], text[x["lo"] : x["hi"]], x["hot"]), strict=True):
                     column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["m", "doc", "tag", "lo", "bytes", "hot"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["m", "doc", "tag", "lo", "at", "bytes", "hot"])
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -360,13 +389,13 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     found = texts.mapInArrow(_find_anchors(length, gram), _ANCHOR)
     seen = written(_resolve(found, least), "repeats")
     spans = seen.where("NOT more").select("doc", "tag", "lo", "hi")
-    edge = seen.where("more").select("m", "doc", "tag", "lo", "hi")
+    edge = seen.where("more").select("m", "doc", "tag", "at", "lo", "hi")
     large = edge.groupBy("m").count().where(F.col("count") > hot).select("m", F.lit(True).alias("hot"))
-    asked = edge.join(large, "m", "left").groupBy("doc", "tag").agg(F.collect_list(F.struct("m", "lo", "hi", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked"))
+    asked = edge.join(large, "m", "left").groupBy("doc", "tag").agg(F.collect_list(F.struct("m", "at", "lo", "hi", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked"))
     keyed = texts.select(*document_key(), "text").where(F.length("text") > 0)
-    contexts = written(keyed.join(asked, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).mapInArrow(_fetch, "m bigint, doc bigint, tag bigint, lo bigint, bytes binary, hot boolean"), "contexts")
+    contexts = written(keyed.join(asked, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).mapInArrow(_fetch, "m bigint, doc bigint, tag bigint, lo bigint, at bigint, bytes binary, hot boolean"), "contexts")
     n = partitions_for(spark, contexts.count(), 40_000)
-    plain = contexts.where("NOT hot").repartition(n, "m").sortWithinPartitions("m", "doc", "tag", "lo").mapInArrow(_index_buckets(length), _ANCHOR)
+    plain = contexts.where("NOT hot").repartition(n, "m").sortWithinPartitions("m", "doc", "tag", "lo").mapInArrow(_index_buckets(length, gram), _ANCHOR)
     single = _resolve(contexts.where("hot").mapInArrow(_windows(length), _ANCHOR), n).where("NOT more")
     return spans.unionByName(plain.select("doc", "tag", "lo", "hi")).unionByName(single.select("doc", "tag", "lo", "hi"))
 
@@ -382,14 +411,14 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, digests: bool = False) -> DataFrame:
-    """docs with n_bytes, n_removed, n_spans and kept, the bytes that are left (its sha256 in hex if digests is set)."""
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, kept: str = "text") -> DataFrame:
+    """docs with n_bytes, n_removed, n_spans and kept: what is left as "text" (without bytes of characters that were cut apart), as "bytes", or as its "sha256" in hex."""
     names = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept", "doc", "tag", "spans")]
-    carried = [c for c in names if not (digests and c == "text")]
+    carried = [c for c in names if kept == "bytes" or c != "text"]
     found = repeats(docs, length, gram, hot).groupBy("doc", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     joined = docs.select(*names, *document_key()).join(found, ["doc", "tag"], "left").select(*names, "spans")
     schema = docs.select(*carried).schema
-    kept = "string" if digests else "binary"
+    shape = {"text": lambda x: x.decode("utf-8", "ignore"), "bytes": lambda x: x, "sha256": lambda x: hashlib.sha256(x).hexdigest()}[kept]
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
@@ -399,11 +428,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
                 runs = merged([(x["lo"], x["hi"]) for x in spans or ()])
                 edges = [0, *(x for run in runs for x in run), len(text)]
                 left = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                values = (len(text), len(text) - len(left), len(runs), hashlib.sha256(left).hexdigest() if digests else left)
+                values = (len(text), len(text) - len(left), len(runs), shape(left))
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
-            made = [*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.string() if digests else pa.binary())]
+            made = [*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.binary() if kept == "bytes" else pa.string())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), *made], names=[*carried, "n_bytes", "n_removed", "n_spans", "kept"])
 
-    out = schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", kept)
+    out = schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary" if kept == "bytes" else "string")
     return joined.mapInArrow(cut, out)

@@ -56,7 +56,7 @@ def test_equals_brute_force(spark, seed, hot):
     rows = rows_of(seed)
     want = slow(rows, 100)
     docs = spark.createDataFrame([(d, t, "other") for d, t in rows], DOCS)
-    got = R.remove_repeats(docs.drop("spans").repartition(5), hot=hot, digests=True).collect()
+    got = R.remove_repeats(docs.drop("spans").repartition(5), hot=hot, kept="sha256").collect()
     assert len(got) == len(rows)
     by_size = {}
     for (d, b), v in want.items():
@@ -95,7 +95,10 @@ def test_matching_statistics(seed):
 
 
 def test_extra_columns_and_empty(spark):
-    docs = spark.createDataFrame([(1, "x" * 300, "kept as it is")], DOCS)
-    row = R.remove_repeats(docs.withColumnRenamed("spans", "note")).first()
-    assert (row.note, row.n_removed, bytes(row.kept)) == ("kept as it is", 299 if False else row.n_removed, bytes(row.kept))
+    text = "é" * 300
+    docs = spark.createDataFrame([(1, text, "as it is"), (2, "é" * 100, "second")], DOCS).withColumnRenamed("spans", "note")
+    one, two = R.remove_repeats(docs).orderBy("doc_id").collect()
+    assert (one.note, one.n_removed, one.kept) == ("as it is", 598, "é")
+    assert (two.note, two.n_removed, two.kept) == ("second", 200, "")
+    assert bytes(R.remove_repeats(docs, kept="bytes").orderBy("doc_id").first().kept) == "é".encode()
     assert R.remove_repeats(spark.createDataFrame([], DOCS)).collect() == []
