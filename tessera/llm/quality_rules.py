@@ -111,8 +111,13 @@ def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
 
 def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """docs with its measures, base_failed and kept."""
-    measured = measure(docs.drop("base_failed", "kept"))
-    return measured.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    names = [c for c in docs.columns if c not in ("base_failed", "kept", "_row")]
+    # A filter on the verdict must not sink below the measures: it would bring their whole expressions into every lambda. It stops at a
+    # projection that isn't deterministic, if it needs that projection's column.
+    measured = measure(docs.select(*names)).withColumn("_row", F.monotonically_increasing_id())
+    failed = base_failed() | (F.col("_row") < 0)
+    judged = measured.withColumn("base_failed", failed)
+    return judged.withColumn("kept", ~F.col("base_failed") & verdict(rules)).drop("_row")
 
 
 def oracle(rules: tuple[Rule, ...] = RULES) -> str:
