@@ -8,7 +8,7 @@ the given length around it.
    the contexts of the others are repeats as a whole. Slices of input fold equal contexts before the shuffle, and a task
    holds one row at a time, so a passage that every document has costs one row for each slice.
 2. First contexts whose k-gram has other contexts too are at the edges of repeats. Their bytes are fetched and dealt out by
-   k-gram; those that can't share a string of ``length`` with another are left out, and the others are indexed in buckets of bounded size: the bucket's Burrows-Wheeler transform is run-compressed, suffix positions
+   k-gram; they are cut to what they share with others of the k-gram, equal ones are folded, and the rest is indexed in buckets of bounded size: the bucket's Burrows-Wheeler transform is run-compressed, suffix positions
    and common prefixes are sampled at the run heads only, and matching statistics are streamed over the text from these
    samples (between samples, phi moves by one and the common prefix falls by one). Where a match of at least ``length``
    bytes has an occurrence with a smaller document, or an earlier start in the same one, it is marked.
@@ -300,54 +300,76 @@ def _mark(contexts: list[bytes], doc: np.ndarray, tag: np.ndarray, lo: np.ndarra
     return _rows(None, None, doc[o], tag[o], None, lo[o] + inside[first], lo[o] + inside[last] + length, np.zeros(len(first), bool))
 
 
-def shared(group: list[tuple], length: int, gram: int) -> list[tuple]:
-    """The contexts of an m that can share a window with another one.
+def _agreement(parts: list[bytes]) -> list[int]:
+    """For each part the longest prefix that it shares with another one; in sorted order a neighbour has it."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    out = [0] * len(parts)
+    for a, b in zip(order, order[1:], strict=False):
+        x, y = parts[a], parts[b]
+        low, high = 0, min(len(x), len(y))
+        while low < high:
+            mid = (low + high + 1) // 2
+            if x[low:mid] == y[low:mid]:
+                low = mid
+            else:
+                high = mid - 1
+        out[a], out[b] = max(out[a], low), max(out[b], low)
+    return out
+
 
-    A window that starts more than half of length - gram before the anchor holds the bytes from there to the anchor's end; any
-    other holds those from the anchor on, but for the same half. A context of which both parts are its own shares none.
+def shared(group: list[tuple], length: int) -> tuple[list[tuple], list[tuple]]:
+    """The contexts of an m, cut to what each can share with others: (first of each cut, spans of its repeats).
+
+    group: (m, doc, tag, lo, at, bytes), ordered. A string that two contexts share reaches no farther from the anchor, to either
+    side, than they agree, so a context that agrees with none over `length` bytes in all shares none.
     """
     if len(group) < 2:
-        return []
-    half = (length - gram) // 2
-    parts: dict[tuple[bool, bytes], int] = {}
-    keys = []
-    for _, _, _, lo, at, data in group:
-        i = at - lo
-        own = []
-        if i >= half:
-            own.append((True, data[i - half : i + gram]))
-        if len(data) - i >= length - half:
-            own.append((False, data[i : i + length - half]))
-        for k in own:
-            parts[k] = parts.get(k, 0) + 1
-        keys.append(own)
-    return [x for x, own in zip(group, keys, strict=True) if any(parts[k] > 1 for k in own)]
-
-
-def _index_buckets(length: int, gram: int):
+        return [], []
+    left = _agreement([x[5][x[4] - x[3] - 1 :: -1] if x[4] > x[3] else b"" for x in group])
+    right = _agreement([x[5][x[4] - x[3] :] for x in group])
+    seen: set[tuple[int, bytes]] = set()
+    first, again = [], []
+    for (m, doc, tag, lo, at, data), before, after in zip(group, left, right, strict=True):
+        if before + after < length:
+            continue
+        cut = data[at - lo - before : at - lo + after]
+        if (before, cut) in seen:
+            again.append((doc, tag, at - before, at + after))
+        else:
+            seen.add((before, cut))
+            first.append((m, doc, tag, at - before, at, cut))
+    return first, again
+
+
+def _index_buckets(length: int):
     def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Contexts come sorted by m; a bucket ends with an m, so all contexts of an m are in one."""
         held: list[tuple] = []
+        spans: list[tuple] = []
         group: list[tuple] = []
         size = 0
         for batch in batches:
             for row in zip(*(batch.column(k).to_pylist() for k in ("m", "doc", "tag", "lo", "at", "bytes")), strict=True):
                 if group and row[0] != group[0][0]:
-                    kept = shared(group, length, gram)
-                    held += kept
-                    size += sum(len(x[5]) for x in kept)
+                    first, again = shared(group, length)
+                    held += first
+                    spans += again
+                    size += sum(len(x[5]) for x in first)
                     group = []
                     if size >= BUCKET_BYTES:
-                        yield solve(held)
-                        held, size = [], 0
+                        yield from solve(held, spans)
+                        held, spans, size = [], [], 0
                 group.append(row)
-        held += shared(group, length, gram)
-        if held:
-            yield solve(held)
+        first, again = shared(group, length)
+        yield from solve(held + first, spans + again)
 
-    def solve(rows: list[tuple]) -> pa.RecordBatch:
-        _, doc, tag, lo, _, data = zip(*rows, strict=True)
-        return _mark(list(data), *(np.array(x, np.int64) for x in (doc, tag, lo)), length)
+    def solve(rows: list[tuple], spans: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if spans:
+            doc, tag, lo, hi = (np.array(x, np.int64) for x in zip(*spans, strict=True))
+            yield _rows(None, None, doc, tag, None, lo, hi, np.zeros(len(doc), bool))
+        if rows:
+            _, doc, tag, lo, _, data = zip(*rows, strict=True)
+            yield _mark(list(data), *(np.array(x, np.int64) for x in (doc, tag, lo)), length)
 
     return index
 
@@ -395,7 +417,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     keyed = texts.select(*document_key(), "text").where(F.length("text") > 0)
     contexts = written(keyed.join(asked, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).mapInArrow(_fetch, "m bigint, doc bigint, tag bigint, lo bigint, at bigint, bytes binary, hot boolean"), "contexts")
     n = partitions_for(spark, contexts.count(), 40_000)
-    plain = contexts.where("NOT hot").repartition(n, "m").sortWithinPartitions("m", "doc", "tag", "lo").mapInArrow(_index_buckets(length, gram), _ANCHOR)
+    plain = contexts.where("NOT hot").repartition(n, "m").sortWithinPartitions("m", "doc", "tag", "at").mapInArrow(_index_buckets(length), _ANCHOR)
     single = _resolve(contexts.where("hot").mapInArrow(_windows(length), _ANCHOR), n).where("NOT more")
     return spans.unionByName(plain.select("doc", "tag", "lo", "hi")).unionByName(single.select("doc", "tag", "lo", "hi"))
 
