@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe_automaton as _bpe
+from . import language_model as _lm
 from . import nearest as _nearest
 from . import packing as _packing
 from . import quality as _quality
@@ -54,6 +55,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rules.quality_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_recurrent_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = _lm.language_model_scores(docs, remainder("doc_id", 5) != 1)
+    return found.select("doc_id", (remainder("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bpe.bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -69,7 +76,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_warc, op4_cotraining, op5_adaptive_scan, op6_quality_rules, op8_bpe_automaton, op9_run_length_index, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_warc, op4_cotraining, op5_adaptive_scan, op6_quality_rules, op7_recurrent_model, op8_bpe_automaton, op9_run_length_index, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
