@@ -122,7 +122,7 @@ def decide(pages: DataFrame, least: int = 0) -> DataFrame:
     return read.join(best, "payload_digest", "left").select("page_id", "url", "payload", "payload_digest", F.col("w.page_id").alias("winner"), F.col("w.url").alias("winner_url"))
 
 
-def write_archives(decided: DataFrame, folder: str, parts: int) -> DataFrame:
+def write_archives(decided: DataFrame, folder: str) -> DataFrame:
     """Writes the records; (key, page_id, archive, offset, length) of each, as a table."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,8 +151,7 @@ def write_archives(decided: DataFrame, folder: str, parts: int) -> DataFrame:
 
     fs, root = file_system(folder)
     fs.create_dir(root, recursive=True)
-    dealt = decided.repartition(parts, F.xxhash64("page_id", "url"))
-    return written(dealt.mapInArrow(run, "key string, page_id bigint, archive string, offset bigint, length bigint"), "captures")
+    return written(decided.mapInArrow(run, "key string, page_id bigint, archive string, offset bigint, length bigint"), "captures")
 
 
 def _sort_key(key: str, page_id: int | None) -> str:
@@ -302,7 +301,7 @@ def archive(pages: DataFrame, least: int = 0) -> tuple[list[tuple[str, str]], st
     """Writes archives and index of pages; (upper index level, index folder, archive folder, captures)."""
     spark = pages.sparkSession
     archives, index_folder = new_path(spark, "warc"), new_path(spark, "cdx")
-    captures = write_archives(decide(pages, least), archives, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    captures = write_archives(decide(pages, least), archives)
     n = captures.count()
     return write_index(captures, index_folder, max(1, -(-n // FILE_LINES))), index_folder, archives, n
 
