@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -11,9 +9,13 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..tables import new_path, shared_dir, written
+
 #: White space between words: space and U+0009 to U+000D, nothing else.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
+__all__ = ["ASCII_SPACE", "DOCUMENT_COLUMNS", "new_path", "partitions_for", "remainder", "shared_dir", "slices", "table", "text_bytes", "words_of", "written"]
+
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -21,28 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = tempfile.mkdtemp(prefix="tessera-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder, read again: lineage ends here and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
 def remainder(column: str, modulus: int):
     """crc32 of the id as text, modulo; a null id counts as remainder -1, so it is in no held-out fold."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus, F.lit(-1))

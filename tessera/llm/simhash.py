@@ -26,8 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .common import partitions_for, slices, text_bytes, words_of, written
-from .graph import components
 
 SHINGLE = 3
 SEED = 42
