@@ -1,0 +1,68 @@
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tessera.llm import bpe_automaton as B
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+DOCS = "doc_id bigint, text string, ids string"
+ALPHABET = "abc dEÉéßΣσçñ'sт中文한글1234567890٣½ \t\n\x0b\x1c\x85\xa0!?.,#$%…—“”😀👍🏽é́İI'll'RE<|endoftext|>"
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def texts(seed, n):
+    r = random.Random(seed)
+    out = ["", " ", "a", "<|endoftext|>", "x<|startoftext|>y <|endoftext|><|endoftext|>", "aaaaaaaa" * 50, "!" * 300, "</w>", "a</w> b", "I'LL don't we've 'S", "ÅſK"]
+    out += ["".join(r.choice(ALPHABET) for _ in range(r.randint(1, 60))) for _ in range(n)]
+    out += ["".join(r.choice("abehtinsr") for _ in range(r.randint(1, 30))) for _ in range(n)]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_equals_the_library(library, seed):
+    mine = B.load(PATH)
+    for t in texts(seed, 400):
+        want = library.encode(t, add_special_tokens=False).ids
+        assert mine.encode(t) == want, t
+        ids, decoded = mine.both(t)
+        assert ids == " ".join(map(str, want))
+        assert decoded == library.decode(want, skip_special_tokens=False), t
+
+
+def test_every_vocabulary_word_is_one_path(library):
+    mine = B.load(PATH).automaton
+    for i in range(512, 49000, 97):
+        word = mine.labels[i].removesuffix("</w>")
+        ids = mine.encode(word)
+        assert "".join(mine.labels[k] for k in ids) == word + "</w>"
+
+
+def test_caches_are_bounded(library, monkeypatch):
+    monkeypatch.setattr(B, "MOST_WORDS", 50)
+    monkeypatch.setattr(B, "MOST_ARCS", 100)
+    mine = B.Tokenizer(PATH)
+    for t in texts(9, 100):
+        assert mine.both(t)[0] == " ".join(map(str, library.encode(t, add_special_tokens=False).ids))
+    assert len(mine.automaton.arcs) <= 100
+
+
+def test_frames(spark, library):
+    rows = list(enumerate(texts(4, 50))) + [(900, None), (None, "null id"), (3, "again"), (3, "again")]
+    docs = spark.createDataFrame([(i, t, "clash") for i, t in rows], DOCS)
+    digests = sorted((str(x.doc_id), x.n_tokens, x.ids_sha256, x.decoded_sha256) for x in B.bpe_digests(docs, PATH).collect())
+    want = []
+    for i, t in rows:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.append((str(i), len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+    assert digests == sorted(want)
+    encoded = B.bpe_encode(docs, PATH)
+    assert {tuple(x.ids) for x in encoded.collect()} == {tuple(library.encode(t or "", add_special_tokens=False).ids) for _, t in rows}
+    assert B.bpe_decode(encoded, PATH).count() == len(rows)
+    assert B.bpe_digests(docs.limit(0), PATH).collect() == []

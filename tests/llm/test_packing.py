@@ -1,0 +1,87 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tessera.llm import packing as P
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+DOCS = "doc_id bigint, text string, offset int, length string"
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_plan_covers_every_rank_and_fits(seed):
+    r = random.Random(seed)
+    capacity = r.choice([12, 64, 1024])
+    counts: dict[int, int] = {}
+    for _ in range(r.randint(0, 400)):
+        n = r.randint(1, capacity) if r.random() < 0.7 else r.randint(1, max(1, capacity // 5))
+        counts[n] = counts.get(n, 0) + 1
+    cover: dict[int, list] = {}
+    bins: dict[int, list] = {}
+    for n, first, many, times, sequence, offset in P.plan(dict(counts), capacity):
+        cover.setdefault(n, []).append((first, many * times))
+        for b in range(many):
+            bins.setdefault(sequence + b, []).extend((offset + k * n, n) for k in range(times))
+    for n, c in counts.items():
+        at = 0
+        for first, size in sorted(cover[n]):
+            assert first == at
+            at += size
+        assert at == c
+    for content in bins.values():
+        at = 0
+        for offset, n in sorted(content):
+            assert offset == at
+            at += n
+        assert at <= capacity
+        assert sum(3 * n > capacity for _, n in content) <= 2
+    # No more sequences than best-fit decreasing is known to need.
+    least = max(-(-sum(n * c for n, c in counts.items()) // capacity), sum(c for n, c in counts.items() if 2 * n > capacity))
+    assert len(bins) <= 11 * least / 9 + 4
+
+
+def test_plan_size_does_not_follow_counts():
+    r = random.Random(1)
+    counts = {n: r.randint(10**8, 10**9) for n in range(1, 1025)}
+    assert len(P.plan(counts)) < 20_000
+
+
+def test_pieces_equal_the_library(spark):
+    r = random.Random(2)
+    texts = ["", None, "a", "<|endoftext|> x <|endoftext|>", "é ü 中文 👍\n\n  tabs\t", " ".join(r.choice(["alpha", "beta", "Ünï", "42,"]) for _ in range(5000))]
+    texts += ["".join(chr(r.choice([r.randint(32, 126), r.randint(160, 0x24F), r.randint(0x4E00, 0x9FFF)])) for _ in range(r.randint(1, 80))) for _ in range(150)]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(texts)] + [(None, "null id", 1, "x"), (3, texts[3], 1, "x")], DOCS)
+    packed = P.best_fit_packing(docs, PATH).collect()
+    tokenizer = Tokenizer.from_file(PATH)
+    by_doc: dict = {}
+    for p in packed:
+        by_doc.setdefault(p.doc_id, []).append(p)
+    assert len(by_doc[3]) == 2 and len(by_doc[None]) == 1
+    for i, t in enumerate(texts):
+        ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        parts = sorted(by_doc[i], key=lambda p: p.piece)
+        if i == 3:
+            parts = parts[:1]
+        assert [p.piece for p in parts] == list(range(len(parts)))
+        assert all(p.length == 1024 for p in parts[1:]) and sum(p.length for p in parts) == len(ids)
+        at = 0
+        for p in parts:
+            assert p.start == at and p.ids_crc32 == zlib.crc32(ids[at : at + p.length].tobytes())
+            at += p.length
+    sequences: dict = {}
+    for p in packed:
+        sequences.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for content in sequences.values():
+        at = 0
+        for offset, length in sorted(content):
+            assert offset == at
+            at += length
+        assert at <= 1024
+
+
+def test_empty(spark):
+    assert P.best_fit_packing(spark.createDataFrame([], DOCS), PATH).collect() == []
