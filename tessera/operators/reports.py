@@ -31,8 +31,10 @@ def dedup_stats(keys: DataFrame, key: str) -> DataFrame:
 
 
 def weight_stats(weighted: DataFrame, n_in: DataFrame) -> DataFrame:
-    out = weighted.agg(F.count("*").alias("docs_out"))
-    return n_in.agg(F.count("*").alias("docs_in"), F.sum("final_weight").alias("total_weight"), F.avg("final_weight").alias("avg_weight")).crossJoin(out).withColumn("expansion", F.col("docs_out") / F.col("docs_in"))
+    """docs_in, total_weight, avg_weight, docs_out and expansion, from rows before (with final_weight) and after."""
+    both = n_in.select("final_weight", F.lit(1).alias("i"), F.lit(0).alias("o")).unionByName(weighted.select(F.lit(None).cast("double").alias("final_weight"), F.lit(0).alias("i"), F.lit(1).alias("o")))
+    out = both.agg(F.sum("i").alias("docs_in"), F.sum("final_weight").alias("total_weight"), F.avg("final_weight").alias("avg_weight"), F.sum("o").alias("docs_out"))
+    return out.withColumn("expansion", F.col("docs_out") / F.col("docs_in"))
 
 
 def session_state(stages: DataFrame) -> DataFrame:

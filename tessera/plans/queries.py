@@ -12,10 +12,10 @@ from ..functions import scores as S
 from ..functions import values as V
 from ..operators import bpe, dedup, frontier, gate, html, reports, shards, weighting
 from ..operators.clean import CleanConfig, action_counts, clean, normalize, redact, refusal_hits, refusal_score
-from ..sources import readers, sinks
+from ..sources import crawl, readers, sinks
 from ..streaming import stateful
 from ..tables import new_path, written
-from . import stages
+from . import sessions, stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -572,6 +572,55 @@ def stages_run(spark, sf_dir):
     return packed.groupBy("split", "shard").agg(F.sum(F.size("tokens")).cast("long").alias("tokens"))
 
 
+@query("SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) <= 3")
+def top_per_group(spark, sf_dir):
+    """The first three of each group: the size is the operator's feature."""
+    return crawl.top_per_group(table(spark, sf_dir, "orders"), ["o_custkey"], [F.desc("o_totalprice"), F.col("o_orderkey")], 3).select("o_custkey", "o_orderkey")
+
+
+ROBOTS = [("*", False, "/p"), ("*", True, "/pa"), ("other", False, "/")]
+URL_PATH = "coalesce(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([^?#]*)', 1), ''), '/')"
+
+
+@query(f"SELECT page_id FROM pages WHERE NOT (starts_with({URL_PATH}, '/p') AND NOT starts_with({URL_PATH}, '/pa'))")
+def robots_allowed(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    each = F.array(*(F.struct(F.lit(a).alias("agent"), F.lit(b).alias("allow"), F.lit(c).alias("prefix")) for a, b, c in ROBOTS))
+    rules = pages.select(X.netloc(F.col("url")).alias("host")).distinct().select("host", F.inline(each))
+    return crawl.robots_allow(pages, rules).select("page_id")
+
+
+@query("SELECT page_id FROM pages WHERE page_id % 3 <> 0 AND octet_length(encode(html)) <= 20000")
+def fetched_pages(spark, sf_dir):
+    status = F.when(F.col("page_id") % 3 == 0, 404).otherwise(200)
+    responses = table(spark, sf_dir, "pages").select("page_id", "html", status.alias("status"), F.lit("Text/HTML; charset=utf-8").alias("content_type"))
+    return crawl.fetched_ok(responses, 20_000).select("page_id")
+
+
+@query("SELECT doc_id FROM documents WHERE lang = 'en'")
+def english_documents(spark, sf_dir):
+    return documents(spark, sf_dir).where(crawl.english(F.col("lang"))).select("doc_id")
+
+
+@query("SELECT row_number() OVER (ORDER BY n_nationkey)::BIGINT AS dataset_id, regexp_replace(n_name, ' ', '-', 'g') AS name, n_nationkey::VARCHAR AS group_id, 'COLLECTED' AS state FROM nation")
+def seeded_sessions(spark, sf_dir):
+    groups = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("ord"), F.col("n_nationkey").cast("string").alias("group_id"), F.col("n_name").alias("name"))
+    made = sessions.seed(sessions.empty(spark), groups)
+    return made.join(reports.session_state(sessions.stage_rows(made)), "dataset_id").select(F.col("dataset_id").cast("long").alias("dataset_id"), "name", "group_id", "state")
+
+
+@query()
+def bpe_token_counts(spark, sf_dir):
+    """Counts under a public byte-level vocabulary, if its files are there; bytes otherwise."""
+    docs = documents(spark, sf_dir)
+    try:
+        import public_tokenizers
+    except ImportError:
+        return counted(spark, sf_dir)
+    encoded = bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 50256)
+    return encoded.select(F.col("id").alias("doc_id"), F.size("tokens").cast("long").alias("n_tokens"))
+
+
 # --- streams, each drained over the whole table
 
 def event_stream(spark, sf_dir):

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from tessera.operators import dedup, frontier, gate, html, reports, shards, weighting
 from tessera.operators.clean import CleanConfig, clean, redact, refusal_hits
 from tessera.operators.components import components
-from tessera.plans import stages
+from tessera.plans import sessions, stages
 from tessera.schema import as_documents
-from tessera.sources import readers, sinks
+from tessera.sources import config, crawl, readers, sinks
+from tessera.streaming import stateful
 
 
 def test_clean_order_and_actions(spark):
@@ -190,3 +191,58 @@ def test_reports(spark):
     rows = [(1, "train", "complete"), (1, "export", "complete"), (2, "train", "complete"), (3, "crawl", "running"), (4, "crawl", "complete")]
     states = reports.session_state(spark.createDataFrame(rows, "dataset_id bigint, stage string, status string"))
     assert {x.dataset_id: x.state for x in states.collect()} == {1: "COMPLETE", 2: "TRAINED", 3: "RUNNING", 4: "COLLECTED"}
+
+
+def test_crawl_filters_and_source(spark):
+    requests = spark.createDataFrame([("http://h/a/x",), ("http://h/a/b/y",), ("http://h",), ("http://i/a",)], "url string")
+    rules = spark.createDataFrame([("h", "*", False, "/a"), ("h", "*", True, "/a/b"), ("h", "me", False, "/a/b"), ("h", "other", False, "/")], "host string, agent string, allow boolean, prefix string")
+    assert {x.url for x in crawl.robots_allow(requests, rules).collect()} == {"http://h/a/b/y", "http://h", "http://i/a"}
+    seen = spark.createDataFrame([("http://h",)], "url string")
+    assert crawl.unseen(requests.unionByName(requests), seen).count() == 3
+    spark.dataSource.register(crawl.page_source("tessera_pages", lambda u: (200, "text/html", f"<p>{u}</p>") if "x" in u else None, 2))
+    pages = spark.read.format("tessera_pages").option("urls", "ax\nb\ncx\n").load()
+    assert sorted(x.html for x in crawl.fetched_ok(pages).collect()) == ["<p>ax</p>", "<p>cx</p>"]
+
+
+def test_config(tmp_path):
+    path = tmp_path / "c.yaml"
+    path.write_text("general: {action: flag, score_threshold: 0.5}\nhtml: {enabled: false}\nrefusal_filter:\n  pattern_groups:\n    a: {enabled: true, weight: 2, patterns: [x]}\n    b: {enabled: false, patterns: [y]}\n  instant_drop_patterns: {enabled: false, patterns: [z]}\n")
+    c = config.clean_config(config.load(str(path)))
+    assert (c.action, c.threshold, c.html, c.groups, c.instant) == ("flag", 0.5, False, {"a": (2.0, ("x",))}, ())
+    assert config.merged({"a": {"b": 1, "c": 2}, "d": 3}, {"a": {"c": 4}, "e": 5}) == {"a": {"b": 1, "c": 4}, "d": 3, "e": 5}
+    assert config.run_config({"shard": {"shard_size": 7}}).shard_size == 7
+    with pytest.raises(KeyError):
+        config.select_group([{"id": "a"}], "b")
+
+
+def test_sessions(spark, tmp_path):
+    groups = spark.createDataFrame([(2, "g2", "second set"), (1, "g1", "a/b")], "ord int, group_id string, name string")
+    first = sessions.seed(sessions.empty(spark), groups)
+    again = sessions.seed(first, groups.unionByName(spark.createDataFrame([(3, "g3", "")], groups.schema)))
+    assert [(x.dataset_id, x.group_id, x.name) for x in again.orderBy("dataset_id").collect()] == [(1, "g1", "ab"), (2, "g2", "second-set"), (3, "g3", "dataset")]
+    done = sessions.refresh(again, spark.createDataFrame([(1, "export"), (2, "crawl")], "dataset_id bigint, stage string"))
+    states = {x.dataset_id: x.state for x in reports.session_state(sessions.stage_rows(done)).collect()}
+    assert states == {1: "COMPLETE", 2: "COLLECTED", 3: "COLLECTED"}
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "f.txt").write_text("x")
+    row = sessions.ingest(spark, str(tmp_path), "local").first()
+    assert row["size"] == 1 and len(row.sha256) == 64
+
+
+def test_streams_equal_batches(spark, tmp_path):
+    rows = [(i, f"2024-01-01 00:{i % 60:02d}:00", f"t{i % 9}", float(i % 10) / 20) for i in range(300)]
+    df = spark.createDataFrame(rows, "ord bigint, t string, text string, score double").selectExpr("ord", "t::timestamp_ntz AS ts", "text", "score")
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+
+    def drain(out, name):
+        q = out.writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / f"c{name}")).trigger(availableNow=True).format("parquet").start(str(tmp_path / name))
+        q.awaitTermination()
+        return spark.read.schema(out.schema).parquet(str(tmp_path / name))
+
+    assert drain(stateful.first_seen(stream, late="1 day"), "seen").count() == 9
+    gated = {x.ord: x.admitted for x in drain(stateful.gate(stream.withColumn("domain", stream.text)), "gate").collect()}
+    assert gated == {x.ord: x.admitted for x in gate.signal_gate(df.withColumnRenamed("text", "domain")).collect()}
+    query = stateful.buffered_dedup(stream.select("ord", "text").withColumnRenamed("ord", "doc_id"), str(tmp_path / "near"), str(tmp_path / "cn")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "near")).count() == 9
