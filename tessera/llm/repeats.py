@@ -39,6 +39,8 @@ GRAM = 32
 #: A k-gram with more contexts than this is resolved window by window; buckets hold about this many bytes.
 HOT = 10_000
 BUCKET_BYTES = 1 << 21
+#: Longer runs of bytes are searched for anchors in parts, which overlap by a window.
+PART_BYTES = 4 << 20
 NULL_ID = (1 << 63) - 1
 
 _ANCHOR = "m bigint, c bigint, doc bigint, tag bigint, at bigint, lo bigint, hi bigint, more boolean"
@@ -87,6 +89,14 @@ def anchors(data: np.ndarray, edges: np.ndarray, length: int, gram: int) -> tupl
     width = length - gram + 1
     if len(data) < length:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
+    if len(data) > PART_BYTES + length:
+        parts = []
+        for s in range(0, len(data) - length + 1, PART_BYTES):
+            part = data[s : s + PART_BYTES + length - 1]
+            at, h = anchors(part, np.unique(np.clip(edges - s, 0, len(part))), length, gram)
+            parts.append((at + s, h))
+        at, first = np.unique(np.concatenate([x for x, _ in parts]), return_index=True)
+        return at, np.concatenate([h for _, h in parts])[first]
     h = gram_hashes(data, gram)
     least = _sliding(h, width, np.minimum)  # of the window that starts here
     valid = np.zeros(len(least) + 1, np.int32)

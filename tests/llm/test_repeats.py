@@ -94,6 +94,16 @@ def test_matching_statistics(seed):
             assert least[i] == min(j for j in range(len(text)) if text[j : j + 5] == w)
 
 
+def test_anchors_in_parts(monkeypatch):
+    r = np.random.default_rng(1)
+    data = r.integers(97, 100, 9000).astype(np.uint8)
+    edges = np.array([0, 50, 50, 3000, 3090, 3200, 9000])
+    whole = R.anchors(data, edges, 100, 32)
+    monkeypatch.setattr(R, "PART_BYTES", 700)
+    parts = R.anchors(data, edges, 100, 32)
+    assert whole[0].tolist() == parts[0].tolist() and whole[1].tolist() == parts[1].tolist()
+
+
 def test_extra_columns_and_empty(spark):
     text = "é" * 300
     docs = spark.createDataFrame([(1, text, "as it is"), (2, "é" * 100, "second")], DOCS).withColumnRenamed("spans", "note")
