@@ -14,7 +14,7 @@ from ..tables import new_path, shared_dir, written
 #: White space between words: space and U+0009 to U+000D, nothing else.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
-__all__ = ["ASCII_SPACE", "DOCUMENT_COLUMNS", "new_path", "partitions_for", "remainder", "shared_dir", "slices", "table", "text_bytes", "words_of", "written"]
+__all__ = ["ASCII_SPACE", "DOCUMENT_COLUMNS", "lowest_hashes", "new_path", "partitions_for", "remainder", "shared_dir", "slices", "table", "text_bytes", "words_of", "written"]
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -28,6 +28,16 @@ def remainder(column: str, modulus: int):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
+def lowest_hashes(df: DataFrame, key: str, most: int) -> DataFrame:
+    """The `most` rows whose keys hash lowest. A bound on the hash, from the row count, comes first, so that tasks together hand over about
+    `most` rows and not each as many."""
+    rows = df.count()
+    h = F.xxhash64(key)
+    if rows > 2 * most:
+        df = df.where(h <= int(-(1 << 63) + (1 << 64) * (1.5 * most + 1000) / rows)) if 1.5 * most + 1000 < rows else df
+    return df.orderBy(h, key).limit(most)
+
+
 def partitions_for(spark: SparkSession, rows: int, per_task: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
 

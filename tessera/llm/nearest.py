@@ -28,6 +28,8 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import lowest_hashes
+
 K = 5
 FIT_ROWS = 8_000
 GOAL = 0.97
@@ -155,7 +157,7 @@ _OWN = "vec_id bigint, list int, embedding array<double>"
 def fit(vectors: DataFrame, k: int = K, goal: float = GOAL) -> tuple[Index | None, int]:
     """The index and the number of rows, from a bounded sample: the rows whose ids hash lowest."""
     rows = vectors.count()
-    sample = vectors.where("embedding IS NOT NULL AND vec_id IS NOT NULL").orderBy(F.xxhash64("vec_id")).limit(FIT_ROWS).select("embedding").toArrow().column("embedding")
+    sample = lowest_hashes(vectors.where("embedding IS NOT NULL AND vec_id IS NOT NULL"), "vec_id", FIT_ROWS).select("embedding").toArrow().column("embedding")
     sizes = Counter(np.asarray(pa.compute.list_value_length(sample)).tolist())
     sizes.pop(0, None)
     if not sizes:

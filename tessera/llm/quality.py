@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import lowest_hashes, slices, text_bytes
 from .toxicity import labelled
 
 FIT_ROWS = 6_000
@@ -178,7 +178,7 @@ def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = FIT_ROWS, pool: int = POOL_ROWS) -> Model:
     docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
     known = labelled(docs, labels, label, most)
-    free = docs.select("doc_id").where("doc_id IS NOT NULL").join(labels.select("doc_id"), "doc_id", "left_anti").dropDuplicates().orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool)
+    free = lowest_hashes(docs.select("doc_id").where("doc_id IS NOT NULL").join(labels.select("doc_id"), "doc_id", "left_anti").dropDuplicates(), "doc_id", pool)
     rest = docs.join(F.broadcast(free), "doc_id").withColumn("_label", F.lit(-1))  # at most `pool` ids
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

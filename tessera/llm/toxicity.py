@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import lowest_hashes, slices, text_bytes
 
 FIT_ROWS = 8_000
 PREFIXES = (5, 6, 7)
@@ -142,7 +142,8 @@ def fit(rows: list[tuple[bytes | None, int]], steps: int = STEPS) -> Model:
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
     """Columns of docs and the label, for at most `most` labelled ids: those that hash lowest."""
-    chosen = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).alias("_label")).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).alias("_label")).dropDuplicates(["doc_id"])
+    chosen = lowest_hashes(known, "doc_id", most)
     return docs.join(F.broadcast(chosen), "doc_id")  # at most `most` ids
 
 
