@@ -75,3 +75,24 @@ def unseeded_groups(groups: DataFrame, sessions: DataFrame) -> DataFrame:
 def group_configs(sessions: DataFrame, groups: DataFrame) -> DataFrame:
     """Sessions with their group's configuration, their own where the group is unknown."""
     return sessions.join(groups.select("group_id", F.col("config").alias("_config")), "group_id", "left").withColumn("config", F.coalesce("_config", "config")).drop("_config")
+
+
+def crawl_stats(attempts: DataFrame) -> DataFrame:
+    """Pages fetched, skipped, failed and abandoned by source, of attempts (source, outcome)."""
+    return attempts.groupBy("source").agg(*(F.count_if(F.col("outcome") == o).alias(o) for o in ("fetched", "skipped", "error", "abandoned")))
+
+
+def output_inventory(files: DataFrame, depth: int) -> DataFrame:
+    """Files and bytes below each folder that is `depth` names deep in the paths of files (path, size)."""
+    root = F.array_join(F.slice(F.split(F.regexp_replace("path", r"^[a-z]+:/+", ""), "/"), 1, depth), "/")
+    return files.groupBy(root.alias("root")).agg(F.count("*").alias("files"), F.sum("size").cast("long").alias("bytes"))
+
+
+def session_stats(documents: DataFrame) -> DataFrame:
+    """Documents and words of each dataset, of rows (dataset_id, text)."""
+    return documents.groupBy("dataset_id").agg(F.count("*").alias("documents"), F.sum(X.word_count(F.col("text"))).cast("long").alias("words"))
+
+
+def superseded(artifacts: DataFrame, keep: int = 3, group: str = "kind", order: str = "step") -> DataFrame:
+    """Artifacts beyond the `keep` newest of each kind."""
+    return artifacts.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(F.desc(order)))).where(F.col("_n") > keep).drop("_n")

@@ -521,6 +521,29 @@ def latest_corpus(spark, sf_dir):
     return reports.latest_available([(2, base), (4, table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("words")))], "doc_id")
 
 
+@query("SELECT event_type AS source, count(*) FILTER (user_id % 4 = 0) AS fetched, count(*) FILTER (user_id % 4 = 1) AS skipped, count(*) FILTER (user_id % 4 = 2) AS error, count(*) FILTER (user_id % 4 = 3) AS abandoned FROM events GROUP BY event_type")
+def crawl_stats(spark, sf_dir):
+    outcome = F.element_at(F.array(*map(F.lit, ("fetched", "skipped", "error", "abandoned"))), (F.col("user_id") % 4 + 1).cast("int"))
+    return reports.crawl_stats(table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), outcome.alias("outcome")))
+
+
+@query(f"SELECT lang AS dataset_id, count(*) AS documents, sum({sql_n_words('text')})::BIGINT AS words FROM documents GROUP BY lang")
+def session_stats(spark, sf_dir):
+    return reports.session_stats(documents(spark, sf_dir).select(F.col("lang").alias("dataset_id"), "text"))
+
+
+@query(f"SELECT string_split({NETLOC}, '.')[-1] AS root, count(*) AS files, sum(octet_length(encode(html)))::BIGINT AS bytes FROM pages GROUP BY 1")
+def output_inventory(spark, sf_dir):
+    files = table(spark, sf_dir, "pages").select(F.concat(F.lit("file:/"), F.element_at(F.split(X.netloc(F.col("url")), r"\."), -1), F.lit("/x")).alias("path"), F.octet_length("html").alias("size"))
+    return reports.output_inventory(files, 1)
+
+
+@query("SELECT o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) > 3")
+def superseded_artifacts(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("kind"), F.col("o_orderkey").alias("step"))
+    return reports.superseded(rows).select(F.col("step").alias("o_orderkey"))
+
+
 @query("SELECT avg(value / 50) AS mean_loss, exp(least(avg(value / 50), 20)) AS perplexity FROM events".replace("avg(value / 50) AS", "round(avg(value / 50), 6) AS").replace("exp(least(avg(value / 50), 20)) AS", "round(exp(least(avg(value / 50), 20)), 4) AS"))
 def training_perplexity(spark, sf_dir):
     out = reports.perplexity(table(spark, sf_dir, "events").select((F.col("value") / 50).alias("loss")))

@@ -143,6 +143,17 @@ def tag_group(docs: DataFrame, group: str) -> DataFrame:
     return docs.withColumn("meta", F.map_concat(F.map_filter(given, lambda k, _: k != "dataset_group"), F.create_map(F.lit("dataset_group"), F.lit(group))))
 
 
+def log_lines(spark: SparkSession, path: str, last: int | None = None) -> DataFrame:
+    """(file, line, n) of text logs, n from 0 within a file; the last lines of each file, if asked."""
+    from pyspark.sql import Window
+
+    whole = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), F.posexplode(F.split("value", "\n")).alias("n", "line"))
+    lines = whole.where("line <> ''")
+    if last is None:
+        return lines
+    return lines.withColumn("_n", F.row_number().over(Window.partitionBy("file").orderBy(F.desc("n")))).where(F.col("_n") <= last).drop("_n")
+
+
 def file_tree(spark: SparkSession, path: str) -> DataFrame:
     """(path, size, sha256, modified) of all files below path."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

@@ -246,3 +246,11 @@ def test_streams_equal_batches(spark, tmp_path):
     query = stateful.buffered_dedup(stream.select("ord", "text").withColumnRenamed("ord", "doc_id"), str(tmp_path / "near"), str(tmp_path / "cn")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "near")).count() == 9
+
+
+def test_logs(spark, tmp_path):
+    (tmp_path / "a.log").write_text("one\ntwo\n\nthree\n")
+    (tmp_path / "b.log").write_text("x\n")
+    assert sorted((x.file, x.line) for x in readers.log_lines(spark, str(tmp_path), 2).collect()) == [("a.log", "three"), ("a.log", "two"), ("b.log", "x")]
+    (tmp_path / "seeds.txt").write_text("# note\n\n http://a \nhttp://b\n")
+    assert [x.url for x in readers.text_list(spark, str(tmp_path / "seeds.txt")).collect()] == ["http://a", "http://b"]
