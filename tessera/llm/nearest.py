@@ -138,7 +138,7 @@ def _search(index: Index, k: int):
             for row, name in enumerate(asked):
                 left_over = scan(columns, turned[row], k + 1)
                 left_over = left_over[own[left_over] != name]
-                score = x[left_over] @ q[row] / (norms[left_over] * np.sqrt(q[row] @ q[row]))
+                score = (x[left_over] * q[row]).sum(1) / (norms[left_over] * np.sqrt((q[row] * q[row]).sum()))  # row sums, so equal vectors tie exactly
                 bad = ~np.isfinite(score)
                 if bad.any():
                     score[bad] = ux[left_over[bad]] @ uq[row]

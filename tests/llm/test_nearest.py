@@ -54,6 +54,15 @@ def test_few_and_none(spark):
     assert N.nearest(few.where("vec_id < 0"), few.where("vec_id < 0")).collect() == []
 
 
+def test_ties_go_to_smaller_ids(spark):
+    r = random.Random(4)
+    same, other = [r.gauss(0, 1) for _ in range(16)], [[r.gauss(0, 1) for _ in range(16)] for _ in range(300)]
+    rows = [(i, same if i % 10 == 0 else other[i], 1) for i in range(300)]
+    vectors = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    for x in N.nearest(vectors, vectors.where("vec_id % 50 = 0")).collect():
+        assert x.vec_id == [i for i in range(0, 300, 10) if i != x.query_id][x.rank - 1]
+
+
 def test_large_lists_are_cut(spark, monkeypatch):
     monkeypatch.setattr(N, "CHUNK", 50)
     monkeypatch.setattr(N, "QUERY_BLOCK", 7)
