@@ -6,7 +6,7 @@ no shuffle, no Python, and memory bounded by one row.
 
 Defined cases: a null text counts as empty; an empty text has no words and fails the base rules; repeated rows are judged
 each on its own; an empty table gives an empty result; other columns of the input are kept by ``quality_rules`` unless
-they bear the name of a measure, in which case the measure replaces them.
+they bear the name of a measure, in which case the measure replaces them; those with the name of an inner column go.
 
 Windows of five words are compared by their 64-bit hash within one text.
 """
@@ -48,6 +48,8 @@ RULES = (
     Rule("stop_word_ratio", "n_stop_words", "n_words", 0.01, 1.0),
     Rule("dup_line_ratio", "n_dup_lines", "n_lines", 0.0, 0.6),
 )
+#: Columns of the projections in between.
+INNER = ("_words", "_lines", "_windows", "_sorted", "_starts", "_row")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words")
 
 
@@ -68,7 +70,7 @@ def _covered(starts: Column) -> Column:
 
 def measure(docs: DataFrame) -> DataFrame:
     """docs with the columns of MEASURES (long). Projections are staged so that no expression is evaluated twice."""
-    keep = [F.col(f"`{c}`") for c in docs.columns if c not in MEASURES]
+    keep = [F.col(f"`{c}`") for c in docs.columns if c not in MEASURES + INNER]
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.split(F.btrim(text, F.lit(ASCII_SPACE)), r"[\x20\x09-\x0D]+")
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(ASCII_SPACE)) != "")
@@ -111,7 +113,7 @@ def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
 
 def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """docs with its measures, base_failed and kept."""
-    names = [c for c in docs.columns if c not in ("base_failed", "kept", "_row")]
+    names = [c for c in docs.columns if c not in ("base_failed", "kept")]
     # A filter on the verdict must not sink below the measures: it would bring their whole expressions into every lambda. It stops at a
     # projection that isn't deterministic, if it needs that projection's column.
     measured = measure(docs.select(*names)).withColumn("_row", F.monotonically_increasing_id())

@@ -54,5 +54,10 @@ def test_oracle(spark):
     assert sorted(map(tuple, got.collect())) == want
 
 
+def test_inner_names(spark):
+    docs = spark.createDataFrame([(1, "the quick brown fox jumps over one lazy dog near the river", "x", "y", 3)], "doc_id int, text string, _words string, _row string, n_lines int")
+    assert Q.quality_rules(docs).where("kept").first().n_lines == 1
+
+
 def test_empty(spark):
     assert Q.quality_rules(spark.createDataFrame([], DOCS)).collect() == []
