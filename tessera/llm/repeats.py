@@ -417,7 +417,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     """(doc, tag, lo, hi): spans of bytes that are covered by repeats; they may overlap. See document_key for doc and tag."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = partitions_for(spark, texts.count(), 5_000)
     found = texts.mapInArrow(_find_anchors(length, gram), _ANCHOR)
     seen = written(_resolve(found, least), "repeats")
     spans = seen.where("NOT more").select("doc", "tag", "lo", "hi")
