@@ -14,7 +14,7 @@ from ..operators import bpe, dedup, frontier, gate, html, reports, shards, weigh
 from ..operators.clean import CleanConfig, action_counts, clean, normalize, redact, refusal_hits, refusal_score
 from ..sources import crawl, readers, sinks
 from ..streaming import stateful
-from ..tables import new_path, written
+from ..tables import new_path, spread, written
 from . import sessions, stages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def rounded(c, n: int = 6):

@@ -29,6 +29,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan dealt out to all cores where its files give fewer tasks than there are cores; larger tables are left as they are."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def running_total(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
     """df with the sum of value over all rows before each, in order, in two levels: sums of ranges, then sums inside a range.
 

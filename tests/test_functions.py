@@ -105,3 +105,24 @@ def test_reclassify_and_classify_text(spark):
     assert [r[0] for r in df.select(X.reclassify(F.col("k"), F.col("t"))).collect()] == ["research_paper", "unknown", "blog_post", "news_article"]
     kinds = spark.createDataFrame([("def f import x",), ("a theorem",), ("nothing here",)], "t string").select(X.classify_text(F.col("t"))).collect()
     assert [k[0] for k in kinds] == ["source_code", "research_paper", "unknown"]
+
+
+def test_running_total_equals_prefix_sum(spark):
+    import random
+
+    from tessera.tables import running_total
+
+    r = random.Random(6)
+    rows = [(i, r.randint(0, 9)) for i in range(500)]
+    r.shuffle(rows)
+    got = {x.k: x.before for x in running_total(spark.createDataFrame(rows, "k bigint, v int").repartition(7), ["k"], "v", "before").collect()}
+    total = 0
+    for k, v in sorted(rows):
+        assert got[k] == total
+        total += v
+    assert running_total(spark.createDataFrame([], "k bigint, v int"), ["k"], "v", "before").collect() == []
+
+
+def test_uniform_is_even(spark):
+    n = spark.range(4000).select(F.floor(X.uniform(F.col("id")) * 10).alias("b")).groupBy("b").count().collect()
+    assert len(n) == 10 and all(320 < x["count"] < 480 for x in n)
