@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..tables import spread
 from . import bpe_automaton as _bpe
 from . import language_model as _lm
 from . import nearest as _nearest
@@ -21,26 +22,30 @@ from . import warc as _warc
 from .common import remainder, table
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels come only from rows whose remainder is not 2."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2)
     scored = _toxicity.score(docs, _toxicity.train(docs, labels))
     return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= _toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    found = _simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", _simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _warc.archive_and_read(table(spark, sf_dir, "pages"), least=0)
+    return _warc.archive_and_read(spread(table(spark, sf_dir, "pages")), least=0)
 
 
 def op4_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels come only from rows whose remainder is not 2."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     model = _quality.train(docs, table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2))
     return _quality.score(docs, model).select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "content_score", "metadata_score", "score", "kept")
 
@@ -51,27 +56,27 @@ def op5_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     return _rules.quality_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op7_recurrent_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     found = _lm.language_model_scores(docs, remainder("doc_id", 5) != 1)
     return found.select("doc_id", (remainder("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bpe.bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return _bpe.bpe_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op9_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     return _repeats.remove_repeats(docs, kept="sha256").withColumnRenamed("kept", "kept_sha256")
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = _packing.best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    packed = _packing.best_fit_packing(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
