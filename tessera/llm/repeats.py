@@ -39,6 +39,7 @@ GRAM = 32
 #: A k-gram with more contexts than this is resolved window by window; buckets hold about this many bytes.
 HOT = 10_000
 BUCKET_BYTES = 1 << 21
+MOST_HOT = 50_000
 #: Longer runs of bytes are searched for anchors in parts, which overlap by a window.
 PART_BYTES = 4 << 20
 NULL_ID = (1 << 63) - 1
@@ -422,8 +423,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     seen = written(_resolve(found, least), "repeats")
     spans = seen.where("NOT more").select("doc", "tag", "lo", "hi")
     edge = seen.where("more").select("m", "doc", "tag", "at", "lo", "hi")
-    large = edge.groupBy("m").count().where(F.col("count") > hot).select("m", F.lit(True).alias("hot"))
-    asked = edge.join(large, "m", "left").groupBy("doc", "tag").agg(F.collect_list(F.struct("m", "at", "lo", "hi", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked"))
+    large = written(edge.groupBy("m").count().where(F.col("count") > hot).select("m", F.lit(True).alias("hot")), "hot")
+    n_large = large.count()  # at most a row for each `hot` contexts; beyond a bound the join shuffles instead
+    marked = edge.join(F.broadcast(large) if n_large <= MOST_HOT else large, "m", "left") if n_large else edge.withColumn("hot", F.lit(False))
+    asked = marked.groupBy("doc", "tag").agg(F.collect_list(F.struct("m", "at", "lo", "hi", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked"))
     keyed = texts.select(*document_key(), "text").where(F.length("text") > 0)
     contexts = written(keyed.join(asked, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).mapInArrow(_fetch, "m bigint, doc bigint, tag bigint, lo bigint, at bigint, bytes binary, hot boolean"), "contexts")
     n = partitions_for(spark, contexts.count(), 40_000)
