@@ -85,4 +85,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": _rules.oracle()}
+    return {"op3_warc": _warc.oracle(), "op6_quality_rules": _rules.oracle(), "op9_run_length_index": _repeats.oracle()}

@@ -471,3 +471,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
 
     out = schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary" if kept == "bytes" else "string")
     return joined.mapInArrow(cut, out)
+
+
+def oracle(length: int = LENGTH) -> str:
+    """DuckDB SQL for the rows of query op9, over hexadecimal text."""
+    return f"""
+    WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, {2 * length})) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - {length - 1})) AS i FROM d)),
+    m AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+    g AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= {length} THEN 0 ELSE 1 END AS new FROM m),
+    s AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM g),
+    r AS (SELECT doc_id, min(i) AS lo, max(i) + {length} AS hi FROM s GROUP BY doc_id, run),
+    p AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM r),
+    c AS (SELECT doc_id, sum(hi - lo) AS gone, count(*) AS n, max(hi) AS last, string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) AS kept FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, length(h)::BIGINT // 2 AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+           sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+    FROM d LEFT JOIN c USING (doc_id)"""

@@ -310,3 +310,16 @@ def archive_and_read(pages: DataFrame, least: int = 0) -> DataFrame:
     """Archives every page, then reads every capture back through the index."""
     index, index_folder, archives, n = archive(pages, least)
     return read_back(pages, index, index_folder, archives, partitions_for(pages.sparkSession, n, 20_000))
+
+
+def oracle() -> str:
+    """DuckDB SQL for the rows of query op3. Five hexadecimal digits are four of base 32."""
+    letter = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (({v} >> {s}) & 31) + 1, 1)"
+    group = "CAST('0x' || substr(h, {at}, 5) AS INTEGER)"
+    digits = " || ".join(letter.format(v=group.format(at=5 * g + 1), s=s) for g in range(8) for s in (15, 10, 5, 0))
+    return f"""
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+    h AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS h, max(page_id) OVER (PARTITION BY b) AS w FROM p)
+    SELECT page_id, payload_bytes, {digits} AS payload_digest, CASE WHEN page_id = w THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> w THEN w END AS refers_to
+    FROM h"""
