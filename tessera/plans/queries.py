@@ -40,6 +40,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents"))
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"))
+
+
 def rounded(c, n: int = 6):
     return F.round(c, n)
 
@@ -284,7 +288,7 @@ PAGES = f"WITH p AS (SELECT page_id, url, {sql_page_text()} AS t FROM pages) "
 
 
 def pages_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", "url", html.page_text(F.col("html")).alias("t"))
+    return pages(spark, sf_dir).select("page_id", "url", html.page_text(F.col("html")).alias("t"))
 
 
 @query(PAGES + f"SELECT page_id, round({sql_signal('url', 't')}, 6) AS signal FROM p")
@@ -300,12 +304,12 @@ SAMPLE_DOMAINS = (("example.org", 2.0, "reference"), ("ple.net", 0.5, "forum"),
 def domain_rules(spark, sf_dir):
     d = X.registered_domain(F.col("url"))
     weight, category = S.domain_rule(d, SAMPLE_DOMAINS)
-    return table(spark, sf_dir, "pages").select("page_id", d.alias("domain"), weight.cast("double").alias("weight"), category.alias("category"))
+    return pages(spark, sf_dir).select("page_id", d.alias("domain"), weight.cast("double").alias("weight"), category.alias("category"))
 
 
 @query(f"SELECT page_id, {sql_case([(f'regexp_matches(url, {sql_text(p)})', sql_text(k)) for p, k in V.URL_TYPES], sql_text('unknown'))} AS content_type, {sql_case([('lower(regexp_extract(url, ' + sql_text('^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)') + f', 1)) LIKE {sql_text(chr(37) + k)}', sql_text(v)) for k, v in V.CODE_SUFFIXES.items()], sql_text(''))} AS code_language FROM pages")
 def classify_url(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", X.classify_url(F.col("url")).alias("content_type"), X.code_language(F.col("url")).alias("code_language"))
+    return pages(spark, sf_dir).select("page_id", X.classify_url(F.col("url")).alias("content_type"), X.code_language(F.col("url")).alias("code_language"))
 
 
 @query("SELECT doc_id, " + sql_case([(sql_sum([f"contains(lower(text), {sql_text(w)})::INT" for w in words]) + " >= 2", sql_text(k)) for words, k in V.TYPE_KEYWORDS], "'unknown'") + " AS content_type FROM documents")
@@ -321,14 +325,14 @@ def classify_text(spark, sf_dir):
 @query(PAGES + f""", d AS (SELECT page_id, {DOMAIN} AS domain, t, {sql_quality('t')} AS q FROM p WHERE {sql_n_words('t')} >= 30 QUALIFY row_number() OVER (PARTITION BY t ORDER BY page_id) = 1)
  SELECT page_id, domain, round(0.8 * 0.8 * q, 6) AS final_weight FROM d""")
 def page_weights(spark, sf_dir):
-    docs = readers.page_documents(table(spark, sf_dir, "pages"))
+    docs = readers.page_documents(pages(spark, sf_dir))
     return docs.select(F.col("ord").alias("page_id"), "domain", rounded(F.col("final_weight")).alias("final_weight"))
 
 
 @query("SELECT page_id, regexp_matches(url, '(?i)^https?://') AND " + NETLOC + " <> '' AND NOT contains(" + NETLOC + ", '@') AS public, NOT regexp_matches(url, " + sql_text("|".join(V.URL_BLOCK)) + ") AND regexp_matches(url, 'example') AS allowed FROM pages")
 def url_guards(spark, sf_dir):
     u = F.col("url")
-    return table(spark, sf_dir, "pages").select("page_id", X.public_http_url(u).alias("public"), X.allowed_url(u, ("example",)).alias("allowed"))
+    return pages(spark, sf_dir).select("page_id", X.public_http_url(u).alias("public"), X.allowed_url(u, ("example",)).alias("allowed"))
 
 
 # --- pages
@@ -336,7 +340,7 @@ def url_guards(spark, sf_dir):
 @query(f"SELECT page_id, {TITLE} AS title, sha256({sql_page_text()}) AS key, sha256(regexp_replace(html, '<[^>]+>', ' ', 'g')) AS stripped FROM pages")
 def page_texts(spark, sf_dir):
     h = F.col("html")
-    return table(spark, sf_dir, "pages").select("page_id", html.page_title(h).alias("title"), F.sha2(html.page_text(h), 256).alias("key"), F.sha2(X.strip_tags(h), 256).alias("stripped"))
+    return pages(spark, sf_dir).select("page_id", html.page_title(h).alias("title"), F.sha2(html.page_text(h), 256).alias("key"), F.sha2(X.strip_tags(h), 256).alias("stripped"))
 
 
 ORIGIN = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)', 1)"
@@ -347,21 +351,21 @@ LINKS = f"""WITH RECURSIVE h AS (SELECT page_id, url, unnest(list_distinct(regex
 
 @query(LINKS + "SELECT page_id, url, link FROM links")
 def extract_links(spark, sf_dir):
-    return html.links(table(spark, sf_dir, "pages"))
+    return html.links(pages(spark, sf_dir))
 
 
 @query(LINKS + """, seeds AS (SELECT DISTINCT url FROM pages WHERE page_id < 5), walk AS (SELECT url, 0 AS depth FROM seeds UNION SELECT l.link, w.depth + 1 FROM walk w JOIN links l ON l.url = w.url WHERE w.depth < 3)
  SELECT url, min(depth)::INT AS depth FROM walk GROUP BY url""")
 def bfs_frontier(spark, sf_dir):
     """The seeds are the crawl's own: its first five pages."""
-    pages = table(spark, sf_dir, "pages")
-    edges = html.links(pages).select(F.col("url").alias("src"), F.col("link").alias("dst"))
-    return frontier.frontier(pages.where("page_id < 5"), edges, 3)
+    crawled = pages(spark, sf_dir)
+    edges = html.links(crawled).select(F.col("url").alias("src"), F.col("link").alias("dst"))
+    return frontier.frontier(crawled.where("page_id < 5"), edges, 3)
 
 
 @query()
 def parsed_pages(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", html.extract(F.col("html")).alias("x")).select("page_id", "x.title", F.length("x.text").alias("n_chars"), F.size("x.links").alias("n_links"))
+    return pages(spark, sf_dir).select("page_id", html.extract(F.col("html")).alias("x")).select("page_id", "x.title", F.length("x.text").alias("n_chars"), F.size("x.links").alias("n_links"))
 
 
 GATED = """WITH e AS (SELECT user_id % 50 AS domain, event_id AS ord, value / 100.0 AS score FROM events), r AS (SELECT *, row_number() OVER w AS seq, avg(score) OVER (w ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS rolling FROM e WINDOW w AS (PARTITION BY domain ORDER BY ord)),
@@ -384,8 +388,8 @@ def abandoned_domains(spark, sf_dir):
 
 @query(f"SELECT page_id, {DOMAIN} AS domain FROM pages QUALIFY row_number() OVER (PARTITION BY {DOMAIN} ORDER BY page_id) <= 20")
 def domain_cap(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", X.registered_domain(F.col("url")).alias("domain"))
-    return gate.domain_cap(pages, 20, order="page_id")
+    crawled = pages(spark, sf_dir).select("page_id", X.registered_domain(F.col("url")).alias("domain"))
+    return gate.domain_cap(crawled, 20, order="page_id")
 
 
 # --- weights and samples
@@ -487,7 +491,7 @@ def word_counts(spark, sf_dir):
 
 @query("SELECT source, count(*) AS n FROM (SELECT 'web' AS source FROM pages UNION ALL SELECT 'huggingface' FROM documents) GROUP BY source")
 def source_union(spark, sf_dir):
-    web = table(spark, sf_dir, "pages").select(F.col("page_id").alias("ord"), "url")
+    web = pages(spark, sf_dir).select(F.col("page_id").alias("ord"), "url")
     return readers.union_sources({"huggingface": documents(spark, sf_dir).select(F.col("doc_id").alias("ord")), "web": web}).groupBy("source").agg(F.count("*").alias("n"))
 
 
@@ -534,7 +538,7 @@ def session_stats(spark, sf_dir):
 
 @query(f"SELECT string_split({NETLOC}, '.')[-1] AS root, count(*) AS files, sum(octet_length(encode(html)))::BIGINT AS bytes FROM pages GROUP BY 1")
 def output_inventory(spark, sf_dir):
-    files = table(spark, sf_dir, "pages").select(F.concat(F.lit("file:/"), F.element_at(F.split(X.netloc(F.col("url")), r"\."), -1), F.lit("/x")).alias("path"), F.octet_length("html").alias("size"))
+    files = pages(spark, sf_dir).select(F.concat(F.lit("file:/"), F.element_at(F.split(X.netloc(F.col("url")), r"\."), -1), F.lit("/x")).alias("path"), F.octet_length("html").alias("size"))
     return reports.output_inventory(files, 1)
 
 
@@ -607,16 +611,16 @@ URL_PATH = "coalesce(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^
 
 @query(f"SELECT page_id FROM pages WHERE NOT (starts_with({URL_PATH}, '/p') AND NOT starts_with({URL_PATH}, '/pa'))")
 def robots_allowed(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    crawled = pages(spark, sf_dir).select("page_id", "url")
     each = F.array(*(F.struct(F.lit(a).alias("agent"), F.lit(b).alias("allow"), F.lit(c).alias("prefix")) for a, b, c in ROBOTS))
-    rules = pages.select(X.netloc(F.col("url")).alias("host")).distinct().select("host", F.inline(each))
-    return crawl.robots_allow(pages, rules).select("page_id")
+    rules = crawled.select(X.netloc(F.col("url")).alias("host")).distinct().select("host", F.inline(each))
+    return crawl.robots_allow(crawled, rules).select("page_id")
 
 
 @query("SELECT page_id FROM pages WHERE page_id % 3 <> 0 AND octet_length(encode(html)) <= 20000")
 def fetched_pages(spark, sf_dir):
     status = F.when(F.col("page_id") % 3 == 0, 404).otherwise(200)
-    responses = table(spark, sf_dir, "pages").select("page_id", "html", status.alias("status"), F.lit("Text/HTML; charset=utf-8").alias("content_type"))
+    responses = pages(spark, sf_dir).select("page_id", "html", status.alias("status"), F.lit("Text/HTML; charset=utf-8").alias("content_type"))
     return crawl.fetched_ok(responses, 20_000).select("page_id")
 
 
@@ -660,8 +664,8 @@ def drained(df: DataFrame, mode: str = "append") -> DataFrame:
 
 @query(GATED + "SELECT domain::VARCHAR AS domain, ord, coalesce(seq <= bad, true) AS admitted FROM g")
 def stream_gate(spark, sf_dir):
-    pages = event_stream(spark, sf_dir).select((F.col("user_id") % 50).cast("string").alias("domain"), F.col("event_id").alias("ord"), (F.col("value") / 100.0).alias("score"))
-    return drained(stateful.gate(pages))
+    scored = event_stream(spark, sf_dir).select((F.col("user_id") % 50).cast("string").alias("domain"), F.col("event_id").alias("ord"), (F.col("value") / 100.0).alias("score"))
+    return drained(stateful.gate(scored))
 
 
 @query("SELECT event_type, user_id FROM events GROUP BY event_type, user_id")
