@@ -1,6 +1,6 @@
 """From raw documents to packed training sequences: five stages, each written as Parquet and read again as the next one's input.
 
-Every stage but the last returns the columns of documents. A null id is stood for by a hash of the text where rows must be told apart.
+Every stage but the last returns the columns of documents. Rows are told apart by a hash of id and text.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import packing, quality, quality_rules, repeats, simhash
+from tessera.llm import near_copies, packing, quality, quality_rules, repeats
 from tessera.llm.common import DOCUMENT_COLUMNS, remainder, table, written
 
 #: SQL can't express training, fingerprints, repeats or byte-pair encoding; tests hold the stages against brute force.
@@ -28,10 +28,11 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate group."""
-    keyed = docs.select(*DOCUMENT_COLUMNS, F.coalesce("doc_id", F.xxhash64("text")).alias("_key"))
-    groups = simhash.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"))
-    kept = groups.select(F.col("component_id").alias("_key")).distinct()
+    """The document of the smallest id of each group of near copies: Jaccard similarity of 5-word shingles of at least 0.8, linked."""
+    keyed = docs.select(*DOCUMENT_COLUMNS, F.xxhash64("doc_id", "text").alias("_key"))
+    groups = near_copies.near_copies(keyed.select(F.col("_key").alias("key"), "text")).withColumnRenamed("key", "_key").distinct()
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key")
+    kept = keyed.select("doc_id", "_key").join(groups, "_key").groupBy("group").agg(F.min(place).alias("first")).select("first._key")
     return keyed.join(kept, "_key").dropDuplicates(["_key"]).select(*DOCUMENT_COLUMNS)
 
 
