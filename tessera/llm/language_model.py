@@ -6,8 +6,8 @@ classed by their last two bytes and drawn by their corpus counts, (c + 0.5) / (N
 of a class share one outcome. So every token has a probability, whatever the vocabulary.
 
 Counts cover all training tokens: slices of input are counted before the shuffle. The network starts from the counts as its
-biases, and is trained where the data are: in each round every task takes its share of the training documents (``SHARE``: one in
-so many, another one each round), updates its own copy over windows of ``WINDOW`` tokens with the state carried from window to
+biases, and is trained where the data are, on every training document once: in each round every task takes its share of the training
+documents (``SHARE``: one in so many, by a hash of the row, another one each round), updates its own copy over windows of ``WINDOW`` tokens with the state carried from window to
 window, and the copies are averaged, weighted by tokens, in a tree. Scoring runs documents of like length in lockstep, windows end to
 end with the state carried over, so a document's log-likelihood covers it whole.
 
@@ -35,7 +35,8 @@ END = b"\n"
 SHORT, PER_CLASS, TAIL = 1024, 32, 32
 TOP = 150_000
 HIDDEN = 24
-SHARE, ROUNDS = 24, 2
+#: As many rounds as shares: every training document once.
+SHARE, ROUNDS = 2, 2
 STREAMS, WINDOW = 32, 20
 RATE = 0.01
 CLIP = 60.0
@@ -310,6 +311,11 @@ def vocabulary_of(counts: DataFrame, top: int = TOP) -> Vocabulary:
     return Vocabulary(frequent, {e: (n, v) for e, (n, v) in endings.items() if v}, sums[0] or 0, sums[1])
 
 
+def share_of(share: int) -> Column:
+    """The share a row falls in. Copies of a text with ids of their own are dealt out."""
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(share))
+
+
 def train(docs: DataFrame, vocabulary: Vocabulary, share: int = SHARE, rounds: int = ROUNDS) -> np.ndarray:
     """Weights after averaging the copies of all tasks, in `rounds` rounds."""
     spark = docs.sparkSession
@@ -336,7 +342,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, share: int = SHARE, rounds: i
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array([net.flat.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["w", "n"])
 
-        mine = docs.where(F.pmod(F.crc32(F.coalesce("text", F.lit("")).cast("binary")), F.lit(share)) == r).select("text")
+        mine = docs.where(share_of(share) == r).select("text")
         copies = written(mine.mapInArrow(learn, "w binary, n bigint"), "weights")
         while (k := copies.count()) > 32:
             copies = written(copies.repartition(-(-k // 32)).mapInArrow(_mean, "w binary, n bigint"), "weights")

@@ -104,5 +104,13 @@ def test_learns_order(spark):
     assert x[1] > 0.75 * x[0]
 
 
+def test_every_document_is_learnt_once(spark):
+    rows = [(i, "a copy" if i % 3 == 0 else f"text {i}", 0.0) for i in range(900)] + [(None, None, 0.0), (None, "", 0.0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    learnt = [docs.where(L.share_of(L.SHARE) == r) for r in range(L.ROUNDS)]
+    assert sum(x.count() for x in learnt) == len(rows)
+    assert min(x.where("text = 'a copy'").count() for x in learnt) >= 0.35 * 300  # copies are dealt out
+
+
 def test_empty(spark):
     assert L.language_model_scores(spark.createDataFrame([], DOCS), F.lit(True)).collect() == []
