@@ -253,7 +253,7 @@ def jaccard_clusters(spark, sf_dir):
 @query()
 def jaccard_greedy(spark, sf_dir):
     docs = documents(spark, sf_dir).select(F.col("doc_id").alias("ord"), "text", F.lit(1.0).alias("weight"))
-    return dedup.greedy_jaccard_dedup(docs, buffer=1_000)
+    return dedup.greedy_jaccard_dedup(docs)
 
 
 COSINES = """WITH u AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), p AS (SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.e, v.e) AS similarity FROM u q JOIN u v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0) """
