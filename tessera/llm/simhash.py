@@ -173,6 +173,8 @@ def buckets(reps: DataFrame, hot: int = HOT) -> DataFrame:
 
 def links(reps: DataFrame, budget: int = BUDGET, per_task: int = 400_000) -> DataFrame:
     """Edges (a, b) between fingerprints whose closure holds every pair within the budget. reps: a stable table of distinct fp."""
+    if budget > BUDGET:
+        raise ValueError(f"buckets of two of four blocks are complete up to {BUDGET} bits, not {budget}")
     spark = reps.sparkSession
     n = partitions_for(spark, 6 * reps.count(), per_task)
 

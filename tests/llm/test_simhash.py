@@ -86,5 +86,10 @@ def test_empty_table(spark):
     assert S.near_duplicates(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_budget_beyond_the_blocks(spark):
+    with pytest.raises(ValueError):
+        S.links(spark.createDataFrame([(1,)], "fp bigint"), 3)
+
+
 def test_hex():
     assert S.fingerprint(b"") == 0
