@@ -1,13 +1,19 @@
 """Groups of near copies: texts whose sets of word shingles have a Jaccard similarity of at least ``LEAST``, and all that are linked over such pairs.
 
-Equal sets are folded first. Fingerprints of close texts meet in the SimHash trie, and each group it finds is held against its first
-text. Two sets of similarity 0.8 differ in about ten of 64 bits, which no trie can afford, so the rest comes from prefixes: with
+Equal sets are folded first. Fingerprints of close texts meet in the SimHash trie, and each group it finds is held against one of its
+members. Two sets of similarity 0.8 differ in about ten of 64 bits, which no trie can afford, so the rest comes from prefixes: with
 shingles in one fixed order, two similar sets share one among their first n - ceil(LEAST * n) + 1. The order puts frequent shingles
-last, so that common lines make no candidates; whatever the order, no pair is lost. Texts that share a shingle are held against the
-first of them, then all pairs that are not yet in one group. Every link is an exact comparison of the whole sets (of 64-bit hashes).
+last, so that common lines make no candidates; whatever the order, no pair is lost. Texts that share such a shingle are held against
+one of them, ``ROUNDS`` times, then members of different groups so far against each other, in blocks of ``BLOCK``. Sizes, places of the shared shingle, and
+a sketch of ``BITS`` parity bits, whose differing bits never outnumber the differing shingles, bound the overlap of a pair from above;
+only pairs that pass leave a task, and every link is an exact comparison of the whole sets (of 64-bit hashes).
+
+Two passes read the texts: one for set digests, fingerprints and frequent shingles, one for prefixes and sketches. The whole sets are made
+again only for texts that take part in a pair.
 
 Defined cases: words are what ``simhash`` takes for words; texts of fewer words than a shingle have one shingle of all their words; null and
-empty texts have the empty set and are copies of one another.
+empty texts have the empty set and are copies of one another; pairs at exactly ``LEAST`` are links; rows that repeat a key are one text;
+very long texts are taken whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,23 +29,20 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from . import simhash
-from .common import slices, text_bytes, words_of, written
+from .common import slices, text_bytes, written
 
 SHINGLE, LEAST = 5, 0.8
 #: Shingles whose counts go to the tasks, a bound; only the order depends on it.
 FREQUENT = 100_000
 HELD = 2_000_000
+BITS, BLOCK = 1024, 4096
+#: How often a shingle's members are held against one of them before the rest of their pairs are.
+ROUNDS = 3
 
 
 def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     """Hashes of a text's distinct shingles, ascending."""
-    words = words_of(text.lower() if text else text)
-    if not words:
-        return np.empty(0, np.uint64)
-    n = len(words)
-    grams = zip(*(words[k : n - shingle + k + 1] for k in range(shingle)), strict=True) if n >= shingle else [words]
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(g, simhash.SEED) for g in map(b" ".join, grams)], dtype=np.uint64))
+    return np.unique(simhash.shingle_hashes(text, shingle))
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -47,33 +50,43 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return common / (len(a) + len(b) - common) if len(a) or len(b) else 1.0
 
 
-def _set_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
-        found = [xxhash.xxh3_128_digest(shingle_set(t).tobytes()) for t in text_bytes(batch.column("text"))]
-        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.binary())], names=["key", "set"])
+def sketch(own: np.ndarray) -> np.ndarray:
+    """BITS parity bits: each shingle turns over one."""
+    odd = np.bincount((own >> np.uint64(20)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.uint64)
 
 
-def _often(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles that a task sees three times or more."""
-    held, size = [np.empty(0, np.uint64)], 0
+def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each text its key, the digest of its set and its fingerprint; for each shingle that a task sees three times or more its count (key null)."""
+    held, size = [], 0
 
-    def out() -> pa.RecordBatch:
+    def often() -> pa.RecordBatch:
         s, c = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(s[c > 2].view(np.int64)), pa.array(c[c > 2].astype(np.int64))], names=["s", "c"])
+        s, c = s[c > 2], c[c > 2]
+        none = [pa.nulls(len(s), t) for t in (pa.int64(), pa.binary(), pa.int64())]
+        return pa.RecordBatch.from_arrays([*none, pa.array(s.view(np.int64)), pa.array(c.astype(np.int64))], names=["key", "set", "fp", "s", "c"])
 
     for batch in slices(batches, "text"):
+        sets, fps = [], []
         for t in text_bytes(batch.column("text")):
-            held.append(shingle_set(t))
-            size += len(held[-1])
+            hashes = simhash.shingle_hashes(t, SHINGLE)
+            own = np.unique(hashes)
+            sets.append(xxhash.xxh3_128_digest(own.tobytes()))
+            fps.append(simhash.majority(hashes))
+            held.append(own)
+            size += len(own)
+        none = [pa.nulls(len(sets), pa.int64())] * 2
+        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary()), pa.array(fps, pa.int64()), *none], names=["key", "set", "fp", "s", "c"])
         if size > HELD:
-            yield out()
-            held, size = [np.empty(0, np.uint64)], 0
-    yield out()
+            yield often()
+            held, size = [], 0
+    if held:
+        yield often()
 
 
-def frequent(texts: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """At most `most` frequent shingles, ascending, and their counts."""
-    counts = written(texts.select("text").mapInArrow(_often, "s bigint, c bigint").groupBy("s").agg(F.sum("c").alias("c")), "frequent")
+def frequent(counted: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """At most `most` frequent shingles, ascending, and their counts. counted: (s, c), several rows for a shingle."""
+    counts = written(counted.groupBy("s").agg(F.sum("c").alias("c")), "frequent")
     step = F.floor(F.log2("c") * 16)
     left, least = most, None
     for row in sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True):
@@ -95,63 +108,135 @@ def prefix(own: np.ndarray, common: np.ndarray, counts: np.ndarray, least: float
     return own[np.lexsort((own, rank))][: len(own) - ceil(least * len(own) - 1e-9) + 1]
 
 
-def prefixes(texts: DataFrame) -> DataFrame:
-    """(s, key, n): the prefix of each text's set of n shingles."""
-    held = texts.sparkSession.sparkContext.broadcast(frequent(texts))
-
+def _heads(held):
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
-            keys, sizes, heads = [], [], [np.empty(0, np.uint64)]
-            for key, t in zip(batch.column("key").to_pylist(), text_bytes(batch.column("text")), strict=True):
+        common, counts = held.value
+        for batch in slices(batches, "text"):
+            sizes, bits, heads = [], [], []
+            for t in text_bytes(batch.column("text")):
                 own = shingle_set(t)
-                heads.append(prefix(own, *held.value))
-                keys += [key] * len(heads[-1])
-                sizes += [len(own)] * len(heads[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads).view(np.int64)), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32())], names=["s", "key", "n"])
+                sizes.append(len(own))
+                bits.append(sketch(own).view(np.int64))
+                heads.append(prefix(own, common, counts).view(np.int64))
+            edges = np.cumsum([0, *map(len, heads)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(heads)))
+            words = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * (BITS // 64)), pa.array(np.concatenate(bits)))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sizes, pa.int32()), words, lists], names=["key", "n", "bits", "prefix"])
 
-    return texts.mapInArrow(make, "s bigint, key bigint, n int")
+    return make
 
 
-def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar."""
+def needed(n, m):
+    """The overlap that two similar sets of these sizes have at least."""
+    return np.ceil(LEAST / (1 + LEAST) * (n + m) - 1e-9)
 
-    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, of_last = None, None
-        for batch in slices(batches, "tb"):
-            keep = []
-            for a, ta, tb in zip(batch.column("a").to_pylist(), text_bytes(batch.column("ta")), text_bytes(batch.column("tb")), strict=True):
-                if a != last:
-                    last, of_last = a, shingle_set(ta)
-                keep.append(similarity(of_last, shingle_set(tb)) >= LEAST - 1e-12)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep, pa.bool_())), batch.column("b").filter(pa.array(keep, pa.bool_()))], names=["a", "b"])
 
-    with_b = pairs.distinct().join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
-    both = with_b.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
-    return written(both.select("a", "b", "ta", "tb").mapInArrow(compare, "a bigint, b bigint"), "similar")
+def _needed(n: str, m: str):
+    return F.ceil(F.lit(LEAST / (1 + LEAST)) * (F.col(n) + F.col(m)) - 1e-9)
 
 
-def _fits(n: str, m: str):
-    return F.least(n, m) >= LEAST * F.greatest(n, m) - 1e-9
+def similar(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar."""
+
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            sets = [shingle_set(t).tobytes() for t in text_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], names=["key", "own"])
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [similarity(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= LEAST - 1e-12 for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    taking = written(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct(), "taking")
+    sets = written(rows.join(taking, "key", "left_semi").mapInArrow(make, "key bigint, own binary"), "own").dropDuplicates(["key"])
+    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    return written(both.mapInArrow(compare, "a bigint, b bigint"), "similar")
+
+
+def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by shingle and pair of blocks. Pairs of different groups (c) that may be similar."""
+    names = ("key", "n", "i", "c", "block")
+    held: list[pa.RecordBatch] = []
+
+    def solve() -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        key, n, i, c, block = (table.column(k).to_numpy() for k in names)
+        bits = table.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(key), -1)
+        _, group, sizes = np.unique(c, return_inverse=True, return_counts=True)
+        order = np.lexsort((group, -sizes[group]))  # a group that most belong to first, so that its members aren't held against each other
+        key, n, i, group, block, bits = (v[order] for v in (key, n, i, group, block, bits))
+        mixed = table.column("x")[0].as_py() != table.column("y")[0].as_py()
+        a, b = [], []
+        first = int((group == group[0]).sum()) if len(group) else 0
+        for k in range(first, len(key)):
+            other = slice(0, k)
+            need = needed(n[k], n[other])
+            may = (group[other] != group[k]) & (need <= np.minimum(n[k], n[other])) & (need <= np.minimum(n[k] - i[k], n[other] - i[other]))
+            if mixed:
+                may &= block[other] != block[k]
+            at = np.flatnonzero(may)
+            if len(at):
+                at = at[np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64) <= n[k] + n[at] - 2 * need[at]]
+                a.append(key[at])
+                b.append(np.full(len(at), key[k]))
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    for batch in batches:
+        s, x, y = (batch.column(k).to_numpy() for k in ("s", "x", "y"))
+        cuts = [0, *(np.flatnonzero((s[1:] != s[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1).tolist(), len(s)]
+        for p, q in zip(cuts, cuts[1:], strict=False):
+            if q > p and held and tuple(held[-1].column(k)[0].as_py() for k in ("s", "x", "y")) != (s[p], x[p], y[p]):
+                yield from solve()
+                held = []
+            if q > p:
+                held.append(batch.slice(p, q - p))
+    if held:
+        yield from solve()
+
+
+def _mixed(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of shingles whose members are in several groups so far, with the group as c."""
+    grouped = written(shared.join(found.withColumnRenamed("node", "key"), "key", "left").select("s", "key", "n", "i", "members", F.coalesce("component", "key").alias("c")), "grouped")
+    apart = grouped.groupBy("s").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("s")
+    return written(grouped.join(apart, "s", "left_semi"), "mixed")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
-    """(key, group) of every row. docs: key, which tells different rows apart, and text; group is the key of one of its members."""
-    members = written(docs.select("key", "text").mapInArrow(_set_keys, "key bigint, set binary"), "sets")
-    reps = members.groupBy("set").agg(F.min("key").alias("rep"))
-    texts = written(docs.select("key", "text").join(reps.select(F.col("rep").alias("key")), "key", "left_semi").dropDuplicates(["key"]), "texts")
-
-    met = simhash.near_duplicates(texts.select(F.col("key").alias("doc_id"), "text"), SHINGLE)
-    met = met.where("doc_id <> component_id").select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
-    heads = written(prefixes(texts), "prefixes")
-    first = heads.groupBy("s").agg(F.count("*").alias("members"), F.min(F.struct("key", "n")).alias("first")).where("members > 1")
-    shared = written(heads.join(first.select("s", "first.key", "first.n").toDF("s", "a", "m"), "s"), "shared")
-    star = shared.where((F.col("key") != F.col("a")) & _fits("n", "m")).select("a", F.col("key").alias("b"))
-    links = similar(met.unionByName(star), texts)
-
-    found = components(links)
-    named = written(shared.join(found.withColumnRenamed("node", "key"), "key", "left").select("s", "key", "n", F.coalesce("component", "key").alias("c")), "named")
-    mixed = named.join(named.groupBy("s").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("s"), "s", "left_semi")
-    x, y = mixed.toDF("s", "a", "na", "ca"), mixed.toDF("s", "b", "nb", "cb")
-    rest = x.join(y, "s").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits("na", "nb")).select("a", "b")
-    found = components(links.unionByName(similar(rest, texts)))
-    return members.join(reps, "set").join(found, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("group"))
+    """(key, group) of every row. docs: key, which tells different texts apart, and text; group is the key of one of its members."""
+    rows, spark = docs.select("key", "text"), docs.sparkSession
+    made = written(rows.mapInArrow(_digests, "key bigint, set binary, fp bigint, s bigint, c bigint"), "digests")
+    members = made.where("set IS NOT NULL").select("key", "set", "fp")
+    reps = written(members.groupBy("set").agg(F.min("key").alias("rep"), F.first("fp").alias("fp")), "sets")
+    held = spark.sparkContext.broadcast(frequent(made.where("s IS NOT NULL").select("s", "c")))
+    heads = rows.mapInArrow(_heads(held), "key bigint, n int, bits array<bigint>, prefix array<bigint>").join(reps.select(F.col("rep").alias("key")), "key", "left_semi")
+    heads = written(heads.dropDuplicates(["key"]), "prefixes")
+
+    fps = written(reps.groupBy("fp").agg(F.min("rep").alias("rep")), "fingerprints")
+    named = reps.join(simhash.classes(fps), "fp")
+    center = named.groupBy("class").agg(F.min("rep").alias("a"))
+    met = named.join(center, "class").where("rep <> a").select("a", F.col("rep").alias("b"))
+
+    listed = heads.select("key", "n", F.posexplode("prefix").alias("i", "s"))
+    many = listed.groupBy("s").agg(F.count("*").alias("members")).where("members > 1")
+    shared = written(listed.join(many, "s"), "shared")
+    sketches = heads.select("key", "bits")
+    links = similar(met, rows)
+    for r in range(ROUNDS):
+        mixed = _mixed(shared, components(links))
+        pivot = mixed.groupBy("s").agg(F.min_by(F.struct("key", "n", "i", "c"), F.xxhash64("key", F.lit(r))).alias("p")).select("s", F.col("p.key").alias("a"), F.col("p.n").alias("m"), F.col("p.i").alias("j"), F.col("p.c").alias("d"))
+        fits = _needed("n", "m") <= F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
+        star = mixed.join(pivot, "s").where((F.col("c") != F.col("d")) & fits).select("a", F.col("key").alias("b"), "n", "m").distinct()
+        apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+        star = star.join(sketches.toDF("a", "wa"), "a").join(sketches.toDF("b", "wb"), "b").where(apart <= F.col("n") + F.col("m") - 2 * _needed("n", "m")).select("a", "b")
+        links = links.unionByName(similar(star, rows))
+    mixed = _mixed(shared, components(links))
+    blocks = F.ceil(F.col("members") / BLOCK)
+    dealt = mixed.withColumn("block", F.pmod(F.xxhash64("key"), blocks)).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = dealt.select("s", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), "key", "n", "i", "c", "block")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.join(sketches, "key").repartition(tasks, "s", "x", "y").sortWithinPartitions("s", "x", "y")
+    found = components(links.unionByName(similar(dealt.mapInArrow(_across, "a bigint, b bigint"), rows)))
+    return members.join(reps.select("set", "rep"), "set").join(found, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("group"))

@@ -50,5 +50,34 @@ def test_stage_equals_brute_force(spark, monkeypatch):
     want = brute_force(rows)
     assert len(want) < len(rows) - 20
     assert sorted(x.doc_id for x in P.drop_near_copies(spark, docs, "").collect()) == sorted(want)
-    monkeypatch.setattr(N, "frequent", lambda texts: (N.np.empty(0, N.np.uint64), N.np.empty(0, N.np.int64)))  # whatever the order
+    monkeypatch.setattr(N, "frequent", lambda counted: (N.np.empty(0, N.np.uint64), N.np.empty(0, N.np.int64)))  # whatever the order
     assert sorted(x.doc_id for x in P.drop_near_copies(spark, docs, "").collect()) == sorted(want)
+
+
+def test_sketch_never_overstates():
+    r = random.Random(2)
+    for _ in range(200):
+        a = {r.getrandbits(64) for _ in range(r.randint(0, 400))}
+        b = {x for x in a if r.random() < 0.9} | {r.getrandbits(64) for _ in range(r.randint(0, 50))}
+        x, y = (N.np.array(sorted(v), dtype=N.np.uint64) for v in (a, b))
+        assert int(N.np.bitwise_count(N.sketch(x) ^ N.sketch(y)).sum()) <= len(a ^ b)
+
+
+def test_blocks_lose_no_link(spark, monkeypatch):
+    """One large group of near copies whose shingles' members are cut into small blocks, without the rounds before."""
+    rows = planted()
+    base = [f"b{k}" for k in range(100)]
+    r = random.Random(4)
+    for i in range(60):
+        copy = list(base)
+        for _ in range(r.randint(1, 4)):
+            copy[r.randrange(100)] = f"n{r.randrange(10_000)}"
+        rows.append((5000 + i, " ".join(copy)))
+    monkeypatch.setattr(N, "BLOCK", 5)
+    monkeypatch.setattr(N, "ROUNDS", 0)
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], DOCS).repartition(3)
+    assert sorted(x.doc_id for x in P.drop_near_copies(spark, docs, "").collect()) == sorted(brute_force(rows))
+
+
+def test_empty(spark):
+    assert N.near_copies(spark.createDataFrame([], "key bigint, text string")).collect() == []
