@@ -5,17 +5,19 @@ The most frequent ``SHORT`` tokens form classes of ``PER_CLASS``, with a softmax
 classed by their last two bytes and drawn by their corpus counts, (c + 0.5) / (N + 0.5 * (V + 1)) within the class, where unseen tokens
 of a class share one outcome. So every token has a probability, whatever the vocabulary.
 
-Counts cover all training tokens: slices of input are counted before the shuffle. The network starts from the counts as its
-biases, and is trained where the data are, on every training document once: in each round every task takes its share of the training
-documents (``SHARE``: one in so many, by a hash of the row, another one each round), updates its own copy over windows of ``WINDOW`` tokens with the state carried from window to
-window, and the copies are averaged, weighted by tokens, in a tree. Scoring runs documents of like length in lockstep, windows end to
-end with the state carried over, so a document's log-likelihood covers it whole.
+Two passes read the texts: counts of all training tokens (slices of input are counted before the shuffle), then encoding, after which
+a token is two bytes. The network starts from the counts as its biases and learns from every training document once: a hash of id and
+text puts each into one of ``ROUNDS`` rounds and there into a group; every group updates a copy of its own over windows of ``WINDOW``
+tokens with the state carried from window to window, and the copies are averaged, weighted by tokens, in a tree. Groups depend on
+the rows alone, so weights and scores don't depend on how the table is partitioned, but for the rounding of sums. Scoring runs documents of like length in
+lockstep, windows end to end with the state carried over, so a document's log-likelihood covers it whole.
 
 Counts of frequent tokens (``TOP``, a bound) go to the tasks; the few other tokens of each document are joined to the table of
 counts, which may be of any size.
 
-Defined cases: a null or empty text is the end alone; null ids are kept and count as training documents; repeated rows are scored each on
-its own; without training tokens every token is unseen; an empty table gives no rows; other columns are ignored.
+Defined cases: a null or empty text is the end alone; null ids are kept and count as training documents; rows that repeat both id and text
+learn in one group and are scored each on its own; equally frequent tokens are ordered by their bytes; a very long text is encoded whole, in one row, and learnt and scored window by window;
+without training tokens every token is unseen; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,12 +34,12 @@ from pyspark.sql import functions as F
 from .common import slices, text_bytes, written
 
 END = b"\n"
-SHORT, PER_CLASS, TAIL = 1024, 32, 32
+SHORT, PER_CLASS, TAIL = 4096, 64, 64
 TOP = 150_000
 HIDDEN = 24
-#: As many rounds as shares: every training document once.
-SHARE, ROUNDS = 2, 2
-STREAMS, WINDOW = 32, 20
+#: Every training document is in one of the rounds, and there in one of the groups, each of about GROUP_TOKENS tokens, or more if there were more than MOST_GROUPS.
+ROUNDS, GROUP_TOKENS, MOST_GROUPS = 2, 1_000_000, 1 << 14
+STREAMS, WINDOW, LEAST_STEPS = 128, 16, 64
 RATE = 0.01
 CLIP = 60.0
 HELD = 4_000_000
@@ -182,14 +184,14 @@ class Network:
         """Log-likelihood of a window (time, streams) and the state after it; gradients stop at the window's begin."""
         kept, k = [], self.hidden
         for t in range(len(inputs)):
-            before = np.where(fresh[t][:, None], np.float32(0), h)
+            before = np.where(fresh[t][:, None], h.dtype.type(0), h)
             h, *gates = self.step(before, inputs[t])
             kept.append((before, h, *gates))
         states = np.concatenate([x[1] for x in kept])
         found, dh_all = self.log_probabilities(states, targets.reshape(-1), grad)
         dh_all = dh_all.reshape(*inputs.shape, k)
         dh = np.zeros_like(h)
-        gx_all = np.empty((*inputs.shape, 3 * k), np.float32)
+        gx_all = np.empty((*inputs.shape, 3 * k), self.flat.dtype)
         for t in range(len(inputs) - 1, -1, -1):
             before, _, z, r, n, gn = kept[t]
             dh = dh + dh_all[t]
@@ -199,8 +201,11 @@ class Network:
             gx_all[t] = np.concatenate([dz, dr, dn], 1)
             gh = np.concatenate([dz, dr, dn * r], 1)
             grad.loop += before.T @ gh
-            dh = np.where(fresh[t][:, None], np.float32(0), dh * z + gh @ self.loop.T)
-        np.add.at(grad.embed, inputs.reshape(-1), gx_all.reshape(-1, 3 * k))
+            dh = np.where(fresh[t][:, None], dh.dtype.type(0), dh * z + gh @ self.loop.T)
+        order = np.argsort(inputs, axis=None, kind="stable")
+        own = inputs.reshape(-1)[order]
+        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        grad.embed[own[first]] += np.add.reduceat(gx_all.reshape(-1, 3 * k)[order], first, axis=0)
         return float(found.sum()), h
 
     def train(self, vocabulary: Vocabulary, documents: list[np.ndarray], rate: float = RATE) -> int:
@@ -210,7 +215,7 @@ class Network:
         inputs = np.concatenate([np.append(vocabulary.start, d[:-1]) for d in documents])
         targets = np.concatenate(documents)
         fresh = inputs == vocabulary.start
-        streams = max(1, min(STREAMS, len(inputs) // (64 * WINDOW)))  # small shares still make some steps
+        streams = max(1, min(STREAMS, len(inputs) // (LEAST_STEPS * WINDOW)))  # small shares still make some steps
         length = -(-len(inputs) // streams)
         extra = streams * length - len(inputs)  # the last stream is filled up with the first tokens
         shape = lambda x: np.concatenate([x, x[:extra]]).reshape(streams, length).T
@@ -311,39 +316,81 @@ def vocabulary_of(counts: DataFrame, top: int = TOP) -> Vocabulary:
     return Vocabulary(frequent, {e: (n, v) for e, (n, v) in endings.items() if v}, sums[0] or 0, sums[1])
 
 
-def share_of(share: int) -> Column:
-    """The share a row falls in. Copies of a text with ids of their own are dealt out."""
-    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(share))
+_ENCODED = "row bigint, doc_id bigint, place bigint, taught boolean, n_tokens bigint, n_known bigint, counted double, tail double, ids binary, token binary, tf int"
+_COLUMNS = [x.split()[0] for x in _ENCODED.split(", ")]
+_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.int32())
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, share: int = SHARE, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights after averaging the copies of all tasks, in `rounds` rounds."""
-    spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(vocabulary)
+def _encode(held):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each document, with its ids in two bytes each, and a row for each of its tokens outside the top (token not null)."""
+        v: Vocabulary = held.value
+        log_counts = np.log10(v.counts + 0.5)
+        for batch in slices(batches, "text", 1 << 20):
+            parts, rare = [], ([], [], [])
+            for row, text in zip(batch.column("row").to_pylist(), text_bytes(batch.column("text")), strict=True):
+                tokens = tokens_of(text)
+                inputs, ranks = v.encode(tokens)
+                top = ranks[ranks >= 0]
+                tail = log_counts[ranks[ranks >= v.n_short]].sum() - v.tail_norm[inputs[inputs >= SHORT] - SHORT].sum()
+                parts.append((len(tokens), int((v.counts[top] > 0).sum()), float(log_counts[top].sum()), float(tail), inputs.astype("<u2").tobytes()))
+                if len(top) < len(tokens):
+                    few = Counter([tokens[i] for i in np.flatnonzero(ranks < 0).tolist()])
+                    rare[0].extend([row] * len(few))
+                    rare[1].extend(few)
+                    rare[2].extend(few.values())
+            columns = [*(batch.column(c) for c in _COLUMNS[:4]), *zip(*parts, strict=True), [None] * len(parts), [None] * len(parts)]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_COLUMNS)
+            if rare[0]:
+                empty = [pa.nulls(len(rare[0]), t) for t in _TYPES[1:9]]
+                yield pa.RecordBatch.from_arrays([pa.array(rare[0], pa.int64()), *empty, pa.array(rare[1], pa.binary()), pa.array(rare[2], pa.int32())], names=_COLUMNS)
+
+    return run
+
+
+def encode(docs: DataFrame, training: Column, held) -> DataFrame:
+    """docs as ids. place orders documents and deals them out, whatever their partitions; copies of a text with ids of their own are dealt out, too."""
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("place"), F.coalesce(training, F.lit(False)).alias("taught"), "text")
+    return numbered.mapInArrow(_encode(held), _ENCODED)
+
+
+def _learn(held, start, rate: float):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents come sorted by group; a copy of the weights for each group."""
+        v, group, net, documents, n, size = held.value, None, None, [], 0, 0
+
+        def copy() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([net.flat.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["w", "n"])
+
+        for batch in batches:
+            for g, ids in zip(batch.column("group").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                if g != group:
+                    if documents:
+                        n += net.train(v, documents, rate)
+                    if n:
+                        yield copy()
+                    group, net, documents, n, size = g, Network(v, start.value.copy()), [], 0, 0
+                documents.append(np.frombuffer(ids, "<u2"))
+                size += len(documents[-1])
+                if size > 2 * GROUP_TOKENS:
+                    n, documents, size = n + net.train(v, documents, rate), [], 0
+        if documents:
+            n += net.train(v, documents, rate)
+        if n:
+            yield copy()
+
+    return run
+
+
+def train(encoded: DataFrame, vocabulary: Vocabulary, held, rounds: int = ROUNDS, group_tokens: int = GROUP_TOKENS) -> np.ndarray:
+    """Weights learnt from every row of encoded, once: in each round every group of documents has a copy, and the copies are averaged."""
+    spark = encoded.sparkSession
     flat = Network(vocabulary).flat
+    groups = max(1, min(MOST_GROUPS, -(-vocabulary.total // (rounds * group_tokens))))
     for r in range(rounds):
         start = spark.sparkContext.broadcast(flat)
-
-        def learn(batches: Iterable[pa.RecordBatch], start=start, r=r) -> Iterator[pa.RecordBatch]:
-            v, documents = held.value, []
-            net = Network(v, start.value.copy())
-            n = size = 0
-
-            def learned() -> int:
-                return net.train(v, documents, RATE / (1 + r)) if documents else 0
-
-            for batch in slices(batches, "text", 1 << 20):
-                for t in text_bytes(batch.column("text")):
-                    documents.append(v.encode(tokens_of(t))[0])
-                    size += len(documents[-1])
-                if size > 2_000_000:
-                    n, documents, size = n + learned(), [], 0
-            n += learned()
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array([net.flat.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["w", "n"])
-
-        mine = docs.where(share_of(share) == r).select("text")
-        copies = written(mine.mapInArrow(learn, "w binary, n bigint"), "weights")
+        mine = encoded.where(F.pmod("place", F.lit(rounds)) == r).select(F.pmod(F.floor(F.col("place") / rounds), F.lit(groups)).alias("group"), "place", "doc_id", "ids")
+        copies = written(mine.repartition(groups, "group").sortWithinPartitions("group", "place", "doc_id", "ids").mapInArrow(_learn(held, start, RATE / (1 + r)), "w binary, n bigint"), "weights")
         while (k := copies.count()) > 32:
             copies = written(copies.repartition(-(-k // 32)).mapInArrow(_mean, "w binary, n bigint"), "weights")
         rows = copies.collect()  # at most 32 copies
@@ -363,74 +410,48 @@ def _mean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([(total / n).astype(np.float32).tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["w", "n"])
 
 
-_SCORED = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, counted double, modelled double, token binary, tf int"
-_COLUMNS = [x.split()[0] for x in _SCORED.split(", ")]
-_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int32())
+_KEPT = ("row", "doc_id", "n_tokens", "n_known", "counted", "tail")
 
 
 def _score(held, weights):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document, and a row for each of its tokens outside the top (token not null)."""
         v: Vocabulary = held.value
         net = Network(v, weights.value)
-        log_counts = np.log10(v.counts + 0.5)
 
-        def done(rows: list, ids: list, encoded: list[np.ndarray], parts: list[tuple[int, int, float, float]]) -> pa.RecordBatch:
-            logs = net.score(v, encoded) / np.log(10)
-            n, known, counted, tail = zip(*parts, strict=True)
-            columns = [rows, ids, n, known, counted, (logs + np.array(tail)).tolist(), [None] * len(rows), [None] * len(rows)]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_COLUMNS)
+        def done(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(parts).combine_chunks()
+            logs = net.score(v, [np.frombuffer(x, "<u2") for x in table.column("ids").to_pylist()]) / np.log(10)
+            return pa.RecordBatch.from_arrays([*(table.column(c).combine_chunks() for c in _KEPT), pa.array(logs)], names=[*_KEPT, "modelled"])
 
-        def rare(row: list[int], token: list[bytes], tf: list[int]) -> pa.RecordBatch:
-            empty = [pa.nulls(len(row), t) for t in _TYPES[1:6]]
-            return pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), *empty, pa.array(token, pa.binary()), pa.array(tf, pa.int32())], names=_COLUMNS)
-
-        rows, ids, encoded, parts, size = [], [], [], [], 0
-        for batch in slices(batches, "text", 1 << 20):
-            rare_row, rare_token, rare_tf = [], [], []
-            for row, doc_id, text in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), text_bytes(batch.column("text")), strict=True):
-                tokens = tokens_of(text)
-                inputs, ranks = v.encode(tokens)
-                top = ranks[ranks >= 0]
-                tail = log_counts[ranks[ranks >= v.n_short]].sum() - v.tail_norm[inputs[inputs >= SHORT] - SHORT].sum()
-                rows.append(row)
-                ids.append(doc_id)
-                encoded.append(inputs.astype(np.int32))
-                parts.append((len(tokens), int((v.counts[top] > 0).sum()), float(log_counts[top].sum()), float(tail)))
-                size += len(tokens)
-                if len(top) < len(tokens):
-                    few = Counter([tokens[i] for i in np.flatnonzero(ranks < 0).tolist()])
-                    rare_row += [row] * len(few)
-                    rare_token += few
-                    rare_tf += few.values()
-            if rare_row:
-                yield rare(rare_row, rare_token, rare_tf)
+        parts, size = [], 0
+        for batch in slices(batches, "ids", HELD):
+            parts.append(batch)
+            size += batch.column("ids").nbytes // 2
             if size > HELD:
-                yield done(rows, ids, encoded, parts)
-                rows, ids, encoded, parts, size = [], [], [], [], 0
-        if rows:
-            yield done(rows, ids, encoded, parts)
+                yield done(parts)
+                parts, size = [], 0
+        if parts:
+            yield done(parts)
 
     return run
 
 
-def language_model_scores(docs: DataFrame, training: Column, share: int = SHARE, rounds: int = ROUNDS, top: int = TOP) -> DataFrame:
+def language_model_scores(docs: DataFrame, training: Column, rounds: int = ROUNDS, top: int = TOP, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every text; training says which rows are learnt from."""
     spark = docs.sparkSession
-    taught = docs.where(training)
-    counts = written(count_tokens(taught), "token-counts")
+    counts = written(count_tokens(docs.where(training)), "token-counts")
     vocabulary = vocabulary_of(counts, top)
-    weights = spark.sparkContext.broadcast(train(taught, vocabulary, share, rounds))
     held = spark.sparkContext.broadcast(vocabulary)
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = written(numbered.mapInArrow(_score(held, weights), _SCORED), "scored")
-    rare = scored.where("token IS NOT NULL").select("row", "token", "tf").join(counts, "token", "left")
+    encoded = written(encode(docs, training, held), "encoded")
+    whole = encoded.where("token IS NULL")
+    weights = spark.sparkContext.broadcast(train(whole.where("taught"), vocabulary, held, rounds, group_tokens))
+    modelled = whole.select(*_KEPT, "ids").mapInArrow(_score(held, weights), "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, counted double, tail double, modelled double")
+    rare = encoded.where("token IS NOT NULL").select("row", "token", "tf").join(counts, "token", "left")
     sums = rare.groupBy("row").agg(F.sum(F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare"), F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("rare_known"))
-    joined = scored.where("token IS NULL").drop("token", "tf").join(sums, "row", "left")
+    joined = modelled.join(sums, "row", "left")
     extra = F.coalesce("rare", F.lit(0.0))
     norm = float(np.log10(vocabulary.total + 0.5 * (vocabulary.types + 1)))
     return joined.select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"), F.lit(vocabulary.total).cast("long").alias("train_tokens"),
-        (F.col("counted") + extra - F.col("n_tokens") * F.lit(norm)).alias("base_score"), (F.col("modelled") + extra).alias("score"),
+        (F.col("counted") + extra - F.col("n_tokens") * F.lit(norm)).alias("base_score"), (F.col("modelled") + F.col("tail") + extra).alias("score"),
     )
-
