@@ -31,23 +31,23 @@ from .common import partitions_for, slices, written
 CAPACITY = 1024
 END_ID = 2
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-_ENCODERS: dict[str, object] = {}
+_ENCODERS: dict[int, object] = {}
 
 
-def _encoder(path: str):
-    """The byte-level BPE of a tokenizers file, run by tiktoken, which gives equal ids in a quarter of the time."""
-    if path not in _ENCODERS:
+def _encoder(content: str):
+    """The byte-level BPE of a tokenizers file's content, run by tiktoken, which gives equal ids in a quarter of the time."""
+    key = zlib.crc32(content.encode())
+    if key not in _ENCODERS:
         import json
 
         import tiktoken
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = json.loads(content)
         to_byte = {c: b for b, c in byte_alphabet().items()}
         ranks = {bytes(to_byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in {t["content"] for t in spec["added_tokens"]}}
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        _ENCODERS[path] = (tiktoken.Encoding(path, pat_str=PRETOKENS, mergeable_ranks=ranks, special_tokens=special), set(special))
-    return _ENCODERS[path]
+        _ENCODERS[key] = (tiktoken.Encoding(str(key), pat_str=PRETOKENS, mergeable_ranks=ranks, special_tokens=special), set(special))
+    return _ENCODERS[key]
 
 
 #: Fixed value: how the byte-level pre-tokenizer splits text.
@@ -71,10 +71,12 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """One row for each piece: doc_id, piece, start, length, ids_crc32."""
+    """One row for each piece: doc_id, piece, start, length, ids_crc32. The tokenizer file's content is sent to the tasks."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        held = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, special = _encoder(tokenizer_path)
+        encoding, special = _encoder(held.value)
         for batch in slices(batches, "text"):
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -171,22 +173,22 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
 
 
 def pack(cuts: DataFrame, capacity: int = CAPACITY, per_task: int = 100_000) -> DataFrame:
-    """cuts (a stable table with doc_id, piece and length) with sequence_id and offset."""
+    """cuts (a stable table with row, a number of each row's own, and length) with sequence_id and offset. Rows are dealt out by their numbers, so that no id is a hot key."""
     spark = cuts.sparkSession
     counted = cuts.groupBy("length").count().collect()  # at most `capacity` rows
     counts = {r["length"]: r["count"] for r in counted}
     buckets = partitions_for(spark, sum(counts.values()), per_task)
-    bucket = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int")
     salted = cuts.withColumn("_bucket", bucket)
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = salted.groupBy("length", "_bucket").count().select("length", "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "_bucket").orderBy("row")
     ranked = salted.withColumn("_in", F.row_number().over(within) - 1).join(sizes, ["length", "_bucket"]).withColumn("_rank", F.col("_before") + F.col("_in"))
     entries = spark.createDataFrame(plan(counts, capacity) or [(0, 0, 0, 1, 0, 0)], "length bigint, _first bigint, _bins bigint, _times bigint, _sequence bigint, _offset bigint")
     at = F.col("_rank") - F.col("_first")
     placed = ranked.join(F.broadcast(entries), "length").where((at >= 0) & (at < F.col("_bins") * F.col("_times")))
     return placed.select(
-        *[c for c in cuts.columns if c not in ("sequence_id", "offset")],
+        *[c for c in cuts.columns if c not in ("row", "sequence_id", "offset")],
         (F.col("_sequence") + F.floor(at / F.col("_times"))).cast("long").alias("sequence_id"),
         (F.col("_offset") + at % F.col("_times") * F.col("length")).cast("long").alias("offset"),
     )
@@ -194,4 +196,4 @@ def pack(cuts: DataFrame, capacity: int = CAPACITY, per_task: int = 100_000) ->
 
 def best_fit_packing(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces of docs with their sequence and offset. Tokenizing happens once; its rows go to a table in the shared folder."""
-    return pack(written(pieces(docs, tokenizer_path, capacity, end_id), "pieces"), capacity)
+    return pack(written(pieces(docs, tokenizer_path, capacity, end_id).withColumn("row", F.monotonically_increasing_id()), "pieces"), capacity)
