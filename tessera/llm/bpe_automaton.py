@@ -1,26 +1,34 @@
 """BPE encoding and decoding by a tokenization automaton compiled from the merges.
 
-The automaton's arcs are labelled with tokens and its paths are exactly the token sequences that the merges produce. It
+The token automaton's arcs are labelled with tokens and its paths are exactly the token sequences that the merges produce. It
 starts as one state with a loop for each base symbol. A merge a, b -> ab adds one gadget: the state p that arcs labelled
 a lead to is cloned without its arc b, arcs labelled a lead to the clone from now on, and every state with an arc a gets
-an arc ab that leads where b led from p. So all arcs of one label lead to one state (``target``), and a state is its
-parent less one arc (``parent``, ``lost``); whether a state has an arc follows from these tables and is kept in a
-bounded table of transitions as it is asked for.
+an arc ab that leads where b led from p. So all arcs of one label lead to one state (``target``), and a state is the one it was cloned
+from less one arc. Clones of the states that one label led to make a line (``line``), in the order in which they were made (``made``), and what a line
+lost when is a table (``lost``), so that whether a state has an arc takes a look-up for each line that it goes back to.
 
-A word has one path, so encoding takes from each state the longest arc whose label matches the next symbols, and goes back
-to a shorter one where no arc leads on; ends found dead are not tried twice. Words, the pieces that the pre-tokenizer splits
-off, are encoded alike wherever they stand, and a bounded cache holds their ids. Decoding emits the arc labels.
+Words are encoded by a deterministic automaton over base symbols, the subset construction of the token automaton: a state is the
+set of arcs under way, each a node in the trie of labels and the state that it left, and exactly one arc ends at each symbol, as every
+string has one path. Its transitions are a table, filled when first needed and emptied when it holds ``MOST_STATES``. Encoding is
+one walk over this table, never back, noting the label that ends at each symbol; read from the end, these labels give the path.
+Words, the pieces that the pre-tokenizer splits off, are encoded alike wherever they stand, and a bounded cache holds their ids. Decoding
+emits the arc labels.
+
+Normalizing and splitting follow the file. Code points on which Python's tables may differ from the tokenizers library's, found once
+by comparing all, send their text through the file's own normalizer.
 
 Defined cases: a null text counts as empty and has no tokens; an empty text decodes to an empty text; strings of the added tokens in a text become their
-ids; lone surrogates can't occur in UTF-8 columns; repeated rows give repeated rows; an empty table gives no rows; other
-columns are ignored. Memory is bounded by the tables, the two caches and one text.
+ids; lone surrogates can't occur in UTF-8 columns; repeated rows give repeated rows; an empty table gives no rows; a very long text is one row in memory; other
+columns are ignored. Memory is bounded by the tables, the two caches and one text. The file's content is sent to the tasks.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -33,8 +41,8 @@ from .packing import byte_alphabet
 #: White space as Unicode has it, which is what the pre-tokenizer's \s means.
 SPACE = "\t-\r \x85\xa0  -     　"
 MOST_WORDS = 500_000
-MOST_ARCS = 400_000
-_LOADED: dict[str, Tokenizer] = {}
+MOST_STATES = 200_000
+_LOADED: dict[int, Tokenizer] = {}
 
 
 class Automaton:
@@ -46,87 +54,100 @@ class Automaton:
         for token, i in vocab.items():
             self.labels[i] = token
         self.target, self.parts, self.born = [0] * top, [None] * top, [-1] * top
-        self.parent, self.lost, self.made = [0], [-1], [-1]
+        self.second, self.lost = [-1] * top, {}
+        self.line, self.made = [-1], [-1]
         for rank, (a, b) in enumerate(merges):
             self._gadget(rank, vocab[a], vocab[b], vocab[a + b])
-        self.arcs: dict[int, bool] = {}
-        self.top = top
         #: A trie over base symbols; the last symbol of a word bears the suffix and is a symbol of its own.
-        self.trie: dict = {}
-        made = {ab for ab in range(top) if self.parts[ab] is not None}
+        self.down: list[dict[str, int]] = [{}]
+        self.ends = [-1]
+        self.width = [0] * top
         for token, i in vocab.items():
             symbols = self.symbols(token.removesuffix(suffix), token.endswith(suffix) and token != suffix, suffix)
-            if len(symbols) > 1 and i not in made:
+            self.width[i] = len(symbols)
+            if len(symbols) > 1 and self.parts[i] is None:
                 continue
-            node = self.trie
+            node = 0
             for s in symbols:
-                node = node.setdefault(s, {})
-            node[None] = i
+                if s not in self.down[node]:
+                    self.down[node][s] = len(self.down)
+                    self.down.append({})
+                    self.ends.append(-1)
+                node = self.down[node][s]
+            self.ends[node] = i
         self.suffix = suffix
+        self._reset()
+
+    def _reset(self) -> None:
+        self.table: list[dict[str, int]] = [{}]  # transitions
+        self.under_way = [((0, 0),)]  # trie node, state that the arc left
+        self.ended = [-1]  # label of the arc that ends here
+        self.known = {(-1, self.under_way[0]): 0}
 
     @staticmethod
     def symbols(word: str, ends: bool, suffix: str) -> list[str]:
         return [*word[:-1], word[-1] + suffix] if ends and word else list(word)
 
     def _gadget(self, rank: int, a: int, b: int, ab: int) -> None:
-        p, r = self.target[a], self.target[b]
-        self.parent.append(p)
-        self.lost.append(b)
+        r = self.target[b]
+        self.target[a] = len(self.line)  # the clone
+        self.line.append(a)
         self.made.append(rank)
-        self.target[a] = len(self.parent) - 1
-        self.target[ab], self.parts[ab], self.born[ab] = r, a, rank
+        self.lost[a * len(self.target) + b] = rank
+        self.target[ab], self.parts[ab], self.second[ab], self.born[ab] = r, a, b, rank
 
     def _has(self, state: int, label: int) -> bool:
-        """Whether the state has the arc: at each step back to the label's first part, it must not have lost the arc by then."""
-        before = len(self.parent)
+        """Whether the state has the arc: at each step back to the label's first part, no state that it was cloned from, by then, may have lost the arc."""
+        before, top, born = len(self.made), len(self.target), self.born
         while True:
-            s = state
-            while s:
-                if self.made[s] < before and self.lost[s] == label and self.made[s] > self.born[label]:
+            line, until = self.line[state], min(before, self.made[state] + 1)
+            while line >= 0:
+                lost = self.lost.get(line * top + label, -1)
+                if born[label] < lost < until:
                     return False
-                s = self.parent[s]
+                # The line of ab began as the state that b led to when ab was born.
+                until, line = min(until, born[line]), self.second[line]
             if self.parts[label] is None:
                 return True
             # The arc ab was given at its birth to states that had the arc a just then, after a's own loss of b.
-            before, label = self.born[label] + 1, self.parts[label]
-
-    def has(self, state: int, label: int) -> bool:
-        key = state * self.top + label
-        found = self.arcs.get(key)
-        if found is None:
-            if len(self.arcs) >= MOST_ARCS:
-                self.arcs.clear()
-            found = self.arcs[key] = self._has(state, label)
-        return found
+            before, label = born[label] + 1, self.parts[label]
+
+    def _step(self, at: int, symbol: str) -> int:
+        """The transition of a state, made."""
+        after, label = [], -1
+        for node, left in self.under_way[at]:
+            node = self.down[node].get(symbol)
+            if node is None:
+                continue
+            if self.down[node]:
+                after.append((node, left))
+            if label < 0 and self.ends[node] >= 0 and self._has(left, self.ends[node]):  # the only one
+                label = self.ends[node]
+        after.append((0, self.target[label]))
+        key = (label, tuple(after))
+        to = self.known.get(key)
+        if to is None:
+            to = self.known[key] = len(self.table)
+            self.table.append({})
+            self.under_way.append(key[1])
+            self.ended.append(label)
+        self.table[at][symbol] = to
+        return to
 
     def encode(self, word: str) -> list[int]:
-        """Token ids of one pre-split word in byte-level characters: the only path over it, longest arcs tried first."""
-        symbols = self.symbols(word, True, self.suffix)
-        n, target = len(symbols), self.target
-        path: list[tuple[int, int, list[tuple[int, int]]]] = []  # position, label that led here, arcs not yet tried
-        dead: set[tuple[int, int]] = set()
-        i, state, came = 0, 0, -1
-        while i < n:
-            node, j, arcs = self.trie, i, []
-            while j < n and (node := node.get(symbols[j])) is not None:
-                j += 1
-                if None in node:
-                    arcs.append((j, node[None]))
-            while True:
-                while arcs:
-                    arc = arcs.pop()
-                    if arc not in dead and self.has(state, arc[1]):
-                        break
-                else:  # no path to the end from here
-                    dead.add((i, came))
-                    i, came, arcs = path.pop()
-                    state = target[came] if path else 0
-                    continue
-                break
-            path.append((i, came, arcs))
-            i, came = arc
-            state = target[came]
-        return [label for _, label, _ in path[1:]] + [came]
+        """Token ids of one pre-split word in byte-level characters."""
+        if len(self.table) > MOST_STATES:
+            self._reset()
+        table, ended, at, labels = self.table, self.ended, 0, []
+        for symbol in self.symbols(word, True, self.suffix):
+            to = table[at].get(symbol)
+            at = self._step(at, symbol) if to is None else to
+            labels.append(ended[at])
+        out, i = [], len(labels)
+        while i:
+            out.append(labels[i - 1])
+            i -= self.width[out[-1]]
+        return out[::-1]
 
 
 def _differing(kind: str) -> str:
@@ -136,8 +157,20 @@ def _differing(kind: str) -> str:
     ours = [c for c in regex.findall(rf"\p{{{kind}}}", "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)])))]
     split = pre_tokenizers.Split(Regex(rf"\p{{{kind}}}"), "removed", invert=True)
     theirs = {c for c, _ in split.pre_tokenize_str(" ".join(ours))}
+    return _ranges(ord(c) for c in ours if c not in theirs)
+
+
+def _split_pattern(pattern: str) -> str:
+    """The file's pattern with white space, letters and numbers as the tokenizers library has them."""
+    letters, numbers = _differing("L"), _differing("N")
+    other = rf"(?:[^{SPACE}\p{{L}}\p{{N}}]" + (f"|[{letters}{numbers}]" if letters + numbers else "") + ")+"
+    return pattern.replace(r"[^\s\p{L}\p{N}]+", other).replace(r"[\p{L}]+", rf"[^\P{{L}}{letters}]+").replace(r"[\p{N}]", rf"[^\P{{N}}{numbers}]")
+
+
+def _ranges(points: Iterable[int]) -> str:
+    """Ascending code points as ranges of a character class."""
     out: list[list[int]] = []
-    for c in map(ord, (c for c in ours if c not in theirs)):
+    for c in points:
         if out and out[-1][1] == c - 1:
             out[-1][1] = c
         else:
@@ -145,11 +178,31 @@ def _differing(kind: str) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
 
 
-def _split_pattern(pattern: str) -> str:
-    """The file's pattern with white space, letters and numbers as the tokenizers library has them."""
-    letters, numbers = _differing("L"), _differing("N")
-    other = rf"(?:[^{SPACE}\p{{L}}\p{{N}}]" + (f"|[{letters}{numbers}]" if letters + numbers else "") + ")+"
-    return pattern.replace(r"[^\s\p{L}\p{N}]+", other).replace(r"[\p{L}]+", rf"[^\P{{L}}{letters}]+").replace(r"[\p{N}]", rf"[^\P{{N}}{numbers}]")
+def _lower(text: str) -> str:
+    """What the normalizer does, but for white space, which the pre-tokenizer drops, by Python's tables."""
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+    return text.lower()
+
+
+def _unsettled(normalize) -> str:
+    """Ranges of code points for which Python's tables don't settle what the file's normalizer does with a text that has them.
+
+    Those that the two treat differently alone, those that Python doesn't know, and those that were assigned after Unicode 3.2 and may
+    compose or be reordered: what had been assigned before never changes how it is normalized.
+    """
+    old = unicodedata.ucd_3_2_0
+
+    def open_(c: str) -> bool:
+        if old.category(c) != "Cn":
+            return False
+        return unicodedata.category(c) == "Cn" or unicodedata.combining(c) != 0 or unicodedata.decomposition(c) != ""
+
+    every = [chr(i) for i in (*range(0x80, 0xD800), *range(0xE000, 0x110000))]
+    mine, theirs = " ".join(map(_lower, every)).split(" "), normalize(" ".join(c for c in every if not c.isspace())).split(" ")
+    found = iter(theirs)
+    same = [c.isspace() or x == next(found) for c, x in zip(every, mine, strict=True)]
+    return _ranges(ord(c) for c, equal in zip(every, same, strict=True) if not equal or open_(c))
 
 
 def _is_latin(text: str) -> bool:
@@ -175,9 +228,11 @@ class _Ids(dict):
 class Tokenizer:
     """A tokenizers file whose model is BPE with a word suffix, byte-level characters and no decoder."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, content: str):
+        from tokenizers import Tokenizer as Library
+
+        spec = json.loads(content)
+        self.normalize = Library.from_str(content).normalizer.normalize_str
         model, steps = spec["model"], spec["pre_tokenizer"]["pretokenizers"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges, model["end_of_word_suffix"])
@@ -189,6 +244,7 @@ class Tokenizer:
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else None
         self.chars = {b: c for b, c in byte_alphabet().items()}
         self.table = "".join(self.chars[b] for b in range(256))
+        self.unsettled = re.compile(f"[{_unsettled(self.normalize)}]").search  # re has a bitmap for large classes
         self.ids, self.decoded = _Ids(self), {}
 
     def word_ids(self, word: str) -> list[int]:
@@ -204,10 +260,9 @@ class Tokenizer:
             if part in self.added:
                 out.append(part)
             elif part:
-                if not part.isascii():
-                    part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-                part = part.lower()
-                out += (self.latin if _is_latin(part) else self.words)(part)
+                latin = part.isascii() or _is_latin(part)
+                part = _lower(part) if latin or not self.unsettled(part) else self.normalize(part)
+                out += (self.latin if latin else self.words)(part)
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -226,17 +281,26 @@ class Tokenizer:
         return " ".join(map(self.ids.__getitem__, words)), " ".join(map(self.decoded.__getitem__, words))
 
 
-def load(path: str) -> Tokenizer:
-    if path not in _LOADED:
-        _LOADED[path] = Tokenizer(path)
-    return _LOADED[path]
+def load(content: str) -> Tokenizer:
+    """The tokenizer of a file's content, made once for each process."""
+    key = zlib.crc32(content.encode())
+    if key not in _LOADED:
+        _LOADED[key] = Tokenizer(content)
+    return _LOADED[key]
+
+
+def _sent(df: DataFrame, path: str):
+    """The file's content, where tasks find it."""
+    with open(path, encoding="utf-8") as f:
+        return df.sparkSession.sparkContext.broadcast(f.read())
 
 
 def bpe_encode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and ids array<int> of every text."""
+    held = _sent(docs, path)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(path)
+        tokenizer = load(held.value)
         for batch in slices(batches, "text", 1 << 20):
             ids = [tokenizer.encode(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
@@ -246,9 +310,10 @@ def bpe_encode(docs: DataFrame, path: str) -> DataFrame:
 
 def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id and text of every row of ids; null ids count as none."""
+    held = _sent(encoded, path)
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(path)
+        tokenizer = load(held.value)
         for batch in batches:
             texts = [tokenizer.decode(i or ()) for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
@@ -258,9 +323,10 @@ def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, and sha256 of the joined ids and of the decoded text: encode and decode in one pass."""
+    held = _sent(docs, path)
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(path)
+        tokenizer = load(held.value)
         for batch in slices(batches, "text", 1 << 20):
             out: list[list] = [[], [], []]
             for text in batch.column("text").to_pylist():

@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 from tessera.llm import bpe_automaton as B
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
+CONTENT = open(PATH, encoding="utf-8").read()
 DOCS = "doc_id bigint, text string, ids string"
 ALPHABET = "abc dEÉéßΣσçñ'sт中文한글1234567890٣½ \t\n\x0b\x1c\x85\xa0!?.,#$%…—“”😀👍🏽é́İI'll'RE<|endoftext|>"
 
@@ -27,7 +28,7 @@ def texts(seed, n):
 
 @pytest.mark.parametrize("seed", range(3))
 def test_equals_the_library(library, seed):
-    mine = B.load(PATH)
+    mine = B.load(CONTENT)
     for t in texts(seed, 400):
         want = library.encode(t, add_special_tokens=False).ids
         assert mine.encode(t) == want, t
@@ -37,20 +38,49 @@ def test_equals_the_library(library, seed):
 
 
 def test_every_vocabulary_word_is_one_path(library):
-    mine = B.load(PATH).automaton
+    mine = B.load(CONTENT).automaton
     for i in range(512, 49000, 97):
         word = mine.labels[i].removesuffix("</w>")
         ids = mine.encode(word)
         assert "".join(mine.labels[k] for k in ids) == word + "</w>"
 
 
+def test_every_code_point(library):
+    """Each code point between letters, and beside a mark that composes."""
+    mine = B.load(CONTENT)
+    points = [chr(i) for i in (*range(0xD800), *range(0xE000, 0x110000))]
+    for k in range(0, len(points), 2000):
+        part = points[k : k + 2000]
+        for t in (" ".join(part), "x".join(part), "\u0301".join(part)):
+            assert mine.encode(t) == library.encode(t, add_special_tokens=False).ids, (hex(ord(part[0])), t[:20])
+
+
+def test_random_code_points(library):
+    mine, r = B.load(CONTENT), random.Random(7)
+    points = [chr(i) for i in (*range(0xD800), *range(0xE000, 0x30000))]
+    for _ in range(1500):
+        t = "".join(r.choice(points) if r.random() < 0.5 else chr(r.randrange(0x300, 0x370)) for _ in range(r.randint(1, 40)))
+        assert mine.encode(t) == library.encode(t, add_special_tokens=False).ids, ascii(t)
+
+
+def test_the_walk_goes_by_the_table():
+    """Once its transitions are made, encoding makes no more, and every transition has one end."""
+    mine = B.Tokenizer(CONTENT).automaton
+    words = [w for t in texts(5, 200) for w in t.split() if w.isascii()]
+    first = [mine.encode(w) for w in words]
+    made = len(mine.table)
+    mine._step = None
+    assert [mine.encode(w) for w in words] == first and len(mine.table) == made
+    assert all(label >= 0 for label in mine.ended[1:])
+
+
 def test_caches_are_bounded(library, monkeypatch):
     monkeypatch.setattr(B, "MOST_WORDS", 50)
-    monkeypatch.setattr(B, "MOST_ARCS", 100)
-    mine = B.Tokenizer(PATH)
+    monkeypatch.setattr(B, "MOST_STATES", 100)
+    mine = B.Tokenizer(CONTENT)
     for t in texts(9, 100):
         assert mine.both(t)[0] == " ".join(map(str, library.encode(t, add_special_tokens=False).ids))
-    assert len(mine.automaton.arcs) <= 100
+    assert len(mine.automaton.table) <= 300
 
 
 def test_frames(spark, library):
