@@ -6,11 +6,11 @@ Weights, bias and leak are fitted to document labels alone by gradient steps on
 although no sentence is labelled, and ``locate`` names the offending sentences of each document.
 
 Features of a word are the word and its first 5, 6 and 7 bytes, so inflected forms share weights. Fitting takes at most ``FIT_ROWS``
-labelled rows, those whose ids hash lowest; scoring runs over whole texts of all documents.
+labelled rows, those whose ids hash lowest, and ``FIT_BYTES`` of their texts; scoring runs over whole texts of all documents.
 
 Defined cases: a null or empty text has no sentences and gets the leak as its score; labels that are null, or have no document, are ignored; with no
-labels of both kinds the score is the share of toxic labels; repeated rows are scored each on its own; an empty table gives no rows; other
-columns are ignored.
+labels of both kinds the score is the share of toxic labels; a score of exactly the threshold counts as toxic; repeated rows are scored each on its own; a very long text is scored whole,
+with one list of its words in memory; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import lowest_hashes, slices, text_bytes
 
-FIT_ROWS = 8_000
+FIT_ROWS, FIT_BYTES = 8_000, 64 << 20
 PREFIXES = (5, 6, 7)
 LEAST_TOXIC = 4
 STEPS = 400
@@ -107,49 +107,66 @@ def fit(rows: list[tuple[bytes | None, int]], steps: int = STEPS) -> Model:
         return Model({}, -50.0, min(max(n1 / max(len(bags), 1), 1e-6), 1 - 1e-6))
     names = _select(bags)
     ids = {f: i for i, f in enumerate(names)}
-    # Sentences with features, end to end; those without differ only by document, so they are counted.
-    flat: list[int] = []
-    starts: list[int] = []
-    owner: list[int] = []
-    empty = np.zeros(len(bags))
-    for d, (bag, _) in enumerate(bags):
-        for s in bag:
-            own = [ids[f] for w in s for f in features(w) if f in ids]
-            if own:
-                starts.append(len(flat))
-                flat += own
-                owner.append(d)
-            else:
-                empty[d] += 1
-    y = np.array([y for _, y in bags], float)
-    flat_, starts_, owner_ = np.array(flat, np.int64), np.array(starts, np.int64), np.array(owner, np.int64)
-    lengths = np.diff(np.append(starts_, len(flat_)))
-    w, bias, leak = np.zeros(len(names)), -6.0, math.log(n1 / len(y) / 4)
-    m, v = np.zeros(len(w) + 2), np.zeros(len(w) + 2)
+    bags_ = Bags([[[ids[f] for w in s for f in features(w) if f in ids] for s in bag] for bag, _ in bags], [y for _, y in bags], len(names))
+    x = np.append(np.zeros(len(names)), [-6.0, math.log(n1 / len(bags) / 4)])
+    m, v = np.zeros_like(x), np.zeros_like(x)
     for t in range(1, steps + 1):
-        x = bias + (np.add.reduceat(w[flat_], starts_) if len(starts_) else np.zeros(0))
-        p, p0, pl = 1 / (1 + np.exp(-x)), 1 / (1 + math.exp(-bias)), 1 / (1 + math.exp(-leak))
-        log_clean = math.log(1 - pl) + empty * math.log(1 - p0) + np.bincount(owner_, np.log1p(-np.minimum(p, 1 - 1e-12)), len(y))
-        clean = np.exp(log_clean)
-        g = np.where(y > 0, clean / np.maximum(1 - clean, 1e-9), -1.0)  # d loglik / d(-log clean)
-        gs = g[owner_] * p  # d(-log(1-p))/dx = p
-        grad = np.concatenate([np.bincount(flat_, np.repeat(gs, lengths), len(w)) - 0.5 * w, [gs.sum() + (g * empty).sum() * p0, g.sum() * pl]])
+        _, grad = bags_.likelihood(x)
+        grad[:-2] -= 0.5 * x[:-2]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        w, bias, leak = w + step[:-2], float(np.clip(bias + step[-2], -14, 2)), float(np.clip(leak + step[-1], -12, 2))
-    return Model({f: float(x) for f, x in zip(names, w, strict=True) if abs(x) > 1e-3}, bias, 1 / (1 + math.exp(-leak)))
-
-
-def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """Columns of docs and the label, for at most `most` labelled ids: those that hash lowest."""
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).alias("_label")).dropDuplicates(["doc_id"])
-    chosen = lowest_hashes(known, "doc_id", most)
-    return docs.join(F.broadcast(chosen), "doc_id")  # at most `most` ids
-
-
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = FIT_ROWS) -> Model:
-    rows = labelled(docs.select("doc_id", "text"), labels, label, most).orderBy("doc_id").select("text", "_label").limit(2 * most).toArrow()
-    return fit(list(zip(text_bytes(rows.column("text")), rows.column("_label").to_pylist(), strict=True)))
+        x = x + 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        x[-2:] = np.clip(x[-2:], (-14, -12), 2)
+    return Model({f: float(w) for f, w in zip(names, x, strict=False) if abs(w) > 1e-3}, float(x[-2]), 1 / (1 + math.exp(-x[-1])))
+
+
+class Bags:
+    """Documents as sentences of feature numbers, end to end; sentences without features differ only by document, so they are counted."""
+
+    def __init__(self, bags: list[list[list[int]]], labels: list[int], n_features: int):
+        self.n, self.y, self.empty = n_features, np.array(labels, float), np.zeros(len(bags))
+        flat: list[int] = []
+        starts: list[int] = []
+        owner: list[int] = []
+        for d, bag in enumerate(bags):
+            for s in bag:
+                if s:
+                    starts.append(len(flat))
+                    flat += s
+                    owner.append(d)
+                else:
+                    self.empty[d] += 1
+        self.flat, self.starts, self.owner = np.array(flat, np.int64), np.array(starts, np.int64), np.array(owner, np.int64)
+        self.lengths = np.diff(np.append(self.starts, len(flat)))
+
+    def likelihood(self, x: np.ndarray) -> tuple[float, np.ndarray]:
+        """Log-likelihood of the labels and its gradient. x: weights, bias, and the leak's log-odds."""
+        bias, leak = x[-2], x[-1]
+        z = bias + (np.add.reduceat(x[self.flat], self.starts) if len(self.starts) else np.zeros(0))
+        p, p0, pl = 1 / (1 + np.exp(-z)), 1 / (1 + math.exp(-bias)), 1 / (1 + math.exp(-leak))
+        log_clean = math.log(1 - pl) + self.empty * math.log(1 - p0) + np.bincount(self.owner, np.log1p(-np.minimum(p, 1 - 1e-12)), len(self.y))
+        clean = np.exp(log_clean)
+        value = float(np.where(self.y > 0, np.log(np.maximum(1 - clean, 1e-9)), log_clean).sum())
+        g = np.where(self.y > 0, clean / np.maximum(1 - clean, 1e-9), -1.0)  # d loglik / d(-log clean)
+        gs = g[self.owner] * p  # d(-log(1-p))/dx = p
+        return value, np.append(np.bincount(self.flat, np.repeat(gs, self.lengths), self.n), [gs.sum() + (g * self.empty).sum() * p0, g.sum() * pl])
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = FIT_ROWS, most_bytes: int = FIT_BYTES) -> Model:
+    """Fitted on at most `most` labelled ids, those that hash lowest, as long as their texts together stay within `most_bytes`. An id's text is its smallest."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).alias("y"))
+    chosen = lowest_hashes(known, "doc_id", most).withColumn("h", F.xxhash64("doc_id"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    sizes = docs.select("doc_id", size.alias("size")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "h", "y").agg(F.max("size").alias("size"))
+    upto, total = [], 0
+    for x in sorted(sizes.collect(), key=lambda x: (x.h, x.doc_id)):  # at most `most` rows
+        total += x.size
+        if total > most_bytes:
+            break
+        upto.append((x.doc_id, x.y))
+    taken = docs.sparkSession.createDataFrame(upto, "doc_id bigint, y int")
+    texts = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    rows = texts.orderBy("doc_id").toArrow()
+    return fit(list(zip(text_bytes(rows.column("text")), rows.column("y").to_pylist(), strict=True)))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
