@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import quality as Q
 from tessera.llm import toxicity as T
@@ -55,6 +56,80 @@ def test_toxicity_gradient():
     assert loss(many) < loss(few) / 2
 
 
+def slow_toxicity(model, text):
+    """The noisy-or from its definition, a character at a time."""
+    clean, sentence = 1 - model.leak, []
+
+    def close():
+        nonlocal clean
+        if sentence:
+            clean *= 1 - 1 / (1 + math.exp(-(model.bias + sum(sum(model.weights.get(f, 0.0) for f in {word, *(word[:k] + b"*" for k in (5, 6, 7) if len(word) > k)}) for word in sentence))))
+            sentence.clear()
+
+    word = b""
+    for c in (text or "").encode():
+        b = bytes([c]).lower()
+        if b in (b".", b"!", b"?", b"\n", b"\r"):
+            if word:
+                sentence.append(word)
+            word = b""
+            close()
+        elif c < 128 and not b.isalnum() and c >= 0x20 and c != 0x7F or b in b"\t\x0b\x0c":
+            if word:
+                sentence.append(word)
+            word = b""
+        else:
+            word += b
+    if word:
+        sentence.append(word)
+    close()
+    return 1 - clean
+
+
+def test_toxicity_equals_brute_force(spark):
+    rows, toxic, _ = corpus(200)
+    texts = [(r[0], r[1]) for r in rows] + [(900, None), (901, ""), (None, "null. id vilest!"), (902, "a,b;vilest? \u00c9t\u00e9\tnastyings"), (903, "vilest words. " * 4000)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    model = T.train(docs, spark.createDataFrame(toxic, "doc_id bigint, toxic int"))
+    assert model.weights
+    for x in T.score(docs, model).join(docs.withColumnRenamed("doc_id", "d"), F.expr("doc_id <=> d")).collect():
+        assert abs(x.score - slow_toxicity(model, x.text)) < 1e-9, x.text
+
+
+def test_toxicity_gradient_by_differences():
+    r = random.Random(9)
+    bags = [[[r.randrange(6) for _ in range(r.randint(0, 4))] for _ in range(r.randint(0, 5))] for _ in range(60)]
+    y = r.choices((0, 1), k=60)
+    b, x = T.Bags(bags, y, 6), np.array([r.gauss(0, 1) for _ in range(8)])
+    value, grad = b.likelihood(x)
+    p = lambda z: 1 / (1 + math.exp(-z))
+    want = 0.0
+    for bag, label in zip(bags, y, strict=True):
+        clean = 1 - p(x[-1])
+        for s in bag:
+            clean *= 1 - p(x[-2] + sum(x[f] for f in s))
+        want += math.log(1 - clean) if label else math.log(clean)
+    assert abs(value - want) < 1e-9
+    for k in range(8):
+        d = np.zeros(8)
+        d[k] = 1e-6
+        assert abs((b.likelihood(x + d)[0] - b.likelihood(x - d)[0]) / 2e-6 - grad[k]) < 1e-4
+
+
+def test_toxicity_sample_is_bounded(spark, monkeypatch):
+    rows, toxic, _ = corpus(100)
+    docs = spark.createDataFrame([(r[0], r[1]) for r in rows + rows], "doc_id bigint, text string")
+    seen = []
+    monkeypatch.setattr(T, "fit", lambda rows: seen.append(rows))
+    labels = spark.createDataFrame(toxic, "doc_id bigint, toxic int")
+    T.train(docs, labels)
+    assert len(seen[0]) == 100  # an id counts once
+    T.train(docs, labels, most=30)
+    assert len(seen[1]) == 30
+    T.train(docs, labels, most_bytes=2000)
+    assert 0 < sum(len(t) for t, _ in seen[2]) <= 2000
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 0)], [(1, 1), (2, 1)]])
 def test_without_both_kinds(spark, labels):
     rows, _, _ = corpus(30)
@@ -79,29 +154,73 @@ def test_cotraining_held_out(spark):
     assert all(0 <= x.content_score <= 1 and 0 <= x.metadata_score <= 1 for x in got)
 
 
-def test_views_teach_each_other():
-    r = np.random.default_rng(1)
-    n = 3000
+def in_memory(content, meta):
+    """A pool of rows in arrays, all of them looked at."""
+    h = np.arange(len(content)) + 1
+
+    def ask(model, taken, counts):
+        parts = [[] for _ in range(6)]
+        for view, odds in enumerate(model.views_of(content, meta)):
+            p = 1 / (1 + np.exp(-odds))
+            for label, certainty in ((0, 1 - p), (1, p)):
+                rows = sorted((i for i in range(len(h)) if model.knows[view] and certainty[i] >= model.sure()[label] and h[i] not in taken[view]), key=lambda i: (-certainty[i], h[i]))[: counts[label]]
+                for part, value in zip(parts, (h[rows], [view] * len(rows), [label] * len(rows), certainty[rows], content[rows], meta[rows]), strict=True):
+                    part.append(value)
+        return tuple(np.concatenate(x) for x in parts)
+
+    return ask
+
+
+def views(n, seed, known):
+    """Rows whose label shows in the content, and in the language as far as known says."""
+    r = np.random.default_rng(seed)
     y = (r.random(n) < 0.5).astype(int)
     content = r.random((n, Q.MEASURES))
     content[:, 0] = y + r.normal(0, 0.2, n)
-    meta = np.array([[b * Q.BUCKETS + (int(y[i]) if b == 1 else int(r.integers(0, 5))) for b in range(4)] for i in range(n)])
-    shown = np.where(np.arange(n) < 60, y, -1)
-    model = Q.fit(content, meta, shown)
-    both = model.odds(content, meta)[2]
-    assert ((both > 0) == y)[60:].mean() > 0.97
+    lang = np.where(r.random(n) < known, y, r.integers(0, 2, n))
+    return content, np.stack([lang, r.integers(0, 5, n), r.integers(0, 5000, n)], 1), y
+
+
+def test_views_teach_each_other():
+    content, meta, y = views(3000, 1, 0.97)
+    content[300:, 0] = np.where(np.arange(2700) % 2, content[300:, 0], 0.5)  # half of the texts say nothing
+    few = 300
+    alone, taught = (Q.fit(content[:few], meta[:few], y[:few], in_memory(content[few:], meta[few:]), rounds) for rounds in (0, 4))
+    right = lambda m: ((m.odds(content[few:], meta[few:])[2] > 0) == y[few:]).mean()
+    assert right(taught) > 0.97 and right(taught) >= right(alone)
+    assert len(taught.report) == 5 and all(sum(x["content gave"]) and sum(x["metadata gave"]) for x in taught.report[:4])
 
 
 def test_ignorant_view_moves_nothing():
-    r = np.random.default_rng(2)
-    n = 2000
-    y = (r.random(n) < 0.8).astype(int)
-    content = r.random((n, Q.MEASURES))
-    content[:, 0] = y + r.normal(0, 0.1, n)
-    meta = r.integers(0, 3, (n, 4)) + np.arange(4) * Q.BUCKETS
-    model = Q.fit(content, meta, y)
+    content, meta, y = views(2000, 2, 0.0)
+    model = Q.fit(content[:1000], meta[:1000], y[:1000], in_memory(content[1000:], meta[1000:]))
     _, b, _ = model.odds(content, meta)
     assert abs(b - model.prior).max() < 1.5
+    assert all(sum(x["metadata gave"]) == 0 for x in model.report[:4])
+
+
+def test_pool_over_a_table(spark):
+    """The surest rows of a table in many partitions are those of the whole."""
+    content, meta, y = views(1500, 3, 0.9)
+    model = Q.fit(content[:400], meta[:400], y[:400])
+    rows = [(i + 1, c.tolist(), m.tolist()) for i, (c, m) in enumerate(zip(content, meta, strict=True))]
+    table = spark.createDataFrame(rows, "h bigint, content array<double>, meta array<bigint>").repartition(7)
+    taken = (np.arange(1, 300), np.arange(200, 600))
+    for x, z in zip(Q.pool_of(table)(model, taken, (7, 40)), in_memory(content, meta)(model, taken, (7, 40)), strict=True):
+        assert np.allclose(x, z)
+
+
+def test_exchange_on_the_tables(spark):
+    """Both views hand over pseudo-labels on the given tables, and what they teach changes scores."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    training = labels.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
+    alone, taught = (Q.train(docs, training, rounds=r) for r in (0, 4))
+    assert sum(sum(x["content gave"]) for x in taught.report[:4]) > 400
+    assert sum(sum(x["metadata gave"]) for x in taught.report[:4]) > 0
+    a, b = ({x.doc_id: x for x in Q.score(docs.limit(500), m).collect()} for m in (alone, taught))
+    assert sum(abs(a[i].metadata_score - b[i].metadata_score) > 1e-6 for i in a) > 250
+    assert sum(abs(a[i].content_score - b[i].content_score) > 1e-6 for i in a) > 250
 
 
 def test_empty_tables(spark):
