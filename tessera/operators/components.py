@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..tables import written
+from ..tables import discard, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -23,7 +23,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of edges (a, b) that has a neighbour; component is its smallest node.
 
-    Each round is written to the shared folder; the driver sees a count and a checksum of it.
+    Each round is written to the shared folder, where the last one stays; the driver sees a count and a checksum of it. The centre of a large
+    component is a frequent join key: minima are folded before the shuffle, and the skewed side of a join is split at run time (AQE).
     """
     now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
     mark = None
@@ -31,6 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
         row = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if row == mark or not row[0]:
             break
-        mark = row
-        now = written(_small_star(_large_star(now)), "edges")
+        mark, before = row, now
+        now = written(_small_star(_large_star(before)), "edges")
+        discard(before)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
