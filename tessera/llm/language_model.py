@@ -34,12 +34,12 @@ from pyspark.sql import functions as F
 from .common import slices, text_bytes, written
 
 END = b"\n"
-SHORT, PER_CLASS, TAIL = 4096, 64, 64
-TOP = 150_000
+SHORT, PER_CLASS, TAIL = 2048, 64, 128
+TOP = 300_000
 HIDDEN = 24
 #: Every training document is in one of the rounds, and there in one of the groups, each of about GROUP_TOKENS tokens, or more if there were more than MOST_GROUPS.
 ROUNDS, GROUP_TOKENS, MOST_GROUPS = 2, 1_000_000, 1 << 14
-STREAMS, WINDOW, LEAST_STEPS = 128, 16, 64
+STREAMS, WINDOW, LEAST_STEPS = 256, 16, 64
 RATE = 0.01
 CLIP = 60.0
 HELD = 4_000_000
@@ -135,77 +135,101 @@ class Network:
             setattr(self, name, self.flat[at : at + n].reshape(shape))
             at += n
 
-    def step(self, h: np.ndarray, inputs: np.ndarray) -> tuple:
+    def step(self, h: np.ndarray, x: np.ndarray) -> tuple:
+        """The state after inputs of embeddings x, and what the gradient needs."""
         k = self.hidden
-        x, g = self.embed[inputs], h @ self.loop
-        zr = 1 / (1 + np.exp(-(x[:, : 2 * k] + g[:, : 2 * k])))
+        g = h @ self.loop
+        zr = x[:, : 2 * k] + g[:, : 2 * k]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
         z, r, gn = zr[:, :k], zr[:, k:], g[:, 2 * k :]
-        n = np.tanh(x[:, 2 * k :] + r * gn)
-        return n + z * (h - n), z, r, n, gn
+        n = r * gn
+        n += x[:, 2 * k :]
+        np.tanh(n, out=n)
+        after = h - n
+        after *= z
+        after += n
+        return after, z, r, n, gn
+
+    def _softmax(self, h: np.ndarray, weights: np.ndarray, bias: np.ndarray, targets: np.ndarray, want: bool) -> tuple[np.ndarray, np.ndarray | None]:
+        """Log-probability of each target, and its gradient by the logits if wanted."""
+        n = np.arange(len(targets))
+        e = h @ weights
+        e += bias
+        if np.abs(weights).sum(0).max(initial=0) + np.abs(bias).max(initial=0) > CLIP:  # states lie between -1 and 1; so that no exponential overflows
+            np.clip(e, -CLIP, CLIP, out=e)
+        out = e[n, targets]
+        np.exp(e, out=e)
+        total = e @ np.ones(e.shape[1], e.dtype)
+        out -= np.log(total)
+        if not want:
+            return out, None
+        e *= (-1 / total)[:, None]
+        e[n, targets] += 1
+        return out, e
 
     def log_probabilities(self, h: np.ndarray, inputs: np.ndarray, grad: Network | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log P(class) * P(word | class) of the targets (input ids) from states h; with grad, d(sum)/dh and weight gradients."""
-        n = np.arange(len(inputs))
         short = inputs < SHORT
         cls = np.where(short, inputs // PER_CLASS, self.n_ranks + inputs - SHORT)
-        logits = np.clip(h @ self.classes + self.class_bias, -CLIP, CLIP)  # so that no exponential overflows
-        e = np.exp(logits)
-        total = e @ np.ones(e.shape[1], e.dtype)
-        out = logits[n, cls] - np.log(total)
-        dh = None
-        if grad is not None:
-            d = -e / total[:, None]
-            d[n, cls] += 1
+        want, dh = grad is not None, None
+        out, d = self._softmax(h, self.classes, self.class_bias, cls, want)
+        if want:
             grad.classes += h.T @ d
-            grad.class_bias += d.sum(0)
+            grad.class_bias += np.ones(len(d), d.dtype) @ d
             dh = d @ self.classes.T
         order = np.flatnonzero(short)
         order = order[np.argsort(cls[order], kind="stable")]
         edges = np.searchsorted(cls[order], np.arange(self.n_ranks + 1))
-        for c in range(self.n_ranks):
-            rows = order[edges[c] : edges[c + 1]]
-            if not len(rows):
-                continue
-            hc = h[rows]
-            logits = np.clip(hc @ self.words[c] + self.word_bias[c], -CLIP, CLIP)
-            e = np.exp(logits)
-            total = e @ np.ones(PER_CLASS, e.dtype)
-            within = inputs[rows] - c * PER_CLASS
-            out[rows] += logits[np.arange(len(rows)), within] - np.log(total)
-            if grad is not None:
-                d = -e / total[:, None]
-                d[np.arange(len(rows)), within] += 1
-                grad.words[c] += hc.T @ d
+        states, words, more = h[order], inputs[order] % PER_CLASS, np.empty(len(order), h.dtype)
+        dstates = np.empty_like(states) if want else None
+        for c in np.flatnonzero(np.diff(edges)).tolist():
+            rows = slice(edges[c], edges[c + 1])
+            more[rows], d = self._softmax(states[rows], self.words[c], self.word_bias[c], words[rows], want)
+            if want:
+                grad.words[c] += states[rows].T @ d
                 grad.word_bias[c] += d.sum(0)
-                dh[rows] += d @ self.words[c].T
+                np.matmul(d, self.words[c].T, out=dstates[rows])
+        out[order] += more
+        if want:
+            dh[order] += dstates
         return out, dh
 
     def window(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, grad: Network) -> tuple[float, np.ndarray]:
         """Log-likelihood of a window (time, streams) and the state after it; gradients stop at the window's begin."""
-        kept, k = [], self.hidden
-        for t in range(len(inputs)):
-            before = np.where(fresh[t][:, None], h.dtype.type(0), h)
-            h, *gates = self.step(before, inputs[t])
-            kept.append((before, h, *gates))
-        states = np.concatenate([x[1] for x in kept])
-        found, dh_all = self.log_probabilities(states, targets.reshape(-1), grad)
-        dh_all = dh_all.reshape(*inputs.shape, k)
+        kept, k, (steps, streams) = [], self.hidden, inputs.shape
+        x = self.embed[inputs]
+        stays = (~fresh).astype(h.dtype)[:, :, None]
+        befores, states = np.empty((2, steps, streams, k), h.dtype)
+        for t in range(steps):
+            np.multiply(h, stays[t], out=befores[t])
+            h, *gates = self.step(befores[t], x[t])
+            states[t] = h
+            kept.append(gates)
+        found, dh_all = self.log_probabilities(states.reshape(-1, k), targets.reshape(-1), grad)
+        dh_all = dh_all.reshape(steps, streams, k)
         dh = np.zeros_like(h)
-        gx_all = np.empty((*inputs.shape, 3 * k), self.flat.dtype)
-        for t in range(len(inputs) - 1, -1, -1):
-            before, _, z, r, n, gn = kept[t]
-            dh = dh + dh_all[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (before - n) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            gx_all[t] = np.concatenate([dz, dr, dn], 1)
-            gh = np.concatenate([dz, dr, dn * r], 1)
-            grad.loop += before.T @ gh
-            dh = np.where(fresh[t][:, None], dh.dtype.type(0), dh * z + gh @ self.loop.T)
+        gx, gh = x, np.empty_like(x)  # the embeddings have been used
+        for t in range(steps - 1, -1, -1):
+            before, (z, r, n, gn) = befores[t], kept[t]
+            dh += dh_all[t]
+            dn = (1 - z) * (1 - n * n)
+            dn *= dh
+            gx[t, :, :k] = dh * (before - n) * z * (1 - z)
+            gx[t, :, k : 2 * k] = dn * gn * r * (1 - r)
+            gx[t, :, 2 * k :] = dn
+            gh[t] = gx[t]
+            gh[t, :, 2 * k :] *= r
+            dh *= z
+            dh += gh[t] @ self.loop.T
+            dh *= stays[t]
+        grad.loop += befores.reshape(-1, k).T @ gh.reshape(-1, 3 * k)
         order = np.argsort(inputs, axis=None, kind="stable")
         own = inputs.reshape(-1)[order]
         first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        grad.embed[own[first]] += np.add.reduceat(gx_all.reshape(-1, 3 * k)[order], first, axis=0)
+        grad.embed[own[first]] += np.add.reduceat(gx.reshape(-1, 3 * k)[order], first, axis=0)
         return float(found.sum()), h
 
     def train(self, vocabulary: Vocabulary, documents: list[np.ndarray], rate: float = RATE) -> int:
@@ -228,14 +252,24 @@ class Network:
             at = slice(s * WINDOW, (s + 1) * WINDOW)
             grad.flat[:] = 0
             _, h = self.window(h, inputs[at], targets[at], fresh[at], grad)
-            g = grad.flat / inputs[at].size
-            norm = float(np.sqrt((g * g).sum()))
+            g = grad.flat
+            g /= inputs[at].size
+            norm = float(np.sqrt(g @ g))
             if norm > 1:
                 g /= norm
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
+            m *= 0.9
+            m += 0.1 * g
+            v *= 0.99
+            g *= g
+            g *= 0.01
+            v += g
             now = rate * (1 - 0.8 * s / steps) * min(1, (s + 1) / 10)
-            self.flat += now * (m / (1 - 0.9 ** (s + 1))) / (np.sqrt(v / (1 - 0.99 ** (s + 1))) + 1e-5)
+            np.sqrt(v, out=g)
+            g *= (1 - 0.99 ** (s + 1)) ** -0.5
+            g += 1e-5
+            np.divide(m, g, out=g)
+            g *= now / (1 - 0.9 ** (s + 1))
+            self.flat += g
         return targets.size
 
     def score(self, vocabulary: Vocabulary, documents: list[np.ndarray]) -> np.ndarray:
@@ -260,7 +294,7 @@ class Network:
                     live = int((n > begin + t).sum())
                     if not live:
                         break
-                    h = self.step(h[:live], last[:live])[0]
+                    h = self.step(h[:live], self.embed[last[:live]])[0]
                     last = padded[t, :live]
                     states.append(h)
                     targets.append(last)
@@ -389,7 +423,7 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, held, rounds: int = ROUNDS
     groups = max(1, min(MOST_GROUPS, -(-vocabulary.total // (rounds * group_tokens))))
     for r in range(rounds):
         start = spark.sparkContext.broadcast(flat)
-        mine = encoded.where(F.pmod("place", F.lit(rounds)) == r).select(F.pmod(F.floor(F.col("place") / rounds), F.lit(groups)).alias("group"), "place", "doc_id", "ids")
+        mine = encoded.where(F.pmod("place", F.lit(rounds)) == r).select(F.pmod(F.xxhash64("place"), F.lit(groups)).alias("group"), "place", "doc_id", "ids")
         copies = written(mine.repartition(groups, "group").sortWithinPartitions("group", "place", "doc_id", "ids").mapInArrow(_learn(held, start, RATE / (1 + r)), "w binary, n bigint"), "weights")
         while (k := copies.count()) > 32:
             copies = written(copies.repartition(-(-k // 32)).mapInArrow(_mean, "w binary, n bigint"), "weights")

@@ -66,7 +66,7 @@ def test_lockstep_equals_one_by_one():
     for d, found in zip(documents, together, strict=True):
         h, last, total = np.zeros((1, net.hidden), np.float32), v.start, 0.0
         for x in d:
-            h = net.step(h, np.array([last]))[0]
+            h = net.step(h, net.embed[[last]])[0]
             total += float(net.log_probabilities(h, np.array([x]))[0][0])
             last = x
         assert abs(total - found) < 1e-2
