@@ -20,6 +20,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark takes it to have, for those who open files by themselves."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    return "file://" + full[len("file:") :] if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
