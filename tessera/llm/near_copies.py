@@ -28,8 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
+from ..tables import discard
 from . import simhash
-from .common import slices, text_bytes, written
+from .common import partitions_for, slices, text_bytes, written
 
 SHINGLE, LEAST = 5, 0.8
 #: Shingles whose counts go to the tasks, a bound; only the order depends on it.
@@ -37,7 +38,7 @@ FREQUENT = 100_000
 HELD = 2_000_000
 BITS, BLOCK = 1024, 4096
 #: How often a shingle's members are held against one of them before the rest of their pairs are.
-ROUNDS = 3
+ROUNDS = 2
 
 
 def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -150,9 +151,12 @@ def similar(pairs: DataFrame, rows: DataFrame) -> DataFrame:
 
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     taking = written(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct(), "taking")
-    sets = written(rows.join(taking, "key", "left_semi").mapInArrow(make, "key bigint, own binary"), "own").dropDuplicates(["key"])
+    own = written(rows.join(taking, "key", "left_semi").mapInArrow(make, "key bigint, own binary"), "own")
+    sets = own.dropDuplicates(["key"])
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    return written(both.mapInArrow(compare, "a bigint, b bigint"), "similar")
+    found = written(both.mapInArrow(compare, "a bigint, b bigint"), "similar")
+    discard(pairs, taking, own)
+    return found
 
 
 def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,20 +201,24 @@ def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from solve()
 
 
-def _mixed(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of shingles whose members are in several groups so far, with the group as c."""
-    grouped = written(shared.join(found.withColumnRenamed("node", "key"), "key", "left").select("s", "key", "n", "i", "members", F.coalesce("component", "key").alias("c")), "grouped")
+def _mixed(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of shingles whose members are in several groups so far, with the group as c. Groups only grow, so rows that are left out once stay out; shared is removed."""
+    found = components(links).withColumnRenamed("node", "key")
+    grouped = shared.select("s", "key", "n", "i", "members").join(found, "key", "left").select("s", "key", "n", "i", "members", F.coalesce("component", "key").alias("c"))
     apart = grouped.groupBy("s").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("s")
-    return written(grouped.join(apart, "s", "left_semi"), "mixed")
+    mixed = written(grouped.join(apart, "s", "left_semi"), "mixed")
+    discard(shared)
+    return mixed
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
     """(key, group) of every row. docs: key, which tells different texts apart, and text; group is the key of one of its members."""
     rows, spark = docs.select("key", "text"), docs.sparkSession
     made = written(rows.mapInArrow(_digests, "key bigint, set binary, fp bigint, s bigint, c bigint"), "digests")
-    members = made.where("set IS NOT NULL").select("key", "set", "fp")
+    members = written(made.where("set IS NOT NULL").select("key", "set", "fp"), "members")
     reps = written(members.groupBy("set").agg(F.min("key").alias("rep"), F.first("fp").alias("fp")), "sets")
     held = spark.sparkContext.broadcast(frequent(made.where("s IS NOT NULL").select("s", "c")))
+    discard(made)
     heads = rows.mapInArrow(_heads(held), "key bigint, n int, bits array<bigint>, prefix array<bigint>").join(reps.select(F.col("rep").alias("key")), "key", "left_semi")
     heads = written(heads.dropDuplicates(["key"]), "prefixes")
 
@@ -221,22 +229,25 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
     listed = heads.select("key", "n", F.posexplode("prefix").alias("i", "s"))
     many = listed.groupBy("s").agg(F.count("*").alias("members")).where("members > 1")
-    shared = written(listed.join(many, "s"), "shared")
-    sketches = heads.select("key", "bits")
+    mixed = written(listed.join(many, "s"), "shared")
+    sketches = written(heads.select("key", "bits"), "sketches")
+    discard(heads)
     links = similar(met, rows)
+    discard(fps)
     for r in range(ROUNDS):
-        mixed = _mixed(shared, components(links))
+        mixed = _mixed(mixed, links)
         pivot = mixed.groupBy("s").agg(F.min_by(F.struct("key", "n", "i", "c"), F.xxhash64("key", F.lit(r))).alias("p")).select("s", F.col("p.key").alias("a"), F.col("p.n").alias("m"), F.col("p.i").alias("j"), F.col("p.c").alias("d"))
         fits = _needed("n", "m") <= F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
         star = mixed.join(pivot, "s").where((F.col("c") != F.col("d")) & fits).select("a", F.col("key").alias("b"), "n", "m").distinct()
         apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
         star = star.join(sketches.toDF("a", "wa"), "a").join(sketches.toDF("b", "wb"), "b").where(apart <= F.col("n") + F.col("m") - 2 * _needed("n", "m")).select("a", "b")
         links = links.unionByName(similar(star, rows))
-    mixed = _mixed(shared, components(links))
+    mixed = _mixed(mixed, links)
     blocks = F.ceil(F.col("members") / BLOCK)
     dealt = mixed.withColumn("block", F.pmod(F.xxhash64("key"), blocks)).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     dealt = dealt.select("s", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), "key", "n", "i", "c", "block")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = partitions_for(spark, mixed.count(), 100_000)
     dealt = dealt.join(sketches, "key").repartition(tasks, "s", "x", "y").sortWithinPartitions("s", "x", "y")
     found = components(links.unionByName(similar(dealt.mapInArrow(_across, "a bigint, b bigint"), rows)))
+    discard(mixed, sketches)
     return members.join(reps.select("set", "rep"), "set").join(found, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("group"))
