@@ -129,7 +129,7 @@ def _fold(batch: list[tuple]) -> Iterator[pa.RecordBatch]:
         yield _rows(None, None, doc[old], tag[old], None, lo[old], hi[old], np.zeros(int(old.sum()), bool))
 
 
-def _find_anchors(length: int, gram: int):
+def _find_anchors(length: int, gram: int, fold: bool = True):
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
@@ -144,8 +144,12 @@ def _find_anchors(length: int, gram: int):
             row = np.searchsorted(edges, at, side="right") - 1
             lo, hi = np.maximum(edges[row], at - before), np.minimum(edges[row + 1], at + after)
             digest = xxhash.xxh64_intdigest
-            c = np.array([digest(joined[a:b], i - a) for a, b, i in zip(lo.tolist(), hi.tolist(), at.tolist(), strict=True)], np.uint64).view(np.int64)
             start = edges[row]
+            if fold:
+                c = [digest(joined[a:b], i - a) for a, b, i in zip(lo.tolist(), hi.tolist(), at.tolist(), strict=True)]
+            else:  # no two are equal
+                c = [digest(f"{d} {t} {i}") for d, t, i in zip(docs[row].tolist(), tags[row].tolist(), (at - start).tolist(), strict=True)]
+            c = np.array(c, np.uint64).view(np.int64)
             held.append((h.view(np.int64), c, docs[row], tags[row], at - start, lo - start, hi - start))
             size += len(joined)
             if size >= 8 << 20:
@@ -228,15 +232,17 @@ class RunLengthIndex:
         self.text, self.n = text, n
         #: Bytes up to the separator.
         self.room = np.repeat(ends, sizes) - np.arange(n)
-        sa = self._suffixes(int(sizes.max()))
-        before = np.where(sa > 0, text[sa - 1], 0)
+        order = self._suffixes(int(sizes.max()))  # needed for the samples only
+        before = np.where(order > 0, text[order - 1], 0)
         # Characters before a suffix; separators differ from one another, so each is a run of its own.
-        heads = np.append(True, (before[1:] != before[:-1]) | (before[1:] == 0))
-        at = np.flatnonzero(heads)
+        at = np.flatnonzero(np.append(True, (before[1:] != before[:-1]) | (before[1:] == 0)))
+        #: The transform: the character of each run, and where runs begin.
         self.runs, self.run_starts = before[at], at
-        self.sample, self.sample_above = sa[at], np.append(-1, sa)[at]  # the suffix at a run's head, and the one at the end of the run before
-        self.sample_common = self._common(self.sample, self.sample_above)
-        self.suffixes = sa
+        head, tail = order[at], np.append(-1, order)[at]
+        by_place = np.argsort(head)
+        #: For each run, by place in the text: the suffix at its head, the one at the end of the run before, and what both have in common.
+        self.head, self.tail = head[by_place], tail[by_place]
+        self.common = self._common(self.head, self.tail)
 
     def _suffixes(self, deepest: int) -> np.ndarray:
         """Suffix order by doubling, to the depth of the longest context."""
@@ -275,22 +281,36 @@ class RunLengthIndex:
             live = live[out[live] < limit[live]]
         return out
 
-    def matching_statistics(self) -> np.ndarray:
-        """For each position its common prefix with the suffix before it in order, streamed from the samples of the run heads."""
-        order = np.argsort(self.sample)
-        at, common = self.sample[order], self.sample_common[order]
-        last = np.searchsorted(at, np.arange(self.n), side="right") - 1
-        fallen = common[last] - (np.arange(self.n) - at[last])
-        return np.where(last >= 0, np.maximum(fallen, 0), 0)
+    def matching_statistics(self, block: int = 1 << 16) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """Streams over the text, a block of positions at a time: the suffix before each in order (-1: none), and the length of their common prefix.
+
+        Inside a run all suffixes have the same character before them, so between two sampled places both move on together: the suffix before by one
+        position, and the common prefix falls by one.
+        """
+        for start in range(0, self.n, block):
+            at = np.arange(start, min(start + block, self.n))
+            run = np.searchsorted(self.head, at, side="right") - 1
+            moved = at - self.head[run]
+            known = (run >= 0) & (self.tail[run] >= 0)
+            yield slice(start, start + len(at)), np.where(known, self.tail[run] + moved, -1), np.where(known, np.maximum(self.common[run] - moved, 0), 0)
 
     def earliest(self, keys: np.ndarray, length: int) -> np.ndarray:
-        """For each position the smallest key among the occurrences of its next `length` bytes (its own if there are fewer)."""
-        common = self.matching_statistics()[self.suffixes]
-        heads = np.flatnonzero(common < length)
-        least = np.minimum.reduceat(keys[self.suffixes], heads) if len(heads) else keys
-        out = np.empty(self.n, np.int64)
-        out[self.suffixes] = np.repeat(least, np.diff(np.append(heads, self.n)))
-        return np.where(self.room >= length, out, keys)
+        """For each position the smallest key among the occurrences of its next `length` bytes (its own if there are fewer).
+
+        Occurrences are a chain: from each one to the suffix before it in order, as long as they agree in so many bytes.
+        """
+        top = np.arange(self.n)
+        for place, above, common in self.matching_statistics():
+            linked = common >= length
+            top[place][linked] = above[linked]
+        while True:  # to the top of every chain
+            further = top[top]
+            if np.array_equal(further, top):
+                break
+            top = further
+        least = keys.copy()
+        np.minimum.at(least, top, keys)
+        return least[top]
 
 
 def _mark(contexts: list[bytes], doc: np.ndarray, tag: np.ndarray, lo: np.ndarray, length: int) -> pa.RecordBatch:
@@ -414,12 +434,15 @@ def _fetch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["m", "doc", "tag", "lo", "at", "bytes", "hot"])
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """(doc, tag, lo, hi): spans of bytes that are covered by repeats; they may overlap. See document_key for doc and tag."""
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, fold: bool = True) -> DataFrame:
+    """(doc, tag, lo, hi): spans of bytes that are covered by repeats; they may overlap. See document_key for doc and tag.
+
+    Without fold, equal contexts aren't folded by their hashes, and the index marks them all; the spans cover the same bytes.
+    """
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text")
     least = partitions_for(spark, texts.count(), 5_000)
-    found = texts.mapInArrow(_find_anchors(length, gram), _ANCHOR)
+    found = texts.mapInArrow(_find_anchors(length, gram, fold), _ANCHOR)
     seen = written(_resolve(found, least), "repeats")
     spans = seen.where("NOT more").select("doc", "tag", "lo", "hi")
     edge = seen.where("more").select("m", "doc", "tag", "at", "lo", "hi")
@@ -446,11 +469,11 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, kept: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, kept: str = "text", fold: bool = True) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans and kept: what is left as "text" (without bytes of characters that were cut apart), as "bytes", or as its "sha256" in hex."""
     names = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept", "doc", "tag", "spans")]
     carried = [c for c in names if kept == "bytes" or c != "text"]
-    found = repeats(docs, length, gram, hot).groupBy("doc", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    found = repeats(docs, length, gram, hot, fold).groupBy("doc", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     joined = docs.select(*names, *document_key()).join(found, ["doc", "tag"], "left").select(*names, "spans")
     schema = docs.select(*carried).schema
     shape = {"text": lambda x: x.decode("utf-8", "ignore"), "bytes": lambda x: x, "sha256": lambda x: hashlib.sha256(x).hexdigest()}[kept]

@@ -66,6 +66,22 @@ def test_equals_brute_force(spark, seed, hot):
         assert (x.n_bytes, x.n_removed, x.n_spans, x.kept) in by_size[d, x.n_bytes], (x.doc_id, x)
 
 
+@pytest.mark.parametrize("hot", [R.HOT, 3])
+def test_index_alone_gives_the_same(spark, hot):
+    """Without folding by hashes the index compares all bytes, and removes the same."""
+    docs = spark.createDataFrame([(d, t, "") for d, t in rows_of(3)], DOCS).drop("spans").repartition(5)
+    folded, alone = (sorted(map(tuple, R.remove_repeats(docs, hot=hot, kept="sha256", fold=f).collect()), key=str) for f in (True, False))
+    assert folded == alone and any(x[2] for x in folded)
+
+
+def test_repetitive_text_has_few_runs():
+    r = random.Random(1)
+    passage = bytes(r.choice(b"abcdefgh") for _ in range(500))
+    contexts = [passage[a : a + 300] for a in range(0, 200, 2)]
+    index = R.RunLengthIndex(contexts)
+    assert len(index.head) == len(index.runs) < index.n / 20
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_matching_statistics(seed):
     r = random.Random(seed)
@@ -77,15 +93,21 @@ def test_matching_statistics(seed):
         text += [(1, b) for b in c] + [(0, k)]
         ends.append(len(text))
     order = sorted(range(len(text)), key=lambda i: text[i:])
-    assert index.suffixes.tolist() == order
-    want = [0] * len(text)
+    want, above = [0] * len(text), [-1] * len(text)
     for a, b in zip(order, order[1:], strict=False):
         n = 0
         while text[a + n] == text[b + n] and text[a + n][0]:
             n += 1
-        want[b] = n
-    assert index.matching_statistics().tolist() == want
-    assert len(index.runs) <= len(text)
+        want[b], above[b] = n, a
+    for block in (7, 1 << 16):
+        found = list(index.matching_statistics(block))
+        assert [x for _, _, c in found for x in c.tolist()] == want
+        assert [x for _, a, _ in found for x in a.tolist()] == above
+    # The runs are the transform.
+    transform = [text[i - 1] if i else (0, -1) for i in order]
+    runs = [k for k in range(len(text)) if not k or transform[k] != transform[k - 1]]
+    assert index.run_starts.tolist() == runs
+    assert index.runs.tolist() == [transform[k][1] + 1 if transform[k][0] else 0 for k in runs]
     keys = np.arange(len(text))
     least = index.earliest(keys, 5)
     for i in range(len(text)):
