@@ -1,7 +1,6 @@
 """WARC archives of pages and a two-level capture index over them.
 
-Writing: payload digests are taken in one pass; of equal payloads the capture with the largest id becomes the response and
-the others revisits of it. Tasks write gzip-membered WARC files into the shared folder, under a name of the attempt's
+Writing: of equal payloads the capture with the largest id becomes the response and the others revisits of it. Tasks write gzip-membered WARC files into the shared folder, under a name of the attempt's
 own, and return where each record lies; these rows are written as a table at once, so a lost executor never leads to a
 second set of files being used.
 
@@ -11,12 +10,13 @@ of index files with their first keys, one entry for about ``FILE_LINES`` capture
 
 Reading: requests are sorted the same way; for each, the upper level and the directory are searched by bisection, the
 block is read by its range and searched by bisection, and the record is read by its range in the archive. A revisit is
-resolved through the same index to the record that it refers to. Files are reached through pyarrow's file systems, so the
-shared folder may be any store that these know.
+resolved through the same index to the record that it refers to. Files are reached through pyarrow's file systems, by the path as Spark
+resolves it, so the shared folder may be any store that both know.
 
 Defined cases: a null html is an empty payload; a null url has an empty key and no target line; control characters and white space in a
 url are percent-encoded; a null id is archived with an empty id and comes back as null; rows that repeat an id and a url give one
-record each; an empty table gives no rows; other columns are ignored. Payloads smaller than ``least`` bytes are all responses.
+record each; an empty table gives no rows; other columns are ignored. Payloads smaller than ``least`` bytes are all responses. Of equal payloads without any id all
+are responses; a very long payload is one record, held whole by the task that writes or reads it.
 """
 
 from __future__ import annotations
@@ -37,19 +37,21 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..tables import qualified
 from .common import new_path, partitions_for, slices, text_bytes, written
 
 BLOCK_LINES = 1_000
 FILE_LINES = 50_000
 ROLL_BYTES = 256 << 20
+MOST_HOT = 200_000
 #: Record header lines of WARC 1.1.
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
-def file_system(path: str) -> tuple[pa.fs.FileSystem, str]:
-    return pa.fs.FileSystem.from_uri(path if "://" in path else f"file://{path}" if path.startswith("/") else path.replace("file:/", "file:///", 1))
+def file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:
+    return pa.fs.FileSystem.from_uri(uri)
 
 
 def clean_url(url: str | None) -> str:
@@ -106,8 +108,8 @@ def parse(member: bytes) -> tuple[dict[str, str], bytes]:
     return fields, body.partition(b"\r\n\r\n")[2]
 
 
-def decide(pages: DataFrame, least: int = 0) -> DataFrame:
-    """pages (page_id, url, html) with payload_digest, and winner and winner_url, the capture that equal payloads refer to."""
+def _digests(pages: DataFrame) -> DataFrame:
+    """pages with the clean url, the payload and its digest."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
@@ -117,9 +119,27 @@ def decide(pages: DataFrame, least: int = 0) -> DataFrame:
             columns = [batch.column("page_id").cast(pa.int64()), pa.array(urls, pa.string()), pa.array(payloads, pa.binary()), pa.array(digests, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "payload", "payload_digest"])
 
-    read = pages.select("page_id", "url", "html").mapInArrow(run, "page_id bigint, url string, payload binary, payload_digest string")
-    best = read.where(F.coalesce(F.octet_length("payload"), F.lit(0)) >= least).groupBy("payload_digest").agg(F.max(F.struct("page_id", "url")).alias("w"))
-    return read.join(best, "payload_digest", "left").select("page_id", "url", "payload", "payload_digest", F.col("w.page_id").alias("winner"), F.col("w.url").alias("winner_url"))
+    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id bigint, url string, payload binary, payload_digest string")
+
+
+def decide(pages: DataFrame, least: int = 0, most_hot: int = MOST_HOT) -> DataFrame:
+    """pages (page_id, url, html) with payload_digest, and winner and winner_url, the capture that equal payloads refer to.
+
+    Winners come from a table without payloads. Those of frequent digests, at most `most_hot`, are sent to the tasks: their captures aren't
+    shuffled, and only the winner keeps its payload. The others are joined by digest.
+    """
+    read = _digests(pages)
+    best = read.where(F.coalesce(F.octet_length("payload"), F.lit(0)) >= least).groupBy("payload_digest").agg(F.max(F.struct("page_id", "url")).alias("w"), F.count("*").alias("n"))
+    best = written(best.select("payload_digest", F.col("w.page_id").alias("winner"), F.col("w.url").alias("winner_url"), "n"), "winners")
+    total = best.agg(F.sum("n")).first()[0] or 0
+    frequent = F.col("n") > max(100, total // most_hot)
+    hot = best.where(frequent).drop("n").withColumn("hot", F.lit(True))
+    marked = read.join(F.broadcast(hot), "payload_digest", "left")
+    own = F.col("winner").isNull() | F.col("winner").eqNullSafe(F.col("page_id"))
+    kept = ("page_id", "url", "payload", "payload_digest", "winner", "winner_url")
+    ready = marked.where("hot").withColumn("payload", F.when(own, F.col("payload"))).select(*kept)
+    rest = marked.where("hot IS NULL").drop("winner", "winner_url", "hot").join(best.where(~frequent).drop("n"), "payload_digest", "left").select(*kept)
+    return ready.unionByName(rest)
 
 
 def write_archives(decided: DataFrame, folder: str) -> DataFrame:
@@ -300,7 +320,7 @@ def read_back(pages: DataFrame, index: list[tuple[str, str]], index_folder: str,
 def archive(pages: DataFrame, least: int = 0) -> tuple[list[tuple[str, str]], str, str, int]:
     """Writes archives and index of pages; (upper index level, index folder, archive folder, captures)."""
     spark = pages.sparkSession
-    archives, index_folder = new_path(spark, "warc"), new_path(spark, "cdx")
+    archives, index_folder = (qualified(spark, new_path(spark, name)) for name in ("warc", "cdx"))
     captures = write_archives(decide(pages, least), archives)
     n = captures.count()
     return write_index(captures, index_folder, max(1, -(-n // FILE_LINES))), index_folder, archives, n

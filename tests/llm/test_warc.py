@@ -47,6 +47,17 @@ def test_repeated_rows_and_empty(spark):
     assert W.archive_and_read(pages.limit(0)).collect() == []
 
 
+def test_frequent_payloads_are_not_shuffled(spark):
+    """Captures of a frequent digest keep no payload but the winner's, and long and missing payloads come back whole."""
+    rows = [(i, f"http://h{i}.org/", "frequent " * 50) for i in range(300)] + [(900 + i, f"http://e{i}.org/", None if i % 2 else "") for i in range(200)]
+    rows += [(5000, "http://long.org/", "long é" * 200_000), (5001, "http://long.org/", "long é" * 200_000), (5002, "http://one.org/", "once")]
+    rows += [(None, f"http://n{i}.org/", "frequent " * 50) for i in range(2)]
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], PAGES).repartition(3)
+    decided = W.decide(pages).collect()
+    assert sum(x.payload is not None and bytes(x.payload) == b"frequent " * 50 for x in decided) == 1
+    assert sorted(map(tuple, W.archive_and_read(pages).collect()), key=str) == want(rows)
+
+
 def test_keys():
     assert W.reversed_host_key("https://www.Example.com:443/a?b=1") == "com,example,www)/a?b=1"
     assert W.reversed_host_key("http://h.org:81") == "org,h:81)/"
