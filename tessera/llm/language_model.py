@@ -34,16 +34,16 @@ from pyspark.sql import functions as F
 from .common import slices, text_bytes, written
 
 END = b"\n"
-SHORT, PER_CLASS, TAIL = 2048, 64, 128
+SHORT, PER_CLASS, TAIL = 2048, 128, 96
 TOP = 300_000
-HIDDEN = 24
+HIDDEN = 20
 #: Every training document is in one of the rounds, and there in one of the groups, each of about GROUP_TOKENS tokens, or more if there were more than MOST_GROUPS.
 ROUNDS, GROUP_TOKENS, MOST_GROUPS = 2, 1_000_000, 1 << 14
 STREAMS, WINDOW, LEAST_STEPS = 256, 16, 64
 RATE = 0.01
 CLIP = 60.0
 HELD = 4_000_000
-BATCH, SPAN = 1024, 32
+BATCH, SPAN = 512, 16
 SEED = 3
 
 
@@ -424,7 +424,7 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, held, rounds: int = ROUNDS
     for r in range(rounds):
         start = spark.sparkContext.broadcast(flat)
         mine = encoded.where(F.pmod("place", F.lit(rounds)) == r).select(F.pmod(F.xxhash64("place"), F.lit(groups)).alias("group"), "place", "doc_id", "ids")
-        copies = written(mine.repartition(groups, "group").sortWithinPartitions("group", "place", "doc_id", "ids").mapInArrow(_learn(held, start, RATE / (1 + r)), "w binary, n bigint"), "weights")
+        copies = written(mine.repartitionById(groups, F.col("group").cast("int")).sortWithinPartitions("group", "place", "doc_id", "ids").mapInArrow(_learn(held, start, RATE / (1 + r)), "w binary, n bigint"), "weights")
         while (k := copies.count()) > 32:
             copies = written(copies.repartition(-(-k // 32)).mapInArrow(_mean, "w binary, n bigint"), "weights")
         rows = copies.collect()  # at most 32 copies
