@@ -150,14 +150,24 @@ class Automaton:
         return out[::-1]
 
 
+def _code_points(block: int = 1 << 13) -> Iterator[list[str]]:
+    """All code points beyond ASCII but surrogates, a block at a time."""
+    for start in range(0, 0x110000, block):
+        if part := [chr(i) for i in range(max(start, 0x80), start + block) if not 0xD800 <= i < 0xE000]:
+            yield part
+
+
 def _differing(kind: str) -> str:
     """Ranges of code points that this regex module counts to the class and the tokenizers library, of an older Unicode, doesn't."""
     from tokenizers import Regex, pre_tokenizers
 
-    ours = [c for c in regex.findall(rf"\p{{{kind}}}", "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)])))]
     split = pre_tokenizers.Split(Regex(rf"\p{{{kind}}}"), "removed", invert=True)
-    theirs = {c for c, _ in split.pre_tokenize_str(" ".join(ours))}
-    return _ranges(ord(c) for c in ours if c not in theirs)
+    out = []
+    for every in _code_points():
+        ours = regex.findall(rf"\p{{{kind}}}", "".join(every))
+        theirs = {c for c, _ in split.pre_tokenize_str(" ".join(ours))}
+        out += [ord(c) for c in ours if c not in theirs]
+    return _ranges(out)
 
 
 def _split_pattern(pattern: str) -> str:
@@ -198,11 +208,12 @@ def _unsettled(normalize) -> str:
             return False
         return unicodedata.category(c) == "Cn" or unicodedata.combining(c) != 0 or unicodedata.decomposition(c) != ""
 
-    every = [chr(i) for i in (*range(0x80, 0xD800), *range(0xE000, 0x110000))]
-    mine, theirs = " ".join(map(_lower, every)).split(" "), normalize(" ".join(c for c in every if not c.isspace())).split(" ")
-    found = iter(theirs)
-    same = [c.isspace() or x == next(found) for c, x in zip(every, mine, strict=True)]
-    return _ranges(ord(c) for c, equal in zip(every, same, strict=True) if not equal or open_(c))
+    found = []
+    for every in _code_points():
+        alone = [c for c in every if not c.isspace()]
+        theirs = normalize(" ".join(alone)).split(" ")
+        found += [ord(c) for c, x in zip(alone, theirs, strict=True) if _lower(c) != x or open_(c)]
+    return _ranges(found)
 
 
 def _is_latin(text: str) -> bool:
