@@ -69,6 +69,12 @@ class _Text(HTMLParser):
             self.parts.append(data.strip())
 
 
+def best_text(html: Column, least_words: int = 30) -> Column:
+    """The parser's text if it has enough words, else the text by pattern."""
+    parsed = extract(html)["text"]
+    return F.when(X.word_count(parsed) >= least_words, parsed).otherwise(page_text(html))
+
+
 @F.pandas_udf(_EXTRACTED)
 def extract(html: pd.Series) -> pd.DataFrame:
     """Title, text and raw links by a real parser; pages that no pattern fits need one."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
@@ -63,6 +63,20 @@ def perplexity(metrics: DataFrame, loss: str = "loss") -> DataFrame:
     return metrics.agg(F.avg(loss).alias("mean_loss")).withColumn("perplexity", F.exp(F.least("mean_loss", F.lit(20.0))))
 
 
+def cosine_lr(step: Column, warmup: int, total: int, peak: float, floor: float) -> Column:
+    """The learning rate of a step: linear up to the peak, then half a cosine down to the floor, which stays."""
+    share = (step - warmup) / F.lit(max(total - warmup, 1))
+    down = F.lit(floor) + F.lit((peak - floor) / 2) * (F.cos(share * F.pi()) + 1)
+    return F.when(step < warmup, F.lit(peak) * step / F.lit(max(warmup, 1))).when(step > total, F.lit(floor)).otherwise(down)
+
+
+def parameter_count(models: DataFrame) -> DataFrame:
+    """models (vocabulary, layers, heads, kv_heads, width, inner) of decoders with gated feed-forward layers, with n_parameters."""
+    kv = F.floor(F.col("width") / F.col("heads")) * F.col("kv_heads")
+    layer = 2 * F.col("width") * (F.col("width") + kv) + 3 * F.col("width") * F.col("inner") + 2 * F.col("width")
+    return models.withColumn("n_parameters", (2 * F.col("vocabulary") * F.col("width") + F.col("layers") * layer + F.col("width")).cast("long"))
+
+
 def next_id(ids: DataFrame, column: str) -> DataFrame:
     return ids.agg((F.coalesce(F.max(column), F.lit(0)) + 1).alias("next_id"))
 

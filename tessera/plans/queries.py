@@ -472,8 +472,7 @@ def shard_offsets(spark, sf_dir):
 
 @query(OFFSETS + f", e AS (SELECT *, unnest(range(first_shard, last_shard + 1)) AS shard FROM s) SELECT shard::BIGINT AS shard, sum(least(n_tokens, (shard + 1) * {SHARD} - token_offset) - greatest(0, shard * {SHARD} - token_offset))::BIGINT AS tokens, count(*) AS parts FROM e GROUP BY shard")
 def shard_pack(spark, sf_dir):
-    docs = documents(spark, sf_dir).select("doc_id", shards.byte_tokens(F.col("text")).alias("tokens"))
-    return shards.shard_stats(shards.pack(docs, ["doc_id"], shard_size=SHARD))
+    return shards.shard_stats(shards.pack_texts(documents(spark, sf_dir), ["doc_id"], shard_size=SHARD))
 
 
 @query("SELECT doc_id AS shard, unnest(range(0, (octet_length(encode(text)) + 1 - 258) + 1, 256))::INT AS start FROM documents WHERE octet_length(encode(text)) + 1 > 257")

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import expressions as X
 from ..functions import values as V
 from ..functions.scores import apply_weights, citation_bonus, signal_score, star_bonus
 from ..schema import DOCUMENT, as_documents
+from ..tables import written
 
 
 def text_list(spark: SparkSession, path: str) -> DataFrame:
@@ -46,7 +49,7 @@ def page_documents(pages: DataFrame, least_words: int = 30, max_bytes: int = 5_0
     from ..operators.html import page_text, page_title
 
     fit = pages.where(F.coalesce(F.octet_length("html"), F.lit(0)) <= max_bytes)
-    read = fit.select(F.col("page_id").alias("ord"), "url", page_title(F.col("html")).alias("title"), page_text(F.col("html")).alias("text"))
+    read = written(fit.select(F.col("page_id").alias("ord"), "url", page_title(F.col("html")).alias("title"), page_text(F.col("html")).alias("text")), "page-texts")  # read twice below
     kept = exact_dedup(read.where(X.word_count(F.col("text")) >= least_words))
     url, text = F.col("url"), F.col("text")
     docs = as_documents(kept.withColumns({
@@ -88,16 +91,43 @@ def issue_documents(issues: DataFrame) -> DataFrame:
     return apply_weights(as_documents(kept.withColumns({"text": text, "doc_id": F.md5("html_url"), "url": F.col("html_url"), "source": F.lit("github"), "domain": F.lit("github.com"), "content_type": F.lit("technical_qa")})))
 
 
+_LISTS = ("authors", "categories")
+_ENTRY = T.StructType([T.StructField(n, T.ArrayType(T.StringType()) if n in _LISTS else T.StringType()) for n in ("arxiv_id", "url", "title", "abstract", "authors", "categories", "published", "updated", "doi")])
+
+
+@F.pandas_udf(T.ArrayType(_ENTRY))
+def _entries(feeds: pd.Series) -> pd.Series:
+    """The entries of each feed, element by element; XPath expressions of columns can't stay inside one entry. A feed that isn't XML has none."""
+    import xml.etree.ElementTree as tree
+
+    local = lambda e: e.tag.rsplit("}", 1)[-1]
+    squeezed = lambda t: " ".join((t or "").split())
+
+    def of(xml: str | None) -> list[dict]:
+        try:
+            root = tree.fromstring(xml or "")
+        except tree.ParseError:
+            return []
+        out = []
+        for entry in (e for e in root.iter() if local(e) == "entry"):
+            first: dict[str, str] = {}
+            for e in entry:
+                first.setdefault(local(e), e.text or "")
+            url = squeezed(first.get("id"))
+            out.append({
+                "arxiv_id": re.sub(r"v\d+$", "", url.rsplit("/abs/", 1)[-1]), "url": url, "title": squeezed(first.get("title")), "abstract": squeezed(first.get("summary")),
+                "authors": [squeezed(n.text) for a in entry if local(a) == "author" for n in a if local(n) == "name"],
+                "categories": [c.get("term") for c in entry if local(c) == "category" and c.get("term")],
+                "published": squeezed(first.get("published")), "updated": squeezed(first.get("updated")), "doi": squeezed(first.get("doi")),
+            })
+        return out
+
+    return feeds.map(of)
+
+
 def atom_entries(feeds: DataFrame) -> DataFrame:
-    """Entries of Atom feeds (xml): id, title, abstract, authors, categories, published, updated, doi."""
-    local = lambda name: f"*[local-name()='{name}']"
-    n = F.size(F.xpath("xml", F.lit(f"//{local('entry')}/{local('id')}/text()")))
-    entry = feeds.select("xml", F.explode(F.when(n > 0, F.sequence(F.lit(1), n))).alias("i"))
-    # Paths must be constants, so all values are taken at once and the entry's own is picked.
-    one = lambda name: F.get(F.xpath("xml", F.lit(f"//{local('entry')}/{local(name)}/text()")), F.col("i") - 1)
-    clean = lambda c: F.regexp_replace(F.regexp_replace(c, r"\s+", " "), "^ | $", "")
-    url = one("id")
-    return entry.select(F.split(F.element_at(F.split(url, "/abs/"), -1), "v")[0].alias("arxiv_id"), url.alias("url"), clean(one("title")).alias("title"), clean(one("summary")).alias("abstract"), one("published").alias("published"), one("updated").alias("updated"))
+    """Entries of Atom feeds (xml): arxiv_id without its version, url, title, abstract, authors, categories, published, updated, doi; what an entry lacks is empty."""
+    return feeds.select(F.explode(_entries(F.col("xml"))).alias("e")).select("e.*")
 
 
 def paper_documents(papers: DataFrame, citations: DataFrame | None = None) -> DataFrame:
@@ -123,17 +153,47 @@ def repair_hyphens(text):
     return F.regexp_replace(F.regexp_replace(text, r"(\w)-\n(\w)", "$1$2"), r"\n{3,}", "\n\n")
 
 
-def sitemap_urls(maps: DataFrame) -> DataFrame:
-    """(base, url) of the loc elements of sitemaps (base, xml); one sitemap for each base."""
-    return maps.dropDuplicates(["base"]).select("base", F.explode(F.xpath("xml", F.lit("//*[local-name()='loc']/text()"))).alias("url")).select("base", F.regexp_replace("url", r"^\s+|\s+$", "").alias("url"))
+def _locs(xml, parent: str):
+    """The loc elements of a sitemap (urlset: pages) or of an index of sitemaps (sitemapindex)."""
+    return F.transform(F.xpath(xml, F.lit(f"/*[local-name()='{parent}']/*/*[local-name()='loc']/text()")), lambda u: F.regexp_replace(u, r"^\s+|\s+$", ""))
+
 
+def sitemap_urls(maps: DataFrame, fetched: DataFrame | None = None, depth: int = 1) -> DataFrame:
+    """(base, url) of the pages that sitemaps (base, xml) name; one sitemap for each base.
 
-def union_sources(sources: dict[str, DataFrame]) -> DataFrame:
-    """Documents of several sources, in their fixed order of precedence."""
+    An index names other sitemaps: those in fetched (url, xml) are followed, `depth` times; a base is then their own's.
+    """
+    maps = maps.dropDuplicates(["base"])
+    out = maps.select("base", F.explode(_locs(F.col("xml"), "urlset")).alias("url"))
+    if fetched is None or not depth:
+        return out
+    inner = maps.select("base", F.explode(_locs(F.col("xml"), "sitemapindex")).alias("url")).distinct().join(fetched.select("url", F.col("xml").alias("_xml")), "url")
+    pages = inner.select("base", F.explode(_locs(F.col("_xml"), "urlset")).alias("url"))
+    for _ in range(depth - 1):
+        inner = inner.select("base", F.explode(_locs(F.col("_xml"), "sitemapindex")).alias("url")).distinct().join(fetched.select("url", F.col("xml").alias("_xml")), "url")
+        pages = pages.unionByName(inner.select("base", F.explode(_locs(F.col("_xml"), "urlset")).alias("url")))
+    return out.unionByName(pages).distinct()
+
+
+def starred(repositories: DataFrame, least: int = 0, least_words: int = 20) -> DataFrame:
+    """Repositories (stars, readme) with enough stars; readme is null where it has fewer words than it must."""
+    return repositories.where(F.coalesce("stars", F.lit(0)) >= least).withColumn("readme", F.when(X.word_count(F.coalesce("readme", F.lit(""))) >= least_words, F.col("readme")))
+
+
+def base64_bodies(files: DataFrame, content: str = "content", encoding: str = "encoding"):
+    """Files whose bodies came as base64, as text; other encodings as they are, and nothing where the body can't be decoded."""
+    plain = F.expr(f"try_to_binary(regexp_replace({content}, '\\\\s', ''), 'base64')")
+    return files.withColumn("text", F.when(F.col(encoding) == "base64", F.decode(plain, "UTF-8")).otherwise(F.col(content)))
+
+
+def union_sources(sources: dict[str, DataFrame], overwrite: bool = True) -> DataFrame:
+    """Documents of several sources, in their fixed order of precedence; without overwrite a row's own source stands, as when group files are put together."""
     order = ("web", "github", "arxiv", "huggingface", "google")
     out = None
     for name in sorted(sources, key=lambda s: order.index(s) if s in order else len(order)):
-        rows = sources[name].withColumn("source", F.lit(name))
+        rows = sources[name]
+        own = F.col("source") if "source" in rows.columns and not overwrite else F.lit(None)
+        rows = rows.withColumn("source", F.coalesce(own, F.lit(name)))
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     return out
 
@@ -144,20 +204,25 @@ def tag_group(docs: DataFrame, group: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, path: str, last: int | None = None) -> DataFrame:
-    """(file, line, n) of text logs, n from 0 within a file; the last lines of each file, if asked."""
+    """(file, at, line) of text logs without their empty lines; at orders a file's lines. The last lines of each file, if asked.
+
+    Lines are read as rows, so a log of any size is cut into splits; ids of rows rise within a split, and splits in the order of their blocks.
+    """
     from pyspark.sql import Window
 
-    whole = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), F.posexplode(F.split("value", "\n")).alias("n", "line"))
-    lines = whole.where("line <> ''")
+    read = spark.read.text(path).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"), F.col("value").alias("line"))
+    lines = read.where("line <> ''").select("file", F.struct("_block", "_row").alias("at"), "line")
     if last is None:
         return lines
-    return lines.withColumn("_n", F.row_number().over(Window.partitionBy("file").orderBy(F.desc("n")))).where(F.col("_n") <= last).drop("_n")
+    return lines.withColumn("_n", F.row_number().over(Window.partitionBy("file").orderBy(F.desc("at")))).where(F.col("_n") <= last).drop("_n")
 
 
 def file_tree(spark: SparkSession, path: str) -> DataFrame:
-    """(path, size, sha256, modified) of all files below path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"), F.col("modificationTime").alias("modified"))
+    """(path, size, sha256, modified) of all files below path; hashes as sinks.hashed has them."""
+    from .sinks import hashed
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
+    return files.select("path", F.col("modificationTime").alias("modified")).join(hashed(files), "path").select("path", "size", "sha256", "modified")
 
 
 def binary_shards(spark: SparkSession, path: str, bits: int = 16) -> DataFrame:
@@ -167,4 +232,4 @@ def binary_shards(spark: SparkSession, path: str, bits: int = 16) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({"file": pdf["path"].str.rsplit("/", n=1).str[-1], "tokens": [np.frombuffer(c, f"<u{bits // 8}").astype(np.int32) for c in pdf["content"]]})
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(read, "file string, tokens array<int>")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(path).select("path", "content").mapInPandas(read, "file string, tokens array<int>")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -54,11 +54,11 @@ def gate(pages: DataFrame, domain: str = "domain", score: str = "score", order:
     return pages.groupBy(domain).applyInPandasWithState(run, "domain string, ord bigint, admitted boolean", _STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def buffered_dedup(docs: DataFrame, path: str, checkpoint: str, threshold: float = 0.92):
-    """A stream whose batches are each freed of near copies and appended to path."""
+def buffered_dedup(docs: DataFrame, path: str, checkpoint: str, threshold: float | Callable[[], float] = 0.92):
+    """A stream whose batches are each freed of near copies and appended to path. A threshold that is a function is asked anew for every batch, so settings may change while the stream runs."""
     from ..operators.dedup import best_of_clusters, jaccard_clusters
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        best_of_clusters(batch, jaccard_clusters(batch, threshold)).withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(path)
+        best_of_clusters(batch, jaccard_clusters(batch, threshold() if callable(threshold) else threshold)).withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(path)
 
     return docs.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
