@@ -317,11 +317,6 @@ def reclassify(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", X.reclassify(F.lit("unknown"), F.col("text")).alias("content_type"))
 
 
-@query()
-def classify_text(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", X.classify_text(F.col("text")).alias("content_type"))
-
-
 @query(PAGES + f""", d AS (SELECT page_id, {DOMAIN} AS domain, t, {sql_quality('t')} AS q FROM p WHERE {sql_n_words('t')} >= 30 QUALIFY row_number() OVER (PARTITION BY t ORDER BY page_id) = 1)
  SELECT page_id, domain, round(0.8 * 0.8 * q, 6) AS final_weight FROM d""")
 def page_weights(spark, sf_dir):
