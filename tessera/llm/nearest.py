@@ -1,16 +1,16 @@
 """Approximate nearest neighbours by cosine: probed lists scanned with adaptive dimension sampling.
 
-Unit vectors are dealt into lists by their nearest centroid; centroids are fitted on a bounded sample (``FIT_ROWS``), every row is
-indexed. A random rotation spreads a vector's length evenly over its dimensions, so the distance over the first d of D
+Unit vectors are dealt into lists by their nearest centroid; centroids are fitted on a bounded sample (at most ``FIT_ROWS``), every row is
+indexed, and lists grow in number with the root of the table's rows, up to one for eight sampled rows. A random rotation spreads a vector's length evenly over its dimensions, so the distance over the first d of D
 rotated dimensions, scaled by D/d, estimates the whole. Within a probed list vectors lie in column blocks; after each block a
 candidate is abandoned when its estimate exceeds the distance of the best k so far by more than the test's margin,
-(1 + EPSILON / sqrt(d)). What is left is scored exactly, in double precision on the original vectors.
+(1 + EPSILON / sqrt(d)); the best so far grow better from one piece of ``PIECE`` candidates to the next. What is left is scored exactly, in double precision on the original vectors.
 
 How many lists a query probes is calibrated on the same sample: the least number that finds ``GOAL`` of the true
 neighbours among its rows, so clustered data probe few lists and data without structure probe many.
 
-Lists are cut into chunks of bounded size and queries into blocks of bounded size, so a task holds one chunk and one block
-however large a list is. Each pair of chunk and block yields k rows for a query; a window over queries keeps the best.
+Queries are sent to the lists that they probe and nowhere else. Lists are cut into chunks of bounded size, and the queries of a list into blocks of bounded size, so a task holds one chunk and one block
+however large a list is; a vector is copied once for each block of its list's queries. Each pair of chunk and block yields k rows for a query; a window over queries keeps the best.
 
 Defined cases: null, empty, zero vectors and those with null or non-finite components take no part, nor do vectors whose dimension isn't
 that of most sampled rows; a repeated id counts as a candidate for each of its rows, and as one query; ties go to the smaller
@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from .common import lowest_hashes
 
 K = 5
-FIT_ROWS = 8_000
+FIT_ROWS, FEW_ROWS = 65_536, 8_000
 GOAL = 0.97
 EPSILON = 2.1
 BLOCK = 16
-CHUNK = 4_096
+CHUNK, PIECE = 4_096, 1_024
 QUERY_BLOCK = 4_096
 SEED = 7
 
@@ -64,7 +64,7 @@ class Index:
         self.dim = sample.shape[1]
         self.rotation = np.linalg.qr(rng.standard_normal((self.dim, self.dim)))[0]
         u = unit(sample)
-        n_lists = int(np.clip(np.sqrt(rows) / 2, 1, min(1024, max(1, len(u) // 8))))
+        n_lists = int(np.clip(np.sqrt(rows) / 2, 1, max(1, len(u) // 8)))
         self.centroids = u[rng.choice(len(u), n_lists, replace=False)]
         for _ in range(8):
             own = (u @ self.centroids.T).argmax(1)
@@ -95,31 +95,39 @@ class Index:
 def scan(columns: list[np.ndarray], query: np.ndarray, k: int, epsilon: float = EPSILON) -> np.ndarray:
     """Candidates that the tests leave, among which are the k nearest with high probability.
 
-    columns: blocks of rotated dimensions, each (dimensions, candidates). The k best of the first block seed the threshold.
+    columns: blocks of rotated dimensions, each (dimensions, candidates). Pieces of candidates come one after the other, and the k best distances so far
+    are the threshold; in the first piece, those of the k that its first block puts first.
     """
     dim, n = sum(len(c) for c in columns), columns[0].shape[1]
-    first = columns[0] - query[: len(columns[0]), None]
-    partial = np.einsum("ij,ij->j", first, first)
-    if n <= 2 * k:
-        return np.arange(n)
-    seeds = np.argpartition(partial, 2 * k - 1)[: 2 * k]
-    whole, at = np.zeros(len(seeds)), 0
-    for c in columns:
-        d = c[:, seeds] - query[at : at + len(c), None]
-        whole += np.einsum("ij,ij->j", d, d)
-        at += len(c)
-    radius = np.partition(whole, k - 1)[k - 1]
-    alive, at = np.arange(n), len(columns[0])
-    for c in [*columns[1:], None]:
-        margin = 1.0 if at == dim else 1 + epsilon / np.sqrt(at)
-        keep = partial * (dim / at) <= radius * margin * margin + 1e-9
-        alive, partial = alive[keep], partial[keep]
-        if c is None or not len(alive):
-            break
-        d = c[:, alive] - query[at : at + len(c), None]
-        partial = partial + np.einsum("ij,ij->j", d, d)
-        at += len(c)
-    return np.union1d(alive, seeds[whole <= radius])
+    ends = np.cumsum([len(c) for c in columns])
+
+    def distances(c: np.ndarray, end: int, at) -> np.ndarray:
+        d = c[:, at] - query[end - len(c) : end, None]
+        return np.einsum("ij,ij->j", d, d)
+
+    best, kept, found = np.empty(0), [], []
+    for start in range(0, n, PIECE):
+        alive = np.arange(start, min(start + PIECE, n))
+        partial = distances(columns[0], ends[0], slice(start, start + len(alive)))
+        if len(best) < k:
+            seeds = alive[np.argsort(partial, kind="stable")[:k]]
+            best = np.sort(np.append(best, sum(distances(c, e, seeds) for c, e in zip(columns, ends, strict=True))))[:k]
+            again = seeds
+        else:
+            again = seeds[:0]
+        radius = best[-1] if len(best) == k else np.inf
+        for j, end in enumerate(ends):
+            if j:
+                partial = partial + distances(columns[j], end, alive)
+            margin = 1.0 if end == dim else 1 + epsilon / np.sqrt(end)
+            keep = partial * (dim / end) <= radius * margin * margin + 1e-9
+            alive, partial = alive[keep], partial[keep]
+        new = ~np.isin(alive, again)  # the seeds' distances are among the best already
+        best = np.sort(np.append(best, partial[new]))[:k]
+        kept.append(alive)
+        found.append(partial)
+    left, whole = np.concatenate(kept), np.concatenate(found)
+    return left[whole <= best[-1] + 1e-9] if len(best) == k else left
 
 
 def _search(index: Index, k: int):
@@ -157,7 +165,8 @@ _OWN = "vec_id bigint, list int, embedding array<double>"
 def fit(vectors: DataFrame, k: int = K, goal: float = GOAL) -> tuple[Index | None, int]:
     """The index and the number of rows, from a bounded sample: the rows whose ids hash lowest."""
     rows = vectors.count()
-    sample = lowest_hashes(vectors.where("embedding IS NOT NULL AND vec_id IS NOT NULL"), "vec_id", FIT_ROWS).select("embedding").toArrow().column("embedding")
+    most = int(np.clip(8 * np.sqrt(rows), FEW_ROWS, FIT_ROWS))  # 16 rows for each list
+    sample = lowest_hashes(vectors.where("embedding IS NOT NULL AND vec_id IS NOT NULL"), "vec_id", most).select("embedding").toArrow().column("embedding")
     sizes = Counter(np.asarray(pa.compute.list_value_length(sample)).tolist())
     sizes.pop(0, None)
     if not sizes:
@@ -188,17 +197,16 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, goal: float = GO
         return run
 
     own = vectors.mapInArrow(deal(False), _OWN)
-    sizes = {r["list"]: r["count"] for r in own.groupBy("list").count().collect()}  # at most 1,024 rows
+    sizes = {r["list"]: r["count"] for r in own.groupBy("list").count().collect()}  # one row for each list
     held = np.cumsum(sorted(sizes.values()))
     index.probes = max(index.probes, min(len(index.centroids), int(np.searchsorted(held, k + 1)) + 1 + len(index.centroids) - len(sizes)))  # enough lists for k others
-    chunks = F.create_map(*(F.lit(v) for a, n in sizes.items() for v in (a, -(-n // CHUNK)))) if sizes else F.create_map(F.lit(0), F.lit(1))
-    blocks = -(-queries.count() // QUERY_BLOCK) or 1
-    placed = own.select("vec_id", "embedding", "list", F.pmod(F.xxhash64("vec_id"), chunks[F.col("list")]).cast("int").alias("chunk"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     probes = queries.where("vec_id IS NOT NULL").dropDuplicates(["vec_id"]).mapInArrow(deal(True), _OWN)
-    asked = probes.where(F.col("list").isin(list(sizes))).select(
-        F.col("vec_id").alias("query_id"), "embedding", "list",
-        F.explode(F.sequence(F.lit(0), chunks[F.col("list")] - 1)).alias("chunk"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
-    )
+    counts = {r["list"]: r["count"] for r in probes.groupBy("list").count().collect()}
+    cuts = spark.createDataFrame([(a, -(-n // CHUNK), -(-counts[a] // QUERY_BLOCK)) for a, n in sizes.items() if a in counts], "list int, chunks int, blocks int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    mine = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    placed = own.join(F.broadcast(cuts), "list").select("vec_id", "embedding", "list", mine("chunks").alias("chunk"), upto("blocks").alias("block"))
+    asked = probes.join(F.broadcast(cuts), "list").select(F.col("vec_id").alias("query_id"), "embedding", "list", upto("chunks").alias("chunk"), mine("blocks").alias("block"))
     key = ["list", "chunk", "block"]
     found = placed.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(_search(index, k), "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

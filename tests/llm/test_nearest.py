@@ -73,3 +73,38 @@ def test_large_lists_are_cut(spark, monkeypatch):
     for x in N.nearest(vectors, vectors.where("vec_id % 50 = 0")).collect():
         got.setdefault(x.query_id, set()).add(x.vec_id)
     assert sum(len(got[q] & {i for i, _ in f}) for q, f in want.items()) >= 0.9 * sum(map(len, want.values()))
+
+
+def test_scan_keeps_the_nearest():
+    """With a wide margin the tests lose nothing, whatever the pieces; ties stay."""
+    r = np.random.default_rng(3)
+    x = r.standard_normal((32, 500))
+    x[:, 400:] = x[:, :100]
+    for piece in (7, 64, 1000):
+        N.PIECE, was = piece, N.PIECE
+        try:
+            for _ in range(20):
+                q = r.standard_normal(32)
+                found = N.scan([x[:16], x[16:]], q, 6, epsilon=50.0)
+                d = ((x - q[:, None]) ** 2).sum(0)
+                assert set(np.flatnonzero(d <= np.sort(d)[5] + 1e-12)) <= set(found.tolist())
+        finally:
+            N.PIECE = was
+
+
+def test_recall_on_the_tables(spark):
+    """Against brute force over the given vectors."""
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = vectors.select("vec_id", "embedding").toPandas()
+    x = np.stack(rows["embedding"].to_numpy()).astype(float)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    ids = rows["vec_id"].to_numpy()
+    got = {}
+    for f in N.nearest(vectors, vectors.where("vec_id % 50 = 0")).collect():
+        got.setdefault(f.query_id, set()).add(f.vec_id)
+    hits = 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        s = u @ u[q]
+        s[q] = -2
+        hits += len(got[ids[q]] & set(ids[np.argsort(-s, kind="stable")[:5]].tolist()))
+    assert hits >= 0.9 * 5 * len(got)
