@@ -45,3 +45,54 @@ def test_stages(spark, tmp_path):
     assert sum("passage30 passage31 passage32" in t for t in texts) == 1
     assert {x.doc_id for x in out.collect()} == after[names[3]]
     assert P.run(spark, sf).count() == out.count()
+
+
+CLASHES = ", kept boolean, _key string, key string, spans string, doc string, score double, `group` string"
+LONG = " ".join(f"long{k % 7001}" for k in range(60_000)) + "."
+
+
+def edges(spark):
+    """Null and empty texts, null and repeated ids, repeated rows, a very long text, and columns with inner names."""
+    sentence = " ".join(f"plain{k}" for k in range(40)) + "."
+    rows = [
+        (None, None, None, None, None), (1, "", "en", "s", 0), (2, None, "en", "s", None), (3, sentence, "en", "s", len(sentence)), (3, sentence, "en", "s", len(sentence)),
+        (3, "another text " + " ".join(f"other{k}" for k in range(40)), None, None, None), (None, "no id " + " ".join(f"nobody{k}" for k in range(40)), "en", "s", 9), (4, LONG, "en", "s", len(LONG)), (5, "few words", "en", "s", 9),
+    ]
+    return rows, spark.createDataFrame([(*r, "n", True, "k", "k", "x", "d", 0.5, "g") for r in rows], DOCS + CLASHES).repartition(3)
+
+
+def test_edges_of_every_stage(spark, tmp_path):
+    sf = str(tmp_path)
+    write(spark, sf)
+    rows, docs = edges(spark)
+    text_of = lambda found: sorted(((x.doc_id, x.text) for x in found), key=str)
+    given = sorted(((r[0], r[1]) for r in rows), key=str)
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, sf)
+        found = out.collect()
+        if name != "best-fit packing":
+            assert tuple(out.columns) == DOCUMENT_COLUMNS, name
+        if name in ("quality classifier", "quality rules"):  # rows are kept or dropped, repeated ones alike, and texts of fewer than ten words fail the rules
+            left = text_of(found)
+            assert all(given.count(x) == left.count(x) for x in left)
+            assert name == "quality classifier" or all(len(t.split()) >= 10 for _, t in left)
+        elif name == "simhash near-dedup":  # null and empty texts are copies, and so are repeated rows; texts that share an id aren't
+            want = [(d, t) for d, t in given if t]
+            want.remove((3, rows[3][1]))
+            assert text_of(found) == sorted([(1, ""), *want], key=str)
+        elif name == "suffix-array dedup":  # the long text repeats itself; a repeated row is one document, so all its rows keep what it keeps
+            assert len(found) == len(rows)
+            assert {(d, t) for d, t in text_of(found) if d != 4} == {(d, t or "") for d, t in given if d != 4}
+            assert 0 < len(next(x.text for x in found if x.doc_id == 4)) < len(LONG) / 5
+        else:
+            pieces = sorted(((x.doc_id, x.piece, x.length) for x in found), key=str)
+            assert sum(1 for _, k, _ in pieces if k == 0) == len(rows) and pieces.count((1, 0, 1)) == 1
+            assert all(n <= 1024 for _, _, n in pieces) and sum(d == 4 for d, _, _ in pieces) > 50
+
+
+def test_empty_table(spark, tmp_path):
+    sf = str(tmp_path)
+    write(spark, sf)
+    _, docs = edges(spark)
+    for name, stage in P.STAGES:
+        assert stage(spark, docs.limit(0), sf).collect() == [], name
