@@ -4,7 +4,8 @@ The content view sees measures of the text (length, capitals, digits, signs, rep
 stated size, alone and together, and never the text. Both are logistic models over binned features. In each round both are fitted and calibrated
 (Platt's sigmoid on labelled rows that are kept out of fitting), and each hands the other the unlabelled rows that it is surest of,
 as many as a share ``GIVEN`` of the labelled rows, of both labels in proportion, with its probabilities as their pseudo-labels. A view is sure of a label if its doubt is at most half of what the
-prior leaves, and at most 1 - ``LEAST_SURE``; a view that knows no more than the prior on the rows kept out hands over nothing. Last, the calibrated
+prior leaves, and at most 1 - ``LEAST_SURE``; a view that knows no more than the prior on the rows kept out hands over nothing. A view that knows
+less there after a round's lesson, by more than ``WORSE``, forgets it. Last, the calibrated
 log-odds of the views, each less the prior's, are weighted on the rows kept out, by one each as far as these rows don't speak against it, and added to the prior's.
 
 Fitting takes at most ``FIT_ROWS`` labelled rows, those whose ids hash lowest. Pseudo-labels come from all unlabelled rows: one pass
@@ -34,6 +35,8 @@ FIT_ROWS = 6_000
 ROUNDS = 4
 LEAST_SURE = 0.9
 GIVEN = 1 / 8
+#: How much log-likelihood on the rows kept out a lesson may cost.
+WORSE = 1.0
 KEEP = 0.5
 BINS = 16
 MEASURES = 11
@@ -148,17 +151,6 @@ class Model:
         a, b = self.views_of(content, meta)
         return a, b, self.prior + self.weights[0] * (a - self.prior) + self.weights[1] * (b - self.prior)
 
-    def learn(self, held: tuple[np.ndarray, np.ndarray], y: np.ndarray) -> None:
-        """Calibrates the views on rows kept out, and finds out which of them know more there than a constant: more log-likelihood than calibration's two parameters explain."""
-        share = 1 / (1 + math.exp(-self.prior))
-        constant = y.sum() * math.log(share) + (1 - y).sum() * math.log(1 - share)
-        gains = []
-        for view, x in zip(self.views, held, strict=True):
-            view.calibrate(x, y, self.prior)
-            odds = view.odds(x)
-            gains.append(float((y * odds - np.logaddexp(0, odds)).sum()) - constant)
-        self.knows = tuple(g > 2 for g in gains)
-
     def combine(self, a: np.ndarray, b: np.ndarray, y: np.ndarray, pull: float = 5.0, steps: int = 40) -> None:
         """The views' weights by Newton steps, drawn to (1, 1) and not below zero."""
         x, w, start = np.stack([a, b], 1) - self.prior, np.ones(2), np.ones(2)
@@ -207,11 +199,24 @@ def fit(content: np.ndarray, meta: np.ndarray, y: np.ndarray, pool: Pool | None
     taught: list[list] = [[], []]  # (columns, pseudo-label) for each view
     taken = [np.empty(0, np.int64), np.empty(0, np.int64)]
     model.views = (View(MEASURES * (BINS + 1)), View(6 * BUCKETS))
+    share = 1 / (1 + math.exp(-prior))
+    truth = y[held].astype(float)
+    constant = float(truth.sum() * math.log(share) + (1 - truth).sum() * math.log(1 - share))
+    known = [-math.inf, -math.inf]  # log-likelihood of each view on the rows kept out
     for r in range(rounds + 1):
-        for view, x, own in zip(model.views, rows, taught, strict=True):
-            extra = [e[0] for e in own], [e[1] for e in own]
+        for k, (view, x, own) in enumerate(zip(model.views, rows, taught, strict=True)):
+            extra, before = ([e[0] for e in own], [e[1] for e in own]), (view.w, view.slope, view.shift)
             view.fit(np.concatenate([x[~held], *extra[0]]), np.concatenate([y[~held].astype(float), *extra[1]]))
-        model.learn(tuple(x[held] for x in rows), y[held].astype(float))
+            view.calibrate(x[held], truth, prior)
+            odds = view.odds(x[held])
+            now = float((truth * odds - np.logaddexp(0, odds)).sum())
+            if now < known[k] - WORSE:  # the last lesson misled: the view forgets it
+                view.w, view.slope, view.shift = before
+                own.pop()
+                model.report[-1][("content", "metadata")[k] + " forgot"] = True
+            else:
+                known[k] = now
+        model.knows = tuple(x - constant > 2 for x in known)  # more than calibration's two parameters explain
         a, b = (v.odds(x[held]) for v, x in zip(model.views, rows, strict=True))
         model.combine(a, b, y[held])
         right = lambda odds: float(((odds > 0) == (y[held] > 0)).mean())
@@ -224,8 +229,7 @@ def fit(content: np.ndarray, meta: np.ndarray, y: np.ndarray, pool: Pool | None
         for k in (0, 1):
             mine = np.flatnonzero(view == k)
             taken[k] = np.concatenate([taken[k], h[mine]])
-            if len(mine):
-                taught[1 - k].append((cells[1 - k][mine], np.where(label[mine] > 0, certainty[mine], 1 - certainty[mine])))
+            taught[1 - k].append((cells[1 - k][mine], np.where(label[mine] > 0, certainty[mine], 1 - certainty[mine])))
             model.report[-1][("content", "metadata")[k] + " gave"] = (int((label[mine] == 0).sum()), int((label[mine] == 1).sum()))
     return model
 
