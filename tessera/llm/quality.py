@@ -266,6 +266,7 @@ def pool_of(free: DataFrame) -> Pool:
     """The pool of a stable table (h, content, meta) of any size: every row is looked at in each round, and no task hands over more than is asked."""
     shape = "h bigint, view int, label int, certainty double, content array<double>, meta array<bigint>"
     names = [x.split()[0] for x in shape.split(", ")]
+    salts = max(1, int(math.sqrt(free.rdd.getNumPartitions())))
 
     def ask(model: Model, taken: tuple[np.ndarray, np.ndarray], counts: tuple[int, int]) -> tuple[np.ndarray, ...]:
         most = max(counts)
@@ -277,8 +278,11 @@ def pool_of(free: DataFrame) -> Pool:
                 columns = [pa.array(h[at]), pa.array(view, pa.int32()), pa.array(label, pa.int32()), pa.array(certainty), _lists(content[at]), _lists(meta[at])]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
+        # The best of each salt, then of all salts: what one task ranks grows with the root of the number of partitions.
+        salted = Window.partitionBy("view", "label", F.pmod("h", F.lit(salts))).orderBy(F.desc("certainty"), "h")
+        few = free.mapInArrow(run, shape).withColumn("rank", F.row_number().over(salted)).where(F.col("rank") <= most).drop("rank")
         rank = Window.partitionBy("view", "label").orderBy(F.desc("certainty"), "h")
-        best = free.mapInArrow(run, shape).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= most)
+        best = few.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= most)
         best = best.where(F.col("rank") <= F.when(F.col("label") == 0, counts[0]).otherwise(counts[1]))
         t = best.orderBy("view", "label", "rank").select(*names).toArrow().combine_chunks()  # at most four times `most` rows
         plain = [t.column(c).to_numpy() for c in names[:4]]
