@@ -649,10 +649,23 @@ def event_stream(spark, sf_dir):
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).parquet(f"{sf_dir}/events.parquet*")
 
 
-def drained(df: DataFrame, mode: str = "append") -> DataFrame:
+def drained(df: DataFrame) -> DataFrame:
+    """What a stream has appended when its input is read up."""
     spark = df.sparkSession
     path = new_path(spark, "stream")
-    df.writeStream.outputMode(mode).option("checkpointLocation", new_path(spark, "stream-state")).trigger(availableNow=True).format("parquet").start(path).awaitTermination()
+    df.writeStream.outputMode("append").option("checkpointLocation", new_path(spark, "stream-state")).trigger(availableNow=True).format("parquet").start(path).awaitTermination()
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drained_whole(df: DataFrame) -> DataFrame:
+    """The whole result table of a stream when its input is read up, windows that the watermark hasn't closed included."""
+    spark = df.sparkSession
+    path = new_path(spark, "stream")
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    df.writeStream.outputMode("complete").option("checkpointLocation", new_path(spark, "stream-state")).trigger(availableNow=True).foreachBatch(replace).start().awaitTermination()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -665,18 +678,18 @@ def stream_gate(spark, sf_dir):
 @query("SELECT event_type, user_id FROM events GROUP BY event_type, user_id")
 def stream_dedup(spark, sf_dir):
     keyed = event_stream(spark, sf_dir).select("ts", F.concat_ws("|", "event_type", "user_id").alias("text"), "event_type", "user_id")
-    return drained(stateful.first_seen(keyed, late="3650 days").select("event_type", "user_id"))
+    return drained(stateful.first_seen(keyed).select("event_type", "user_id"))
 
 
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def stream_windows(spark, sf_dir):
-    """Windows as the batch plan of the same expression gives them, which also holds those that the watermark hasn't closed yet."""
-    return stateful.tumbling_counts(table(spark, sf_dir, "events"), "1 hour").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", rounded(F.col("total"), 4).alias("total"))
+    """The stream's whole table, which also holds windows that the watermark hasn't closed yet."""
+    return drained_whole(stateful.tumbling_counts(event_stream(spark, sf_dir), "1 hour")).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", rounded(F.col("total"), 4).alias("total"))
 
 
 @query("WITH o AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events), s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM o) SELECT min(ts) AS start, user_id, count(*) AS n FROM s GROUP BY user_id, k")
 def stream_sessions(spark, sf_dir):
-    return stateful.sessions(table(spark, sf_dir, "events")).select(F.col("start").cast("timestamp_ntz").alias("start"), "user_id", "n")
+    return drained_whole(stateful.sessions(event_stream(spark, sf_dir))).select(F.col("start").cast("timestamp_ntz").alias("start"), "user_id", "n")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
