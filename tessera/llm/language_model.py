@@ -350,9 +350,9 @@ def vocabulary_of(counts: DataFrame, top: int = TOP) -> Vocabulary:
     return Vocabulary(frequent, {e: (n, v) for e, (n, v) in endings.items() if v}, sums[0] or 0, sums[1])
 
 
-_ENCODED = "row bigint, doc_id bigint, place bigint, taught boolean, n_tokens bigint, n_known bigint, counted double, tail double, ids binary, token binary, tf int"
+_ENCODED = "row bigint, doc_id bigint, place bigint, taught boolean, n_tokens bigint, n_known bigint, counted double, tail double, ids binary, token binary"
 _COLUMNS = [x.split()[0] for x in _ENCODED.split(", ")]
-_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.int32())
+_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary())
 
 
 def _encode(held):
@@ -361,7 +361,7 @@ def _encode(held):
         v: Vocabulary = held.value
         log_counts = np.log10(v.counts + 0.5)
         for batch in slices(batches, "text", 1 << 20):
-            parts, rare = [], ([], [], [])
+            parts, rare = [], ([], [])
             for row, text in zip(batch.column("row").to_pylist(), text_bytes(batch.column("text")), strict=True):
                 tokens = tokens_of(text)
                 inputs, ranks = v.encode(tokens)
@@ -369,15 +369,14 @@ def _encode(held):
                 tail = log_counts[ranks[ranks >= v.n_short]].sum() - v.tail_norm[inputs[inputs >= SHORT] - SHORT].sum()
                 parts.append((len(tokens), int((v.counts[top] > 0).sum()), float(log_counts[top].sum()), float(tail), inputs.astype("<u2").tobytes()))
                 if len(top) < len(tokens):
-                    few = Counter([tokens[i] for i in np.flatnonzero(ranks < 0).tolist()])
+                    few = [tokens[i] for i in np.flatnonzero(ranks < 0).tolist()]
                     rare[0].extend([row] * len(few))
                     rare[1].extend(few)
-                    rare[2].extend(few.values())
-            columns = [*(batch.column(c) for c in _COLUMNS[:4]), *zip(*parts, strict=True), [None] * len(parts), [None] * len(parts)]
+            columns = [*(batch.column(c) for c in _COLUMNS[:4]), *zip(*parts, strict=True), [None] * len(parts)]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_COLUMNS)
             if rare[0]:
                 empty = [pa.nulls(len(rare[0]), t) for t in _TYPES[1:9]]
-                yield pa.RecordBatch.from_arrays([pa.array(rare[0], pa.int64()), *empty, pa.array(rare[1], pa.binary()), pa.array(rare[2], pa.int32())], names=_COLUMNS)
+                yield pa.RecordBatch.from_arrays([pa.array(rare[0], pa.int64()), *empty, pa.array(rare[1], pa.binary())], names=_COLUMNS)
 
     return run
 
@@ -480,8 +479,8 @@ def language_model_scores(docs: DataFrame, training: Column, rounds: int = ROUND
     whole = encoded.where("token IS NULL")
     weights = spark.sparkContext.broadcast(train(whole.where("taught"), vocabulary, held, rounds, group_tokens))
     modelled = whole.select(*_KEPT, "ids").mapInArrow(_score(held, weights), "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, counted double, tail double, modelled double")
-    rare = encoded.where("token IS NOT NULL").select("row", "token", "tf").join(counts, "token", "left")
-    sums = rare.groupBy("row").agg(F.sum(F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare"), F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("rare_known"))
+    rare = encoded.where("token IS NOT NULL").select("row", "token").join(counts, "token", "left")
+    sums = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("rare"), F.count_if(F.col("c") > 0).alias("rare_known"))
     joined = modelled.join(sums, "row", "left")
     extra = F.coalesce("rare", F.lit(0.0))
     norm = float(np.log10(vocabulary.total + 0.5 * (vocabulary.types + 1)))
