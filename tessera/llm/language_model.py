@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..tables import discard
 from .common import slices, text_bytes, written
 
 END = b"\n"
@@ -425,8 +426,10 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, held, rounds: int = ROUNDS
         mine = encoded.where(F.pmod("place", F.lit(rounds)) == r).select(F.pmod(F.xxhash64("place"), F.lit(groups)).alias("group"), "place", "doc_id", "ids")
         copies = written(mine.repartitionById(groups, F.col("group").cast("int")).sortWithinPartitions("group", "place", "doc_id", "ids").mapInArrow(_learn(held, start, RATE / (1 + r)), "w binary, n bigint"), "weights")
         while (k := copies.count()) > 32:
-            copies = written(copies.repartition(-(-k // 32)).mapInArrow(_mean, "w binary, n bigint"), "weights")
+            copies, before = written(copies.repartition(-(-k // 32)).mapInArrow(_mean, "w binary, n bigint"), "weights"), copies
+            discard(before)
         rows = copies.collect()  # at most 32 copies
+        discard(copies)
         if rows:
             flat = sum(np.frombuffer(x["w"], np.float32).astype(float) * x["n"] for x in rows) / sum(x["n"] for x in rows)
             flat = flat.astype(np.float32)

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..tables import discard
 from .common import lowest_hashes, slices, text_bytes, written
 
 FIT_ROWS = 6_000
@@ -300,7 +301,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
     # Of equal features the hash of one, so a group of copies is one row; a null id is no label's.
     free = made.join(labels.select("doc_id").distinct(), "doc_id", "left_anti").groupBy("content", "meta").agg(F.count("*").alias("copies"))
     free = written(free.select(F.xxhash64("content", "meta").alias("h"), "content", "meta"), "unlabelled")
-    return fit(_matrix(rows.column("content"), MEASURES, float), _matrix(rows.column("meta"), 3, np.int64), rows.column("y").to_numpy(), pool_of(free), rounds)
+    model = fit(_matrix(rows.column("content"), MEASURES, float), _matrix(rows.column("meta"), 3, np.int64), rows.column("y").to_numpy(), pool_of(free), rounds)
+    discard(made, free)
+    return model
 
 
 RESULTS = ("content_score", "metadata_score", "score", "kept")

@@ -37,7 +37,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..tables import qualified
+from ..tables import discard, qualified
 from .common import new_path, partitions_for, slices, text_bytes, written
 
 BLOCK_LINES = 1_000
@@ -323,7 +323,9 @@ def archive(pages: DataFrame, least: int = 0) -> tuple[list[tuple[str, str]], st
     archives, index_folder = (qualified(spark, new_path(spark, name)) for name in ("warc", "cdx"))
     captures = write_archives(decide(pages, least), archives)
     n = captures.count()
-    return write_index(captures, index_folder, max(1, -(-n // FILE_LINES))), index_folder, archives, n
+    index = write_index(captures, index_folder, max(1, -(-n // FILE_LINES)))
+    discard(captures)
+    return index, index_folder, archives, n
 
 
 def archive_and_read(pages: DataFrame, least: int = 0) -> DataFrame:

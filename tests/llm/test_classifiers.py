@@ -227,3 +227,53 @@ def test_empty_tables(spark):
     docs, labels = spark.createDataFrame([], DOCS), spark.createDataFrame([], "doc_id bigint, toxic int, quality int")
     assert T.score(docs, T.train(docs, labels)).collect() == []
     assert Q.score(docs, Q.train(docs, labels)).collect() == []
+
+
+def slow_measures(text):
+    """The content view from its definitions, a character at a time."""
+    text = (text or "").encode()
+    words, word = [], b""
+    for c in text + b" ":
+        if c in b" \t\n\x0b\x0c\r":
+            if word:
+                words.append(word)
+            word = b""
+        else:
+            word += bytes([c])
+    if not words:
+        return [0.0] * Q.MEASURES
+    lines = [x for x in text.split(b"\n") if x.strip()]
+    n, size = len(words), len(text)
+    share = lambda test: sum(map(test, text)) / size
+    sign = lambda c: 0x21 <= c <= 0x7E and not chr(c).isalnum() and chr(c) not in ".,;:\'\"-()?"
+    ends = sum(c in b".!?" for c in text)
+    same = sum(a == b for a, b in zip(words, words[1:], strict=False))
+    return [
+        math.log(1 + n), share(lambda c: 65 <= c <= 90), share(lambda c: 48 <= c <= 57), share(sign), len(set(words)) / n, same / n,
+        1 - len(set(lines)) / len(lines), size / n, math.log(1 + n / len(lines)), ends / n, text.count(b"!") / n,
+    ]
+
+
+def test_quality_scores_equal_brute_force(spark):
+    """Scores of whole texts from the model's weights, bins and calibration, one row at a time."""
+    rows, _, quality = corpus(300)
+    docs = spark.createDataFrame(rows + EDGES, DOCS)
+    model = Q.train(docs, spark.createDataFrame(quality, "doc_id bigint, quality int"))
+    sigmoid = lambda x: 1 / (1 + math.exp(-max(-35.0, min(35.0, x))))
+    truth = {}
+    for i, text, lang, source, size, _ in rows + EDGES:
+        m = slow_measures(text)
+        assert np.allclose(m, Q.measures(text.encode() if text is not None else None))
+        a, b = model.views
+        first = a.w[-1] + sum(a.w[k * (Q.BINS + 1) + sum(e < x for e in model.edges[k])] for k, x in enumerate(m))
+        lang, source, size = Q.metadata(lang, source, size)
+        fine = Q.SIZES + 1 if size < 0 else sum(e < size for e in model.sizes)
+        coarse = Q.COARSE if size < 0 else min(fine * Q.COARSE // (Q.SIZES + 1), Q.COARSE - 1)
+        cells = (lang, source, fine, (31 * lang + coarse) % Q.BUCKETS, (31 * source + coarse) % Q.BUCKETS, (31 * lang + source) % Q.BUCKETS)
+        second = b.w[-1] + sum(b.w[k * Q.BUCKETS + c] for k, c in enumerate(cells))
+        odds = [v.slope * x + v.shift for v, x in ((a, first), (b, second))]
+        both = model.prior + sum(w * (o - model.prior) for w, o in zip(model.weights, odds, strict=True))
+        truth[i] = [sigmoid(x) for x in (*odds, both)]
+    for x in Q.score(docs, model).collect():
+        want = truth[x.doc_id]
+        assert np.allclose((x.content_score, x.metadata_score, x.score), want, atol=1e-9) and x.kept == (want[2] >= Q.KEEP)
