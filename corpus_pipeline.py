@@ -34,11 +34,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows are told apart by a hash of id and text, so rows that share an id stay both unless their texts are near copies, and of rows that repeat both one
     stays. Null and empty texts are copies of one another. A null id comes after all others; among equal ids the hash decides.
     """
-    keyed = docs.select(*DOCUMENT_COLUMNS, F.xxhash64("doc_id", "text").alias("_key"))
+    keyed = docs.select(*DOCUMENT_COLUMNS, F.xxhash64("doc_id", "text").alias("_key"), F.crc32(F.col("text").cast("binary")).alias("_check"))
     groups = near_copies.near_copies(keyed.select(F.col("_key").alias("key"), "text")).withColumnRenamed("key", "_key").distinct()
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key")
     kept = keyed.select("doc_id", "_key").join(groups, "_key").groupBy("group").agg(F.min(place).alias("first")).select("first._key")
-    return keyed.join(kept, "_key").dropDuplicates(["_key"]).select(*DOCUMENT_COLUMNS)
+    return keyed.join(kept, "_key").dropDuplicates(["_key", "doc_id", "_check"]).select(*DOCUMENT_COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

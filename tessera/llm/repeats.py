@@ -55,8 +55,15 @@ def _rows(m, c, doc, tag, at, lo, hi, more) -> pa.RecordBatch:
 
 
 def document_key() -> list[Column]:
-    """doc and tag: what tells documents apart and orders them."""
-    return [F.coalesce(F.col("doc_id"), F.lit(NULL_ID)).alias("doc"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("tag")]
+    """doc and tag: what tells documents apart and orders them. See tag_of."""
+    data = F.coalesce("text", F.lit("")).cast("binary")
+    tag = F.shiftleft(F.crc32(data), 30).bitwiseOR(F.xxhash64(data).bitwiseAND(F.lit((1 << 30) - 1)))
+    return [F.coalesce(F.col("doc_id"), F.lit(NULL_ID)).alias("doc"), tag.alias("tag")]
+
+
+def tag_of(text: bytes) -> int:
+    """crc32 of the text, which orders texts of one id, and 30 bits of XXH64, so that texts without ids are told apart, too."""
+    return zlib.crc32(text) << 30 | xxhash.xxh64_intdigest(text, 42) & (1 << 30) - 1
 
 
 def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -137,7 +144,7 @@ def _find_anchors(length: int, gram: int, fold: bool = True):
         for batch in slices(batches, "text", 1 << 20):
             texts = [t or b"" for t in text_bytes(batch.column("text"))]
             docs = np.array([NULL_ID if d is None else d for d in batch.column("doc_id").to_pylist()], np.int64)
-            tags = np.array([zlib.crc32(t) for t in texts], np.int64)
+            tags = np.array([tag_of(t) for t in texts], np.int64)
             edges = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
             joined = b"".join(texts)
             at, h = anchors(np.frombuffer(joined, np.uint8), edges, length, gram)

@@ -134,3 +134,9 @@ def test_extra_columns_and_empty(spark):
     assert (two.note, two.n_removed, two.kept) == ("second", 200, "")
     assert bytes(R.remove_repeats(docs, kept="bytes").orderBy("doc_id").first().kept) == "é".encode()
     assert R.remove_repeats(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_tags_are_the_same_everywhere(spark):
+    texts = ["", "a", "é" * 40, "long text " * 5000] + [f"text {i}" for i in range(200)]
+    rows = spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string").select("text", *R.document_key()).collect()
+    assert all(x.doc == R.NULL_ID and x.tag == R.tag_of(x.text.encode()) for x in rows) and len({x.tag for x in rows}) == len(texts)
