@@ -40,7 +40,7 @@ TOP = 300_000
 HIDDEN = 20
 #: Every training document is in one of the rounds, and there in one of the groups, each of about GROUP_TOKENS tokens, or more if there were more than MOST_GROUPS.
 ROUNDS, GROUP_TOKENS, MOST_GROUPS = 2, 1_000_000, 1 << 14
-STREAMS, WINDOW, LEAST_STEPS = 256, 16, 64
+STREAMS, WINDOW, LEAST_STEPS = 384, 16, 64
 RATE = 0.01
 CLIP = 60.0
 HELD = 4_000_000
