@@ -37,7 +37,7 @@ from .common import partitions_for, slices, text_bytes, written
 LENGTH = 100
 GRAM = 32
 #: A k-gram with more contexts than this is resolved window by window; buckets hold about this many bytes.
-HOT = 5_000
+HOT = 10_000
 BUCKET_BYTES = 1 << 21
 MOST_HOT = 50_000
 #: Longer runs of bytes are searched for anchors in parts, which overlap by a window.
