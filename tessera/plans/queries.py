@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -250,7 +251,18 @@ def jaccard_clusters(spark, sf_dir):
     return dedup.jaccard_clusters(documents(spark, sf_dir))
 
 
-@query()
+def sql_walk(order: str, fate: str) -> str:
+    """The sequential rule as a recursion over the few rows that it concerns, in order: rows (k, id, other) of `order`, each adding fate's ids to those gone."""
+    return f"""walk AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS gone UNION ALL SELECT w.k + 1, {fate} FROM walk w JOIN {order} i ON i.k = w.k + 1),
+ last AS (SELECT gone FROM walk ORDER BY k DESC LIMIT 1) """
+
+
+#: A row goes if an earlier one that is still there is similar. One buffer: tables of at most 10,000 rows.
+GREEDY = SETS + """, alike AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b FROM sets x JOIN reps rx ON rx.s = x.s JOIN (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs UNION ALL SELECT rep, rep FROM reps) p ON p.a = rx.rep JOIN reps ry ON ry.rep = p.b JOIN sets y ON y.s = ry.s AND x.doc_id < y.doc_id),
+ steps AS MATERIALIZED (SELECT row_number() OVER (ORDER BY b) AS k, b AS id, list(a) AS other FROM alike GROUP BY b), """
+
+
+@query(GREEDY + sql_walk("steps", "CASE WHEN len(list_filter(i.other, lambda x: NOT list_contains(w.gone, x))) > 0 THEN list_append(w.gone, i.id) ELSE w.gone END") + "SELECT doc_id AS ord FROM documents, last WHERE NOT list_contains(gone, doc_id)")
 def jaccard_greedy(spark, sf_dir):
     docs = documents(spark, sf_dir).select(F.col("doc_id").alias("ord"), "text", F.lit(1.0).alias("weight"))
     return dedup.greedy_jaccard_dedup(docs)
@@ -271,7 +283,15 @@ def cosine_clusters(spark, sf_dir):
     return dedup.cosine_clusters(table(spark, sf_dir, "embeddings"), 0.42)
 
 
-@query()
+#: A row that is still there looks at its five nearest, most similar first, and the first later one within the threshold goes.
+NEAREST = """WITH RECURSIVE u AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ s AS (SELECT x.vec_id AS a, y.vec_id AS b, list_cosine_similarity(x.e, y.e) AS sim FROM u x JOIN u y ON true),
+ n AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY a ORDER BY round(sim, 6) DESC, b) <= 6),
+ f AS (SELECT a, b FROM n WHERE b > a AND sim >= 0.42 QUALIFY row_number() OVER (PARTITION BY a ORDER BY round(sim, 6) DESC, b) = 1),
+ steps AS MATERIALIZED (SELECT row_number() OVER (ORDER BY a) AS k, a AS id, b AS other FROM f), """
+
+
+@query(NEAREST + sql_walk("steps", "CASE WHEN list_contains(w.gone, i.id) THEN w.gone ELSE list_append(w.gone, i.other) END") + "SELECT vec_id AS ord FROM embeddings, last WHERE NOT list_contains(gone, vec_id)")
 def cosine_greedy(spark, sf_dir):
     v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("ord"), "embedding", F.lit(1.0).alias("weight"))
     return dedup.greedy_vector_dedup(v, 0.42)
@@ -630,18 +650,18 @@ def seeded_sessions(spark, sf_dir):
     return made.join(reports.session_state(sessions.stage_rows(made)), "dataset_id").select(F.col("dataset_id").cast("long").alias("dataset_id"), "name", "group_id", "state")
 
 
-@query()
 def bpe_token_counts(spark, sf_dir):
-    """Counts under a public byte-level vocabulary, if its files are there; bytes otherwise."""
-    docs = documents(spark, sf_dir)
-    try:
-        import public_tokenizers
-    except ImportError:
-        return counted(spark, sf_dir)
-    encoded = bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 50256)
+    """Counts under a public byte-level vocabulary; registered only where its files are."""
+    import public_tokenizers
+
+    encoded = bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), 50256)
     return encoded.select(F.col("id").alias("doc_id"), F.size("tokens").cast("long").alias("n_tokens"))
 
 
+if importlib.util.find_spec("public_tokenizers"):
+    query()(bpe_token_counts)
+
+
 # --- streams, each drained over the whole table
 
 def event_stream(spark, sf_dir):
