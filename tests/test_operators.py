@@ -254,3 +254,32 @@ def test_logs(spark, tmp_path):
     assert sorted((x.file, x.line) for x in readers.log_lines(spark, str(tmp_path), 2).collect()) == [("a.log", "three"), ("a.log", "two"), ("b.log", "x")]
     (tmp_path / "seeds.txt").write_text("# note\n\n http://a \nhttp://b\n")
     assert [x.url for x in readers.text_list(spark, str(tmp_path / "seeds.txt")).collect()] == ["http://a", "http://b"]
+
+
+def test_gate_over_ranges(spark):
+    """One domain with most pages, many with few, over more ranges than some domains have pages."""
+    import random
+
+    from tessera.operators import gate
+
+    r = random.Random(6)
+    rows = [("hot", i, r.random() * (0.9 if i < 700 else 0.3)) for i in range(1000)] + [(f"d{k}", i, r.random()) for k in range(15) for i in range(r.randint(1, 40))]
+    rows += [(None, i, r.random()) for i in range(50)]
+    pages = spark.createDataFrame(rows, "domain string, ord bigint, score double").repartition(5)
+    want = {}
+    for domain in {d for d, _, _ in rows}:
+        seen, shut = [], False
+        for d, i, s in sorted((x for x in rows if x[0] == domain), key=lambda x: x[1]):
+            was = shut
+            seen.append(s)
+            last = seen[-20:]
+            shut = shut or (len(seen) >= 10 and sum(last) / len(last) < 0.35)
+            want[d, i] = (len(seen), round(sum(last) / len(last), 9), not was)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("1", "4", "97"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = {(x.domain, x.ord): (x.seq, round(x.rolling, 9), x.admitted) for x in gate.signal_gate(pages).collect()}
+            assert got == want, parts
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
