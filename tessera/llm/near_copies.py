@@ -46,11 +46,6 @@ def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(simhash.shingle_hashes(text, shingle))
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return common / (len(a) + len(b) - common) if len(a) or len(b) else 1.0
-
-
 def sketch(own: np.ndarray) -> np.ndarray:
     """BITS parity bits: each shingle turns over one."""
     odd = np.bincount((own >> np.uint64(20)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
@@ -141,20 +136,17 @@ def similar(pairs: DataFrame, rows: DataFrame) -> DataFrame:
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            sets = [shingle_set(t).tobytes() for t in text_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], names=["key", "own"])
-
-    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [similarity(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= LEAST - 1e-12 for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            sets = [shingle_set(t).view(np.int64) for t in text_bytes(batch.column("text"))]
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32)), pa.array(np.concatenate(sets)))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), lists], names=["key", "own"])
 
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     taking = written(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct(), "taking")
-    own = written(rows.join(taking, "key", "left_semi").mapInArrow(make, "key bigint, own binary"), "own")
+    own = written(rows.join(taking, "key", "left_semi").mapInArrow(make, "key bigint, own array<bigint>"), "own")
     sets = own.dropDuplicates(["key"])
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    found = written(both.mapInArrow(compare, "a bigint, b bigint"), "similar")
+    common = F.size(F.array_intersect("x", "y"))  # in the JVM, a pair at a time: batches of whole sets would be large
+    found = written(both.where(common >= (LEAST - 1e-12) * (F.size("x") + F.size("y") - common)).select("a", "b"), "similar")
     discard(pairs, taking, own)
     return found
 
