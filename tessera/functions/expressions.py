@@ -45,8 +45,8 @@ def word_count(text: Column) -> Column:
 
 def distinct_ratio(text: Column) -> Column:
     """Distinct lower-cased words over words; 0 for none."""
-    words = F.filter(F.split(F.lower(text), r"(?U)\s+"), lambda w: w != "")
-    return F.when(F.size(words) > 0, F.size(F.array_distinct(words)) / F.size(words)).otherwise(F.lit(0.0))
+    words = F.array_remove(F.split(F.lower(text), r"(?U)\s+"), "")  # no lambda and no branch, so it is computed once
+    return F.coalesce(F.try_divide(F.size(F.array_distinct(words)), F.size(words)), F.lit(0.0))
 
 
 def share_of(text: Column, pattern: str) -> Column:
@@ -55,7 +55,8 @@ def share_of(text: Column, pattern: str) -> Column:
 
 
 def alpha_ratio(text: Column) -> Column:
-    return share_of(text, r"\p{L}")
+    """Letters over all characters; what isn't a letter is counted, being less."""
+    return F.when(F.length(text) > 0, (F.length(text) - F.regexp_count(text, F.lit(r"\P{L}"))) / F.length(text)).otherwise(F.lit(0.0))
 
 
 def digit_ratio(text: Column) -> Column:
@@ -63,8 +64,8 @@ def digit_ratio(text: Column) -> Column:
 
 
 def mean_word_length(text: Column) -> Column:
-    n = word_count(text)
-    return F.when(n > 0, F.regexp_count(text, F.lit(r"(?U)\S")) / n).otherwise(F.lit(0.0))
+    """Characters that aren't white space over words; 0 for none."""
+    return F.coalesce(F.try_divide(F.length(text) - F.regexp_count(text, F.lit(r"(?U)\s")), word_count(text)), F.lit(0.0))
 
 
 def squeeze(text: Column) -> Column:
