@@ -38,7 +38,7 @@ LENGTH = 100
 GRAM = 32
 #: A k-gram with more contexts than this is resolved window by window; buckets hold about this many bytes.
 HOT = 10_000
-BUCKET_BYTES = 1 << 21
+BUCKET_BYTES = 1 << 20
 MOST_HOT = 50_000
 #: Longer runs of bytes are searched for anchors in parts, which overlap by a window.
 PART_BYTES = 4 << 20
