@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute
@@ -14,7 +15,7 @@ from ..tables import new_path, shared_dir, written
 #: White space between words: space and U+0009 to U+000D, nothing else.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
-__all__ = ["ASCII_SPACE", "DOCUMENT_COLUMNS", "lowest_hashes", "new_path", "partitions_for", "remainder", "shared_dir", "slices", "table", "text_bytes", "words_of", "written"]
+__all__ = ["ASCII_SPACE", "DOCUMENT_COLUMNS", "lowest_hashes", "new_path", "partitions_for", "remainder", "shared_dir", "slices", "small_batches", "table", "text_bytes", "words_of", "written"]
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -47,6 +48,18 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.split() if text else []
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
+    """Arrow batches of fewer rows for what is written inside, where rows carry whole texts beside lists."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 

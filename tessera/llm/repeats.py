@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions_for, slices, text_bytes, written
+from .common import partitions_for, slices, small_batches, text_bytes, written
 
 LENGTH = 100
 GRAM = 32
@@ -458,7 +458,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
     marked = edge.join(F.broadcast(large) if n_large <= MOST_HOT else large, "m", "left") if n_large else edge.withColumn("hot", F.lit(False))
     asked = marked.groupBy("doc", "tag").agg(F.collect_list(F.struct("m", "at", "lo", "hi", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked"))
     keyed = texts.select(*document_key(), "text").where(F.length("text") > 0)
-    contexts = written(keyed.join(asked, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).mapInArrow(_fetch, "m bigint, doc bigint, tag bigint, lo bigint, at bigint, bytes binary, hot boolean"), "contexts")
+    with small_batches(spark):
+        contexts = written(keyed.join(asked, ["doc", "tag"]).dropDuplicates(["doc", "tag"]).mapInArrow(_fetch, "m bigint, doc bigint, tag bigint, lo bigint, at bigint, bytes binary, hot boolean"), "contexts")
     n = partitions_for(spark, contexts.count(), 40_000)
     plain = contexts.where("NOT hot").repartition(n, "m").sortWithinPartitions("m", "doc", "tag", "at").mapInArrow(_index_buckets(length), _ANCHOR)
     single = _resolve(contexts.where("hot").mapInArrow(_windows(length), _ANCHOR), n).where("NOT more")
