@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..tables import spread
 from . import bpe_automaton as _bpe
 from . import byte_bpe as _byte_bpe
+from . import collocations as _collocations
 from . import language_model as _lm
 from . import nearest as _nearest
 from . import packing as _packing
@@ -85,9 +86,13 @@ def op11_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _byte_bpe.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_bitmap_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _collocations.collocations(documents(spark, sf_dir).select("lang", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_warc, op4_cotraining, op5_adaptive_scan, op6_quality_rules, op7_recurrent_model, op8_bpe_automaton, op9_run_length_index, op10_best_fit_packing, op11_two_tier_bpe)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_warc, op4_cotraining, op5_adaptive_scan, op6_quality_rules, op7_recurrent_model, op8_bpe_automaton, op9_run_length_index, op10_best_fit_packing, op11_two_tier_bpe, op12_bitmap_phrases)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": _warc.oracle(), "op6_quality_rules": _rules.oracle(), "op9_run_length_index": _repeats.oracle()}
+    return {"op3_warc": _warc.oracle(), "op6_quality_rules": _rules.oracle(), "op9_run_length_index": _repeats.oracle(), "op12_bitmap_phrases": _collocations.oracle()}
