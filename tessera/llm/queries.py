@@ -19,6 +19,7 @@ from . import quality as _quality
 from . import quality_rules as _rules
 from . import repeats as _repeats
 from . import simhash as _simhash
+from . import spelling as _spelling
 from . import toxicity as _toxicity
 from . import warc as _warc
 from .common import remainder, table
@@ -90,8 +91,12 @@ def op12_bitmap_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _collocations.collocations(documents(spark, sf_dir).select("lang", "text"))
 
 
+def op13_wavelet_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _spelling.variants(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_warc, op4_cotraining, op5_adaptive_scan, op6_quality_rules, op7_recurrent_model, op8_bpe_automaton, op9_run_length_index, op10_best_fit_packing, op11_two_tier_bpe, op12_bitmap_phrases)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_warc, op4_cotraining, op5_adaptive_scan, op6_quality_rules, op7_recurrent_model, op8_bpe_automaton, op9_run_length_index, op10_best_fit_packing, op11_two_tier_bpe, op12_bitmap_phrases, op13_wavelet_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
