@@ -11,7 +11,8 @@ length that a third of all pieces share is spread over many tasks.
 
 Defined cases: a null text counts as empty, and an empty text is a document of the end id alone; a null id is kept as
 null; equal texts are packed like different ones; an empty table gives no rows; other columns are ignored. The tokenizer's
-special string in a text becomes its special id, as the tokenizer itself has it by default.
+special string in a text becomes its special id, as the tokenizer itself has it by default. A very long text is one row in memory, with some forty bytes for each of its ids while it
+is cut; white space or a word of any length is encoded like any other.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,14 +45,45 @@ def _encoder(content: str):
         import tiktoken
 
         spec = json.loads(content)
+        split = spec["pre_tokenizer"]
+        if split["type"] != "ByteLevel" or not split["use_regex"] or split["add_prefix_space"] or spec["normalizer"]:
+            raise ValueError("the tokenizer file must split by the byte-level pattern and change no text before")
         to_byte = {c: b for b, c in byte_alphabet().items()}
         ranks = {bytes(to_byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in {t["content"] for t in spec["added_tokens"]}}
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        _ENCODERS[key] = (tiktoken.Encoding(str(key), pat_str=PRETOKENS, mergeable_ranks=ranks, special_tokens=special), set(special))
+        _ENCODERS[key] = Encoder(*(tiktoken.Encoding(f"{key} {pattern}", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special) for pattern in (PRETOKENS, r"\s+")), set(special))
     return _ENCODERS[key]
 
 
-#: Fixed value: how the byte-level pre-tokenizer splits text.
+class Encoder:
+    """Ids of whole texts. The pattern keeps a state for each character of white space, which a long run exhausts; such a run, less its last character if something follows, is one
+    pre-token in any case, so it is cut out and encoded as one."""
+
+    def __init__(self, encoding, blank, special: set[str]):
+        self.encoding, self.blank, self.special = encoding, blank, special
+
+    def _part(self, text: str) -> list[int]:
+        return self.encoding.encode(text, allowed_special=self.special, disallowed_special=())
+
+    def encode(self, text: str) -> list[int]:
+        if len(text) < LONG_BLANK:
+            return self._part(text)
+        ids, at = [], 0
+        for run in _LONG_RUNS(text):
+            start, end = run.span()
+            if end < len(text) and not any(text.startswith(t, end) for t in self.special):
+                end -= 1
+            ids += self._part(text[at:start])
+            ids += self.blank.encode_ordinary(text[start:end])
+            at = end
+        return ids + self._part(text[at:])
+
+
+#: Runs of white space from this length on are encoded apart.
+LONG_BLANK = 10_000
+_LONG_RUNS = regex.compile(r"\s{%d,}" % LONG_BLANK).finditer
+
+#: Fixed value: how the byte-level pre-tokenizer splits text; tokenizer files name it and don't hold it.
 PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -76,11 +109,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         held = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, special = _encoder(held.value)
+        encoder = _encoder(held.value)
         for batch in slices(batches, "text"):
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = encoding.encode(text, allowed_special=special, disallowed_special=()) if text else []
+                ids = encoder.encode(text) if text else []
                 ids.append(end_id)
                 packed = np.array(ids, dtype="<u4").data
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):

@@ -83,5 +83,34 @@ def test_pieces_equal_the_library(spark):
         assert at <= 1024
 
 
+LONG = [" " * 2_000_000, "\n" * 2_000_000 + "x", "a" + " " * 1_100_000 + "<|endoftext|> b", "x" * 1_500_000, "!" * 1_200_000 + "  ", "é \t" * 9 + "\u3000" * 12_000 + "中 1" + "\r\n" * 9_000]
+
+
+@pytest.mark.parametrize("k", range(len(LONG)))
+def test_long_runs_equal_the_library(k):
+    content = open(PATH, encoding="utf-8").read()
+    assert P._encoder(content).encode(LONG[k]) == Tokenizer.from_file(PATH).encode(LONG[k], add_special_tokens=False).ids
+
+
+def test_cut_out_runs_change_nothing(monkeypatch):
+    """Short runs cut out as long ones would be."""
+    import regex
+
+    content, library, r = open(PATH, encoding="utf-8").read(), Tokenizer.from_file(PATH), random.Random(8)
+    monkeypatch.setattr(P, "LONG_BLANK", 2)
+    monkeypatch.setattr(P, "_LONG_RUNS", regex.compile(r"\s{2,}").finditer)
+    for _ in range(2000):
+        t = "".join(r.choice([" ", "  ", "\n", "\t", "\xa0", "\x1c", "\x85", "ab", "1", "!", "'s", "<|endoftext|>", "é"]) for _ in range(r.randint(1, 15)))
+        assert P._encoder(content).encode(t) == library.encode(t, add_special_tokens=False).ids, ascii(t)
+
+
+def test_a_table_with_long_white_space(spark):
+    docs = spark.createDataFrame([(1, " " * 1_000_001, 1, "x"), (2, "word " * 100_000, 1, "x"), (3, "a", 1, "x")], DOCS)
+    packed = P.best_fit_packing(docs, PATH).collect()
+    tokens = {i: sum(p.length for p in packed if p.doc_id == i) for i in (1, 2, 3)}
+    library = Tokenizer.from_file(PATH)
+    assert tokens == {i: len(library.encode(t, add_special_tokens=False).ids) + 1 for i, t in ((1, " " * 1_000_001), (2, "word " * 100_000), (3, "a"))}
+
+
 def test_empty(spark):
     assert P.best_fit_packing(spark.createDataFrame([], DOCS), PATH).collect() == []
