@@ -13,8 +13,8 @@ Queries are sent to the lists that they probe and nowhere else. Lists are cut in
 however large a list is; a vector is copied once for each block of its list's queries. Each pair of chunk and block yields k rows for a query; a window over queries keeps the best.
 
 Defined cases: null, empty, zero vectors and those with null or non-finite components take no part, nor do vectors whose dimension isn't
-that of most sampled rows; a repeated id counts as a candidate for each of its rows, and as one query; ties go to the smaller
-id; with fewer candidates than k all probed ones are returned; an empty table gives no rows; other columns are ignored.
+that of most sampled rows; rows of a repeated id are candidates each for the queries of other ids, where the id may then stand several times, and one query together, that of the smallest of
+their vectors that take part, for which none of them is a candidate; ties go to the smaller id; with fewer candidates than k all probed ones are returned; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -92,8 +92,8 @@ class Index:
         return np.argsort(-(u @ self.centroids.T), 1, kind="stable")[:, : self.probes]
 
 
-def scan(columns: list[np.ndarray], query: np.ndarray, k: int, epsilon: float = EPSILON) -> np.ndarray:
-    """Candidates that the tests leave, among which are the k nearest with high probability.
+def scan(columns: list[np.ndarray], query: np.ndarray, k: int, epsilon: float = EPSILON, out: np.ndarray | None = None) -> np.ndarray:
+    """Candidates that the tests leave, among which are the k nearest with high probability. Those that `out` marks take no part, not even in the threshold.
 
     columns: blocks of rotated dimensions, each (dimensions, candidates). Pieces of candidates come one after the other, and the k best distances so far
     are the threshold; in the first piece, those of the k that its first block puts first.
@@ -109,6 +109,11 @@ def scan(columns: list[np.ndarray], query: np.ndarray, k: int, epsilon: float =
     for start in range(0, n, PIECE):
         alive = np.arange(start, min(start + PIECE, n))
         partial = distances(columns[0], ends[0], slice(start, start + len(alive)))
+        if out is not None:
+            stay = ~out[alive]
+            alive, partial = alive[stay], partial[stay]
+            if not len(alive):
+                continue
         if len(best) < k:
             seeds = alive[np.argsort(partial, kind="stable")[:k]]
             best = np.sort(np.append(best, sum(distances(c, e, seeds) for c, e in zip(columns, ends, strict=True))))[:k]
@@ -126,6 +131,8 @@ def scan(columns: list[np.ndarray], query: np.ndarray, k: int, epsilon: float =
         best = np.sort(np.append(best, partial[new]))[:k]
         kept.append(alive)
         found.append(partial)
+    if not kept:
+        return np.empty(0, np.int64)
     left, whole = np.concatenate(kept), np.concatenate(found)
     return left[whole <= best[-1] + 1e-9] if len(best) == k else left
 
@@ -138,14 +145,14 @@ def _search(index: Index, k: int):
             x = np.asarray(left.column("embedding").combine_chunks().flatten().cast(pa.float64())).reshape(-1, index.dim)
             q = np.asarray(right.column("embedding").combine_chunks().flatten().cast(pa.float64())).reshape(-1, index.dim)
             ids, asked = left.column("vec_id").to_pylist(), right.column("query_id").to_pylist()
-            own = np.array([-1 if i is None else i for i in ids], dtype=np.int64)
+            own, unnamed = np.array([-1 if i is None else i for i in ids], dtype=np.int64), np.array([i is None for i in ids])
             ux, uq = unit(x), unit(q)
             rotated, turned = (ux @ index.rotation).T, uq @ index.rotation
             columns = [np.ascontiguousarray(rotated[i : i + BLOCK]) for i in range(0, index.dim, BLOCK)]
             norms = np.sqrt((x * x).sum(1))
             for row, name in enumerate(asked):
-                left_over = scan(columns, turned[row], k + 1)
-                left_over = left_over[own[left_over] != name]
+                mine = (own == name) & ~unnamed
+                left_over = scan(columns, turned[row], k, out=mine if mine.any() else None)
                 score = (x[left_over] * q[row]).sum(1) / (norms[left_over] * np.sqrt((q[row] * q[row]).sum()))  # row sums, so equal vectors tie exactly
                 bad = ~np.isfinite(score)
                 if bad.any():
@@ -200,7 +207,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, goal: float = GO
     sizes = {r["list"]: r["count"] for r in own.groupBy("list").count().collect()}  # one row for each list
     held = np.cumsum(sorted(sizes.values()))
     index.probes = max(index.probes, min(len(index.centroids), int(np.searchsorted(held, k + 1)) + 1 + len(index.centroids) - len(sizes)))  # enough lists for k others
-    probes = queries.where("vec_id IS NOT NULL").dropDuplicates(["vec_id"]).mapInArrow(deal(True), _OWN)
+    sound = (F.size("embedding") == index.dim) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
+    once = queries.where("vec_id IS NOT NULL").where(sound).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    probes = once.mapInArrow(deal(True), _OWN)
     counts = {r["list"]: r["count"] for r in probes.groupBy("list").count().collect()}
     cuts = spark.createDataFrame([(a, -(-n // CHUNK), -(-counts[a] // QUERY_BLOCK)) for a, n in sizes.items() if a in counts], "list int, chunks int, blocks int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))

@@ -63,6 +63,26 @@ def test_ties_go_to_smaller_ids(spark):
         assert x.vec_id == [i for i in range(0, 300, 10) if i != x.query_id][x.rank - 1]
 
 
+def test_repeated_ids(spark):
+    """Ten rows of each query id: they leave room for all others, and others find them once for each row."""
+    r = random.Random(9)
+    rows = [(i, [r.gauss(0, 1) for _ in range(16)], 1) for i in range(300)]
+    near = {i: v for i, v, _ in rows}
+    rows += [(i, [x + r.gauss(0, 0.01) for x in near[i]], 1) for i in range(0, 300, 50) for _ in range(9)]
+    vectors = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    plain = [(i, np.array(v, np.float32).astype(float)) for i, v, _ in rows]
+    hits = 0
+    got = {}
+    for x in N.nearest(vectors, vectors.where("vec_id % 50 = 0")).collect():
+        got.setdefault(x.query_id, []).append(x.vec_id)
+    assert sorted(got) == list(range(0, 300, 50)) and all(len(f) == 5 and q not in f for q, f in got.items())
+    for q, found in got.items():
+        x = np.array(min(tuple(np.array(v, np.float32).astype(float)) for i, v, _ in rows if i == q))
+        want = sorted((-(x @ y) / math.sqrt((x @ x) * (y @ y)), i) for i, y in plain if i != q)[:5]
+        hits += sum(a == b for a, b in zip(sorted(found), sorted(i for _, i in want), strict=True))
+    assert hits >= 0.9 * 30
+
+
 def test_large_lists_are_cut(spark, monkeypatch):
     monkeypatch.setattr(N, "CHUNK", 50)
     monkeypatch.setattr(N, "QUERY_BLOCK", 7)
