@@ -152,17 +152,16 @@ class Bags:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = FIT_ROWS, most_bytes: int = FIT_BYTES) -> Model:
-    """Fitted on at most `most` labelled ids, those that hash lowest, as long as their texts together stay within `most_bytes`. An id's text is its smallest."""
+    """Fitted on at most `most` labelled ids, those that hash lowest, each whose text still fits into `most_bytes` with those before it. An id's text is its smallest."""
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).alias("y"))
     chosen = lowest_hashes(known, "doc_id", most).withColumn("h", F.xxhash64("doc_id"))
     size = F.coalesce(F.octet_length("text"), F.lit(0))
     sizes = docs.select("doc_id", size.alias("size")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "h", "y").agg(F.max("size").alias("size"))
     upto, total = [], 0
     for x in sorted(sizes.collect(), key=lambda x: (x.h, x.doc_id)):  # at most `most` rows
-        total += x.size
-        if total > most_bytes:
-            break
-        upto.append((x.doc_id, x.y))
+        if total + x.size <= most_bytes:  # a text that doesn't fit is passed over, and the next ones may
+            total += x.size
+            upto.append((x.doc_id, x.y))
     taken = docs.sparkSession.createDataFrame(upto, "doc_id bigint, y int")
     texts = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     rows = texts.orderBy("doc_id").toArrow()

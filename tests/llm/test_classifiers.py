@@ -130,6 +130,20 @@ def test_toxicity_sample_is_bounded(spark, monkeypatch):
     assert 0 < sum(len(t) for t, _ in seen[2]) <= 2000
 
 
+def test_a_text_over_the_bound_is_passed_over(spark):
+    """One labelled text larger than all the bound, whose id hashes lowest: the others are learnt from."""
+    rows, toxic, _ = corpus(100)
+    docs = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame(toxic, "doc_id bigint, toxic int")
+    first = docs.orderBy(F.xxhash64("doc_id")).first().doc_id
+    huge = docs.withColumn("text", F.when(F.col("doc_id") == first, F.repeat(F.lit("plain words. "), 100_000)).otherwise(F.col("text")))
+    model = T.train(huge, labels, most_bytes=1_000_000)
+    assert model.weights and any(w != 0 for w in model.weights.values())
+    bad, good = ([r[1] for r in rows if dict(toxic)[r[0]] == k and r[0] != first and r[1]] for k in (1, 0))
+    scores = [sorted(model.score(t.encode()) for t in texts) for texts in (bad, good)]
+    assert scores[0][len(bad) // 4] > scores[1][-len(good) // 4]
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 0)], [(1, 1), (2, 1)]])
 def test_without_both_kinds(spark, labels):
     rows, _, _ = corpus(30)
