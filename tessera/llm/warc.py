@@ -15,7 +15,7 @@ resolves it, so the shared folder may be any store that both know.
 
 Defined cases: a null html is an empty payload; a null url has an empty key and no target line; control characters and white space in a
 url are percent-encoded; a null id is archived with an empty id and comes back as null; rows that repeat an id and a url give one
-record each; an empty table gives no rows; other columns are ignored. Payloads smaller than ``least`` bytes are all responses. Of equal payloads without any id all
+record each, and a revisit has the size of the response with its own digest; an empty table gives no rows; other columns are ignored. Payloads smaller than ``least`` bytes are all responses. Of equal payloads without any id all
 are responses; a very long payload is one record, held whole by the task that writes or reads it.
 """
 
@@ -280,17 +280,22 @@ _ROW = "page_id bigint, payload_bytes bigint, payload_digest string, record_type
 def read_back(pages: DataFrame, index: list[tuple[str, str]], index_folder: str, archive_folder: str, parts: int) -> DataFrame:
     """One row for each archived capture of pages (page_id, url), read through the index."""
 
+    held = pages.sparkSession.sparkContext.broadcast(index)  # one entry for each index file
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(index, index_folder, archive_folder)
-        sizes: dict[str, int] = {}
+        reader = Reader(held.value, index_folder, archive_folder)
+        sizes: dict[tuple[str, str], int] = {}
 
-        def size_of(key: str) -> int:
-            if key not in sizes:
+        def size_of(key: str, sha: str) -> int:
+            """Bytes of the response of that key with that digest: a page id and a url may have several payloads."""
+            if (key, sha) not in sizes:
                 if len(sizes) > 100_000:
                     sizes.clear()
-                responses = [p for f, p in map(reader.read, reader.lookup(key)) if f["WARC-Type"] == "response"]
-                sizes[key] = len(responses[0])
-            return sizes[key]
+                found = (len(p) for f, p in map(reader.read, reader.lookup(key)) if f["WARC-Type"] == "response" and f["WARC-Payload-Digest"] == sha)
+                if (n := next(found, None)) is None:
+                    raise ValueError(f"no response {sha} at {key}")
+                sizes[key, sha] = n
+            return sizes[key, sha]
 
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
@@ -300,7 +305,7 @@ def read_back(pages: DataFrame, index: list[tuple[str, str]], index_folder: str,
                     page_id = int(line[1]) if line[1] else None
                     if fields["WARC-Type"] == "revisit":
                         to = int(fields["Refers-To-Page-ID"])
-                        n = size_of(_sort_key(reversed_host_key(fields.get("WARC-Refers-To-Target-URI")), to))
+                        n = size_of(_sort_key(reversed_host_key(fields.get("WARC-Refers-To-Target-URI")), to), fields["WARC-Payload-Digest"])
                         values = (page_id, n, fields["WARC-Payload-Digest"].removeprefix("sha1:"), "revisit", to)
                     else:
                         values = (page_id, len(payload), digest(payload), "response", None)

@@ -47,6 +47,14 @@ def test_repeated_rows_and_empty(spark):
     assert W.archive_and_read(pages.limit(0)).collect() == []
 
 
+def test_a_target_that_shares_id_and_url_with_another_payload(spark):
+    """The revisit has the size of the payload that it repeats, whichever response of that id and url comes first."""
+    rows = [(7, "http://a.org/", "other payload of 21 b"), (7, "http://a.org/", "short"), (3, "http://b.org/", "short"), (4, "http://c.org/", "other payload of 21 b"), (7, "http://d.org/", "short")]
+    pages = spark.createDataFrame([(*r, "clash") for r in rows], PAGES).repartition(2)
+    got = sorted(map(tuple, W.archive_and_read(pages).collect()), key=str)
+    assert got == want(rows) and {(r[0], r[1]) for r in got} == {(7, 21), (7, 5), (3, 5), (4, 21)}
+
+
 def test_frequent_payloads_are_not_shuffled(spark):
     """Captures of a frequent digest keep no payload but the winner's, and long and missing payloads come back whole."""
     rows = [(i, f"http://h{i}.org/", "frequent " * 50) for i in range(300)] + [(900 + i, f"http://e{i}.org/", None if i % 2 else "") for i in range(200)]
