@@ -19,7 +19,8 @@ by comparing all, send their text through the file's own normalizer.
 
 Defined cases: a null text counts as empty and has no tokens; an empty text decodes to an empty text; strings of the added tokens in a text become their
 ids; lone surrogates can't occur in UTF-8 columns; repeated rows give repeated rows; an empty table gives no rows; a very long text is one row in memory; other
-columns are ignored. Memory is bounded by the tables, the two caches and one text. The file's content is sent to the tasks.
+columns are ignored. Memory is bounded by the tables, looked at before each new state even inside a word, the two caches, bounded in words and characters, and what one text
+needs: its words and, for each distinct one, its ids and its decoded form. The file's content is sent to the tasks.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ from .packing import byte_alphabet
 #: White space as Unicode has it, which is what the pre-tokenizer's \s means.
 SPACE = "\t-\r \x85\xa0  -     　"
 MOST_WORDS = 500_000
+#: Characters of words, ids and decoded words that the caches hold before they are emptied; the text at hand comes on top.
+MOST_HELD = 100_000_000
 MOST_STATES = 200_000
 _LOADED: dict[int, Tokenizer] = {}
 
@@ -124,24 +127,32 @@ class Automaton:
             if label < 0 and self.ends[node] >= 0 and self._has(left, self.ends[node]):  # the only one
                 label = self.ends[node]
         after.append((0, self.target[label]))
-        key = (label, tuple(after))
-        to = self.known.get(key)
-        if to is None:
-            to = self.known[key] = len(self.table)
+        to = self.table[at][symbol] = self._state((label, tuple(after)))
+        return to
+
+    def _state(self, key: tuple) -> int:
+        """The state of an ended label and the arcs under way, made if it is new."""
+        at = self.known.get(key)
+        if at is None:
+            at = self.known[key] = len(self.table)
             self.table.append({})
             self.under_way.append(key[1])
-            self.ended.append(label)
-        self.table[at][symbol] = to
-        return to
+            self.ended.append(key[0])
+        return at
 
     def encode(self, word: str) -> list[int]:
         """Token ids of one pre-split word in byte-level characters."""
-        if len(self.table) > MOST_STATES:
-            self._reset()
         table, ended, at, labels = self.table, self.ended, 0, []
         for symbol in self.symbols(word, True, self.suffix):
             to = table[at].get(symbol)
-            at = self._step(at, symbol) if to is None else to
+            if to is None:
+                if len(table) >= MOST_STATES:  # the walk goes on in an empty table, from the state that it is in
+                    key = ended[at], self.under_way[at]
+                    self._reset()
+                    table, ended = self.table, self.ended
+                    at = self._state(key)
+                to = self._step(at, symbol)
+            at = to
             labels.append(ended[at])
         out, i = [], len(labels)
         while i:
@@ -232,7 +243,8 @@ class _Ids(dict):
     def __missing__(self, word: str) -> str:
         ids = self.owner.word_ids(word)
         out = self[word] = " ".join(map(str, ids))
-        self.owner.decoded[word] = self.owner.decode(ids)
+        decoded = self.owner.decoded[word] = self.owner.decode(ids)
+        self.owner.held += len(word) + len(out) + len(decoded)
         return out
 
 
@@ -256,7 +268,7 @@ class Tokenizer:
         self.chars = {b: c for b, c in byte_alphabet().items()}
         self.table = "".join(self.chars[b] for b in range(256))
         self.unsettled = re.compile(f"[{_unsettled(self.normalize)}]").search  # re has a bitmap for large classes
-        self.ids, self.decoded = _Ids(self), {}
+        self.ids, self.decoded, self.held = _Ids(self), {}, 0
 
     def word_ids(self, word: str) -> list[int]:
         if word in self.added:
@@ -277,7 +289,15 @@ class Tokenizer:
         return out
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for w in self.pre_split(text) for i in self.ids[w].split()]
+        words = self.pre_split(text)
+        self._make_room()
+        return [int(i) for w in words for i in self.ids[w].split()]
+
+    def _make_room(self) -> None:
+        if len(self.ids) > MOST_WORDS or self.held > MOST_HELD:
+            self.ids.clear()
+            self.decoded.clear()
+            self.held = 0
 
     def decode(self, ids: Iterable[int]) -> str:
         labels = self.automaton.labels
@@ -286,9 +306,7 @@ class Tokenizer:
     def both(self, text: str) -> tuple[str, str]:
         """The ids, joined by a space, and the decoded text."""
         words = self.pre_split(text)
-        if len(self.ids) > MOST_WORDS:
-            self.ids.clear()
-            self.decoded.clear()
+        self._make_room()
         return " ".join(map(self.ids.__getitem__, words)), " ".join(map(self.decoded.__getitem__, words))
 
 

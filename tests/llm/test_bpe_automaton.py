@@ -80,7 +80,26 @@ def test_caches_are_bounded(library, monkeypatch):
     mine = B.Tokenizer(CONTENT)
     for t in texts(9, 100):
         assert mine.both(t)[0] == " ".join(map(str, library.encode(t, add_special_tokens=False).ids))
-    assert len(mine.automaton.table) <= 300
+    assert len(mine.automaton.table) <= 101
+
+
+def test_states_are_bounded_inside_a_word(library, monkeypatch):
+    """The table is emptied in the middle of a word, and the walk goes on from the state that it was in."""
+    r = random.Random(6)
+    word = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(30_000))
+    want = library.encode(word, add_special_tokens=False).ids
+    for most in (2, 50, 4000):
+        monkeypatch.setattr(B, "MOST_STATES", most)
+        mine = B.Tokenizer(CONTENT)
+        assert mine.encode(word) == want and len(mine.automaton.table) <= most + 2
+
+
+def test_word_caches_are_bounded_by_size(monkeypatch):
+    monkeypatch.setattr(B, "MOST_HELD", 5000)
+    mine, r = B.Tokenizer(CONTENT), random.Random(7)
+    for _ in range(30):
+        mine.encode(" ".join("".join(r.choice("abcdefgh") for _ in range(200)) for _ in range(3)))
+        assert mine.held < 5000 + 3 * 3000 and len(mine.ids) == len(mine.decoded)
 
 
 def test_frames(spark, library):
