@@ -31,13 +31,27 @@ def origin(url: Column) -> Column:
     return F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
 
 
+_HREFS = r"(?i)<a\s[^>]*href=[\"']([^\"'#]*)"
+
+
+def _resolved(url: Column, href: Column) -> Column:
+    """An href as a URL; those without a scheme are taken from the page's origin."""
+    out = F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href).when(href.startswith("//"), F.concat(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1), href))
+    return out.when(href.startswith("/"), F.concat(origin(url), href)).otherwise(F.concat(origin(url), F.lit("/"), href))
+
+
 def links(pages: DataFrame) -> DataFrame:
     """(page_id, url, link): http links of each page; those without a scheme are taken from the page's origin."""
-    hrefs = F.regexp_extract_all(F.col("html"), F.lit(r"(?i)<a\s[^>]*href=[\"']([^\"'#]*)"), F.lit(1))
+    hrefs = F.regexp_extract_all(F.col("html"), F.lit(_HREFS), F.lit(1))
     each = pages.select("page_id", "url", F.explode(F.array_distinct(hrefs)).alias("href"))
-    resolved = F.when(F.col("href").rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.col("href")).when(F.col("href").startswith("//"), F.concat(F.regexp_extract("url", r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1), "href"))
-    resolved = resolved.when(F.col("href").startswith("/"), F.concat(origin(F.col("url")), "href")).otherwise(F.concat(origin(F.col("url")), F.lit("/"), "href"))
-    return each.select("page_id", "url", resolved.alias("link")).where(F.col("link").startswith("http")).distinct()
+    return each.select("page_id", "url", _resolved(F.col("url"), F.col("href")).alias("link")).where(F.col("link").startswith("http")).distinct()
+
+
+def links_in_order(pages: DataFrame) -> DataFrame:
+    """(ord, place, link) of pages (url, ord, html): http links with their place among the page's, repeated ones too."""
+    hrefs = F.regexp_extract_all(F.col("html"), F.lit(_HREFS), F.lit(1))
+    each = pages.select("url", "ord", F.posexplode(hrefs).alias("place", "href"))
+    return each.select("ord", "place", _resolved(F.col("url"), F.col("href")).alias("link")).where(F.col("link").startswith("http"))
 
 
 _EXTRACTED = T.StructType([T.StructField("title", T.StringType()), T.StructField("text", T.StringType()), T.StructField("links", T.ArrayType(T.StringType()))])

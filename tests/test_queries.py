@@ -2,7 +2,7 @@ import duckdb
 import pytest
 
 from tessera.plans import queries as Q
-from tessera.plans import source_queries  # noqa: F401
+from tessera.plans import loop_queries, source_queries  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
