@@ -6,8 +6,8 @@ for all other pre-tokens: the bytes are a doubly linked list, and a heap holds t
 has since changed are passed over. Ranks of byte pairs come from a table of 65,536 entries, those of longer parts from the same hash. A pre-token of n bytes takes n log n steps, so one
 unbroken word of a million letters is no different from many words.
 
-The hash is built once, on the driver, and sent to the tasks: its size is that of the vocabulary file, whatever the data. Each distinct pre-token of a slice of texts is
-looked up once; nothing is kept from slice to slice.
+The hash is built once, on the driver, and sent to the tasks: its size is that of the vocabulary file, whatever the data. What has been looked up is kept for the words that follow, up to
+a bound (``MOST_JOINED``, ``MOST_HELD``).
 
 Defined cases: a null text counts as empty; an empty text has no tokens and decodes to no bytes; strings of special tokens are ordinary text; lone surrogates can't
 occur in UTF-8 columns; a null id is kept; repeated rows give repeated rows; an empty table gives no rows; a very long text is one row in memory, with a few times its size for
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -28,11 +29,14 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from .bpe_automaton import _code_points, _ranges
+from .bpe_automaton import _code_points, _is_latin, _ranges
 from .common import slices
 
 #: Multiplier that makes a second hash, the step of a displacement, out of the first.
 _STEP = 0x9E3779B97F4A7C15
+#: Pairs of tokens whose rank is kept, and characters of words, ids and decoded words; the text at hand comes on top.
+MOST_JOINED = 500_000
+MOST_HELD = 50_000_000
 _WHOLE = (1 << 64) - 1
 _NONE = 1 << 40
 
@@ -114,26 +118,40 @@ class Vocabulary:
         self.ranks = [0] * len(keys)
         for key, slot in zip(keys, self.hash.slots.tolist(), strict=True):
             self.keys[slot], self.ranks[slot] = key, ranks[key]
-        self.tokens: dict[int, bytes] = {r: k for k, r in ranks.items()}
+        self.tokens = [b""] * (max(ranks.values()) + 1)
+        for key, rank in ranks.items():
+            self.tokens[rank] = key
         self.pairs = [ranks.get(bytes([a, b]), _NONE) for a in range(256) for b in range(256)]
         self.single = [ranks[bytes([b])] for b in range(256)]
+        self.joined: dict[int, int] = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"joined": {}}
 
     def rank(self, part: bytes) -> int:
         slot = self.hash.slot(part)
         return self.ranks[slot] if self.keys[slot] == part else _NONE
 
+    def _join(self, pair: int) -> int:
+        """The rank of two tokens put together; those asked for last are kept, up to MOST_JOINED."""
+        if len(self.joined) >= MOST_JOINED:
+            self.joined.clear()
+        out = self.joined[pair] = self.rank(self.tokens[pair >> 32] + self.tokens[pair & 0xFFFFFFFF])
+        return out
+
     def encode_word(self, word: bytes) -> list[int]:
         """Ranks of the tokens of one pre-token."""
         whole = self.rank(word)
         return [whole] if whole != _NONE else self.merge(word)
 
     def merge(self, word: bytes) -> list[int]:
-        """The heap over linked bytes. Parts are known by their first byte; `after` and `before` link them, `pair` is the rank of a part with the one after it."""
-        n, rank, pairs = len(word), self.rank, self.pairs
+        """The heap over linked bytes. Parts are known by their first byte; `after` and `before` link them, `token` is a part's rank and `pair` that of a part with the one after it."""
+        n, pairs, known = len(word), self.pairs, self.joined.get
+        token = [self.single[b] for b in word]
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         pair = [pairs[a << 8 | b] for a, b in zip(word, word[1:], strict=False)]
-        pair.append(_NONE)
         heap = [r << 40 | i for i, r in enumerate(pair) if r != _NONE]
+        pair.append(_NONE)
         heapify(heap)
         while heap:
             entry = heappop(heap)
@@ -142,24 +160,32 @@ class Vocabulary:
                 continue
             gone = after[i]
             end = after[i] = after[gone]
+            token[i] = r
             pair[gone] = -1
             if end < n:
                 before[end] = i
-                pair[i] = r = rank(word[i : after[end]])
-                if r != _NONE:
-                    heappush(heap, r << 40 | i)
+                both = r << 32 | token[end]
+                joined = known(both)
+                if joined is None:
+                    joined = self._join(both)
+                pair[i] = joined
+                if joined != _NONE:
+                    heappush(heap, joined << 40 | i)
             else:
                 pair[i] = _NONE
             if i:
                 k = before[i]
-                pair[k] = r = rank(word[k:end])
-                if r != _NONE:
-                    heappush(heap, r << 40 | k)
+                both = token[k] << 32 | r
+                joined = known(both)
+                if joined is None:
+                    joined = self._join(both)
+                pair[k] = joined
+                if joined != _NONE:
+                    heappush(heap, joined << 40 | k)
         out, i = [], 0
         while i < n:
-            end = after[i]
-            out.append(self.single[word[i]] if end == i + 1 else rank(word[i:end]))
-            i = end
+            out.append(token[i])
+            i = after[i]
         return out
 
     def decode(self, ids: Iterable[int]) -> bytes:
@@ -186,17 +212,43 @@ def as_tiktoken_splits(pattern: str) -> str:
     return pattern.replace(r"[^\s\p{L}\p{N}]+", other).replace(r"\p{L}+", rf"[^\P{{L}}{letters}]+").replace(r"\p{N}+", rf"[^\P{{N}}{numbers}]+")
 
 
+def latin_pattern(pattern: str) -> str:
+    """The pattern for texts of code points below 256, its classes spelt out, for the plainer and faster module."""
+    every = [chr(c) for c in range(256)]
+    of = {kind: "".join(map(re.escape, regex.findall(kind, "".join(every)))) for kind in (r"\p{L}", r"\p{N}", r"\s")}
+    out = pattern.replace(r"[^\s\p{L}\p{N}]", "[^" + "".join(of.values()) + "]").replace(r"\S", f"[^{of[chr(92) + 's']}]")
+    for kind, inside in of.items():
+        out = out.replace(kind, f"[{inside}]")
+    return out
+
+
 class Tokenizer:
-    """A vocabulary with the pattern that splits text into pre-tokens."""
+    """A vocabulary with the pattern that splits text into pre-tokens. Words that texts have in common are encoded once, until the cache holds MOST_HELD characters."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str, settled: str):
         self.vocabulary = vocabulary
-        #: ASCII text has no code point in which the two Unicode versions differ, and the plain pattern is faster.
-        self.ascii = regex.compile(pattern).findall
+        self.latin = re.compile(latin_pattern(pattern)).findall
         self.words = regex.compile(settled).findall
+        self.ids: dict[str, str] = {}
+        self.decoded: dict[str, bytes] = {}
+        self.held = 0
 
     def pre_split(self, text: str) -> list[str]:
-        return self.ascii(text) if text.isascii() else self.words(text)
+        return self.latin(text) if _is_latin(text) else self.words(text)
+
+    def both(self, text: str) -> tuple[str, bytes]:
+        """The ids, joined by a space, and the bytes decoded from them."""
+        words = self.pre_split(text)
+        if self.held > MOST_HELD:
+            self.ids.clear()
+            self.decoded.clear()
+            self.held = 0
+        for word in set(words).difference(self.ids):
+            ids = self.vocabulary.encode_word(word.encode())
+            self.ids[word] = " ".join(map(str, ids))
+            self.decoded[word] = self.vocabulary.decode(ids)
+            self.held += 2 * len(word) + len(self.ids[word])
+        return " ".join(map(self.ids.__getitem__, words)), b"".join(map(self.decoded.__getitem__, words))
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(self.vocabulary.encode_word(w.encode()) for w in self.pre_split(text)))
@@ -243,18 +295,13 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(*sent.value)
-        vocabulary = tokenizer.vocabulary
-        for batch in slices(batches, "text", 4 << 20):
-            split = [tokenizer.pre_split(t) if t else [] for t in batch.column("text").to_pylist()]
-            ids = {w: vocabulary.encode_word(w.encode()) for w in set(chain.from_iterable(split))}
-            joined = {w: " ".join(map(str, i)) for w, i in ids.items()}
-            decoded = {w: vocabulary.decode(i) for w, i in ids.items()}
-            counts = {w: len(i) for w, i in ids.items()}
+        for batch in slices(batches, "text", 1 << 20):
             out: list[list] = [[], [], []]
-            for words in split:
-                out[0].append(sum(map(counts.__getitem__, words)))
-                out[1].append(hashlib.sha256(" ".join(map(joined.__getitem__, words)).encode()).hexdigest())
-                out[2].append(hashlib.sha256(b"".join(map(decoded.__getitem__, words))).hexdigest())
+            for text in batch.column("text").to_pylist():
+                ids, decoded = tokenizer.both(text or "")
+                out[0].append(ids.count(" ") + 1 if ids else 0)
+                out[1].append(hashlib.sha256(ids.encode()).hexdigest())
+                out[2].append(hashlib.sha256(decoded).hexdigest())
             columns = [batch.column("doc_id").cast(pa.int64()), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

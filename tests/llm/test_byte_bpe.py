@@ -92,6 +92,23 @@ def test_long_words_and_long_white_space(library, mine):
     assert mine.encode(" " * 1000 + "x") == library.encode_ordinary(" " * 1000 + "x")
 
 
+def test_caches_are_bounded(library, monkeypatch):
+    monkeypatch.setattr(B, "MOST_HELD", 500)
+    monkeypatch.setattr(B, "MOST_JOINED", 20)
+    small = B.make(PATH, public_tokenizers.PATTERN)
+    for t in texts(11, 60):
+        ids, decoded = small.both(t)
+        assert ids == " ".join(map(str, library.encode_ordinary(t))) and decoded == t.encode()
+        assert small.held <= 500 + 20 * len(t.encode()) and len(small.vocabulary.joined) <= 20
+
+
+def test_latin_texts_split_alike(library, mine):
+    every, r = [chr(c) for c in range(256)], random.Random(12)
+    for _ in range(3000):
+        t = "".join(r.choice(every) for _ in range(r.randint(1, 30)))
+        assert mine.pre_split(t) == mine.words(t), ascii(t)
+
+
 def test_defined_cases(spark, library):
     rows = [(1, None), (2, ""), (3, "same text"), (3, "same text"), (None, "null id <|endoftext|>"), (5, "x" * 300_000), *((10 + i, t) for i, t in enumerate(texts(9, 40)))]
     docs = spark.createDataFrame([(i, t, "clash", 1) for i, t in rows], DOCS)
