@@ -701,6 +701,17 @@ def stream_dedup(spark, sf_dir):
     return drained(stateful.first_seen(keyed).select("event_type", "user_id"))
 
 
+@query(ORACLES["jaccard_clusters"])
+def stream_near_copies(spark, sf_dir):
+    """The documents as a stream of three batches, held against an index that is kept between them: the clusters are those of the whole table."""
+    source, folder = new_path(spark, "documents-in"), new_path(spark, "near-index")
+    documents(spark, sf_dir).select("doc_id", "text").repartition(3).write.parquet(source)
+    docs = spark.readStream.schema("doc_id bigint, text string").option("maxFilesPerTrigger", 1).parquet(source)
+    index = stateful.NearCopyIndex(spark, folder)
+    index.of_stream(docs, new_path(spark, "stream-state")).trigger(availableNow=True).start().awaitTermination()
+    return index.clusters()
+
+
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def stream_windows(spark, sf_dir):
     """The stream's whole table, which also holds windows that the watermark hasn't closed yet."""

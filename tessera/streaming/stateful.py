@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow.fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import expressions as X
+from ..operators import dedup
+from ..operators.components import components
+from ..sources.sinks import file_system, write_json
+from ..tables import qualified
 
 
 def event_time(df: DataFrame, ts: str = "ts", late: str = "10 minutes") -> DataFrame:
@@ -55,10 +63,78 @@ def gate(pages: DataFrame, domain: str = "domain", score: str = "score", order:
 
 
 def buffered_dedup(docs: DataFrame, path: str, checkpoint: str, threshold: float | Callable[[], float] = 0.92):
-    """A stream whose batches are each freed of near copies and appended to path. A threshold that is a function is asked anew for every batch, so settings may change while the stream runs."""
-    from ..operators.dedup import best_of_clusters, jaccard_clusters
+    """A stream whose batches are each freed of near copies, a folder of path for each batch, which a batch that is tried again replaces. A threshold that is a function is asked anew for every batch, so settings may change while the stream runs."""
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        best_of_clusters(batch, jaccard_clusters(batch, threshold() if callable(threshold) else threshold)).withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(path)
+        best = dedup.best_of_clusters(batch, dedup.jaccard_clusters(batch, threshold() if callable(threshold) else threshold))
+        best.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
 
     return docs.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
+
+
+class NearCopyIndex:
+    """Near copies across the batches of a stream: sets, their prefix shingles, members and links, as tables in a folder that grow by a part for each batch.
+
+    A batch holds its new shingle sets against all sets that came before and against each other; sets that are there already only gain members. Its part counts once its manifest names all its tables, and a
+    batch that has one is passed over, so trying it again changes nothing. The order of rarity that prefixes follow is that of the first batch, kept beside the parts: any order finds all pairs if it is one for all. Ids must tell rows apart.
+    """
+
+    _TABLES = {"members": "id bigint, key string", "sets": "key string, rep bigint, set array<bigint>", "heads": "rep bigint, n int, i int, s bigint", "links": "a bigint, b bigint"}
+
+    def __init__(self, spark: SparkSession, folder: str, threshold: float = 0.92, n: int = 3):
+        self.spark, self.folder, self.threshold, self.n = spark, folder.rstrip("/"), threshold, n
+
+    def _json(self, name: str) -> dict | None:
+        fs, root = file_system(qualified(self.spark, self.folder))
+        try:
+            with fs.open_input_stream(f"{root}/{name}.json") as f:
+                return json.loads(f.read())
+        except FileNotFoundError:
+            return None
+
+    def _parts(self) -> list[dict]:
+        fs, root = file_system(qualified(self.spark, self.folder))
+        found = fs.get_file_info(pyarrow.fs.FileSelector(root, allow_not_found=True))
+        names = sorted(x.base_name.removesuffix(".json") for x in found if x.base_name.startswith("batch-") and x.base_name.endswith(".json"))
+        return [self._json(x) for x in names]
+
+    def table(self, name: str) -> DataFrame:
+        """The parts of all whole batches together."""
+        paths = [x[name] for x in self._parts()]
+        return self.spark.read.schema(self._TABLES[name]).parquet(*paths) if paths else self.spark.createDataFrame([], self._TABLES[name])
+
+    def _order(self, sets: DataFrame) -> np.ndarray:
+        kept = self._json("order")
+        if kept is None:
+            kept = {"shingles": dedup.frequent_shingles(sets).tolist()}
+            write_json(self.spark, f"{self.folder}/order.json", kept)
+        return np.array(kept["shingles"], np.int64)
+
+    def add(self, batch: DataFrame, batch_id: int) -> None:
+        """batch: doc_id, text. Does nothing if the batch is there already."""
+        if self._json(f"batch-{batch_id:012d}") is not None:
+            return
+        before = {name: self.table(name) for name in self._TABLES}
+        members, sets = dedup.token_sets(batch, "doc_id", self.n)
+        at = {name: f"{self.folder}/{name}/{uuid.uuid4().hex}" for name in self._TABLES}
+
+        def put(name: str, df: DataFrame) -> DataFrame:
+            df.write.parquet(at[name])
+            return self.spark.read.schema(self._TABLES[name]).parquet(at[name])
+
+        put("members", batch.select(F.col("doc_id").alias("id")).join(members, "id", "left"))
+        fresh = put("sets", sets.join(before["sets"].select("key"), "key", "left_anti").select("key", "rep", "set"))
+        listed = put("heads", dedup.heads(fresh, self._order(fresh), self.threshold))
+        put("links", dedup.jaccard_links(before["heads"].unionByName(listed), before["sets"].unionByName(fresh), self.threshold, before["links"], fresh.select("rep")))
+        write_json(self.spark, f"{self.folder}/batch-{batch_id:012d}.json", at)
+
+    def clusters(self) -> DataFrame:
+        """(id, cluster) of every document so far: the smallest id among those reachable; documents without tokens stand alone."""
+        found = components(self.table("links"))
+        named = self.table("members").join(self.table("sets").select("key", "rep"), "key", "left").join(found, F.col("rep") == F.col("node"), "left").select("id", F.coalesce("component", "rep").alias("group"))
+        least = named.where("group IS NOT NULL").groupBy("group").agg(F.min("id").alias("cluster"))
+        return named.join(least, "group", "left").select("id", F.coalesce("cluster", "id").alias("cluster"))
+
+    def of_stream(self, docs: DataFrame, checkpoint: str):
+        """A stream of (doc_id, text) into the index."""
+        return docs.writeStream.foreachBatch(self.add).option("checkpointLocation", checkpoint)
