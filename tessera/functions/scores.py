@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import fnmatch
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,10 +48,27 @@ def quality_score(text: Column, rewards=V.QUALITY_REWARDS, penalties=V.QUALITY_P
     return F.when(words < 50, F.lit(0.1)).otherwise(clamp(moved, 0.05, 1.0))
 
 
+#: What a domain that no rule fits has.
+DOMAIN_DEFAULT = (0.8, "general_web")
+
+
+def glob_regex(pattern: str) -> str:
+    """A shell pattern as a regular expression of the JVM, to be found at the start."""
+    return "^" + re.sub(r"\\[Zz]$", r"\\z", fnmatch.translate(pattern))
+
+
+def rule_fits(domain: Column, pattern: str) -> Column:
+    """Whether a rule's pattern is a star, part of the domain, or a shell pattern for the whole of it."""
+    if pattern == "*":
+        return F.lit(True)
+    part = domain.contains(pattern)
+    return part | domain.rlike(glob_regex(pattern)) if set(pattern) & set("*?[") else part
+
+
 def domain_rule(domain: Column, rules=V.DOMAINS) -> tuple[Column, Column]:
-    """(weight, category) of the first rule that is a star or part of the domain."""
-    hit = [(F.lit(True) if p == "*" else domain.contains(p), w, c) for p, w, c in rules]
-    return X.first_of([(h, w) for h, w, _ in hit], 1.0), X.first_of([(h, c) for h, _, c in hit], "general_web")
+    """(weight, category) of the first rule that fits, for a few rules; operators.rules has tables of any size."""
+    hit = [(rule_fits(domain, p), w, c) for p, w, c in rules]
+    return X.first_of([(h, w) for h, w, _ in hit], DOMAIN_DEFAULT[0]), X.first_of([(h, c) for h, _, c in hit], DOMAIN_DEFAULT[1])
 
 
 def lookup(key: Column, weights: dict[str, float], default: float) -> Column:

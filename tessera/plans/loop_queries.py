@@ -10,22 +10,7 @@ from ..functions import values as V
 from ..operators import html
 from ..tables import new_path, written
 from . import crawling
-from .queries import DOMAIN, NETLOC, SIGNAL_PENALTIES, TITLE, pages, query, sql_n_words, sql_page_text, sql_signal, sql_text
-
-
-def sql_parsed_text() -> str:
-    """What the parser takes for the text of a page: its pieces between tags, trimmed, a line each."""
-    body = "html"
-    for pattern in (*(rf"<{tag}(\s[^>]*)?>.*?</{tag}>" for tag in html.DROPPED), r"<title[^>]*>.*?</title>", r"<!--.*?-->"):
-        body = f"regexp_replace({body}, '(?is){pattern}', chr(1), 'g')"
-    plain = "x"
-    for entity, char in (("&quot;?", '"'), ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&")):
-        plain = f"regexp_replace({plain}, '{entity}', '{char}', 'g')"
-    return f"array_to_string(list_filter(list_transform(string_split(regexp_replace({body}, '<[^>]*>', chr(1), 'g'), chr(1)), lambda x: regexp_replace({plain}, '^\\s+|\\s+$', '', 'g')), lambda x: x <> ''), chr(10))"
-
-
-PARSED = f"""parsed AS MATERIALIZED (SELECT page_id, url, html, {TITLE} AS title, {sql_parsed_text()} AS own, {sql_page_text()} AS plain FROM pages),
- texts AS MATERIALIZED (SELECT page_id, url, html, title, CASE WHEN {sql_n_words('own')} >= 30 THEN own ELSE plain END AS text, {sql_n_words('own')} >= 30 AS enough FROM parsed)"""
+from .queries import DOMAIN, NETLOC, PARSED, SIGNAL_PENALTIES, pages, query, sql_n_words, sql_signal, sql_text
 
 
 @query(f"WITH {PARSED} SELECT page_id, enough, sha256(text) AS key FROM texts")

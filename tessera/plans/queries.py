@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import expressions as X
 from ..functions import scores as S
 from ..functions import values as V
-from ..operators import bpe, dedup, frontier, gate, html, reports, shards, weighting
+from ..operators import bpe, dedup, frontier, gate, html, reports, rules, shards, weighting
 from ..operators.clean import CleanConfig, action_counts, clean, normalize, redact, refusal_hits, refusal_score
 from ..sources import crawl, readers, sinks
 from ..streaming import stateful
@@ -144,6 +144,26 @@ def sql_page_text() -> str:
     return f"regexp_replace(regexp_replace(regexp_replace({body}, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'), '^ | $', '', 'g')"
 
 
+def sql_entities(t: str) -> str:
+    """The entities that the tables' pages have."""
+    for entity, char in (("&quot;?", '"'), ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&")):
+        t = f"regexp_replace({t}, '{entity}', '{char}', 'g')"
+    return t
+
+
+def sql_parsed_text() -> str:
+    """What the parser takes for the text of a page: its pieces between tags, trimmed, a line each."""
+    body = "html"
+    for pattern in (*(rf"<{tag}(\s[^>]*)?>.*?</{tag}>" for tag in html.DROPPED), r"<title[^>]*>.*?</title>", r"<!--.*?-->"):
+        body = f"regexp_replace({body}, '(?is){pattern}', chr(1), 'g')"
+    plain = sql_entities("x")
+    return f"array_to_string(list_filter(list_transform(string_split(regexp_replace({body}, '<[^>]*>', chr(1), 'g'), chr(1)), lambda x: regexp_replace({plain}, '^\\s+|\\s+$', '', 'g')), lambda x: x <> ''), chr(10))"
+
+
+PARSED = f"""parsed AS MATERIALIZED (SELECT page_id, url, html, {TITLE} AS title, {sql_parsed_text()} AS own, {sql_page_text()} AS plain FROM pages),
+ texts AS MATERIALIZED (SELECT page_id, url, html, title, CASE WHEN {sql_n_words('own')} >= 30 THEN own ELSE plain END AS text, {sql_n_words('own')} >= 30 AS enough FROM parsed)"""
+
+
 # --- text and cleaning
 
 @query(f"SELECT doc_id, {sql_n_words('text')}::BIGINT AS n_words, length(text)::BIGINT AS n_chars_seen, round({sql_distinct('text')}, 6) AS distinct_ratio, round({sql_ratio('text', chr(92) + 'p{L}')}, 6) AS alpha_ratio, round({sql_ratio('text', chr(92) + 'p{Nd}')}, 6) AS digit_ratio, round({sql_mean_word('text')}, 6) AS mean_word_length FROM documents")
@@ -316,17 +336,31 @@ def signal_score(spark, sf_dir):
     return pages_text(spark, sf_dir).select("page_id", rounded(S.signal_score(F.col("url"), F.col("t"), penalties=SIGNAL_PENALTIES)).alias("signal"))
 
 
-#: Domain rules that the tables' hosts meet.
-SAMPLE_DOMAINS = (("example.org", 2.0, "reference"), ("ple.net", 0.5, "forum"), ("*", 0.8, "general_web"))
+#: Domain rules that the tables' hosts meet; a domain that none fits has weight 0.8 and is general_web.
+SAMPLE_DOMAINS = (("example.org", 2.0, "reference"), ("*.c?m", 0.7, "shop"), ("ple.nets", 0.5, "forum"))
 
 
-@query(f"SELECT page_id, {DOMAIN} AS domain, {sql_case([(('true' if p == '*' else f'contains({DOMAIN}, {sql_text(p)})'), str(w)) for p, w, _ in SAMPLE_DOMAINS], '1.0')}::DOUBLE AS weight, {sql_case([(('true' if p == '*' else f'contains({DOMAIN}, {sql_text(p)})'), sql_text(c)) for p, _, c in SAMPLE_DOMAINS], sql_text('general_web'))} AS category FROM pages")
+@query(f"SELECT page_id, {DOMAIN} AS domain, CASE WHEN contains({DOMAIN}, 'example.org') THEN 2.0 WHEN {DOMAIN} GLOB '*.c?m' THEN 0.7 WHEN contains({DOMAIN}, 'ple.nets') THEN 0.5 ELSE 0.8 END::DOUBLE AS weight, CASE WHEN contains({DOMAIN}, 'example.org') THEN 'reference' WHEN {DOMAIN} GLOB '*.c?m' THEN 'shop' WHEN contains({DOMAIN}, 'ple.nets') THEN 'forum' ELSE 'general_web' END AS category FROM pages")
 def domain_rules(spark, sf_dir):
     d = X.registered_domain(F.col("url"))
     weight, category = S.domain_rule(d, SAMPLE_DOMAINS)
     return pages(spark, sf_dir).select("page_id", d.alias("domain"), weight.cast("double").alias("weight"), category.alias("category"))
 
 
+RULES = f"""WITH h AS (SELECT page_id, {NETLOC} AS host FROM pages), r AS (SELECT page_id AS ord, CASE page_id % 4 WHEN 0 THEN substr(host, 3, 5) WHEN 1 THEN '*' || substr(host, length(host) - 8) WHEN 2 THEN substr(host, 1, 4) || '*' ELSE '?' || substr(host, 2, 6) || '*.o[a-r]g' END AS pattern, (page_id % 7) / 2.0 AS weight, 'c' || (page_id % 5) AS category FROM h WHERE page_id % 2 = 1 OR page_id % 6 = 0)"""
+
+
+@query(RULES + """, f AS (SELECT h.host, min(r.ord) AS ord FROM (SELECT DISTINCT host FROM h) h JOIN r ON contains(h.host, r.pattern) OR h.host GLOB r.pattern GROUP BY h.host)
+ SELECT h.page_id, coalesce(r.weight, 0.8)::DOUBLE AS weight, coalesce(r.category, 'general_web') AS category FROM h LEFT JOIN f ON f.host = h.host LEFT JOIN r ON r.ord = f.ord""")
+def rule_table(spark, sf_dir):
+    """Rules made of the hosts of most pages, in the order of the pages: parts, endings, beginnings and shell patterns."""
+    hosts = pages(spark, sf_dir).select("page_id", X.netloc(F.col("url")).alias("domain"))
+    n, h = F.col("page_id"), F.col("domain")
+    pattern = F.when(n % 4 == 0, F.substring(h, 3, 5)).when(n % 4 == 1, F.concat(F.lit("*"), F.substring(h, F.length(h) - 8, F.lit(9)))).when(n % 4 == 2, F.concat(F.substring(h, 1, 4), F.lit("*"))).otherwise(F.concat(F.lit("?"), F.substring(h, 2, 6), F.lit("*.o[a-r]g")))
+    table_ = hosts.where("page_id % 2 = 1 OR page_id % 6 = 0").select(n.alias("ord"), pattern.alias("pattern"), ((n % 7) / 2.0).alias("weight"), F.concat(F.lit("c"), (n % 5).cast("string")).alias("category"))
+    return rules.apply_rules(hosts, written(table_, "rules")).select("page_id", F.col("domain_weight").alias("weight"), "category")
+
+
 @query(f"SELECT page_id, {sql_case([(f'regexp_matches(url, {sql_text(p)})', sql_text(k)) for p, k in V.URL_TYPES], sql_text('unknown'))} AS content_type, {sql_case([('lower(regexp_extract(url, ' + sql_text('^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)') + f', 1)) LIKE {sql_text(chr(37) + k)}', sql_text(v)) for k, v in V.CODE_SUFFIXES.items()], sql_text(''))} AS code_language FROM pages")
 def classify_url(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", X.classify_url(F.col("url")).alias("content_type"), X.code_language(F.col("url")).alias("code_language"))
@@ -337,7 +371,7 @@ def reclassify(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", X.reclassify(F.lit("unknown"), F.col("text")).alias("content_type"))
 
 
-@query(PAGES + f""", d AS (SELECT page_id, {DOMAIN} AS domain, t, {sql_quality('t')} AS q FROM p WHERE {sql_n_words('t')} >= 30 QUALIFY row_number() OVER (PARTITION BY t ORDER BY page_id) = 1)
+@query(f"""WITH {PARSED}, d AS (SELECT page_id, {DOMAIN} AS domain, {sql_quality('text')} AS q FROM texts WHERE {sql_n_words('text')} >= 30 QUALIFY row_number() OVER (PARTITION BY text ORDER BY page_id) = 1)
  SELECT page_id, domain, round(0.8 * 0.8 * q, 6) AS final_weight FROM d""")
 def page_weights(spark, sf_dir):
     docs = readers.page_documents(pages(spark, sf_dir))
@@ -378,7 +412,7 @@ def bfs_frontier(spark, sf_dir):
     return frontier.frontier(crawled.where("page_id < 5"), edges, 3)
 
 
-@query()
+@query(f"""WITH {PARSED} SELECT page_id, {sql_entities("title")} AS title, length(own)::INT AS n_chars, len(regexp_extract_all(html, '(?i)<a\\s[^>]*href="[^"]'))::INT AS n_links FROM parsed""")
 def parsed_pages(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", html.extract(F.col("html")).alias("x")).select("page_id", "x.title", F.length("x.text").alias("n_chars"), F.size("x.links").alias("n_links"))
 
@@ -697,7 +731,11 @@ def stream_gate(spark, sf_dir):
 
 @query("SELECT event_type, user_id FROM events GROUP BY event_type, user_id")
 def stream_dedup(spark, sf_dir):
-    keyed = event_stream(spark, sf_dir).select("ts", F.concat_ws("|", "event_type", "user_id").alias("text"), "event_type", "user_id")
+    """The events by time in ten batches; what was seen in one isn't given in a later one."""
+    source = new_path(spark, "events-in")
+    events = table(spark, sf_dir, "events").select("ts", F.concat_ws("|", "event_type", "user_id").alias("text"), "event_type", "user_id")
+    events.repartitionByRange(10, "ts").write.parquet(source)
+    keyed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
     return drained(stateful.first_seen(keyed).select("event_type", "user_id"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -44,12 +45,12 @@ def corpus_texts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def page_documents(pages: DataFrame, least_words: int = 30, max_bytes: int = 5_000_000) -> DataFrame:
-    """Pages (page_id, url, html) as documents: size and word gates, first of equal texts, types, signal score and weights."""
+    """Pages (page_id, url, html) as documents: size and word gates, the parser's text or else the pattern's, first of equal texts, types, signal score and weights."""
     from ..operators.dedup import exact_dedup
-    from ..operators.html import page_text, page_title
+    from ..operators.html import best_text, page_title
 
     fit = pages.where(F.coalesce(F.octet_length("html"), F.lit(0)) <= max_bytes)
-    read = written(fit.select(F.col("page_id").alias("ord"), "url", page_title(F.col("html")).alias("title"), page_text(F.col("html")).alias("text")), "page-texts")  # read twice below
+    read = written(fit.select(F.col("page_id").alias("ord"), "url", page_title(F.col("html")).alias("title"), best_text(F.col("html"), least_words).alias("text")), "page-texts")  # read twice below
     kept = exact_dedup(read.where(X.word_count(F.col("text")) >= least_words))
     url, text = F.col("url"), F.col("text")
     docs = as_documents(kept.withColumns({
@@ -158,21 +159,26 @@ def _locs(xml, parent: str):
     return F.transform(F.xpath(xml, F.lit(f"/*[local-name()='{parent}']/*/*[local-name()='loc']/text()")), lambda u: F.regexp_replace(u, r"^\s+|\s+$", ""))
 
 
-def sitemap_urls(maps: DataFrame, fetched: DataFrame | None = None, depth: int = 1) -> DataFrame:
+def sitemap_urls(maps: DataFrame, fetched: DataFrame | None = None, depth: int | None = None) -> DataFrame:
     """(base, url) of the pages that sitemaps (base, xml) name; one sitemap for each base.
 
-    An index names other sitemaps: those in fetched (url, xml) are followed, `depth` times; a base is then their own's.
+    An index names other sitemaps: those in fetched (url, xml) are followed to the end, each once for a base, so indexes may name one another; at most `depth` times, if given. Pages keep
+    the base they were reached from.
     """
     maps = maps.dropDuplicates(["base"])
-    out = maps.select("base", F.explode(_locs(F.col("xml"), "urlset")).alias("url"))
-    if fetched is None or not depth:
-        return out
-    inner = maps.select("base", F.explode(_locs(F.col("xml"), "sitemapindex")).alias("url")).distinct().join(fetched.select("url", F.col("xml").alias("_xml")), "url")
-    pages = inner.select("base", F.explode(_locs(F.col("_xml"), "urlset")).alias("url"))
-    for _ in range(depth - 1):
-        inner = inner.select("base", F.explode(_locs(F.col("_xml"), "sitemapindex")).alias("url")).distinct().join(fetched.select("url", F.col("xml").alias("_xml")), "url")
-        pages = pages.unionByName(inner.select("base", F.explode(_locs(F.col("_xml"), "urlset")).alias("url")))
-    return out.unionByName(pages).distinct()
+    pages = [maps.select("base", F.explode(_locs(F.col("xml"), "urlset")).alias("url"))]
+    inner = maps.select("base", F.explode(_locs(F.col("xml"), "sitemapindex")).alias("url")).distinct()
+    seen, level = None, 0
+    while fetched is not None and (depth is None or level < depth):
+        new = written(inner if seen is None else inner.join(seen, ["base", "url"], "left_anti"), "sitemaps")
+        if new.isEmpty():
+            break
+        seen = new if seen is None else seen.unionByName(new)
+        read = new.join(fetched.select("url", F.col("xml").alias("_xml")), "url")
+        pages.append(read.select("base", F.explode(_locs(F.col("_xml"), "urlset")).alias("url")))
+        inner = read.select("base", F.explode(_locs(F.col("_xml"), "sitemapindex")).alias("url")).distinct()
+        level += 1
+    return reduce(DataFrame.unionByName, pages).distinct() if len(pages) > 1 else pages[0]
 
 
 def starred(repositories: DataFrame, least: int = 0, least_words: int = 20) -> DataFrame:

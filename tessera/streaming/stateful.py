@@ -26,9 +26,14 @@ def event_time(df: DataFrame, ts: str = "ts", late: str = "10 minutes") -> DataF
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
 
 
-def first_seen(docs: DataFrame, key_text: str = "text", ts: str = "ts", late: str = "10 minutes") -> DataFrame:
-    """Rows whose text wasn't seen within the watermark; state is dropped as the watermark moves on."""
-    return event_time(docs.withColumn("_key", X.exact_key(F.col(key_text))), ts, late).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
+def first_seen(docs: DataFrame, key_text: str = "text", ts: str = "ts", late: str | None = None) -> DataFrame:
+    """Rows whose text wasn't seen before, over all batches; the state has a key for each different text.
+
+    With `late`, a bound on the state: a row is dropped if its text was first seen within `late` before it, and a key is forgotten once the watermark is `late` past it, so a text that comes again after that
+    may be given again.
+    """
+    keyed = docs.withColumn("_key", X.exact_key(F.col(key_text)))
+    return keyed.dropDuplicates(["_key"]).drop("_key") if late is None else event_time(keyed, ts, late).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
 
 
 def tumbling_counts(events: DataFrame, width: str = "5 minutes", slide: str | None = None, by: str = "event_type") -> DataFrame:
