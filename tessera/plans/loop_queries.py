@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..functions import values as V
-from ..operators import html
+from ..functions import expressions as X
+from ..operators import html, schedule
 from ..tables import new_path, written
-from . import crawling
+from . import crawling, store
 from .queries import DOMAIN, NETLOC, PARSED, SIGNAL_PENALTIES, pages, query, sql_n_words, sql_signal, sql_text
 
 
@@ -86,3 +87,33 @@ def crawl_visits(spark, sf_dir):
     crawl = crawl_of(spark, crawled, new_path(spark, "crawl"))
     crawl.run(crawled.where("page_id < 5").select("url", F.col("page_id").alias("ord")))
     return crawl.visited().select("url", "depth", "outcome")
+
+
+# --- the fetch schedule
+
+REQUESTS = f"SELECT page_id, {NETLOC} AS host, (page_id * 37) % 5000 AS ready, CASE WHEN page_id % 9 = 0 THEN 5000 WHEN page_id % 11 = 0 THEN 2000 ELSE 1000 END AS wait, row_number() OVER (PARTITION BY {NETLOC} ORDER BY page_id) AS k FROM pages"
+
+
+@query(f"WITH RECURSIVE r AS MATERIALIZED ({REQUESTS}), s AS (SELECT page_id, host, k, wait, ready::BIGINT AS start FROM r WHERE k = 1 UNION ALL SELECT r.page_id, r.host, r.k, r.wait, greatest(r.ready, s.start + s.wait)::BIGINT FROM s JOIN r ON r.host = s.host AND r.k = s.k + 1) SELECT page_id, host, start FROM s")
+def fetch_schedule(spark, sf_dir):
+    """When each page may be fetched, if every ninth answers 429 and asks for five seconds, and every eleventh fails once."""
+    n = F.col("page_id")
+    status = F.when(n % 9 == 0, 429).when(n % 11 != 0, 200)
+    wait = schedule.wait_after(status, F.lit(1), F.lit(5))
+    asked = pages(spark, sf_dir).select("page_id", X.netloc(F.col("url")).alias("host"), ((n * 37) % 5000).alias("ready"), wait.alias("wait"))
+    return schedule.start_times(asked, order="page_id").select("page_id", "host", "start")
+
+
+# --- stored sessions
+
+@query("SELECT row_number() OVER (ORDER BY n_nationkey) AS dataset_id, 'nation-' || n_nationkey AS group_id, CASE WHEN n_regionkey % 2 = 0 THEN 'complete' ELSE 'pending' END AS crawl, CASE WHEN n_regionkey = 3 THEN 'failed' ELSE 'pending' END AS clean FROM nation")
+def session_log(spark, sf_dir):
+    """Sessions seeded from the nations, then updated twice, each a version of the stored table."""
+    nations = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    log = store.SessionStore(spark, new_path(spark, "sessions"))
+    group = F.concat(F.lit("nation-"), F.col("n_nationkey").cast("string"))
+    log.seed(nations.select(F.col("n_nationkey").alias("ord"), group.alias("group_id"), F.col("n_name").alias("name")))
+    numbered = log.read().select("dataset_id", "group_id").join(nations.select(group.alias("group_id"), "n_regionkey"), "group_id")
+    log.refresh(numbered.where("n_regionkey % 2 = 0").select("dataset_id", F.lit("crawl").alias("stage")))
+    log.update(numbered.where("n_regionkey = 3").select("dataset_id", F.lit("clean").alias("stage"), F.lit("failed").alias("status")))
+    return log.read().select("dataset_id", "group_id", F.col("stages")["crawl"].alias("crawl"), F.col("stages")["clean"].alias("clean"))
