@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import scores as S
 from ..functions import values as V
 from ..functions import expressions as X
-from ..operators import html, schedule
+from ..operators import html, language, schedule
 from ..tables import new_path, written
 from . import crawling, store
-from .queries import DOMAIN, NETLOC, PARSED, SIGNAL_PENALTIES, pages, query, sql_n_words, sql_signal, sql_text
+from .queries import DOMAIN, NETLOC, PARSED, SIGNAL_PENALTIES, documents, pages, query, sql_n_words, sql_signal, sql_text
 
 
 @query(f"WITH {PARSED} SELECT page_id, enough, sha256(text) AS key FROM texts")
@@ -117,3 +117,23 @@ def session_log(spark, sf_dir):
     log.refresh(numbered.where("n_regionkey % 2 = 0").select("dataset_id", F.lit("crawl").alias("stage")))
     log.update(numbered.where("n_regionkey = 3").select("dataset_id", F.lit("clean").alias("stage"), F.lit("failed").alias("status")))
     return log.read().select("dataset_id", "group_id", F.col("stages")["crawl"].alias("crawl"), F.col("stages")["clean"].alias("clean"))
+
+
+# --- language
+
+#: Learnt from documents whose id isn't divisible by four, held against the others.
+DETECTED = r"""WITH d AS (SELECT doc_id, lang, doc_id % 4 <> 0 AS taught, regexp_replace(' ' || regexp_replace(lower(substr(coalesce(text, ''), 1, 2000)), '[\s\d\p{P}\p{S}]+', ' ', 'g') || ' ', ' +', ' ', 'g') AS c FROM documents),
+ g AS MATERIALIZED (SELECT doc_id, lang, taught, substr(c, i::INT, 3) AS gram FROM (SELECT *, unnest(range(1, length(c) - 1)) AS i FROM d)),
+ n AS MATERIALIZED (SELECT lang, gram, count(*) AS n FROM g WHERE taught AND lang IS NOT NULL GROUP BY 1, 2),
+ t AS (SELECT lang, sum(n) AS total FROM n GROUP BY lang),
+ kept AS (SELECT DISTINCT gram FROM (SELECT gram FROM n QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) <= 1000)),
+ m AS MATERIALIZED (SELECT gram, t.lang, ln((coalesce(n.n, 0) + 0.5) / (t.total + 0.5 * ((SELECT count(DISTINCT gram) FROM n) + 1))) AS w FROM kept CROSS JOIN t LEFT JOIN n USING (gram, lang)),
+ s AS (SELECT doc_id, m.lang, round(sum(w), 6) AS likely FROM g JOIN m USING (gram) GROUP BY 1, 2),
+ b AS (SELECT doc_id, lang AS detected FROM s QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY likely DESC, lang) = 1) """
+
+
+@query(DETECTED + "SELECT d.doc_id, d.lang, b.detected FROM d LEFT JOIN b USING (doc_id)")
+def detected_languages(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "lang", "text")
+    model = language.fit(docs.where("doc_id % 4 <> 0"))
+    return language.detect(docs, model).join(docs.select("doc_id", "lang"), "doc_id").select("doc_id", "lang", "detected")
