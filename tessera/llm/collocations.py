@@ -5,10 +5,10 @@ positions; one position stays empty between pieces, so nothing reaches across a
 the bitmap of the word, and how often it occurs is the number of bits set. Phrases grow depth-first: those of some first words are extended to full length before those of the next
 are begun, all blocks of them in one vectorized step, where a block is only held against words that stand in it. Sums over shards are the frequencies.
 
-Three passes go over the written shards. The first sums words. The second extends frequent words once and sums pairs by a 64-bit hash, which can only overstate a count. The third
-grows phrases of which all pairs may be frequent, and sums them as they are. What may be frequent is a bit table of fixed size (``BITS``), so what is sent to the tasks doesn't grow; a bit that is
-set for another word or pair costs work and changes no result, since frequencies are exact sums. With a full table the third pass makes at most four rows for each
-word of the corpus. Cuts, drops and scores are joins of frequencies; scores are integer divisions of decimals of 38 digits.
+Passes go over the written shards, one for each size. The first sums words. Those for phrases of two words and more, but the longest, sum what grows to that size by a hash, which can only overstate a count; a phrase is
+counted if its first and its last words, less one, may be frequent. The last pass sums the phrases that may be frequent as they are. What may be frequent is a bit table of fixed size (``BITS``) for each size, so what is sent
+to the tasks doesn't grow; a bit that is set for another phrase costs work and changes no result, since the frequencies that count are exact sums. With full tables a pass makes at most a row for each word
+of the corpus and size. Cuts, drops and scores are joins of frequencies; scores are integer divisions of decimals of 38 digits.
 
 Defined cases: a null text counts as empty; a null language is ``und``, together with rows that say so; rows count as often as they stand in the table; a text without pieces or
 a piece of one word adds to n alone; equal scores go by frequency and then by the bytes of the phrase; an empty table gives no rows; a very long text is cut at its
@@ -32,12 +32,12 @@ LEAST = 100
 LONGEST = 5
 TOP = 2000
 #: Bytes of text in a shard, and those that wait in a task for theirs to fill.
-SHARD_BYTES = 8 << 20
-WAITING_BYTES = 32 << 20
+SHARD_BYTES = 2 << 20
+WAITING_BYTES = 8 << 20
 #: Block rows that are extended together.
-ROWS = 1 << 18
-#: The bit tables have 2 ** BITS bits.
-BITS = 26
+ROWS = 1 << 16
+#: The bit tables have 2 ** BITS bits; phrases are counted by hashes of HASH_BITS bits.
+BITS, HASH_BITS = 26, 44
 SHARD = "lang string, n bigint, words array<string>, counts array<bigint>, blocks_of array<int>, blocks binary, bits binary"
 _WIDTH = 16
 _KIND = np.zeros(256, np.uint8)
@@ -132,8 +132,8 @@ def word_hashes(lang: str, words: Iterable[str]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, head) for w in words), np.uint64)
 
 
-def pair_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """A hash of two words' hashes, in their order."""
+def joined_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of a phrase with one more word, of both hashes."""
     h = (a * _MIX[0] + b) * _MIX[1]
     return (h ^ h >> _MIX[2]) * _MIX[0]
 
@@ -204,32 +204,46 @@ def children(node: np.ndarray, word: np.ndarray, bits: np.ndarray, words: int) -
     return key // words, key % words, counts, number
 
 
-def pair_counts(row: dict, frequent: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Hashes and counts of a shard's pairs of words that may be frequent."""
-    maps = Bitmaps(row, frequent)
-    for start, end in maps.first_words():
-        node, word, _, bits = maps.extend(maps.word[start:end], maps.block[start:end], maps.bits[start:end])
-        a, b, counts, _ = children(node, word, bits, len(maps.words))
-        yield pair_hashes(maps.hashes[a], maps.hashes[b]), counts
-
+def grown(maps: Bitmaps, tables: list[np.ndarray], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Size, parent, last word, hash and count of phrases, depth-first from the first words.
 
-def phrase_counts(row: dict, frequent: np.ndarray, pairs: np.ndarray, longest: int = LONGEST) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """Words, phrases and counts of a shard, depth-first from its first words; phrases of which some pair is surely rare don't grow."""
-    maps = Bitmaps(row, frequent)
-    words = pa.array(maps.words, pa.large_string())
+    tables[k] has the hashes of phrases of k + 1 words that may be frequent. A phrase grows if it may be; one that is longer than the tables go is given if its first and its last words, less one, may be.
+    Parents are numbers among the phrases given before it with one word less, or words.
+    """
     for start, end in maps.first_words():
         node, block, bits = maps.word[start:end], maps.block[start:end], maps.bits[start:end]
-        last = np.arange(len(maps.words))  # of each node
-        phrases = words
+        whole, rest = maps.hashes, np.zeros(len(maps.hashes), np.uint64)
         for size in range(2, longest + 1):
             node, word, block, bits = maps.extend(node, block, bits)
-            keep = maybe(pairs, pair_hashes(maps.hashes[last[node]], maps.hashes[word]))
-            node, word, block, bits = node[keep], word[keep], block[keep], bits[keep]
-            if not len(node):
-                break
             parent, last, counts, node = children(node, word, bits, len(maps.words))
-            phrases = pa.compute.binary_join_element_wise(phrases.take(pa.array(parent)), words.take(pa.array(last)), pa.scalar(" ", pa.large_string()))
-            yield size, phrases, counts
+            hashes = joined_hashes(whole[parent], maps.hashes[last])
+            ends = joined_hashes(rest[parent], maps.hashes[last]) if size > 2 else maps.hashes[last]
+            live = maybe(tables[size - 1], hashes) if size <= len(tables) else maybe(tables[size - 2], ends)
+            if not live.any():
+                break
+            number = np.cumsum(live) - 1
+            keep = live[node]
+            node, block, bits = number[node[keep]], block[keep], bits[keep]
+            whole, rest = hashes[live], ends[live]
+            yield size, parent[live], last[live], whole, counts[live]
+
+
+def hashed_counts(row: dict, tables: list[np.ndarray], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes and counts of a shard's phrases of one size, all of whose shorter ones may be frequent."""
+    for of, _, _, hashes, counts in grown(Bitmaps(row, tables[0]), tables, size):
+        if of == size:
+            yield hashes, counts
+
+
+def phrase_counts(row: dict, tables: list[np.ndarray], longest: int = LONGEST) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """Sizes, phrases and counts of a shard's phrases that may be frequent."""
+    maps = Bitmaps(row, tables[0])
+    words = pa.array(maps.words, pa.large_string())
+    before = words
+    for size, parent, last, _, counts in grown(maps, tables, longest):
+        before = words if size == 2 else before
+        before = pa.compute.binary_join_element_wise(before.take(pa.array(parent)), words.take(pa.array(last)), pa.scalar(" ", pa.large_string()))
+        yield size, before, counts
 
 
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
@@ -239,33 +253,44 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
             yield {"lang": row["lang"].as_py(), "words": row["words"].as_py(), "blocks_of": row["blocks_of"].values.to_numpy(), "blocks": row["blocks"].as_py(), "bits": row["bits"].as_py()}
 
 
+_COUNTS = "h bigint, lang string, phrase string, size int, c bigint"
+
+
+def _counts(n: int, counts: np.ndarray, h=None, lang=None, phrase=None, size=None) -> pa.RecordBatch:
+    columns = [pa.nulls(n, t) if x is None else x.cast(t) if isinstance(x, pa.Array) else pa.array(x, t) for x, t in ((h, pa.int64()), (lang, pa.string()), (phrase, pa.string()), (size, pa.int32()), (counts, pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, names=["h", "lang", "phrase", "size", "c"])
+
+
 def phrases(made: DataFrame, words: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: int = BITS) -> DataFrame:
     """lang, phrase, size, a: phrases of 2 to `longest` words that occur at least `least` times in all shards. words: lang and word of frequent words."""
 
-    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.concatenate([word_hashes(lang, [w]) for lang, w in zip(batch.column("lang").to_pylist(), batch.column("word").to_pylist(), strict=True)] or [np.zeros(0, np.uint64)])
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h"])
 
-    frequent = bit_table(words.select("lang", "word").mapInArrow(hashed, "h bigint"), "h", bits)
+    tables = [bit_table(words.select("lang", "word").mapInArrow(of_words, "h bigint"), "h", bits)]
+    shards_of = made.select("lang", "words", "blocks_of", "blocks", "bits")
 
-    def pairs_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            for h, counts in pair_counts(row, frequent.value):
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(counts)], names=["h", "c"])
+    def counted(known: list, size: int | None) -> DataFrame:
+        """The counts of one size by hash, or of all sizes as they are."""
 
-    input_columns = made.select("lang", "words", "blocks_of", "blocks", "bits")
-    pairs = bit_table(input_columns.mapInArrow(pairs_of, "h bigint, c bigint").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= least), "h", bits)
+        def counts_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = [t.value for t in known]
+            for row in _rows(batches):
+                if size:
+                    for h, counts in hashed_counts(row, held, size):
+                        yield _counts(len(h), counts, h=(h >> np.uint64(64 - HASH_BITS)).astype(np.int64))
+                else:
+                    for of, found, counts in phrase_counts(row, held, longest):
+                        yield _counts(len(found), counts, lang=[row["lang"]] * len(found), phrase=found, size=np.full(len(found), of, np.int32))
 
-    def phrases_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            for size, found, counts in phrase_counts(row, frequent.value, pairs.value, longest):
-                n = len(found)
-                columns = [pa.array([row["lang"]] * n, pa.string()), found.cast(pa.string()), pa.array(np.full(n, size, np.int32)), pa.array(counts)]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "size", "c"])
+        return shards_of.mapInArrow(counts_of, _COUNTS)
 
-    counted = input_columns.mapInArrow(phrases_of, "lang string, phrase string, size int, c bigint")
-    return counted.groupBy("lang", "phrase", "size").agg(F.sum("c").alias("a")).where(F.col("a") >= least)
+    for size in range(2, longest):
+        sums = counted(list(tables), size).groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
+        tables.append(bit_table(sums.select(F.shiftleft("h", 64 - HASH_BITS).alias("h")), "h", bits))
+    return counted(tables, None).groupBy("lang", "phrase", "size").agg(F.sum("c").alias("a")).where(F.col("a") >= least)
 
 
 #: floor(1000 * a * n / (l * r)), exactly: counts have up to 18 digits, products up to 38.

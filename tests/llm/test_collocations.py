@@ -117,6 +117,24 @@ def test_only_live_words_take_part():
     assert live[:2].all() and set(maps.word.tolist()) == set(np.flatnonzero(live).tolist())
 
 
+def test_a_phrase_grows_only_from_frequent_parts():
+    """Of what is counted by hash, nothing has a part that is surely rare."""
+    text = (b"a b c. " * 5 + b"a b d. b d e f. c d e. ") * 2
+    row = {n: c[0] for n, c in C.shard("en", text).to_pydict().items()}
+    row["blocks_of"] = np.array(row["blocks_of"])
+    every = np.full(1 << 14, np.uint64(2**64 - 1))
+    by_hash = {}
+    for size, parent, last, hashes, counts in C.grown(C.Bitmaps(row, every), [every, every, every], 4):
+        by_hash |= dict(zip(hashes.tolist(), zip([size] * len(counts), counts.tolist(), strict=True), strict=True))
+    few = np.zeros(1 << 14, np.uint64)
+    for h, (size, n) in by_hash.items():
+        if size == 2 and n >= 10:
+            bit = h >> 44
+            few[bit >> 6] |= np.uint64(1 << (bit & 63))
+    assert sorted(n for s, n in by_hash.values() if s == 3) == [2, 2, 2, 2, 10]
+    assert [n for _, counts in C.hashed_counts(row, [every, few], 3) for n in counts.tolist()] == [10]
+
+
 def test_products_beyond_64_bits(spark):
     big = spark.createDataFrame([(10**15, 10**16, 10**15 + 1, 10**15 + 3)], "a bigint, n bigint, l bigint, r bigint").withColumn("s", C.F.expr(C.SCORE))
     assert big.collect()[0].s == 1000 * 10**15 * 10**16 // ((10**15 + 1) * (10**15 + 3)) and dict(big.dtypes)["s"] == "bigint"
