@@ -16,10 +16,14 @@ def source_stats(docs: DataFrame, least_words: int = 30) -> DataFrame:
     return docs.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum(n).cast("long").alias("n_words"), F.sum(F.length("text")).cast("long").alias("n_chars"), F.count_if(n < least_words).alias("n_short"))
 
 
-def domain_report(scored: DataFrame, window: int = 20, domain: str = "domain", score: str = "score", order: str = "ord") -> DataFrame:
+def domain_report(scored: DataFrame, window: int = 20, domain: str = "domain", score: str = "score", order: str = "ord", salts: int = 64) -> DataFrame:
     """Mean of the last `window` scores of each domain, its pages, and its bucket."""
-    ranked = scored.withColumn("_n", F.row_number().over(Window.partitionBy(domain).orderBy(F.desc(order))))
-    out = ranked.groupBy(domain).agg(F.avg(F.when(F.col("_n") <= window, F.col(score))).alias("avg_score"), F.count("*").alias("n_pages"))
+    last = lambda rows, *keys: rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))).where(F.col("_n") <= window)
+    # The last of each salt first, so that a large domain is dealt out, then the last of these.
+    some = last(scored.select(F.struct(domain).alias("_key"), order, score).withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(salts))), "_key", "_salt")
+    recent = last(some, "_key").groupBy("_key").agg(F.avg(score).alias("avg_score"))
+    counted = scored.groupBy(F.struct(domain).alias("_key")).agg(F.count("*").alias("n_pages"))
+    out = counted.join(recent, "_key").select(F.col(f"_key.{domain}").alias(domain), "avg_score", "n_pages")
     return out.withColumn("bucket", F.when(F.col("avg_score") >= 0.6, "high").when(F.col("avg_score") >= 0.35, "medium").otherwise("low"))
 
 

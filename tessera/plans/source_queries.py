@@ -10,7 +10,7 @@ from ..functions import values as V
 from ..operators import frontier, reports, shards
 from ..operators.clean import CleanConfig, clean
 from ..sources import crawl, readers, sinks
-from ..tables import new_path
+from ..tables import new_path, running_total
 from . import queries as Q
 from . import sessions
 from .queries import documents, pages, query, rounded, sql_case, sql_n_words, sql_quality, sql_text, table
@@ -249,10 +249,11 @@ def shard_files(spark, sf_dir):
 
 @query(f"WITH e AS (SELECT doc_id, unnest(range(0, 3))::INT AS epoch FROM documents) SELECT doc_id, epoch, row_number() OVER (PARTITION BY epoch ORDER BY {Q.sql_uniform('42', 'epoch', 'doc_id')}, doc_id)::INT AS place FROM e")
 def shuffled_epochs(spark, sf_dir):
-    from pyspark.sql import Window
-
+    """Places are running totals in two levels, less those of the epochs before."""
     turns = shards.shuffled_epochs(documents(spark, sf_dir).select("doc_id"), ["doc_id"], 3)
-    return turns.select("doc_id", "epoch", F.row_number().over(Window.partitionBy("epoch").orderBy("turn", "doc_id")).alias("place"))
+    placed = running_total(turns.withColumn("_one", F.lit(1)), ["epoch", "turn", "doc_id"], "_one", "_before")
+    first = placed.groupBy("epoch").agg(F.min("_before").alias("_first"))  # a row for each epoch
+    return placed.join(F.broadcast(first), "epoch").select("doc_id", "epoch", (F.col("_before") - F.col("_first") + 1).cast("int").alias("place"))
 
 
 @query("SELECT event_id, round(CASE WHEN event_id < 200 THEN 3e-4 * event_id / 200 WHEN event_id > 900 THEN 3e-5 ELSE 3e-5 + 0.5 * (3e-4 - 3e-5) * (1 + cos(pi() * (event_id - 200) / 700)) END, 10) AS rate FROM events")
