@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,21 +49,31 @@ def sessions(events: DataFrame, gap: str = "30 minutes", by: str = "user_id") ->
 _STATE = T.StructType([T.StructField("n", T.LongType()), T.StructField("last", T.ArrayType(T.DoubleType())), T.StructField("shut", T.BooleanType())])
 
 
-def gate(pages: DataFrame, domain: str = "domain", score: str = "score", order: str = "ord", least: int = 10, threshold: float = 0.35, window: int = 20) -> DataFrame:
-    """(domain, ord, admitted) by the latching gate. State is the last `window` scores of each domain; rows of a batch are taken in order."""
+def gate(pages: DataFrame, domain: str = "domain", score: str = "score", order: str = "ord", least: int = 10, threshold: float = 0.35, window: int = 20, chunk: int = 50_000) -> DataFrame:
+    """(domain, ord, admitted) by the latching gate. State is the last `window` scores of each domain; rows of a batch are taken in order.
+
+    Of a domain's rows in a micro-batch a task holds the orders and scores, 16 bytes a row, which it must sort; it gives them on in chunks, and once the gate is shut nothing more is computed.
+    """
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         n, last, shut = state.get if state.exists else (0, [], False)
-        last = list(last)
-        rows = pd.concat(list(batches)).sort_values(order)
-        out = []
-        for o, s in rows[[order, score]].itertuples(index=False):
-            out.append(not shut)
-            n += 1
-            last = [*last, float(s)][-window:]
-            shut = shut or (n >= least and sum(last) / len(last) < threshold)
-        state.update((n, last, shut))
-        yield pd.DataFrame({"domain": [key[0]] * len(out), "ord": rows[order].to_numpy(), "admitted": out})
+        held = deque(last, window)
+        parts = [(b[order].to_numpy(), b[score].to_numpy(float)) for b in batches]
+        orders, scores = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
+        by_order = np.argsort(orders, kind="stable")
+        open_until = 0  # rows of the batch that are admitted
+        if not shut:
+            open_until = len(orders)
+            for k, at in enumerate(by_order.tolist()):
+                held.append(float(scores[at]))
+                if n + k + 1 >= least and sum(held) / len(held) < threshold:
+                    shut, open_until = True, k + 1
+                    break
+        state.update((n + len(orders), list(held), shut))
+        for start in range(0, len(orders), chunk):
+            own = by_order[start : start + chunk]
+            yield pd.DataFrame({"domain": [key[0]] * len(own), "ord": orders[own], "admitted": np.arange(start, start + len(own)) < open_until})
 
     return pages.groupBy(domain).applyInPandasWithState(run, "domain string, ord bigint, admitted boolean", _STATE, "append", GroupStateTimeout.NoTimeout)
 
