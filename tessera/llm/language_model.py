@@ -35,9 +35,9 @@ from ..tables import discard
 from .common import slices, text_bytes, written
 
 END = b"\n"
-SHORT, PER_CLASS, TAIL = 2048, 128, 96
+SHORT, PER_CLASS, TAIL = 4096, 128, 128
 TOP = 300_000
-HIDDEN = 20
+HIDDEN = 24
 #: Every training document is in one of the rounds, and there in one of the groups, each of about GROUP_TOKENS tokens, or more if there were more than MOST_GROUPS.
 ROUNDS, GROUP_TOKENS, MOST_GROUPS = 2, 1_000_000, 1 << 14
 STREAMS, WINDOW, LEAST_STEPS = 384, 16, 64
