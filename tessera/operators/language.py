@@ -1,11 +1,15 @@
 """Language detection by character n-grams: fitted on documents whose language is known, applied to the beginning of each text.
 
-Both are joins and sums of built-in functions: a text's n-grams meet a table of at most ``LANGUAGES`` * ``GRAMS`` of them, with their log-probability in every language, so the table is of bounded size and sent
-to the tasks. Sums are folded by text before they are shuffled.
+Beginnings are cut by built-in functions; a task then looks up the n-grams of a batch in a table of at most ``LANGUAGES`` * ``GRAMS`` of them, with their log-probability in every language, and sums by text, so
+no n-gram becomes a row and detection shuffles nothing. Fitting shuffles the kinds of n-grams that tasks have counted.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,18 +27,45 @@ def beginning(text: Column, first: int = FIRST) -> Column:
     return F.regexp_replace(head, " +", " ")
 
 
-def _grams(docs: DataFrame, *keys: str, size: int = SIZE) -> DataFrame:
-    """A row for each n-gram of the beginnings. The beginning is a column below the explode, not an expression that each n-gram would evaluate anew."""
-    heads = docs.select(*keys, beginning(F.col("text")).alias("_head"))
-    places = heads.select(*keys, "_head", F.explode(F.sequence(F.lit(1), F.greatest(F.length("_head") - (size - 1), F.lit(1)))).alias("_i"))
-    return places.select(*keys, F.substring("_head", F.col("_i"), F.lit(size)).alias("gram")).where(F.length("gram") == size)
+def _codes(heads: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of beginnings as numbers of 21 bits a character, and the row of each. A beginning of fewer characters has none."""
+    texts = heads.to_pylist()
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    points = np.array(np.frombuffer("".join([*texts, " "]).encode("utf-32-le", "surrogatepass"), "<u4")[:-1], np.int64)
+    row = np.repeat(np.arange(len(texts)), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(points))
+    at = np.flatnonzero(left >= size)
+    code = np.zeros(len(at), np.int64)
+    for k in range(size):
+        code = code << 21 | points[at + k]
+    return code, row[at]
+
+
+def _gram(code: int, size: int) -> str:
+    return "".join(chr(code >> 21 * k & 0x1FFFFF) for k in range(size - 1, -1, -1))
+
+
+def _counts(docs: DataFrame, size: int = SIZE) -> DataFrame:
+    """(lang, gram, n), summed in tasks first, so that what is shuffled are a task's kinds of n-grams and not its n-grams."""
+
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code, row = _codes(batch.column("head"), size)
+            langs = batch.column("lang").dictionary_encode()
+            lang = langs.indices.to_numpy()[row]
+            for k, name in enumerate(langs.dictionary.to_pylist()):
+                kinds, n = np.unique(code[lang == k], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(kinds), pa.string()), pa.array([_gram(int(c), size) for c in kinds], pa.string()), pa.array(n)], names=["lang", "gram", "n"])
+
+    heads = docs.select("lang", beginning(F.col("text")).alias("head"))
+    return heads.mapInArrow(make, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def fit(docs: DataFrame, languages: int = LANGUAGES, most: int = GRAMS) -> DataFrame:
     """(gram, lang, weight): the natural log of (n + 0.5) / (total + 0.5 * (kinds + 1)), for each chosen gram in each language. docs: text and lang; rows without a language teach nothing."""
     known = docs.where("lang IS NOT NULL").select("lang", "text")
     chosen = known.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(languages).select("lang")
-    counts = written(_grams(known.join(F.broadcast(chosen), "lang", "left_semi"), "lang").groupBy("lang", "gram").agg(F.count("*").alias("n")), "language-grams")
+    counts = written(_counts(known.join(F.broadcast(chosen), "lang", "left_semi")), "language-grams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     kinds = counts.select("gram").distinct().count()
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
@@ -46,10 +77,34 @@ def fit(docs: DataFrame, languages: int = LANGUAGES, most: int = GRAMS) -> DataF
 
 def detect(docs: DataFrame, model: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, detected): the language in which the first characters are likeliest, the smallest name among equals; null for texts without a known gram. key tells rows apart; no model knows no text."""
-    met = _grams(docs, key).join(F.broadcast(model), "gram")
-    sums = met.groupBy(key, "lang").agg(F.sum("weight").alias("likely"))
-    best = sums.groupBy(key).agg(F.min(F.struct((-F.round("likely", 6)).alias("less"), "lang")).alias("best"))
-    return docs.select(key).join(best.select(key, F.col("best.lang").alias("detected")), key, "left")
+    rows = model.toArrow()  # at most LANGUAGES * LANGUAGES * GRAMS
+    langs = sorted(set(rows.column("lang").to_pylist()))
+    grams = rows.column("gram").to_pylist()
+    size = max(map(len, grams), default=SIZE)
+    code = np.array([sum(ord(c) << 21 * (size - 1 - k) for k, c in enumerate(g)) for g in grams], np.int64)
+    known, at = np.unique(code, return_inverse=True)
+    weights = np.zeros((len(known) + 1, len(langs)))  # the last row is that of all unknown n-grams
+    weights[at, [langs.index(x) for x in rows.column("lang").to_pylist()]] = rows.column("weight").to_numpy()
+    held = docs.sparkSession.sparkContext.broadcast((known, weights))
+    schema = docs.select(key).schema.add("detected", "string")
+
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, weights = held.value
+        for batch in batches:
+            found: list[str | None] = []
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                code, row = _codes(part.column("head"), size)
+                near = np.minimum(np.searchsorted(known, code), max(len(known) - 1, 0))
+                hit = known[near] == code if len(known) else np.zeros(len(code), bool)
+                near, row = near[hit], row[hit]
+                sums = np.stack([np.bincount(row, weights[near, k], part.num_rows) for k in range(len(langs))], 1) if langs else np.zeros((part.num_rows, 1))
+                best = np.round(sums, 6).argmax(1)
+                any_known = np.bincount(row, minlength=part.num_rows) > 0
+                found += [langs[b] if x else None for b, x in zip(best.tolist(), any_known.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(found, pa.string())], names=[key, "detected"])
+
+    return docs.select(key, beginning(F.col("text")).alias("head")).mapInArrow(make, schema)
 
 
 def english_only(docs: DataFrame, model: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -115,3 +115,10 @@ def test_a_run_with_a_tokenizer(spark):
         else:
             own.append(t)
     assert not own and sorted(texts) == sorted(tuple(library.encode(t, add_special_tokens=False).ids) for t in r)
+
+
+def test_no_gram_becomes_a_row(spark):
+    """Detection neither explodes texts nor shuffles."""
+    docs = spark.createDataFrame([(i, "the dog and the cat " * 50, "en") for i in range(20)], "doc_id bigint, text string, lang string")
+    plan = language.detect(docs, language.fit(docs))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Exchange" not in plan
