@@ -34,6 +34,8 @@ TOP = 2000
 #: Bytes of text in a shard, and those that wait in a task for theirs to fill.
 SHARD_BYTES = 2 << 20
 WAITING_BYTES = 8 << 20
+#: Bytes of shards that a task holds while it writes or reads them.
+GROUP_BYTES = 8 << 20
 #: Block rows that are extended together.
 ROWS = 1 << 16
 #: The bit tables have 2 ** BITS bits; phrases are counted by hashes of HASH_BITS bits.
@@ -300,7 +302,7 @@ SCORE = "(cast(a AS decimal(18,0)) * cast(n AS decimal(18,0)) * 1000) div (cast(
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, salts: int = 32) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the first `top` phrases of each language."""
     spark = docs.sparkSession
-    made = written(shards(docs), "bitmaps")
+    made = written(shards(docs), "bitmaps", GROUP_BYTES)
     totals = made.groupBy("lang").agg(F.sum("n").alias("n"))
     summed = made.select("lang", F.inline(F.arrays_zip("words", "counts")).alias("word", "c")).groupBy("lang", "word").agg(F.sum("c").alias("f"))
     words = written(summed.where(F.col("f") >= least), "frequent-words")

@@ -1,11 +1,13 @@
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tessera.llm import collocations as C
@@ -157,3 +159,24 @@ def test_oracle_with_a_smaller_bound(spark, least):
     c = duckdb.connect()
     c.register("documents", pa.Table.from_pandas(pd.DataFrame({"text": pd.Series([t for t, _ in rows], dtype=object), "lang": pd.Series([x for _, x in rows], dtype=object)})))
     assert sorted(tuple(r) for r in c.execute(C.oracle(least)).fetchall()) == run(spark, rows, least=least)
+
+
+def test_a_task_holds_few_shards(spark, monkeypatch):
+    """The groups of rows of the shards' table are of bounded size, however many shards a task makes."""
+    r = random.Random(3)
+    docs = spark.createDataFrame([(" ".join(f"w{r.randrange(9000)}" for _ in range(400)), "en") for _ in range(150)], "text string, lang string").coalesce(1)
+    sizes, shards, written = [], C.shards, C.written
+
+    def seen(df, name, *more):
+        out = written(df, name, *more)
+        if name == "bitmaps":
+            for path in Path(out.written_to).glob("*.parquet"):
+                meta = pq.ParquetFile(path).metadata
+                sizes.extend((meta.row_group(k).num_rows, meta.row_group(k).total_byte_size) for k in range(meta.num_row_groups))
+        return out
+
+    monkeypatch.setattr(C, "shards", lambda d: shards(d, 1 << 11, 1 << 12))
+    monkeypatch.setattr(C, "GROUP_BYTES", 1 << 16, raising=False)
+    monkeypatch.setattr(C, "written", seen)
+    C.collocations(docs).collect()
+    assert sum(n for n, _ in sizes) > 100 and max(size for _, size in sizes) < 1 << 18
