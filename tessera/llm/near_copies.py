@@ -5,8 +5,9 @@ members. Two sets of similarity 0.8 differ in about ten of 64 bits, which no tri
 shingles in one fixed order, two similar sets share one among their first n - ceil(LEAST * n) + 1. The order puts frequent shingles
 last, so that common lines make no candidates; whatever the order, no pair is lost. Texts that share such a shingle are held against
 one of them, ``ROUNDS`` times, then members of different groups so far against each other, in blocks of ``BLOCK``. Sizes, places of the shared shingle, and
-a sketch of ``BITS`` parity bits, whose differing bits never outnumber the differing shingles, bound the overlap of a pair from above;
-only pairs that pass leave a task, and every link is an exact comparison of the whole sets (of 64-bit hashes).
+a sketch of ``BITS`` parity bits, whose differing bits never outnumber the differing shingles, bound the overlap of a pair from above.
+Pairs that pass there aren't listed: they only say which texts belong to a class, a row for each text at most. The whole sets of a class then meet in blocks,
+and what leaves a task are links that join groups, fewer than its rows. Every link is an exact comparison of the whole sets (of 64-bit hashes).
 
 Two passes read the texts: one for set digests, fingerprints and frequent shingles, one for prefixes and sketches. The whole sets are made
 again only for texts that take part in a pair.
@@ -23,6 +24,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,13 +32,15 @@ from pyspark.sql import functions as F
 from ..operators.components import components
 from ..tables import discard
 from . import simhash
-from .common import partitions_for, slices, text_bytes, written
+from .common import partitions_for, slices, small_batches, text_bytes, written
 
 SHINGLE, LEAST = 5, 0.8
 #: Shingles whose counts go to the tasks, a bound; only the order depends on it.
 FREQUENT = 100_000
 HELD = 2_000_000
 BITS, BLOCK = 1024, 4096
+#: Texts, and shingles of their sets, in a block of those that are compared whole.
+CLASS_BLOCK, CLASS_SHINGLES = 1024, 4_000_000
 #: How often a shingle's members are held against one of them before the rest of their pairs are.
 ROUNDS = 2
 
@@ -131,18 +135,18 @@ def _needed(n: str, m: str):
     return F.ceil(F.lit(LEAST / (1 + LEAST)) * (F.col(n) + F.col(m)) - 1e-9)
 
 
-def similar(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar."""
+def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        sets = [shingle_set(t).view(np.int64) for t in text_bytes(batch.column("text"))]
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32)), pa.array(np.concatenate(sets)))
+        yield pa.RecordBatch.from_arrays([batch.column("key"), lists], names=["key", "own"])
 
-    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            sets = [shingle_set(t).view(np.int64) for t in text_bytes(batch.column("text"))]
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32)), pa.array(np.concatenate(sets)))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), lists], names=["key", "own"])
 
+def similar(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar."""
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     taking = written(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct(), "taking")
-    own = written(rows.join(taking, "key", "left_semi").mapInArrow(make, "key bigint, own array<bigint>"), "own")
+    own = written(rows.join(taking, "key", "left_semi").mapInArrow(_sets, "key bigint, own array<bigint>"), "own")
     sets = own.dropDuplicates(["key"])
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     common = F.size(F.array_intersect("x", "y"))  # in the JVM, a pair at a time: batches of whole sets would be large
@@ -151,46 +155,106 @@ def similar(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return found
 
 
-def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by shingle and pair of blocks. Pairs of different groups (c) that may be similar."""
-    names = ("key", "n", "i", "c", "block")
+def _blocks(batches: Iterable[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[pa.Table]:
+    """The rows of each value of the columns, by which they come sorted."""
     held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = [batch.column(k).to_numpy() for k in names]
+        new = np.zeros(max(batch.num_rows - 1, 0), bool)
+        for k in keys:
+            new |= k[1:] != k[:-1]
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for p, q in zip(cuts, cuts[1:], strict=False):
+            if q > p and held and tuple(held[-1].column(k)[0].as_py() for k in names) != tuple(k[p] for k in keys):
+                yield pa.Table.from_batches(held)
+                held = []
+            if q > p:
+                held.append(batch.slice(p, q - p))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _close(bits: np.ndarray, n: np.ndarray, k: int, at: np.ndarray) -> np.ndarray:
+    """Those of the rows `at` whose sketches leave room for similarity to row k."""
+    return at[np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64) <= n[k] + n[at] - 2 * needed(n[k], n[at])]
 
-    def solve() -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held)
-        key, n, i, c, block = (table.column(k).to_numpy() for k in names)
+
+def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by shingle and pair of blocks. Edges (a, b) whose closure holds every pair of different groups (c) that may be similar: at most one for each row, from the smallest key of its class."""
+    for table in _blocks(batches, ("s", "x", "y")):
+        key, n, i, c, block = (table.column(k).to_numpy() for k in ("key", "n", "i", "c", "block"))
         bits = table.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(key), -1)
-        _, group, sizes = np.unique(c, return_inverse=True, return_counts=True)
-        order = np.lexsort((group, -sizes[group]))  # a group that most belong to first, so that its members aren't held against each other
-        key, n, i, group, block, bits = (v[order] for v in (key, n, i, group, block, bits))
         mixed = table.column("x")[0].as_py() != table.column("y")[0].as_py()
-        a, b = [], []
-        first = int((group == group[0]).sum()) if len(group) else 0
-        for k in range(first, len(key)):
+        label = np.arange(len(key))
+        for k in range(1, len(key)):
             other = slice(0, k)
             need = needed(n[k], n[other])
-            may = (group[other] != group[k]) & (need <= np.minimum(n[k], n[other])) & (need <= np.minimum(n[k] - i[k], n[other] - i[other]))
+            may = (label[other] != label[k]) & (c[other] != c[k]) & (need <= np.minimum(n[k], n[other])) & (need <= np.minimum(n[k] - i[k], n[other] - i[other]))
             if mixed:
                 may &= block[other] != block[k]
             at = np.flatnonzero(may)
-            if len(at):
-                at = at[np.bitwise_count(bits[at] ^ bits[k]).sum(1, dtype=np.int64) <= n[k] + n[at] - 2 * need[at]]
-                a.append(key[at])
-                b.append(np.full(len(at), key[k]))
+            if len(at) and len(at := _close(bits, n, k, at)):
+                label[np.isin(label, label[at])] = label[k]
+        order = np.lexsort((key, label))
+        first = np.flatnonzero(np.append(True, np.diff(label[order]) != 0))
+        least = np.repeat(key[order[first]], np.diff(np.append(first, len(key))))
+        apart = least != key[order]
+        if apart.any():
+            yield pa.RecordBatch.from_arrays([pa.array(least[apart]), pa.array(key[order][apart])], names=["a", "b"])
+
+
+def _within(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by class and pair of blocks, with whole sets. Links (a, b) between similar sets of different groups (c) that join them: a row less than there are groups, at most."""
+    for table in _blocks(batches, ("class", "x", "y")):
+        key, c, block = (table.column(k).to_numpy() for k in ("key", "c", "block"))
+        lists = table.column("own").combine_chunks()
+        sets = np.split(lists.flatten().to_numpy().view(np.uint64), np.cumsum(pa.compute.list_value_length(lists).to_numpy())[:-1])
+        mixed = table.column("x")[0].as_py() != table.column("y")[0].as_py()
+        _, label, sizes = np.unique(c, return_inverse=True, return_counts=True)
+        order = np.lexsort((label, -sizes[label]))  # a group that most belong to first, so that its members aren't held against each other
+        key, label, block, sets = key[order], label[order], block[order], [sets[k] for k in order]
+        n, bits = np.array([len(x) for x in sets]), np.stack([sketch(x) for x in sets])
+        a, b = [], []
+        for k in range(int((label == label[0]).sum()), len(key)):
+            need = needed(n[k], n[:k])
+            may = (label[:k] != label[k]) & (need <= np.minimum(n[k], n[:k]))
+            if mixed:
+                may &= block[:k] != block[k]
+            at = np.flatnonzero(may)
+            at = _close(bits, n, k, at) if len(at) else at
+            while len(at):
+                other, at = int(at[0]), at[1:]
+                place = np.minimum(np.searchsorted(sets[other], sets[k]), n[other] - 1)
+                common = int((sets[other][place] == sets[k]).sum())
+                if common >= (LEAST - 1e-12) * (n[k] + n[other] - common):
+                    a.append(key[other])
+                    b.append(key[k])
+                    label[label == label[other]] = label[k]
+                    at = at[label[at] != label[k]]
         if a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-
-    for batch in batches:
-        s, x, y = (batch.column(k).to_numpy() for k in ("s", "x", "y"))
-        cuts = [0, *(np.flatnonzero((s[1:] != s[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1).tolist(), len(s)]
-        for p, q in zip(cuts, cuts[1:], strict=False):
-            if q > p and held and tuple(held[-1].column(k)[0].as_py() for k in ("s", "x", "y")) != (s[p], x[p], y[p]):
-                yield from solve()
-                held = []
-            if q > p:
-                held.append(batch.slice(p, q - p))
-    if held:
-        yield from solve()
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _dealt(rows: DataFrame, by: str, blocks) -> DataFrame:
+    """A row for each pair (x, y) of blocks of its group in which its own is, sorted by group and pair."""
+    tasks = partitions_for(rows.sparkSession, rows.count(), 100_000)
+    dealt = rows.withColumn("_blocks", blocks).withColumn("block", F.pmod(F.xxhash64("key"), "_blocks")).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+    dealt = dealt.withColumns({"x": F.least("block", "o"), "y": F.greatest("block", "o")}).drop("o", "_blocks")
+    return dealt.repartition(tasks, by, "x", "y").sortWithinPartitions(by, "x", "y")
+
+
+def joining(edges: DataFrame, groups: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links (a, b) of similar sets that join all groups with a similar pair inside a class, which is what hangs together by the edges. A text is sent whole once for each block of its class, and the links are never more
+    than the rows that are compared."""
+    classes = components(edges).join(groups.toDF("node", "c"), "node", "left").select(F.col("node").alias("key"), F.col("component").alias("class"), F.coalesce("c", "node").alias("c"))
+    classes = written(classes, "classes")
+    own = written(rows.join(classes.select("key"), "key", "left_semi").mapInArrow(_sets, "key bigint, own array<bigint>"), "own")
+    held = written(own.dropDuplicates(["key"]).join(classes, "key"), "class-sets")
+    sizes = held.groupBy("class").agg(F.ceil(F.greatest(F.count("*") / CLASS_BLOCK, F.sum(F.size("own")) / CLASS_SHINGLES)).alias("blocks"))
+    with small_batches(rows.sparkSession):
+        found = written(_dealt(held.join(sizes, "class"), "class", F.col("blocks")).drop("blocks").mapInArrow(_within, "a bigint, b bigint"), "joining")
+    discard(classes, own, held)
+    return found
 
 
 def _mixed(shared: DataFrame, links: DataFrame) -> DataFrame:
@@ -235,11 +299,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
         star = star.join(sketches.toDF("a", "wa"), "a").join(sketches.toDF("b", "wb"), "b").where(apart <= F.col("n") + F.col("m") - 2 * _needed("n", "m")).select("a", "b")
         links = links.unionByName(similar(star, rows))
     mixed = _mixed(mixed, links)
-    blocks = F.ceil(F.col("members") / BLOCK)
-    dealt = mixed.withColumn("block", F.pmod(F.xxhash64("key"), blocks)).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    dealt = dealt.select("s", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), "key", "n", "i", "c", "block")
-    tasks = partitions_for(spark, mixed.count(), 100_000)
-    dealt = dealt.join(sketches, "key").repartition(tasks, "s", "x", "y").sortWithinPartitions("s", "x", "y")
-    found = components(links.unionByName(similar(dealt.mapInArrow(_across, "a bigint, b bigint"), rows)))
+    met = mixed.select("s", "key", "n", "i", "c", "members").join(sketches, "key")
+    edges = _dealt(met, "s", F.ceil(F.col("members") / BLOCK)).drop("members").mapInArrow(_across, "a bigint, b bigint")
+    found = components(links.unionByName(joining(edges, components(links), rows)))
     discard(mixed, sketches)
     return members.join(reps.select("set", "rep"), "set").join(found, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("group"))

@@ -1,6 +1,7 @@
 import random
 
 import corpus_pipeline as P
+import pyarrow as pa
 from tessera.llm import near_copies as N
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -79,5 +80,41 @@ def test_blocks_lose_no_link(spark, monkeypatch):
     assert sorted(x.doc_id for x in P.drop_near_copies(spark, docs, "").collect()) == sorted(brute_force(rows))
 
 
+def dense(m, n=40):
+    """m sets of which any two are similar, in blocks of one shingle or of one class."""
+    sets = [N.np.array([*range(n - 1), 1000 + k], N.np.uint64) << N.np.uint64(20) for k in range(m)]
+    columns = {"s": [7] * m, "class": [1] * m, "x": [0] * m, "y": [0] * m, "key": list(range(m)), "n": [n] * m, "i": [0] * m, "c": list(range(m)), "block": [0] * m}
+    return pa.RecordBatch.from_pydict({**columns, "bits": [N.sketch(x).view(N.np.int64) for x in sets], "own": [x.view(N.np.int64) for x in sets]})
+
+
+def test_rows_grow_with_a_group_and_not_with_its_square():
+    for solve in (N._across, N._within):
+        for m in (1, 30, 120):
+            batch = dense(m)
+            found = [x for out in solve([batch.slice(0, m // 2), batch.slice(m // 2)]) for x in zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True)]
+            assert len(found) == m - 1
+            reached = {0}
+            for _ in range(m):
+                reached |= {x for pair in found if reached & set(pair) for x in pair}
+            assert reached == set(range(m))
+
+
+def test_classes_in_blocks_lose_no_link(spark, monkeypatch):
+    """Near copies of which few are similar to any one, cut into small blocks by texts and by shingles."""
+    base, r, rows = [f"b{k}" for k in range(60)], random.Random(9), planted()
+    for i in range(50):
+        copy = list(base)
+        for k in r.sample(range(60), 2):
+            copy[k] = f"n{r.randrange(4)}"
+        rows.append((5000 + i, " ".join(copy)))
+    want = sorted(brute_force(rows))
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], DOCS).repartition(3)
+    monkeypatch.setattr(N, "ROUNDS", 0)
+    for texts, shingles_held in ((7, 4_000_000), (1024, 500)):
+        monkeypatch.setattr(N, "CLASS_BLOCK", texts)
+        monkeypatch.setattr(N, "CLASS_SHINGLES", shingles_held)
+        assert sorted(x.doc_id for x in P.drop_near_copies(spark, docs, "").collect()) == want
+
+
 def test_empty(spark):
     assert N.near_copies(spark.createDataFrame([], "key bigint, text string")).collect() == []
