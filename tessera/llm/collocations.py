@@ -5,7 +5,7 @@ positions; one position stays empty between pieces, so nothing reaches across a
 the bitmap of the word, and how often it occurs is the number of bits set. Phrases grow depth-first: those of some first words are extended to full length before those of the next
 are begun, all blocks of them in one vectorized step, where a block is only held against words that stand in it. Sums over shards are the frequencies.
 
-Passes go over the written shards, one for each size. The first sums words. Those for phrases of two words and more, but the longest, sum what grows to that size by a hash, which can only overstate a count; a phrase is
+Passes go over the written shards, one for each size. The first sums words. Those for phrases of two words and more, but the longest, sum what grows to that size by a hash, which can only overstate a count; hashes are summed in a task and sent by bucket, as arrays; a phrase is
 counted if its first and its last words, less one, may be frequent. The last pass sums the phrases that may be frequent as they are. What may be frequent is a bit table of fixed size (``BITS``) for each size, so what is sent
 to the tasks doesn't grow; a bit that is set for another phrase costs work and changes no result, since the frequencies that count are exact sums. With full tables a pass makes at most a row for each word
 of the corpus and size. Cuts, drops and scores are joins of frequencies; scores are integer divisions of decimals of 38 digits.
@@ -40,6 +40,8 @@ GROUP_BYTES = 8 << 20
 ROWS = 1 << 16
 #: The bit tables have 2 ** BITS bits; phrases are counted by hashes of HASH_BITS bits.
 BITS, HASH_BITS = 26, 44
+#: Hashes of phrases that a task holds until it sums them.
+HELD = 2_000_000
 SHARD = "lang string, n bigint, words array<string>, counts array<bigint>, blocks_of array<int>, blocks binary, bits binary"
 _WIDTH = 16
 _KIND = np.zeros(256, np.uint8)
@@ -255,12 +257,22 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
             yield {"lang": row["lang"].as_py(), "words": row["words"].as_py(), "blocks_of": row["blocks_of"].values.to_numpy(), "blocks": row["blocks"].as_py(), "bits": row["bits"].as_py()}
 
 
-_COUNTS = "h bigint, lang string, phrase string, size int, c bigint"
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sum of each one's counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _counts(n: int, counts: np.ndarray, h=None, lang=None, phrase=None, size=None) -> pa.RecordBatch:
-    columns = [pa.nulls(n, t) if x is None else x.cast(t) if isinstance(x, pa.Array) else pa.array(x, t) for x, t in ((h, pa.int64()), (lang, pa.string()), (phrase, pa.string()), (size, pa.int32()), (counts, pa.int64()))]
-    return pa.RecordBatch.from_arrays(columns, names=["h", "lang", "phrase", "size", "c"])
+def bucketed(held: list[tuple[np.ndarray, np.ndarray]], most: int) -> pa.RecordBatch:
+    """A row for each bucket, by the bits of a hash above the lower 32, with the lower 32 of its hashes and their summed counts, at most `most`."""
+    h, counts = summed(np.concatenate([h for h, _ in held]), np.concatenate([c for _, c in held]))
+    bucket = (h >> np.uint64(32)).astype(np.int32)
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(h) else np.empty(0, np.int64)
+    edges = pa.array(np.append(first, len(h)).astype(np.int32))
+    low, c = pa.array(h.astype(np.uint32).view(np.int32)), pa.array(np.minimum(counts, most).astype(np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.ListArray.from_arrays(edges, low), pa.ListArray.from_arrays(edges, c)], names=["bucket", "low", "c"])
 
 
 def phrases(made: DataFrame, words: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: int = BITS) -> DataFrame:
@@ -274,25 +286,37 @@ def phrases(made: DataFrame, words: DataFrame, least: int = LEAST, longest: int
     tables = [bit_table(words.select("lang", "word").mapInArrow(of_words, "h bigint"), "h", bits)]
     shards_of = made.select("lang", "words", "blocks_of", "blocks", "bits")
 
-    def counted(known: list, size: int | None) -> DataFrame:
-        """The counts of one size by hash, or of all sizes as they are."""
+    def hashed(known: list, size: int) -> DataFrame:
+        """The hashes of phrases of one size that occur often enough. A task sums up to HELD of them before they leave it, as a row for each bucket with the lower halves and the counts; a count over `least` decides as well as `least`."""
 
-        def counts_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = [t.value for t in known]
+        def runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tables_of, held, size_of = [t.value for t in known], [], 0
             for row in _rows(batches):
-                if size:
-                    for h, counts in hashed_counts(row, held, size):
-                        yield _counts(len(h), counts, h=(h >> np.uint64(64 - HASH_BITS)).astype(np.int64))
-                else:
-                    for of, found, counts in phrase_counts(row, held, longest):
-                        yield _counts(len(found), counts, lang=[row["lang"]] * len(found), phrase=found, size=np.full(len(found), of, np.int32))
-
-        return shards_of.mapInArrow(counts_of, _COUNTS)
+                for h, counts in hashed_counts(row, tables_of, size):
+                    held.append((h >> np.uint64(64 - HASH_BITS), counts))
+                    size_of += len(h)
+                    if size_of > HELD:
+                        yield bucketed(held, least)
+                        held, size_of = [], 0
+            if held:
+                yield bucketed(held, least)
+
+        made = shards_of.mapInArrow(runs, "bucket int, low array<int>, c array<int>").repartition("bucket")
+        sums = made.select("bucket", F.inline(F.arrays_zip("low", "c"))).groupBy("bucket", "low").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
+        return sums.select(F.expr("shiftleft(cast(bucket AS bigint), 32) | (cast(low AS bigint) & 4294967295L)").alias("h"))
+
+    def counts_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [t.value for t in tables]
+        for row in _rows(batches):
+            for of, found, counts in phrase_counts(row, held, longest):
+                n = len(found)
+                columns = [pa.array([row["lang"]] * n, pa.string()), found.cast(pa.string()), pa.array(np.full(n, of, np.int32)), pa.array(counts, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "size", "c"])
 
     for size in range(2, longest):
-        sums = counted(list(tables), size).groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
-        tables.append(bit_table(sums.select(F.shiftleft("h", 64 - HASH_BITS).alias("h")), "h", bits))
-    return counted(tables, None).groupBy("lang", "phrase", "size").agg(F.sum("c").alias("a")).where(F.col("a") >= least)
+        tables.append(bit_table(hashed(list(tables), size).select(F.shiftleft("h", 64 - HASH_BITS).alias("h")), "h", bits))
+    sums = shards_of.mapInArrow(counts_of, "lang string, phrase string, size int, c bigint").groupBy("lang", "phrase", "size").agg(F.sum("c").alias("a"))
+    return sums.where(F.col("a") >= least)
 
 
 #: floor(1000 * a * n / (l * r)), exactly: counts have up to 18 digits, products up to 38.

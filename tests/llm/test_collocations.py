@@ -180,3 +180,12 @@ def test_a_task_holds_few_shards(spark, monkeypatch):
     monkeypatch.setattr(C, "written", seen)
     C.collocations(docs).collect()
     assert sum(n for n, _ in sizes) > 100 and max(size for _, size in sizes) < 1 << 18
+
+
+def test_hashes_are_summed_by_bucket_before_they_leave_a_task():
+    r = np.random.default_rng(5)
+    h, c = r.integers(0, 1 << 44, 5000, np.uint64), r.integers(1, 9, 5000)
+    batch = C.bucketed([(h, c), (h, c)], 10)
+    assert batch.num_rows == len({int(x) >> 32 for x in h})
+    got = {(b << 32) + (x & 0xFFFFFFFF): n for b, low, many in zip(*(batch[k].to_pylist() for k in ("bucket", "low", "c")), strict=True) for x, n in zip(low, many, strict=True)}
+    assert got == {int(x): min(2 * int(n), 10) for x, n in zip(h, c, strict=True)}
