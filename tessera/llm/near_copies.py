@@ -5,8 +5,10 @@ members. Two sets of similarity 0.8 differ in about ten of 64 bits, which no tri
 shingles in one fixed order, two similar sets share one among their first n - ceil(LEAST * n) + 1. The order puts frequent shingles
 last, so that common lines make no candidates; whatever the order, no pair is lost. Texts that share such a shingle are held against
 one of them, ``ROUNDS`` times, then members of different groups so far against each other, in blocks of ``BLOCK``. Sizes, places of the shared shingle, and
-a sketch of ``BITS`` parity bits, whose differing bits never outnumber the differing shingles, bound the overlap of a pair from above.
-Pairs that pass there aren't listed: they only say which texts belong to a class, a row for each text at most. The whole sets of a class then meet in blocks,
+a sketch of ``BITS`` parity bits, whose differing bits never outnumber the differing shingles, bound the overlap of a pair from above. So few bits rule out
+nothing for large sets, which have a second sketch of a bit or more for each shingle, a 64th of the set at most a 32nd.
+Pairs that pass there aren't listed: they only say which texts belong to a class, a row for each text at most. The large sketches of a class meet in blocks,
+which leaves smaller classes. Their whole sets then meet in blocks,
 and what leaves a task are links that join groups, fewer than its rows. Every link is an exact comparison of the whole sets (of 64-bit hashes).
 
 Two passes read the texts: one for set digests, fingerprints and frequent shingles, one for prefixes and sketches. The whole sets are made
@@ -41,6 +43,8 @@ HELD = 2_000_000
 BITS, BLOCK = 1024, 4096
 #: Texts, and shingles of their sets, in a block of those that are compared whole.
 CLASS_BLOCK, CLASS_SHINGLES = 1024, 4_000_000
+#: 64-bit words of sketches in a block of those that are compared by them.
+SKETCH_WORDS = 4_000_000
 #: How often a shingle's members are held against one of them before the rest of their pairs are.
 ROUNDS = 2
 
@@ -50,12 +54,17 @@ def shingle_set(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(simhash.shingle_hashes(text, shingle))
 
 
-def sketch(own: np.ndarray) -> np.ndarray:
-    """BITS parity bits: each shingle turns over one."""
-    odd = np.bincount((own >> np.uint64(20)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+def sketch(own: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Parity bits, a power of two of them: each shingle turns over one. Half as many are the two halves, XORed."""
+    odd = np.bincount((own >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(bool)).view(np.uint64)
 
 
+def width(n: int) -> int:
+    """Bits of the sketch of a set of n shingles, at least one for each."""
+    return max(BITS, 1 << (n - 1).bit_length()) if n else BITS
+
+
 def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each text its key, the digest of its set and its fingerprint; for each shingle that a task sees three times or more its count (key null)."""
     held, size = [], 0
@@ -112,16 +121,17 @@ def _heads(held):
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, counts = held.value
         for batch in slices(batches, "text"):
-            sizes, bits, heads = [], [], []
+            sizes, bits, wide, heads = [], [], [], []
             for t in text_bytes(batch.column("text")):
                 own = shingle_set(t)
                 sizes.append(len(own))
                 bits.append(sketch(own).view(np.int64))
+                wide.append(sketch(own, width(len(own))).view(np.int64) if len(own) > BITS else None)
                 heads.append(prefix(own, common, counts).view(np.int64))
             edges = np.cumsum([0, *map(len, heads)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(heads)))
             words = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * (BITS // 64)), pa.array(np.concatenate(bits)))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sizes, pa.int32()), words, lists], names=["key", "n", "bits", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sizes, pa.int32()), words, pa.array(wide, pa.list_(pa.int64())), lists], names=["key", "n", "bits", "wide", "prefix"])
 
     return make
 
@@ -131,6 +141,17 @@ def needed(n, m):
     return np.ceil(LEAST / (1 + LEAST) * (n + m) - 1e-9)
 
 
+def _largest():
+    return F.coalesce("wide", "bits")
+
+
+def _apart(a: str, b: str):
+    """Differing bits of two sketches, of which one may be twice as long."""
+    half = lambda w: F.transform(F.slice(w, F.lit(1), (F.size(w) / 2).cast("int")), lambda x, i: x.bitwiseXOR(F.element_at(w, i + 1 + (F.size(w) / 2).cast("int"))))
+    x, y = (F.when(F.size(p) > F.size(q), half(F.col(p))).otherwise(F.col(p)) for p, q in ((a, b), (b, a)))
+    return F.aggregate(F.zip_with(x, y, lambda v, w: F.bit_count(v.bitwiseXOR(w))), F.lit(0), lambda t, v: t + v)
+
+
 def _needed(n: str, m: str):
     return F.ceil(F.lit(LEAST / (1 + LEAST)) * (F.col(n) + F.col(m)) - 1e-9)
 
@@ -195,12 +216,50 @@ def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.flatnonzero(may)
             if len(at) and len(at := _close(bits, n, k, at)):
                 label[np.isin(label, label[at])] = label[k]
-        order = np.lexsort((key, label))
-        first = np.flatnonzero(np.append(True, np.diff(label[order]) != 0))
-        least = np.repeat(key[order[first]], np.diff(np.append(first, len(key))))
-        apart = least != key[order]
-        if apart.any():
-            yield pa.RecordBatch.from_arrays([pa.array(least[apart]), pa.array(key[order][apart])], names=["a", "b"])
+        yield from _forest(key, label)
+
+
+def _forest(key: np.ndarray, label: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b) from the smallest key of each label to its others."""
+    order = np.lexsort((key, label))
+    first = np.flatnonzero(np.append(True, np.diff(label[order]) != 0))
+    least = np.repeat(key[order[first]], np.diff(np.append(first, len(key))))
+    apart = least != key[order]
+    if apart.any():
+        yield pa.RecordBatch.from_arrays([pa.array(least[apart]), pa.array(key[order][apart])], names=["a", "b"])
+
+
+def _sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by class and pair of blocks, with their largest sketches (w). Edges as of _across."""
+    for table in _blocks(batches, ("class", "x", "y")):
+        order = np.argsort(table.column("n").to_numpy(), kind="stable")  # larger sets have larger sketches
+        key, n, c, block = (table.column(k).to_numpy()[order] for k in ("key", "n", "c", "block"))
+        lists = table.column("w").combine_chunks()
+        words = np.split(lists.flatten().to_numpy().view(np.uint64), np.cumsum(pa.compute.list_value_length(lists).to_numpy())[:-1])
+        words = [words[k] for k in order]
+        edges = [0, *(np.flatnonzero(np.diff([len(w) for w in words])) + 1).tolist(), len(words)]
+        alike = [np.stack(words[p:q]) for p, q in zip(edges, edges[1:], strict=False)]
+        mixed = table.column("x")[0].as_py() != table.column("y")[0].as_py()
+        label = np.arange(len(key))
+        for level, (p, q) in enumerate(zip(edges, edges[1:], strict=False)):
+            for k in range(p, q):
+                low = int(np.searchsorted(n[:k], LEAST * n[k] - 1))
+                need = needed(n[k], n[low:k])
+                may = (label[low:k] != label[k]) & (c[low:k] != c[k]) & (need <= n[low:k])
+                if mixed:
+                    may &= block[low:k] != block[k]
+                at, found = np.flatnonzero(may) + low, []
+                for of in range(level, -1, -1):  # two sizes of sketches at most, as similar sets go
+                    mine, own = at[(at >= edges[of]) & (at < edges[of + 1])], words[k]
+                    if len(mine):
+                        while len(own) > alike[of].shape[1]:
+                            own = own[: len(own) // 2] ^ own[len(own) // 2 :]
+                        differing = np.bitwise_count(alike[of][mine - edges[of]] ^ own).sum(1, dtype=np.int64)
+                        found.append(mine[differing <= n[k] + n[mine] - 2 * needed(n[k], n[mine])])
+                close = np.concatenate(found) if found else at
+                if len(close):
+                    label[np.isin(label, label[close])] = label[k]
+        yield from _forest(key, label)
 
 
 def _within(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,11 +302,27 @@ def _dealt(rows: DataFrame, by: str, blocks) -> DataFrame:
     return dealt.repartition(tasks, by, "x", "y").sortWithinPartitions(by, "x", "y")
 
 
+def _classes(edges: DataFrame, groups: DataFrame) -> DataFrame:
+    """key, class (what hangs together by the edges) and group (c) of the rows that have an edge."""
+    classes = components(edges).join(groups.toDF("node", "c"), "node", "left").select(F.col("node").alias("key"), F.col("component").alias("class"), F.coalesce("c", "node").alias("c"))
+    return written(classes, "classes")
+
+
+def refined(edges: DataFrame, groups: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Edges whose classes hold every pair of different groups that may be similar by its largest sketches, among those in one class of edges."""
+    classes = _classes(edges, groups)
+    held = written(sketches.select("key", "n", _largest().alias("w")).join(classes, "key"), "class-sketches")
+    sizes = held.groupBy("class").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.size("w")) / SKETCH_WORDS)).alias("blocks"))
+    with small_batches(sketches.sparkSession):
+        found = written(_dealt(held.join(sizes, "class"), "class", F.col("blocks")).drop("blocks").mapInArrow(_sketched, "a bigint, b bigint"), "refined")
+    discard(classes, held)
+    return found
+
+
 def joining(edges: DataFrame, groups: DataFrame, rows: DataFrame) -> DataFrame:
     """Links (a, b) of similar sets that join all groups with a similar pair inside a class, which is what hangs together by the edges. A text is sent whole once for each block of its class, and the links are never more
     than the rows that are compared."""
-    classes = components(edges).join(groups.toDF("node", "c"), "node", "left").select(F.col("node").alias("key"), F.col("component").alias("class"), F.coalesce("c", "node").alias("c"))
-    classes = written(classes, "classes")
+    classes = _classes(edges, groups)
     own = written(rows.join(classes.select("key"), "key", "left_semi").mapInArrow(_sets, "key bigint, own array<bigint>"), "own")
     held = written(own.dropDuplicates(["key"]).join(classes, "key"), "class-sets")
     sizes = held.groupBy("class").agg(F.ceil(F.greatest(F.count("*") / CLASS_BLOCK, F.sum(F.size("own")) / CLASS_SHINGLES)).alias("blocks"))
@@ -275,7 +350,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     reps = written(members.groupBy("set").agg(F.min("key").alias("rep"), F.first("fp").alias("fp")), "sets")
     held = spark.sparkContext.broadcast(frequent(made.where("s IS NOT NULL").select("s", "c")))
     discard(made)
-    heads = rows.mapInArrow(_heads(held), "key bigint, n int, bits array<bigint>, prefix array<bigint>").join(reps.select(F.col("rep").alias("key")), "key", "left_semi")
+    heads = rows.mapInArrow(_heads(held), "key bigint, n int, bits array<bigint>, wide array<bigint>, prefix array<bigint>").join(reps.select(F.col("rep").alias("key")), "key", "left_semi")
     heads = written(heads.dropDuplicates(["key"]), "prefixes")
 
     fps = written(reps.groupBy("fp").agg(F.min("rep").alias("rep")), "fingerprints")
@@ -286,7 +361,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
     listed = heads.select("key", "n", F.posexplode("prefix").alias("i", "s"))
     many = listed.groupBy("s").agg(F.count("*").alias("members")).where("members > 1")
     mixed = written(listed.join(many, "s"), "shared")
-    sketches = written(heads.select("key", "bits"), "sketches")
+    sketches = written(heads.select("key", "n", "bits", "wide"), "sketches")
+    largest = sketches.select("key", _largest().alias("w"))
     discard(heads)
     links = similar(met, rows)
     discard(fps)
@@ -295,12 +371,12 @@ def near_copies(docs: DataFrame) -> DataFrame:
         pivot = mixed.groupBy("s").agg(F.min_by(F.struct("key", "n", "i", "c"), F.xxhash64("key", F.lit(r))).alias("p")).select("s", F.col("p.key").alias("a"), F.col("p.n").alias("m"), F.col("p.i").alias("j"), F.col("p.c").alias("d"))
         fits = _needed("n", "m") <= F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j"))
         star = mixed.join(pivot, "s").where((F.col("c") != F.col("d")) & fits).select("a", F.col("key").alias("b"), "n", "m").distinct()
-        apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-        star = star.join(sketches.toDF("a", "wa"), "a").join(sketches.toDF("b", "wb"), "b").where(apart <= F.col("n") + F.col("m") - 2 * _needed("n", "m")).select("a", "b")
+        star = star.join(largest.toDF("a", "wa"), "a").join(largest.toDF("b", "wb"), "b").where(_apart("wa", "wb") <= F.col("n") + F.col("m") - 2 * _needed("n", "m")).select("a", "b")
         links = links.unionByName(similar(star, rows))
     mixed = _mixed(mixed, links)
-    met = mixed.select("s", "key", "n", "i", "c", "members").join(sketches, "key")
+    met = mixed.select("s", "key", "n", "i", "c", "members").join(sketches.select("key", "bits"), "key")
     edges = _dealt(met, "s", F.ceil(F.col("members") / BLOCK)).drop("members").mapInArrow(_across, "a bigint, b bigint")
-    found = components(links.unionByName(joining(edges, components(links), rows)))
+    grouped = components(links)
+    found = components(links.unionByName(joining(refined(edges, grouped, sketches), grouped, rows)))
     discard(mixed, sketches)
     return members.join(reps.select("set", "rep"), "set").join(found, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("group"))

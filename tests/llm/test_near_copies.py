@@ -116,5 +116,50 @@ def test_classes_in_blocks_lose_no_link(spark, monkeypatch):
         assert sorted(x.doc_id for x in P.drop_near_copies(spark, docs, "").collect()) == want
 
 
+def long_texts():
+    """Texts of over 1,024 shingles: near copies, some of them shorter than the next power of two, and texts that share the half of another."""
+    r, rows = random.Random(3), []
+    for g in range(5):
+        base = [f"g{g}w{k}" for k in range(r.randint(1300, 2300))]
+        for k in range(6):
+            copy = list(base)
+            for _ in range(4 * k):
+                copy[r.randrange(len(copy))] = f"n{r.randrange(10_000)}"
+            rows.append((10_000 + 100 * g + k, " ".join(copy)))
+        rows.append((10_000 + 100 * g + 50, " ".join(base[: int(len(base) * 0.87)])))
+        rows += [(10_000 + 100 * g + 60 + k, " ".join([*base[: len(base) // 2], *(f"h{g}.{k}.{i}" for i in range(len(base) // 2))])) for k in range(6)]
+    return [*rows, *planted()]
+
+
+def test_long_texts_equal_brute_force(spark, monkeypatch):
+    rows = long_texts()
+    want = sorted(brute_force(rows))
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], DOCS).repartition(3)
+    assert sorted(x.doc_id for x in P.drop_near_copies(spark, docs, "").collect()) == want
+    monkeypatch.setattr(N, "ROUNDS", 0)
+    monkeypatch.setattr(N, "SKETCH_WORDS", 100)
+    assert sorted(x.doc_id for x in P.drop_near_copies(spark, docs, "").collect()) == want
+
+
+def test_whole_sets_of_long_texts_that_share_a_half_stay_where_they_are(spark, monkeypatch):
+    """A sketch of 1,024 bits rules out nothing for sets of thousands: they were all sent whole."""
+    sent, before = [], N._dealt
+    rows = [(i, " ".join([*(f"w{i // 2}.{k}" for k in range(1500)), *(f"own{i}.{k}" for k in range(1500))])) for i in range(20)]
+    monkeypatch.setattr(N, "_dealt", lambda rows, by, blocks: sent.append(rows.count() if "own" in rows.columns else 0) or before(rows, by, blocks))
+    found = N.near_copies(spark.createDataFrame(rows, "key bigint, text string")).collect()
+    assert sum(sent) == 0 and len({x.group for x in found}) == 20
+
+
+def test_half_a_sketch_is_its_halves(spark):
+    r = random.Random(6)
+    own = N.np.array(sorted(r.getrandbits(64) for _ in range(3000)), dtype=N.np.uint64)
+    large = N.sketch(own, N.width(len(own)))
+    assert len(large) == 64 and (large[:32] ^ large[32:] == N.sketch(own, 2048)).all() and N.width(1024) == 1024 and N.width(1025) == 2048
+    other = N.sketch(own[:2000], 2048)
+    row = spark.createDataFrame([(large.view(N.np.int64).tolist(), other.view(N.np.int64).tolist())], "a array<bigint>, b array<bigint>")
+    want = int(N.np.bitwise_count(N.sketch(own, 2048) ^ other).sum())
+    assert row.select(N._apart("a", "b"), N._apart("b", "a")).first() == (want, want)
+
+
 def test_empty(spark):
     assert N.near_copies(spark.createDataFrame([], "key bigint, text string")).collect() == []
