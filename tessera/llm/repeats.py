@@ -28,6 +28,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -252,7 +253,7 @@ class RunLengthIndex:
         self.common = self._common(self.head, self.tail)
 
     def _suffixes(self, deepest: int) -> np.ndarray:
-        """Suffix order by doubling, to the depth of the longest context."""
+        """Suffix order to the depth of the longest context: ranks by their first bytes are put together, three at a time where they fit into 64 bits, else two."""
         n, packed = self.n, np.zeros(self.n, np.int64)
         padded = np.append(self.text, np.zeros(7, np.int64))
         open_ = np.ones(n, bool)
@@ -260,19 +261,20 @@ class RunLengthIndex:
             symbol = np.where(open_, padded[k : n + k], 0)
             packed = packed * 257 + symbol
             open_ &= symbol > 0
-        depth = 7
-        while True:
-            order = np.argsort(packed, kind="stable")
+        depth, times = 7, 3 if (n + 1) ** 3 < 1 << 63 else 2
+        while depth < deepest:
+            order = np.argsort(packed)
             values = packed[order]
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(np.append(0, values[1:] != values[:-1]))
-            if depth >= deepest:
-                return order
-            later = np.zeros(n, np.int64)
-            reach = np.flatnonzero(self.room > depth)
-            later[reach] = rank[reach + depth] + 1
-            packed = rank * (n + 1) + later
-            depth *= 2
+            packed = rank
+            for k in range(1, times):
+                later = np.zeros(n, np.int64)
+                reach = np.flatnonzero(self.room > k * depth)
+                later[reach] = rank[reach + k * depth] + 1
+                packed = packed * (n + 1) + later
+            depth *= times
+        return np.argsort(packed, kind="stable")  # equal ones by place
 
     def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common prefix of suffixes a[i] and b[i], separators excluded; 0 where b[i] is none."""
@@ -344,14 +346,10 @@ def _agreement(parts: list[bytes]) -> list[int]:
     out = [0] * len(parts)
     for a, b in zip(order, order[1:], strict=False):
         x, y = parts[a], parts[b]
-        low, high = 0, min(len(x), len(y))
-        while low < high:
-            mid = (low + high + 1) // 2
-            if x[low:mid] == y[low:mid]:
-                low = mid
-            else:
-                high = mid - 1
-        out[a], out[b] = max(out[a], low), max(out[b], low)
+        n = min(len(x), len(y))
+        differing = int.from_bytes(x[:n]) ^ int.from_bytes(y[:n])
+        same = n - (differing.bit_length() + 7) // 8
+        out[a], out[b] = max(out[a], same), max(out[b], same)
     return out
 
 
@@ -477,6 +475,30 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def without(texts: list[bytes], spans: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """What the spans, a list of (lo, hi) for each text, leave of it; the bytes removed and the maximal runs that they form."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(sizes + 1)  # a byte between texts, so that no run goes on into the next
+    begin = ends - sizes - 1
+    row = np.repeat(np.arange(len(texts)), pa.compute.list_value_length(spans).fill_null(0).to_numpy())
+    lo, hi = (x.to_numpy().astype(np.int64) + begin[row] for x in spans.flatten().flatten())
+    order = np.argsort(lo, kind="stable")
+    lo, reach = lo[order], np.maximum.accumulate(hi[order])
+    first = np.flatnonzero(np.append(True, lo[1:] > reach[:-1])) if len(lo) else np.empty(0, np.int64)
+    last = reach[np.append(first[1:], len(lo)) - 1] if len(lo) else first
+    owner = row[order][first]
+    turns = np.zeros(int(ends[-1]) + 1 if len(ends) else 1, np.int8)
+    turns[lo[first]] += 1
+    turns[last] -= 1
+    gone = np.cumsum(turns[:-1], dtype=np.int8).astype(bool)
+    gone[ends - 1] = True
+    removed = np.zeros(len(texts), np.int64)
+    np.add.at(removed, owner, last - lo[first])
+    left = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)[~gone].tobytes()
+    edges = np.append(0, np.cumsum(sizes - removed)).tolist()
+    return [left[p:q] for p, q in zip(edges, edges[1:], strict=False)], removed, np.bincount(owner, minlength=len(texts))
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, kept: str = "text", fold: bool = True) -> DataFrame:
     """docs with n_bytes, n_removed, n_spans and kept: what is left as "text" (without bytes of characters that were cut apart), as "bytes", or as its "sha256" in hex."""
     names = [c for c in docs.columns if c not in ("n_bytes", "n_removed", "n_spans", "kept", "doc", "tag", "spans")]
@@ -488,16 +510,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
-            out: list[list] = [[], [], [], []]
-            for text, spans in zip(text_bytes(batch.column("text")), batch.column("spans").to_pylist(), strict=True):
-                text = text or b""
-                runs = merged([(x["lo"], x["hi"]) for x in spans or ()])
-                edges = [0, *(x for run in runs for x in run), len(text)]
-                left = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                values = (len(text), len(text) - len(left), len(runs), shape(left))
-                for column, value in zip(out, values, strict=True):
-                    column.append(value)
-            made = [*(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.binary() if kept == "bytes" else pa.string())]
+            texts = [t or b"" for t in text_bytes(batch.column("text"))]
+            left, removed, runs = without(texts, batch.column("spans"))
+            made = [*(pa.array(x, pa.int64()) for x in ([len(t) for t in texts], removed, runs)), pa.array([shape(x) for x in left], pa.binary() if kept == "bytes" else pa.string())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), *made], names=[*carried, "n_bytes", "n_removed", "n_spans", "kept"])
 
     out = schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary" if kept == "bytes" else "string")

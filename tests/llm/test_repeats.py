@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import repeats as R
@@ -140,3 +141,43 @@ def test_tags_are_the_same_everywhere(spark):
     texts = ["", "a", "é" * 40, "long text " * 5000] + [f"text {i}" for i in range(200)]
     rows = spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string").select("text", *R.document_key()).collect()
     assert all(x.doc == R.NULL_ID and x.tag == R.tag_of(x.text.encode()) for x in rows) and len({x.tag for x in rows}) == len(texts)
+
+
+@pytest.mark.parametrize("times", [2, 3])
+def test_suffix_order_and_its_sorts(monkeypatch, times):
+    """Contexts of up to 168 bytes take four sorts where three ranks fit into 64 bits."""
+    r = random.Random(times)
+    contexts = [bytes(r.choice(b"ab") for _ in range(r.randint(1, 168))) for _ in range(40)] + [b"ab" * 84] * 3
+    index, sorts, sort = R.RunLengthIndex(contexts), [], np.argsort
+    want = sorted(range(index.n), key=lambda k: ((*index.text[k : k + index.room[k]].tolist(), 0), k))
+    assert index._suffixes(169).tolist() == want
+    monkeypatch.setattr(np, "argsort", lambda *a, **more: sorts.append(1) or sort(*a, **more))
+    index._suffixes(169)
+    assert len(sorts) == 4
+    if times == 2:  # as for a context of millions of bytes
+        class Large(int):
+            def __pow__(self, k):
+                return 1 << 63
+
+            def __add__(self, k):
+                return Large(int(self) + k)
+
+        index.n = Large(index.n)
+        assert index._suffixes(169).tolist() == want and len(sorts) == 10
+
+
+def test_spans_of_a_batch_are_cut_at_once():
+    r, texts, spans = random.Random(5), [], []
+    for k in range(300):
+        n = r.choice([0, 0, 1, 5, 40])
+        texts.append(bytes(r.randrange(256) for _ in range(n)))
+        own = [sorted(r.sample(range(n + 1), 2)) for _ in range(r.choice([0, 1, 6]))] if n else []
+        spans.append(None if not own and k % 2 else [{"lo": a, "hi": b} for a, b in own])
+    array = pa.array([[{"lo": 0, "hi": 9}], *spans], pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))[1:]
+    left, removed, runs = R.without(texts, array)
+    for text, own, x, n, k in zip(texts, spans, left, removed, runs, strict=True):
+        gone = {i for s in own or () for i in range(s["lo"], s["hi"])}
+        assert x == bytes(b for i, b in enumerate(text) if i not in gone) and n == len(gone)
+        edges = {i for s in own or () for i in range(2 * s["lo"], 2 * s["hi"] + 1)}  # touching spans are one run
+        assert k == sum(i - 1 not in edges for i in edges)
+    assert R.without([], array[:0])[0] == []
