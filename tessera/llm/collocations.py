@@ -8,7 +8,8 @@ are begun, all blocks of them in one vectorized step, where a block is only held
 Passes go over the written shards, one for each size. The first sums words. Those for phrases of two words and more, but the longest, sum what grows to that size by a hash, which can only overstate a count; hashes are summed in a task and sent by bucket, as arrays; a phrase is
 counted if its first and its last words, less one, may be frequent. The last pass sums the phrases that may be frequent as they are. What may be frequent is a bit table of fixed size (``BITS``) for each size, so what is sent
 to the tasks doesn't grow; a bit that is set for another phrase costs work and changes no result, since the frequencies that count are exact sums. With full tables a pass makes at most a row for each word
-of the corpus and size. Cuts, drops and scores are joins of frequencies; scores are integer divisions of decimals of 38 digits.
+of the corpus and size. What a task has counted is summed before it leaves, a row for each bucket of phrases, so the rows go by the tasks, though the more a corpus has, the more
+of its phrases reach a fixed frequency. Cuts, drops and scores are joins of frequencies; scores are integer divisions of decimals of 38 digits.
 
 Defined cases: a null text counts as empty; a null language is ``und``, together with rows that say so; rows count as often as they stand in the table; a text without pieces or
 a piece of one word adds to n alone; equal scores go by frequency and then by the bytes of the phrase; an empty table gives no rows; a very long text is cut at its
@@ -42,6 +43,8 @@ ROWS = 1 << 16
 BITS, HASH_BITS = 26, 44
 #: Hashes of phrases that a task holds until it sums them.
 HELD = 2_000_000
+#: Phrases that a task holds until it sums them, and the buckets by which their sums leave it.
+HELD_PHRASES, BUCKETS = 500_000, 4096
 SHARD = "lang string, n bigint, words array<string>, counts array<bigint>, blocks_of array<int>, blocks binary, bits binary"
 _WIDTH = 16
 _KIND = np.zeros(256, np.uint8)
@@ -275,6 +278,21 @@ def bucketed(held: list[tuple[np.ndarray, np.ndarray]], most: int) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.ListArray.from_arrays(edges, low), pa.ListArray.from_arrays(edges, c)], names=["bucket", "low", "c"])
 
 
+_COUNT = pa.struct([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("c", pa.int64())])
+
+
+def folded(held: list[pa.Table]) -> pa.RecordBatch:
+    """A row for each bucket, by a hash of the phrase, with its phrases and their summed counts. held: lang, phrase, size, c."""
+    sums = pa.concat_tables(held).group_by(["lang", "phrase", "size"], use_threads=False).aggregate([("c", "sum")]).combine_chunks()
+    bucket = np.fromiter((xxhash.xxh64_intdigest(p) % BUCKETS for p in sums.column("phrase").to_pylist()), np.int32, sums.num_rows)
+    order = np.argsort(bucket, kind="stable")
+    bucket, sums = bucket[order], sums.take(pa.array(order))
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.empty(0, np.int64)
+    columns = [sums.column(name).combine_chunks().cast(_COUNT.field(k).type) for k, name in enumerate(("lang", "phrase", "size", "c_sum"))]
+    counts = pa.ListArray.from_arrays(pa.array(np.append(first, len(bucket)).astype(np.int32)), pa.StructArray.from_arrays(columns, fields=list(_COUNT)))
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first]), counts], names=["bucket", "counts"])
+
+
 def phrases(made: DataFrame, words: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: int = BITS) -> DataFrame:
     """lang, phrase, size, a: phrases of 2 to `longest` words that occur at least `least` times in all shards. words: lang and word of frequent words."""
 
@@ -306,17 +324,23 @@ def phrases(made: DataFrame, words: DataFrame, least: int = LEAST, longest: int
         return sums.select(F.expr("shiftleft(cast(bucket AS bigint), 32) | (cast(low AS bigint) & 4294967295L)").alias("h"))
 
     def counts_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [t.value for t in tables]
+        tables_of, held, n = [t.value for t in tables], [], 0
         for row in _rows(batches):
-            for of, found, counts in phrase_counts(row, held, longest):
-                n = len(found)
-                columns = [pa.array([row["lang"]] * n, pa.string()), found.cast(pa.string()), pa.array(np.full(n, of, np.int32)), pa.array(counts, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "size", "c"])
+            for of, found, counts in phrase_counts(row, tables_of, longest):
+                columns = [pa.array([row["lang"]] * len(found), pa.string()), found.cast(pa.string()), pa.array(np.full(len(found), of, np.int32)), pa.array(counts, pa.int64())]
+                held.append(pa.Table.from_arrays(columns, names=["lang", "phrase", "size", "c"]))
+                n += len(found)
+                if n > HELD_PHRASES:
+                    yield folded(held)
+                    held, n = [], 0
+        if held:
+            yield folded(held)
 
     for size in range(2, longest):
         tables.append(bit_table(hashed(list(tables), size).select(F.shiftleft("h", 64 - HASH_BITS).alias("h")), "h", bits))
-    sums = shards_of.mapInArrow(counts_of, "lang string, phrase string, size int, c bigint").groupBy("lang", "phrase", "size").agg(F.sum("c").alias("a"))
-    return sums.where(F.col("a") >= least)
+    counted = shards_of.mapInArrow(counts_of, "bucket int, counts array<struct<lang string, phrase string, size int, c bigint>>").repartition("bucket")
+    sums = counted.select("bucket", F.inline("counts")).groupBy("bucket", "lang", "phrase", "size").agg(F.sum("c").alias("a"))
+    return sums.where(F.col("a") >= least).drop("bucket")
 
 
 #: floor(1000 * a * n / (l * r)), exactly: counts have up to 18 digits, products up to 38.

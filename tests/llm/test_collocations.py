@@ -189,3 +189,17 @@ def test_hashes_are_summed_by_bucket_before_they_leave_a_task():
     assert batch.num_rows == len({int(x) >> 32 for x in h})
     got = {(b << 32) + (x & 0xFFFFFFFF): n for b, low, many in zip(*(batch[k].to_pylist() for k in ("bucket", "low", "c")), strict=True) for x, n in zip(low, many, strict=True)}
     assert got == {int(x): min(2 * int(n), 10) for x, n in zip(h, c, strict=True)}
+
+
+def test_phrases_are_summed_before_they_leave_a_task(spark):
+    """A phrase that all shards of a task have leaves it once, in the row of its bucket: there was a row for each shard and phrase."""
+    rows = [("one two three four. five six", "en"), ("one two three four", None)] * 60
+    docs = spark.createDataFrame([(i, t, lang, None, None, None) for i, (t, lang) in enumerate(rows)], DOCS)
+    made = C.written(C.shards(docs.coalesce(1), most=64, waiting=256).coalesce(1), "bitmaps")
+    assert made.count() > 20
+    words = made.select("lang", C.F.explode("words").alias("word")).distinct()
+    found = C.phrases(made, words, least=2)
+    assert {(x.lang, x.phrase, x.size): x.a for x in found.collect()} == {(lang, p, len(p.split())): n for lang, more in (("en", ["five six"]), ("und", [])) for p in ["one two", "two three", "three four", "one two three", "two three four", "one two three four", *more] for n in [60]}
+    counts = [pa.table({"lang": [lang], "phrase": [p], "size": pa.array([2], pa.int32()), "c": [n]}) for _ in range(50) for lang, p, n in (("en", "a b", 3), ("de", "a b", 1), ("en", "c d", 5))]
+    out = C.folded(counts)
+    assert out.num_rows <= 2 and sorted((x["lang"], x["phrase"], x["size"], x["c"]) for row in out["counts"].to_pylist() for x in row) == [("de", "a b", 2, 50), ("en", "a b", 2, 150), ("en", "c d", 2, 250)]
