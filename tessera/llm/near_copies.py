@@ -6,7 +6,7 @@ shingles in one fixed order, two similar sets share one among their first n - ce
 last, so that common lines make no candidates; whatever the order, no pair is lost. Texts that share such a shingle are held against
 one of them, ``ROUNDS`` times, then members of different groups so far against each other, in blocks of ``BLOCK``. Sizes, places of the shared shingle, and
 a sketch of ``BITS`` parity bits, whose differing bits never outnumber the differing shingles, bound the overlap of a pair from above. So few bits rule out
-nothing for large sets, which have a second sketch of a bit or more for each shingle, a 64th of the set at most a 32nd.
+nothing for large sets, which have a second sketch of one or two bits for each shingle, a 64th to a 32nd of the set.
 Pairs that pass there aren't listed: they only say which texts belong to a class, a row for each text at most. The large sketches of a class meet in blocks,
 which leaves smaller classes. Their whole sets then meet in blocks,
 and what leaves a task are links that join groups, fewer than its rows. Every link is an exact comparison of the whole sets (of 64-bit hashes).
