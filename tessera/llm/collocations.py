@@ -8,8 +8,8 @@ are begun, all blocks of them in one vectorized step, where a block is only held
 Passes go over the written shards, one for each size. The first sums words. Those for phrases of two words and more, but the longest, sum what grows to that size by a hash, which can only overstate a count; hashes are summed in a task and sent by bucket, as arrays; a phrase is
 counted if its first and its last words, less one, may be frequent. The last pass sums the phrases that may be frequent as they are. What may be frequent is a bit table of fixed size (``BITS``) for each size, so what is sent
 to the tasks doesn't grow; a bit that is set for another phrase costs work and changes no result, since the frequencies that count are exact sums. With full tables a pass makes at most a row for each word
-of the corpus and size. What a task has counted is summed before it leaves, a row for each bucket of phrases, so the rows go by the tasks, though the more a corpus has, the more
-of its phrases reach a fixed frequency. Cuts, drops and scores are joins of frequencies; scores are integer divisions of decimals of 38 digits.
+of the corpus and size. What a task has counted is summed before it leaves, a row for each bucket of phrases, and these rows are summed as they come, bucket after bucket, so the rows go by the tasks
+and by the phrases that are frequent. The counts in them are at most as many as the occurrences: the more a corpus has, the more of its phrases reach a fixed frequency, and the more tasks hold each. Cuts, drops and scores are joins of frequencies; scores are integer divisions of decimals of 38 digits.
 
 Defined cases: a null text counts as empty; a null language is ``und``, together with rows that say so; rows count as often as they stand in the table; a text without pieces or
 a piece of one word adds to n alone; equal scores go by frequency and then by the bytes of the phrase; an empty table gives no rows; a very long text is cut at its
@@ -37,6 +37,8 @@ SHARD_BYTES = 2 << 20
 WAITING_BYTES = 8 << 20
 #: Bytes of shards that a task holds while it writes or reads them.
 GROUP_BYTES = 8 << 20
+#: Bytes of a batch of rows, from which it is sent to Python: a shard, or many rows of sums.
+BATCH_BYTES = 1 << 20
 #: Block rows that are extended together.
 ROWS = 1 << 16
 #: The bit tables have 2 ** BITS bits; phrases are counted by hashes of HASH_BITS bits.
@@ -293,6 +295,32 @@ def folded(held: list[pa.Table]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket[first]), counts], names=["bucket", "counts"])
 
 
+def met(batches: Iterable[pa.RecordBatch], least: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The sums of phrases that occur at least `least` times, of rows as `folded` makes them, sorted by bucket. Whenever `most` counts are held they are summed, and those of buckets that have ended leave."""
+    held, n, after = [], 0, 0
+
+    def summed_up(ended: int | None) -> tuple[pa.RecordBatch, pa.Table]:
+        """Frequent phrases of all buckets, or of those before `ended`, and the sums of the others."""
+        sums = pa.concat_tables(held).group_by(["bucket", "lang", "phrase", "size"], use_threads=False).aggregate([("c", "sum")]).rename_columns({"c_sum": "c"}).combine_chunks()
+        open_ = pa.compute.equal(sums["bucket"], pa.scalar(ended, pa.int32())).fill_null(False)
+        done = sums.filter(pa.compute.and_(pa.compute.invert(open_), pa.compute.greater_equal(sums["c"], least))).combine_chunks()
+        return pa.RecordBatch.from_arrays([done[k].combine_chunks() for k in _COUNT.names], names=["lang", "phrase", "size", "a"]), sums.filter(open_)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        counts = batch.column("counts")
+        bucket = np.repeat(batch.column("bucket").to_numpy(), pa.compute.list_value_length(counts).to_numpy(zero_copy_only=False))
+        held.append(pa.Table.from_arrays([pa.array(bucket, pa.int32()), *counts.flatten().flatten()], names=["bucket", *_COUNT.names]))
+        n += len(bucket)
+        if n > 2 * max(most, after):
+            out, rest = summed_up(batch.column("bucket")[-1].as_py())
+            yield out
+            held, n, after = [rest], len(rest), len(rest)
+    if held:
+        yield summed_up(None)[0]
+
+
 def phrases(made: DataFrame, words: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: int = BITS) -> DataFrame:
     """lang, phrase, size, a: phrases of 2 to `longest` words that occur at least `least` times in all shards. words: lang and word of frequent words."""
 
@@ -338,9 +366,8 @@ def phrases(made: DataFrame, words: DataFrame, least: int = LEAST, longest: int
 
     for size in range(2, longest):
         tables.append(bit_table(hashed(list(tables), size).select(F.shiftleft("h", 64 - HASH_BITS).alias("h")), "h", bits))
-    counted = shards_of.mapInArrow(counts_of, "bucket int, counts array<struct<lang string, phrase string, size int, c bigint>>").repartition("bucket")
-    sums = counted.select("bucket", F.inline("counts")).groupBy("bucket", "lang", "phrase", "size").agg(F.sum("c").alias("a"))
-    return sums.where(F.col("a") >= least).drop("bucket")
+    counted = shards_of.mapInArrow(counts_of, "bucket int, counts array<struct<lang string, phrase string, size int, c bigint>>").repartition("bucket").sortWithinPartitions("bucket")
+    return counted.mapInArrow(lambda batches: met(batches, least, HELD_PHRASES), "lang string, phrase string, size int, a bigint")
 
 
 #: floor(1000 * a * n / (l * r)), exactly: counts have up to 18 digits, products up to 38.
@@ -355,7 +382,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     summed = made.select("lang", F.inline(F.arrays_zip("words", "counts")).alias("word", "c")).groupBy("lang", "word").agg(F.sum("c").alias("f"))
     words = written(summed.where(F.col("f") >= least), "frequent-words")
     totals = written(totals, "words-of-languages")
-    with small_batches(spark, 1):
+    with small_batches(spark, most_bytes=BATCH_BYTES):
         counted = written(phrases(made, words, least, longest), "phrases")
     discard(made)
     parts = F.split("phrase", " ")

@@ -49,15 +49,17 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
-    """Arrow batches of fewer rows for what is written inside, where rows carry whole texts beside lists."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def small_batches(spark: SparkSession, rows: int = 1_000, most_bytes: int | None = None) -> Iterator[None]:
+    """Arrow batches of fewer rows, or of about so many bytes, for what is written inside, where rows carry whole texts beside lists."""
+    names = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows} | ({"spark.sql.execution.arrow.maxBytesPerBatch": most_bytes} if most_bytes else {})
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, str(value))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:

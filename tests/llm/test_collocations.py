@@ -203,3 +203,25 @@ def test_phrases_are_summed_before_they_leave_a_task(spark):
     counts = [pa.table({"lang": [lang], "phrase": [p], "size": pa.array([2], pa.int32()), "c": [n]}) for _ in range(50) for lang, p, n in (("en", "a b", 3), ("de", "a b", 1), ("en", "c d", 5))]
     out = C.folded(counts)
     assert out.num_rows <= 2 and sorted((x["lang"], x["phrase"], x["size"], x["c"]) for row in out["counts"].to_pylist() for x in row) == [("de", "a b", 2, 50), ("en", "a b", 2, 150), ("en", "c d", 2, 250)]
+
+
+def test_sums_of_tasks_meet_by_bucket(spark):
+    """Counts that tasks send are summed as they come, bucket after bucket: none becomes a row of its own; there was a row for each task and phrase."""
+    r = random.Random(4)
+    tables = [pa.table({"lang": [r.choice(["en", "de"]) for _ in range(300)], "phrase": [f"a {r.randrange(150)}" for _ in range(300)], "size": pa.array([2] * 300, pa.int32()), "c": [r.randint(1, 5) for _ in range(300)]}) for _ in range(20)]
+    rows = sorted((row for t in tables for row in C.folded([t]).to_pylist()), key=lambda x: x["bucket"])
+    schema = C.folded(tables[:1]).schema
+    batches = [pa.RecordBatch.from_pylist(rows[k : k + 7], schema) for k in range(0, len(rows), 7)]
+    want = Counter()
+    for t in tables:
+        for x in t.to_pylist():
+            want[x["lang"], x["phrase"]] += x["c"]
+    for most in (1, 50, 10**6):
+        out = list(C.met([*batches, batches[0].slice(0, 0)], 50, most))
+        found = [((x["lang"], x["phrase"]), x["a"]) for b in out for x in b.to_pylist()]
+        assert len(found) == len(dict(found)) and dict(found) == {p: n for p, n in want.items() if n >= 50} and len(out) > (most < 100)
+    assert list(C.met([], 1, 1)) == []
+    docs = spark.createDataFrame([("one two three four. five six", "en")] * 40, "text string, lang string")
+    made = C.written(C.shards(docs.repartition(4)), "bitmaps")
+    plan = C.phrases(made, made.select("lang", C.F.explode("words").alias("word")).distinct(), least=2)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
