@@ -22,9 +22,7 @@ without training tokens every token is unseen; an empty table gives no rows; oth
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +42,36 @@ STREAMS, WINDOW, LEAST_STEPS = 384, 16, 64
 RATE = 0.01
 CLIP = 60.0
 HELD = 4_000_000
-BATCH, SPAN = 512, 16
+BATCH, SPAN = 512, 1 << 15
+#: Rows whose logits are made together, and weights that are updated together: what fits a core's cache.
+BLOCK, PART = 512, 1 << 14
+#: Inputs that occur more often in a window have their gradients summed one by one.
+MANY = 12
 SEED = 3
+#: Bytes of text that are split at once.
+SLICE = 8 << 20
+#: Counts of slices' words that a task holds until it sums them.
+HELD_WORDS = 1_000_000
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
     return [*text.lower().split(), END] if text else [END]
 
 
+def split(texts: list[bytes | None]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of lower-cased texts, and for each word of the texts its number and that of its text; ends are left out."""
+    data = np.frombuffer(b"\n".join([b"", *(x.lower() if x else b"" for x in texts), b""]), np.uint8)
+    inside = (data > 32) | ((data < 9) | (data > 13)) & (data != 32)
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=offsets[1:])
+    encoded = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]).dictionary_encode()
+    lengths = np.fromiter((len(x) + 1 if x else 1 for x in texts), np.int64, len(texts))
+    many = np.diff(np.searchsorted(starts, np.cumsum(lengths)), prepend=0)
+    return encoded.dictionary, encoded.indices.to_numpy(zero_copy_only=False), np.repeat(np.arange(len(texts)), many)
+
+
 class Vocabulary:
     """Ids of frequent tokens and classes of all. Ids below SHORT are in the softmax; TAIL classes follow the ranks' classes."""
 
@@ -60,7 +80,7 @@ class Vocabulary:
         self.total, self.types = total, types
         self.words = [w for w, _ in top]
         self.counts = np.array([c for _, c in top], float)
-        self.ids = {w: i for i, w in enumerate(self.words)}
+        self.known = pa.array(self.words, pa.binary())
         self.n_short = min(SHORT, len(self.words))
         self.n_ranks = SHORT // PER_CLASS
         common = sorted(endings, key=lambda e: (-endings[e][0], e))[: TAIL - 1]
@@ -89,39 +109,40 @@ class Vocabulary:
         short[: self.n_short] = self.counts[: self.n_short]
         return np.concatenate([short.reshape(self.n_ranks, PER_CLASS).sum(1), self.mass])
 
-    def encode(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, tokens: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(input ids, ranks): an input id is a rank in the softmax or SHORT + the tail class; a rank is -1 for tokens outside the top."""
-        ranks = np.fromiter(map(self.ids.get, tokens, repeat(-1)), np.int64, len(tokens))
+        tokens = pa.array(tokens, pa.binary())
+        index = lambda x, among, other: pa.compute.index_in(x, value_set=among).fill_null(other).to_numpy(zero_copy_only=False).astype(np.int64)
+        ranks = index(tokens, self.known, -1)
         inputs = ranks.copy()
         known = ranks >= self.n_short
         inputs[known] = SHORT + self.tail[ranks[known] - self.n_short]
-        for i in np.flatnonzero(ranks < 0).tolist():
-            inputs[i] = SHORT + self.tail_class(tokens[i])
+        inputs[ranks < 0] = SHORT + index(pa.compute.binary_slice(tokens.filter(pa.array(ranks < 0)), -2), pa.array(list(self.ending), pa.binary()), TAIL - 1)
         return inputs, ranks
 
 
 class Network:
-    """Weights in one flat vector, seen as named arrays."""
+    """Weights in one flat vector, seen as named arrays. Biases are the last rows of the weights that they go with, so states carry a one behind them."""
 
     def __init__(self, vocabulary: Vocabulary, flat: np.ndarray | None = None, hidden: int = HIDDEN, seed: int = SEED):
-        self.hidden, self.n_ranks = hidden, vocabulary.n_ranks
-        self.shapes = {
-            "embed": (vocabulary.n_inputs, 3 * hidden), "loop": (hidden, 3 * hidden), "classes": (hidden, vocabulary.n_classes), "class_bias": (vocabulary.n_classes,),
-            "words": (vocabulary.n_ranks, hidden, PER_CLASS), "word_bias": (vocabulary.n_ranks, PER_CLASS),
-        }
+        self.room = None
+        self.hidden, self.n_ranks, self.n_classes, self.n_inputs = hidden, vocabulary.n_ranks, vocabulary.n_classes, vocabulary.n_inputs
+        self.shapes = {"embed": (self.n_inputs, 3 * hidden), "loop": (hidden, 3 * hidden), "to_classes": (hidden + 1, self.n_classes), "to_words": (self.n_ranks, hidden + 1, PER_CLASS)}
         size = sum(int(np.prod(s)) for s in self.shapes.values())
         if flat is None:
             rng = np.random.default_rng(seed)
-            flat = (0.1 * rng.standard_normal(size)).astype(np.float32)
-            self.flat = flat
+            self.flat = np.empty(size, np.float32)
             self._name()
+            for named in (self.embed, self.loop, self.classes, self.class_bias, self.words, self.word_bias):
+                named[:] = 0.1 * rng.standard_normal(named.shape)
             mass = vocabulary.class_mass() + 0.5
             self.class_bias[:] = np.log(mass / mass.sum())
             short = np.full(SHORT, 0.05)
             short[: vocabulary.n_short] += vocabulary.counts[: vocabulary.n_short]
-            self.word_bias[:] = np.log(short / short.max()).reshape(self.word_bias.shape)
+            bias = np.log(short / short.max())
             # Ranks that no token has get no mass.
-            self.word_bias.reshape(-1)[vocabulary.n_short :] = -30
+            bias[vocabulary.n_short :] = -30
+            self.word_bias[:] = bias.reshape(self.word_bias.shape)
             if vocabulary.n_short < SHORT:
                 empty = np.arange(vocabulary.n_ranks) * PER_CLASS >= vocabulary.n_short
                 self.class_bias[: vocabulary.n_ranks][empty] = -30
@@ -135,64 +156,77 @@ class Network:
             n = int(np.prod(shape))
             setattr(self, name, self.flat[at : at + n].reshape(shape))
             at += n
+        self.classes, self.class_bias = self.to_classes[:-1], self.to_classes[-1]
+        self.words, self.word_bias = self.to_words[:, :-1], self.to_words[:, -1]
 
-    def step(self, h: np.ndarray, x: np.ndarray) -> tuple:
-        """The state after inputs of embeddings x, and what the gradient needs."""
+    def _loops(self) -> tuple[np.ndarray, np.ndarray]:
+        """What _gates multiplies states with: the weights of the gates, negated, and those of the new state."""
+        return -self.loop[:, : 2 * self.hidden], np.ascontiguousarray(self.loop[:, 2 * self.hidden :])
+
+    def _gates(self, loops: tuple[np.ndarray, np.ndarray], h: np.ndarray, x: np.ndarray, zr: np.ndarray, gn: np.ndarray, n: np.ndarray, after: np.ndarray) -> None:
+        """The state after inputs of embeddings x, into `after`, and what the gradient needs into the others."""
         k = self.hidden
-        g = h @ self.loop
-        zr = x[:, : 2 * k] + g[:, : 2 * k]
-        np.negative(zr, out=zr)
+        np.matmul(h, loops[0], out=zr)
+        zr -= x[:, : 2 * k]
         np.exp(zr, out=zr)
         zr += 1
         np.reciprocal(zr, out=zr)
-        z, r, gn = zr[:, :k], zr[:, k:], g[:, 2 * k :]
-        n = r * gn
+        np.matmul(h, loops[1], out=gn)
+        np.multiply(zr[:, k:], gn, out=n)
         n += x[:, 2 * k :]
         np.tanh(n, out=n)
-        after = h - n
-        after *= z
+        np.subtract(h, n, out=after)
+        after *= zr[:, :k]
         after += n
-        return after, z, r, n, gn
-
-    def _softmax(self, h: np.ndarray, weights: np.ndarray, bias: np.ndarray, targets: np.ndarray, want: bool) -> tuple[np.ndarray, np.ndarray | None]:
-        """Log-probability of each target, and its gradient by the logits if wanted."""
-        n = np.arange(len(targets))
-        e = h @ weights
-        e += bias
-        if np.abs(weights).sum(0).max(initial=0) + np.abs(bias).max(initial=0) > CLIP:  # states lie between -1 and 1; so that no exponential overflows
-            np.clip(e, -CLIP, CLIP, out=e)
-        out = e[n, targets]
-        np.exp(e, out=e)
-        total = e @ np.ones(e.shape[1], e.dtype)
-        out -= np.log(total)
-        if not want:
-            return out, None
-        e *= (-1 / total)[:, None]
-        e[n, targets] += 1
-        return out, e
+
+    def step(self, h: np.ndarray, x: np.ndarray, loops: tuple[np.ndarray, np.ndarray] | None = None) -> tuple:
+        """The state after inputs of embeddings x, and what the gradient needs."""
+        zr, (gn, n, after) = np.empty((len(x), 2 * self.hidden), x.dtype), np.empty((3, len(x), self.hidden), x.dtype)
+        self._gates(loops or self._loops(), h, x, zr, gn, n, after)
+        return after, zr[:, : self.hidden], zr[:, self.hidden :], n, gn
+
+    def _softmax(self, h: np.ndarray, weights: np.ndarray, targets: np.ndarray, clip: bool, out: np.ndarray, grad: np.ndarray | None, dh: np.ndarray | None) -> None:
+        """Adds the log-probability of each target to out; with grad, adds to it and sets dh. Rows go in blocks whose logits stay in a core's cache."""
+        width = weights.shape[1]
+        if self.room is None or self.room[0].dtype != h.dtype:
+            most = max(self.n_classes, PER_CLASS)
+            self.room = np.empty(BLOCK * most, h.dtype), np.ones(most, h.dtype), np.arange(BLOCK)
+        ones, places = self.room[1][:width], self.room[2] * width
+        for a in range(0, len(targets), BLOCK):
+            states, some = h[a : a + BLOCK], out[a : a + BLOCK]
+            e = np.matmul(states, weights, out=self.room[0][: len(states) * width].reshape(-1, width))
+            if clip:
+                np.clip(e, -CLIP, CLIP, out=e)
+            logits, own = e.reshape(-1), places[: len(states)] + targets[a : a + BLOCK]
+            some += logits[own]
+            np.exp(e, out=e)
+            total = e @ ones
+            some -= np.log(total)
+            if grad is not None:  # by the logits it is -e / total; the division is left to the states and to dh, which are narrower
+                logits[own] -= total
+                share = (-1 / total)[:, None]
+                grad[:-1] += (states[:, :-1] * share).T @ e
+                grad[-1] += share[:, 0] @ e
+                np.multiply(e @ weights[:-1].T, share, out=dh[a : a + BLOCK])
 
     def log_probabilities(self, h: np.ndarray, inputs: np.ndarray, grad: Network | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log P(class) * P(word | class) of the targets (input ids) from states h; with grad, d(sum)/dh and weight gradients."""
-        short = inputs < SHORT
-        cls = np.where(short, inputs // PER_CLASS, self.n_ranks + inputs - SHORT)
-        want, dh = grad is not None, None
-        out, d = self._softmax(h, self.classes, self.class_bias, cls, want)
-        if want:
-            grad.classes += h.T @ d
-            grad.class_bias += np.ones(len(d), d.dtype) @ d
-            dh = d @ self.classes.T
-        order = np.flatnonzero(short)
-        order = order[np.argsort(cls[order], kind="stable")]
+        if h.shape[1] == self.hidden:
+            h = np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1)
+        cls = np.where(inputs < SHORT, inputs // PER_CLASS, self.n_ranks + inputs - SHORT)
+        want = grad is not None
+        out, dh = np.zeros(len(h), h.dtype), np.empty((len(h), self.hidden), h.dtype) if want else None
+        # States lie between -1 and 1, which bounds logits; so that no exponential overflows
+        clips = np.abs(self.to_classes).sum(0).max() > CLIP, np.abs(self.to_words).sum(1).max(1) > CLIP
+        self._softmax(h, self.to_classes, cls, clips[0], out, grad.to_classes if want else None, dh)
+        order = np.argsort(cls.astype(np.uint16), kind="stable")  # two bytes are sorted by radix
         edges = np.searchsorted(cls[order], np.arange(self.n_ranks + 1))
-        states, words, more = h[order], inputs[order] % PER_CLASS, np.empty(len(order), h.dtype)
-        dstates = np.empty_like(states) if want else None
+        order = order[: edges[-1]]
+        states, words, more = h[order], inputs[order] % PER_CLASS, np.zeros(len(order), h.dtype)
+        dstates = np.empty((len(order), self.hidden), h.dtype) if want else None
         for c in np.flatnonzero(np.diff(edges)).tolist():
             rows = slice(edges[c], edges[c + 1])
-            more[rows], d = self._softmax(states[rows], self.words[c], self.word_bias[c], words[rows], want)
-            if want:
-                grad.words[c] += states[rows].T @ d
-                grad.word_bias[c] += d.sum(0)
-                np.matmul(d, self.words[c].T, out=dstates[rows])
+            self._softmax(states[rows], self.to_words[c], words[rows], clips[1][c], more[rows], grad.to_words[c] if want else None, dstates[rows] if want else None)
         out[order] += more
         if want:
             dh[order] += dstates
@@ -200,39 +234,72 @@ class Network:
 
     def window(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, grad: Network) -> tuple[float, np.ndarray]:
         """Log-likelihood of a window (time, streams) and the state after it; gradients stop at the window's begin."""
-        kept, k, (steps, streams) = [], self.hidden, inputs.shape
-        x = self.embed[inputs]
+        k, (steps, streams) = self.hidden, inputs.shape
+        x = np.take(self.embed, inputs, axis=0)
         stays = (~fresh).astype(h.dtype)[:, :, None]
-        befores, states = np.empty((2, steps, streams, k), h.dtype)
+        befores, n, gn, states = np.empty((4, steps, streams, k), h.dtype)
+        zr, loops = np.empty((steps, streams, 2 * k), h.dtype), self._loops()
         for t in range(steps):
             np.multiply(h, stays[t], out=befores[t])
-            h, *gates = self.step(befores[t], x[t])
-            states[t] = h
-            kept.append(gates)
-        found, dh_all = self.log_probabilities(states.reshape(-1, k), targets.reshape(-1), grad)
+            self._gates(loops, befores[t], x[t], zr[t], gn[t], n[t], states[t])
+            h = states[t]
+        rows = np.ones((steps * streams, k + 1), h.dtype)
+        rows[:, :k] = states.reshape(-1, k)
+        found, dh_all = self.log_probabilities(rows, targets.reshape(-1), grad)
         dh_all = dh_all.reshape(steps, streams, k)
         dh = np.zeros_like(h)
-        gx, gh = x, np.empty_like(x)  # the embeddings have been used
+        gx, back = x, np.ascontiguousarray(self.loop.T)  # the embeddings have been used
+        by_z, by_n = befores - n, 1 - n * n
+        z, r, gh = zr[:, :, :k], zr[:, :, k:], np.empty_like(x)
+        rest = 1 - z
+        by_n *= rest
+        by_z *= z
+        by_z *= rest
+        by_r = 1 - r
+        by_r *= r
+        by_r *= gn
         for t in range(steps - 1, -1, -1):
-            before, (z, r, n, gn) = befores[t], kept[t]
             dh += dh_all[t]
-            dn = (1 - z) * (1 - n * n)
+            both, dn = gh[t], by_n[t]
             dn *= dh
-            gx[t, :, :k] = dh * (before - n) * z * (1 - z)
-            gx[t, :, k : 2 * k] = dn * gn * r * (1 - r)
-            gx[t, :, 2 * k :] = dn
-            gh[t] = gx[t]
-            gh[t, :, 2 * k :] *= r
-            dh *= z
-            dh += gh[t] @ self.loop.T
+            np.multiply(by_z[t], dh, out=both[:, :k])
+            np.multiply(by_r[t], dn, out=both[:, k : 2 * k])
+            np.multiply(dn, r[t], out=both[:, 2 * k :])
+            dh *= z[t]
+            dh += both @ back
             dh *= stays[t]
+        gx[:, :, : 2 * k], gx[:, :, 2 * k :] = gh[:, :, : 2 * k], by_n
         grad.loop += befores.reshape(-1, k).T @ gh.reshape(-1, 3 * k)
-        order = np.argsort(inputs, axis=None, kind="stable")
-        own = inputs.reshape(-1)[order]
+        order = np.argsort(inputs.astype(np.uint16), axis=None, kind="stable")
+        own, gx = inputs.reshape(-1)[order], np.take(gx.reshape(-1, 3 * k), order, axis=0)
         first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        grad.embed[own[first]] += np.add.reduceat(gx.reshape(-1, 3 * k)[order], first, axis=0)
+        many = np.diff(np.append(first, len(own)))
+        for at in np.flatnonzero(many > MANY).tolist():
+            grad.embed[own[first[at]]] += np.ones(many[at], h.dtype) @ gx[first[at] : first[at] + many[at]]
+        few, one = many <= MANY, many == 1
+        grad.embed[own[first[one]]] += gx[first[one]]
+        few &= ~one
+        rows = np.repeat(few, many)
+        if few.any():
+            grad.embed[own[first[few]]] += np.add.reduceat(gx[rows], np.cumsum(many[few]) - many[few], axis=0)
         return float(found.sum()), h
 
+    @staticmethod
+    def _update(flat: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray, scale: float, rate: float, step: int) -> None:
+        """A step along scale * g, which is used up, by the means of the gradients and of their squares; m is ten times the first, v a hundred times the second."""
+        g *= scale
+        m *= 0.9
+        m += g
+        g *= g
+        v *= 0.99
+        v += g
+        np.sqrt(v, out=g)
+        spread = 0.1 * (1 - 0.99**step) ** -0.5
+        g += 1e-5 / spread
+        np.divide(m, g, out=g)
+        g *= 0.1 * rate / (1 - 0.9**step) / spread
+        flat += g
+
     def train(self, vocabulary: Vocabulary, documents: list[np.ndarray], rate: float = RATE) -> int:
         """One pass over encoded documents, laid end to end in parallel streams; the number of tokens used."""
         if not documents:
@@ -254,77 +321,64 @@ class Network:
             grad.flat[:] = 0
             _, h = self.window(h, inputs[at], targets[at], fresh[at], grad)
             g = grad.flat
-            g /= inputs[at].size
-            norm = float(np.sqrt(g @ g))
-            if norm > 1:
-                g /= norm
-            m *= 0.9
-            m += 0.1 * g
-            v *= 0.99
-            g *= g
-            g *= 0.01
-            v += g
+            scale = 1 / inputs[at].size
+            scale /= max(1, scale * float(np.sqrt(g @ g)))
             now = rate * (1 - 0.8 * s / steps) * min(1, (s + 1) / 10)
-            np.sqrt(v, out=g)
-            g *= (1 - 0.99 ** (s + 1)) ** -0.5
-            g += 1e-5
-            np.divide(m, g, out=g)
-            g *= now / (1 - 0.9 ** (s + 1))
-            self.flat += g
+            for p in range(0, len(g), PART):
+                self._update(*(y[p : p + PART] for y in (self.flat, g, m, v)), scale, now, s + 1)
         return targets.size
 
     def score(self, vocabulary: Vocabulary, documents: list[np.ndarray]) -> np.ndarray:
-        """Natural log-likelihood of each encoded document (tail tokens: of their class)."""
-        out = np.zeros(len(documents))
-        sizes = np.array([len(d) for d in documents])
+        """Natural log-likelihood of each encoded document (tail tokens: of their class). Documents of like length go in lockstep; their states wait for the softmax until there are SPAN of them."""
+        k, out = self.hidden, np.zeros(len(documents))
+        sizes = np.array([len(d) for d in documents], np.int64)
+        tokens, begins = np.concatenate([*documents, np.zeros(0, np.uint16)]).astype(np.uint16), np.cumsum(sizes) - sizes
         ranked = np.argsort(-sizes, kind="stable")
+        states, targets, owner = np.ones((SPAN, k + 1), np.float32), np.empty(SPAN, np.int64), np.empty(SPAN, np.int64)
+
+        def add(n: int) -> None:
+            found, _ = self.log_probabilities(states[:n], targets[:n])
+            out[:] += np.bincount(owner[:n], found, len(out))
+
+        held, loops = 0, self._loops()
         for first in range(0, len(documents), BATCH):
             rows = ranked[first : first + BATCH]
-            n = sizes[rows]
-            h = np.zeros((len(rows), self.hidden), np.float32)
-            last = np.full(len(rows), vocabulary.start)
-            for begin in range(0, int(n[0]), SPAN):
-                live = int((n > begin).sum())
-                padded = np.full((SPAN, live), -1)
-                for j in range(live):
-                    piece = documents[rows[j]][begin : begin + SPAN]
-                    padded[: len(piece), j] = piece
-                h, last = h[:live], last[:live]
-                states, targets, owner = [], [], []
-                for t in range(SPAN):
-                    live = int((n > begin + t).sum())
-                    if not live:
-                        break
-                    h = self.step(h[:live], self.embed[last[:live]])[0]
-                    last = padded[t, :live]
-                    states.append(h)
-                    targets.append(last)
-                    owner.append(rows[:live])
-                found, _ = self.log_probabilities(np.concatenate(states), np.concatenate(targets))
-                np.add.at(out, np.concatenate(owner), found.astype(float))
+            n, at = sizes[rows], begins[rows]
+            h, last = np.zeros((len(rows), k), np.float32), np.full(len(rows), vocabulary.start)
+            for t, live in enumerate(np.searchsorted(-n, -np.arange(int(n[0])), side="left").tolist()):  # those with more than t tokens
+                if held + live > SPAN:
+                    add(held)
+                    held = 0
+                h = self.step(h[:live], np.take(self.embed, last[:live], axis=0), loops)[0]
+                last = tokens[at[:live] + t]
+                states[held : held + live, :k], targets[held : held + live], owner[held : held + live] = h, last, rows[:live]
+                held += live
+        add(held)
         return out
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counter: Counter = Counter()
+    held, n = [], 0
 
     def out() -> pa.RecordBatch:
-        made = pa.RecordBatch.from_arrays([pa.array(list(counter), pa.binary()), pa.array(list(counter.values()), pa.int64())], names=["token", "c"])
-        counter.clear()
-        return made
-
-    for batch in slices(batches, "text", 1 << 20):
-        for text in text_bytes(batch.column("text")):
-            counter.update(tokens_of(text))
-        if len(counter) > 400_000:
+        sums = pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("c", "sum")]).combine_chunks()
+        return pa.RecordBatch.from_arrays([sums.column(k).combine_chunks() for k in ("token", "c_sum")], names=["token", "c"])
+
+    for batch in slices(batches, "text", SLICE):
+        words, number, _ = split(text_bytes(batch.column("text")))
+        words, c = pa.concat_arrays([words, pa.array([END], pa.binary())]), np.append(np.bincount(number, minlength=len(words)), batch.num_rows)
+        held.append(pa.table({"token": words, "c": pa.array(c, pa.int64())}))
+        n += len(words)
+        if n > HELD_WORDS:
             yield out()
-    if counter:
+            held, n = [], 0
+    if held:
         yield out()
 
 
 def count_tokens(docs: DataFrame) -> DataFrame:
     """(token, c) over all texts."""
-    return docs.select("text").mapInArrow(_count, "token binary, c bigint").groupBy("token").agg(F.sum("c").alias("c"))
+    return docs.select("text").mapInArrow(_count, "token binary, c bigint").repartition("token").groupBy("token").agg(F.sum("c").alias("c"))
 
 
 def vocabulary_of(counts: DataFrame, top: int = TOP) -> Vocabulary:
@@ -361,23 +415,29 @@ def _encode(held):
         """A row for each document, with its ids in two bytes each, and a row for each of its tokens outside the top (token not null)."""
         v: Vocabulary = held.value
         log_counts = np.log10(v.counts + 0.5)
-        for batch in slices(batches, "text", 1 << 20):
-            parts, rare = [], ([], [])
-            for row, text in zip(batch.column("row").to_pylist(), text_bytes(batch.column("text")), strict=True):
-                tokens = tokens_of(text)
-                inputs, ranks = v.encode(tokens)
-                top = ranks[ranks >= 0]
-                tail = log_counts[ranks[ranks >= v.n_short]].sum() - v.tail_norm[inputs[inputs >= SHORT] - SHORT].sum()
-                parts.append((len(tokens), int((v.counts[top] > 0).sum()), float(log_counts[top].sum()), float(tail), inputs.astype("<u2").tobytes()))
-                if len(top) < len(tokens):
-                    few = [tokens[i] for i in np.flatnonzero(ranks < 0).tolist()]
-                    rare[0].extend([row] * len(few))
-                    rare[1].extend(few)
-            columns = [*(batch.column(c) for c in _COLUMNS[:4]), *zip(*parts, strict=True), [None] * len(parts)]
-            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_COLUMNS)
-            if rare[0]:
-                empty = [pa.nulls(len(rare[0]), t) for t in _TYPES[1:9]]
-                yield pa.RecordBatch.from_arrays([pa.array(rare[0], pa.int64()), *empty, pa.array(rare[1], pa.binary())], names=_COLUMNS)
+        for batch in slices(batches, "text", SLICE):
+            if not (n := batch.num_rows):
+                continue
+            words, number, owner = split(text_bytes(batch.column("text")))
+            of_words, ranks_of = v.encode(pa.concat_arrays([words, pa.array([END], pa.binary())]))
+            # Each text's words, then its end.
+            sizes = np.bincount(owner, minlength=n) + 1
+            edges = np.append(0, np.cumsum(sizes))
+            every, place = np.full(edges[-1], len(words)), np.arange(len(number)) + owner
+            every[place] = number
+            # What a word adds to its text, then the sums.
+            top, outside = ranks_of >= 0, of_words >= SHORT
+            logs = np.where(top, log_counts[ranks_of], 0.0)
+            tail = np.where(ranks_of >= v.n_short, logs, 0.0)
+            tail[outside] -= v.tail_norm[of_words[outside] - SHORT]
+            of_texts = lambda x: np.add.reduceat(x[every], edges[:-1])
+            known, inputs, rare = of_texts((top & (v.counts[ranks_of] > 0)).astype(np.int64)), of_words.astype("<u2")[every], np.flatnonzero(~top[every])
+            ids = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer((2 * edges).astype(np.int32)), pa.py_buffer(inputs)])
+            columns = [*(batch.column(c) for c in _COLUMNS[:4]), pa.array(sizes), pa.array(known), pa.array(of_texts(logs)), pa.array(of_texts(tail)), ids, pa.nulls(n, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=_COLUMNS)
+            if len(rare):
+                empty = [pa.nulls(len(rare), t) for t in _TYPES[1:9]]
+                yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(np.searchsorted(edges, rare, side="right") - 1)), *empty, words.take(pa.array(every[rare]))], names=_COLUMNS)
 
     return run
 

@@ -217,3 +217,38 @@ def test_joined_score_and_partitions(spark):
 
 def test_empty(spark):
     assert L.language_model_scores(spark.createDataFrame([], DOCS), F.lit(True)).collect() == []
+
+
+def test_split_equals_words():
+    """Slices of texts are split at once: the words, their order and their texts are those of tokens_of."""
+    r = random.Random(9)
+    texts = ["".join(r.choice(["a", "B", "é", "ß", "x\x85y", " ", "\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x00"]) for _ in range(r.randint(0, 30))).encode() for _ in range(300)]
+    texts = [None, b"", b" ", *texts, b"\x1f\x20\x21", None]
+    for some in (texts, texts[:1], [], [b"one"], [b"  "]):
+        words, number, owner = L.split(some)
+        listed = words.to_pylist()
+        got = [[] for _ in some]
+        for k, o in zip(number.tolist(), owner.tolist(), strict=True):
+            got[o].append(listed[k])
+        assert got == [L.tokens_of(x)[:-1] for x in some] and len(set(listed)) == len(listed)
+    batch = L.pa.RecordBatch.from_arrays([L.pa.array(texts, L.pa.binary())], names=["text"])
+    counted = {x["token"]: x["c"] for b in L._count([batch, batch]) for x in b.to_pylist()}
+    assert counted == Counter(w for x in 2 * texts for w in L.tokens_of(x))
+
+
+def test_states_wait_for_the_softmax(monkeypatch):
+    """Scores of few documents in lockstep are made from many states at once, in blocks; there was a call for every 16 steps."""
+    v = vocabulary(words_of())
+    net = L.Network(v)
+    r = np.random.default_rng(7)
+    documents = [r.integers(0, L.SHORT + L.TAIL, n).astype("<u2") for n in (900, 40, 700, 0, 3)]
+    calls, plain = [], net.log_probabilities
+    monkeypatch.setattr(net, "log_probabilities", lambda h, x: (calls.append(len(x)), plain(h, x))[1])
+    want = net.score(v, documents)
+    assert calls == [1643]
+    for block, span in ((7, 520), (512, 600), (1 << 12, 1 << 12)):
+        monkeypatch.setattr(L, "BLOCK", block)
+        monkeypatch.setattr(L, "SPAN", span)
+        net.room, calls[:] = None, []
+        assert np.allclose(net.score(v, documents), want, rtol=1e-5) and sum(calls) == 1643 and max(calls) <= span
+    assert L.Network(v).score(v, []).tolist() == []
