@@ -122,11 +122,11 @@ def session_log(spark, sf_dir):
 # --- language
 
 #: Learnt from documents whose id isn't divisible by four, held against the others.
-DETECTED = r"""WITH d AS (SELECT doc_id, lang, doc_id % 4 <> 0 AS taught, regexp_replace(' ' || regexp_replace(lower(substr(coalesce(text, ''), 1, 2000)), '[\s\d\p{P}\p{S}]+', ' ', 'g') || ' ', ' +', ' ', 'g') AS c FROM documents),
+DETECTED = r"""WITH d AS (SELECT doc_id, lang, doc_id % 4 <> 0 AS taught, regexp_replace(' ' || regexp_replace(lower(coalesce(text, '')), '[\s\d\p{P}\p{S}]+', ' ', 'g') || ' ', ' +', ' ', 'g') AS c FROM documents),
  g AS MATERIALIZED (SELECT doc_id, lang, taught, substr(c, i::INT, 3) AS gram FROM (SELECT *, unnest(range(1, length(c) - 1)) AS i FROM d)),
  n AS MATERIALIZED (SELECT lang, gram, count(*) AS n FROM g WHERE taught AND lang IS NOT NULL GROUP BY 1, 2),
  t AS (SELECT lang, sum(n) AS total FROM n GROUP BY lang),
- kept AS (SELECT DISTINCT gram FROM (SELECT gram FROM n QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) <= 1000)),
+ kept AS (SELECT DISTINCT gram FROM n),
  m AS MATERIALIZED (SELECT gram, t.lang, ln((coalesce(n.n, 0) + 0.5) / (t.total + 0.5 * ((SELECT count(DISTINCT gram) FROM n) + 1))) AS w FROM kept CROSS JOIN t LEFT JOIN n USING (gram, lang)),
  s AS (SELECT doc_id, m.lang, round(sum(w), 6) AS likely FROM g JOIN m USING (gram) GROUP BY 1, 2),
  b AS (SELECT doc_id, lang AS detected FROM s QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY likely DESC, lang) = 1) """

@@ -122,3 +122,27 @@ def test_no_gram_becomes_a_row(spark):
     docs = spark.createDataFrame([(i, "the dog and the cat " * 50, "en") for i in range(20)], "doc_id bigint, text string, lang string")
     plan = language.detect(docs, language.fit(docs))._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and "Exchange" not in plan
+
+
+def test_whole_texts_and_all_grams_and_languages_count(spark):
+    """What tells languages apart may stand after any number of characters, be rare, and be of any of many languages."""
+    shared = "aaa bbb " * 400  # 3,200 characters
+    names = [f"l{k:02d}" for k in range(70)]
+    own = {x: chr(0x4E00 + 3 * k) * 3 for k, x in enumerate(names)}
+    common = " ".join(chr(97 + a) + chr(97 + b) + chr(97 + c) for a in range(12) for b in range(12) for c in range(12)) * 2  # over 1,000 grams that all have more often
+    docs = [(k, x, shared + common + " " + own[x]) for k, x in enumerate(names)]
+    model = language.fit(spark.createDataFrame(docs, "doc_id bigint, lang string, text string"))
+    asked = spark.createDataFrame([(k, shared + own[x]) for k, x in enumerate(names)], "doc_id bigint, text string")
+    assert {r.doc_id: r.detected for r in language.detect(asked, model).collect()} == dict(enumerate(names))
+
+
+def test_slices_and_pieces_give_the_same(spark, monkeypatch):
+    known = [(t, lang) for lang, texts in TEXTS.items() for t in texts]
+    asked = [(i, t) for i, t in enumerate(["the dog", "der hund", "le chien", "", None, "zzzz qqqq", "Das Haus " * 50, "la maison d'une " * 40])]
+    docs = spark.createDataFrame(asked, "doc_id bigint, text string")
+    want = brute(known, asked)
+    monkeypatch.setattr(language, "ENTRIES", 100)
+    monkeypatch.setattr(language, "PIECE", 7)
+    model = language.fit(spark.createDataFrame(known, "text string, lang string"))
+    assert model.count() > 300
+    assert {r.doc_id: r.detected for r in language.detect(docs, model).collect()} == want
