@@ -3,6 +3,7 @@ import random
 import pytest
 
 from tessera.operators import dedup
+from tessera.operators import components as components_module
 from tessera.operators.components import components
 from tessera.streaming import stateful
 from tessera.tables import new_path, written
@@ -111,3 +112,37 @@ def test_empty_batches(spark):
     index.add(spark.createDataFrame([], "doc_id bigint, text string"), 0)
     index.add(spark.createDataFrame([(1, None), (2, "a b c d")], "doc_id bigint, text string"), 1)
     assert sorted(map(tuple, index.clusters().collect())) == [(1, 1), (2, 2)]
+
+
+def test_words_of_a_task_are_those_of_the_pattern(spark, monkeypatch):
+    """Words are cut in tasks as tokens() cuts them, on characters of all kinds, and sets are equal if and only if those of their grams are."""
+    r = random.Random(3)
+    odd = "a b\u00e9_\u0301 \u200d-\u00b2\u00bd\u203f \U0001d54f\U0001f600\n\u4e2d\u6587\u0130\u00df.\u24b6\u0e01\u0e31 7\u0663,\x00"
+    rows = [(i, "".join(r.choice(odd) for _ in range(r.randint(0, 40)))) for i in range(300)]
+    rows += [(300 + i, "".join(chr(c) for c in range(start, start + 400) if not 0xD800 <= c < 0xE000)) for i, start in enumerate(range(0, 0x20000, 400))]
+    rows += [(2000, "w" * 5000), (2001, "w" * 5001), (2002, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(dedup, "BLOCK", 7)
+    monkeypatch.setattr(dedup, "TOGETHER", 50)
+    of = {x.doc_id: x.w for x in docs.select("doc_id", dedup.tokens(dedup.F.col("text")).alias("w")).collect()}
+    grams = {i: frozenset(tuple(w[k : k + 3]) for k in range(len(w) - 2)) if len(w) >= 3 else frozenset((x,) for x in w) for i, w in of.items() if w}
+    members, sets = dedup.token_sets(docs)
+    got = {x.id: x.key for x in members.collect()}
+    assert got.keys() == grams.keys()
+    assert len(set(got.values())) == len(set(grams.values())) == len({(got[i], grams[i]) for i in got})
+    assert all(len(x.set) == len(grams[x.rep]) for x in sets.collect())
+
+
+@pytest.mark.parametrize("few", [0, 1 << 20])
+def test_few_edges_take_one_round(spark, monkeypatch, few):
+    """Components of a long chain in random order, a star, loops and repeated edges, solved at once or in rounds."""
+    monkeypatch.setattr(components_module, "FEW", few)
+    r = random.Random(4)
+    chain = r.sample(range(1000), 60)
+    edges = [*zip(chain, chain[1:], strict=False), *((2000, 2000 + k) for k in range(1, 40)), (7000, 7000), (2001, 2000), (2001, 2000)]
+    made = []
+    kept = components_module.written
+    monkeypatch.setattr(components_module, "written", lambda df, name: made.append(name) or kept(df, name))
+    got = {x.node: x.component for x in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {x: min(chain) for x in chain} | {2000 + k: 2000 for k in range(40)}
+    assert len(made) == 2 if few else len(made) > 2
