@@ -146,3 +146,44 @@ def test_few_edges_take_one_round(spark, monkeypatch, few):
     got = {x.node: x.component for x in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {x: min(chain) for x in chain} | {2000 + k: 2000 for k in range(40)}
     assert len(made) == 2 if few else len(made) > 2
+
+
+def test_no_set_is_stored(spark, monkeypatch):
+    """Sets are made again where they are compared, only those of pairs that sketches don't rule out, and each once for a task of many pairs."""
+    r = random.Random(6)
+    word = lambda: f"w{r.randrange(10**6)}"
+    passage = [word() for _ in range(40)]
+    base = [word() for _ in range(300)]
+    rows = [(i, " ".join(passage + [word() for _ in range(200)])) for i in range(40)]  # share rare shingles, but aren't similar
+    rows += [(100 + i, " ".join([*base, f"own{i}"])) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    made, kept = {}, dedup.written
+
+    def written_(df, name, *more):
+        out = kept(df, name, *more)
+        made.setdefault(name, []).append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(dedup, "written", written_)
+    monkeypatch.setattr(dedup, "MEMBERS", 8)
+    found = {(x.a, x.b) for x in dedup.jaccard_pairs_of(docs).collect()}
+    assert found == {(100 + i, 100 + j) for i in range(30) for j in range(i + 1, 30)}
+    assert not any("set" in columns for tables in made.values() for columns, _ in tables)
+    assert [n for _, n in made["taking"]] == [30]
+
+
+def test_sketches_rule_out_no_similar_pair(spark):
+    import numpy as np
+
+    r = np.random.default_rng(7)
+    sets, pairs = [], []
+    for k in range(300):
+        own = r.integers(-(2**63), 2**63, int(r.integers(1, 3000)), np.int64)
+        other = own.copy()
+        other[: int(r.integers(0, max(1, len(own) // 8)))] += 1
+        sets += [np.unique(own), np.unique(other[: len(other) - int(r.integers(0, max(1, len(own) // 20)))])]
+        pairs.append((2 * k, 2 * k + 1))
+    table = spark.createDataFrame([(k, len(x), dedup._sketch(x)) for k, x in enumerate(sets)], "rep bigint, n int, sketch binary")
+    left = {(x.a, x.b) for x in dedup._may_be_similar(spark.createDataFrame(pairs, "a bigint, b bigint"), table, 0.92).collect()}
+    similar = {(a, b) for a, b in pairs if len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) >= 0.92}
+    assert similar <= left and len(similar) > 50 and len(left) < 290
