@@ -89,13 +89,14 @@ def buffered_dedup(docs: DataFrame, path: str, checkpoint: str, threshold: float
 
 
 class NearCopyIndex:
-    """Near copies across the batches of a stream: sets, their prefix shingles, members and links, as tables in a folder that grow by a part for each batch.
+    """Near copies across the batches of a stream: texts, the prefix shingles and sketches of their sets, members and links, as tables in a folder that grow by a part for each batch.
 
     A batch holds its new shingle sets against all sets that came before and against each other; sets that are there already only gain members. Its part counts once its manifest names all its tables, and a
     batch that has one is passed over, so trying it again changes nothing. The order of rarity that prefixes follow is that of the first batch, kept beside the parts: any order finds all pairs if it is one for all. Ids must tell rows apart.
+    Texts are kept lower-cased and compressed, and sets are made from them where they are compared: a set takes several times the room of its text.
     """
 
-    _TABLES = {"members": "id bigint, key string", "sets": "key string, rep bigint, set array<bigint>", "heads": "rep bigint, n int, i int, s bigint", "links": "a bigint, b bigint"}
+    _TABLES = {"members": "id bigint, key string", "texts": "id bigint, text string", "heads": "key string, rep bigint, n int, head array<bigint>, sketch binary", "links": "a bigint, b bigint"}
 
     def __init__(self, spark: SparkSession, folder: str, threshold: float = 0.92, n: int = 3):
         self.spark, self.folder, self.threshold, self.n = spark, folder.rstrip("/"), threshold, n
@@ -119,10 +120,10 @@ class NearCopyIndex:
         paths = [x[name] for x in self._parts()]
         return self.spark.read.schema(self._TABLES[name]).parquet(*paths) if paths else self.spark.createDataFrame([], self._TABLES[name])
 
-    def _order(self, sets: DataFrame) -> np.ndarray:
+    def _order(self, counted: DataFrame) -> np.ndarray:
         kept = self._json("order")
         if kept is None:
-            kept = {"shingles": dedup.frequent_shingles(sets).tolist()}
+            kept = {"shingles": dedup.most_frequent(counted).tolist()}
             write_json(self.spark, f"{self.folder}/order.json", kept)
         return np.array(kept["shingles"], np.int64)
 
@@ -131,23 +132,27 @@ class NearCopyIndex:
         if self._json(f"batch-{batch_id:012d}") is not None:
             return
         before = {name: self.table(name) for name in self._TABLES}
-        members, sets = dedup.token_sets(batch, "doc_id", self.n)
         at = {name: f"{self.folder}/{name}/{uuid.uuid4().hex}" for name in self._TABLES}
 
         def put(name: str, df: DataFrame) -> DataFrame:
-            df.write.parquet(at[name])
+            df.write.option("compression", "zstd").parquet(at[name])
             return self.spark.read.schema(self._TABLES[name]).parquet(at[name])
 
-        put("members", batch.select(F.col("doc_id").alias("id")).join(members, "id", "left"))
-        fresh = put("sets", sets.join(before["sets"].select("key"), "key", "left_anti").select("key", "rep", "set"))
-        listed = put("heads", dedup.heads(fresh, self._order(fresh), self.threshold))
-        put("links", dedup.jaccard_links(before["heads"].unionByName(listed), before["sets"].unionByName(fresh), self.threshold, before["links"], fresh.select("rep")))
+        own = put("texts", dedup.lowered(batch, "doc_id"))
+        digests, counted = dedup.digested(own, self.n)
+        put("members", batch.select(F.col("doc_id").alias("id")).join(digests, "id", "left"))
+        firsts = digests.groupBy("key").agg(F.min("id").alias("rep")).join(before["heads"].select("key"), "key", "left_anti")
+        made = dedup.Texts(own, self.n).heads(self._order(counted), self.threshold)
+        fresh = put("heads", made.join(firsts, "rep").select("key", "rep", "n", "head", "sketch"))
+        every = before["heads"].unionByName(fresh)
+        texts = dedup.Texts(before["texts"].unionByName(own), self.n)
+        put("links", dedup.jaccard_links(dedup.listed(every), texts, self.threshold, before["links"], fresh.select("rep"), sketches=every))
         write_json(self.spark, f"{self.folder}/batch-{batch_id:012d}.json", at)
 
     def clusters(self) -> DataFrame:
         """(id, cluster) of every document so far: the smallest id among those reachable; documents without tokens stand alone."""
         found = components(self.table("links"))
-        named = self.table("members").join(self.table("sets").select("key", "rep"), "key", "left").join(found, F.col("rep") == F.col("node"), "left").select("id", F.coalesce("component", "rep").alias("group"))
+        named = self.table("members").join(self.table("heads").select("key", "rep"), "key", "left").join(found, F.col("rep") == F.col("node"), "left").select("id", F.coalesce("component", "rep").alias("group"))
         least = named.where("group IS NOT NULL").groupBy("group").agg(F.min("id").alias("cluster"))
         return named.join(least, "group", "left").select("id", F.coalesce("cluster", "id").alias("cluster"))
 

@@ -187,3 +187,16 @@ def test_sketches_rule_out_no_similar_pair(spark):
     left = {(x.a, x.b) for x in dedup._may_be_similar(spark.createDataFrame(pairs, "a bigint, b bigint"), table, 0.92).collect()}
     similar = {(a, b) for a, b in pairs if len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) >= 0.92}
     assert similar <= left and len(similar) > 50 and len(left) < 290
+
+
+def test_the_index_keeps_texts_and_no_sets(spark):
+    """What a batch adds is no larger than a few times its compressed text, where sets take 8 bytes a shingle."""
+    import os
+
+    r = random.Random(9)
+    rows = [(i, " ".join(f"w{r.randrange(50)}" for _ in range(2000))) for i in range(40)]
+    folder = new_path(spark, "index")
+    index = stateful.NearCopyIndex(spark, folder)
+    index.add(spark.createDataFrame(rows, "doc_id bigint, text string"), 0)
+    size = sum(os.path.getsize(f"{d}/{x}") for d, _, names in os.walk(folder.removeprefix("file://")) for x in names if x.endswith(".parquet"))
+    assert size < 5 * 40 * 2000
