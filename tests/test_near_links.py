@@ -200,3 +200,11 @@ def test_the_index_keeps_texts_and_no_sets(spark):
     index.add(spark.createDataFrame(rows, "doc_id bigint, text string"), 0)
     size = sum(os.path.getsize(f"{d}/{x}") for d, _, names in os.walk(folder.removeprefix("file://")) for x in names if x.endswith(".parquet"))
     assert size < 5 * 40 * 2000
+
+
+def test_clusters_store_no_set(spark, monkeypatch):
+    made, kept = [], dedup.written
+    monkeypatch.setattr(dedup, "written", lambda df, name, *more: made.append(df.columns) or kept(df, name, *more))
+    rows = texts(10, 40)
+    assert sorted(map(tuple, dedup.jaccard_clusters(spark.createDataFrame(rows, "doc_id bigint, text string"), 0.7).collect())) == brute(rows, 0.7)
+    assert made and not any("set" in columns for columns in made)
